@@ -1,0 +1,332 @@
+"""Driver tables in the roles of the library's own tables."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+from datetime import date, datetime
+
+from pyspark.sql import Column as SparkColumn, DataFrame, SparkSession, functions as F, types as T
+
+from sightlog.functions.hashing import with_audit
+from sightlog.operators.quality import measure
+from sightlog.plans.staging import staging_view
+from sightlog.session import use_utc
+from sightlog.sources.landing import read_table_file
+from sightlog.specs import Check, Column, TableSpec
+from sightlog.tables import CARDS, CATALOG, PACKAGES, PRICES, SALE_LOG, SNAPSHOTS, STATE_KEY
+
+RUN_DATE = date(2024, 1, 28)
+NOW = datetime(2024, 2, 4)
+
+# md5 row hashes come out the same in the oracle's engine
+CATALOG_MD5 = replace(CATALOG, hash_algorithm="md5")
+SALE_LOG_MD5 = replace(SALE_LOG, hash_algorithm="md5")
+CARDS_MD5 = replace(CARDS, hash_algorithm="md5")
+PRICES_MD5 = replace(PRICES, hash_algorithm="md5")
+PACKAGES_MD5 = replace(PACKAGES, hash_algorithm="md5")
+SNAPSHOTS_MD5 = replace(SNAPSHOTS, hash_algorithm="md5")
+
+# The columns of a card that the queue uses.
+QUEUE_CARDS = TableSpec(
+    schema="raw",
+    name="queue_cards",
+    columns=(
+        Column("success", bool),
+        Column("appid", int, ge=0),
+        Column("release_date", datetime | None),
+    ),
+    key=STATE_KEY,
+)
+
+LINEITEM_CHECK = Check(median_columns=("l_quantity", "l_extendedprice", "l_discount"))
+EVENT_CHECK = Check(median_columns=("value",))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_table_file(use_utc(spark), sf_dir, name)
+
+
+def comparable(df: DataFrame) -> DataFrame:
+    """Timestamps without zone, as the oracle has them."""
+    return df.select(
+        *[
+            F.col(f.name).cast("timestamp_ntz").alias(f.name)
+            if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )
+
+
+def cents(c: SparkColumn) -> SparkColumn:
+    return F.floor(c * 100 + 0.5).cast("bigint")
+
+
+def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("appid"),
+        F.col("o_orderpriority").alias("name"),
+        F.col("o_orderdate").alias("last_update"),
+    )
+    return with_audit(orders, CATALOG_MD5)
+
+
+def raw_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("appid"),
+        F.col("event_type").alias("name"),
+        F.col("ts").alias("last_update"),
+    )
+    return with_audit(events, SALE_LOG_MD5)
+
+
+def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = (
+        table(spark, sf_dir, "events")
+        .where((F.col("event_type") == "signup") & (F.col("value") > 60))
+        .select(
+            F.col("user_id").alias("appid"),
+            F.col("event_type").alias("name"),
+            F.col("ts").alias("last_update"),
+        )
+    )
+    return with_audit(events, SALE_LOG)
+
+
+def raw_queue_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    events = (
+        table(spark, sf_dir, "events")
+        .where((F.col("event_type") == "purchase") & (F.col("user_id") % 3 == 0))
+        .select(
+            (F.col("value") >= 20).alias("success"),
+            F.col("user_id").alias("appid"),
+            F.when(k % 3 != 0, F.col("ts")).alias("release_date"),
+            F.col("ts").alias("last_update"),
+        )
+    )
+    return with_audit(events, QUEUE_CARDS)
+
+
+def raw_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("appid"),
+        F.col("l_suppkey").alias("packageid"),
+        F.col("l_returnflag").alias("package_option_text"),
+        cents(F.col("l_extendedprice")).alias("package_price_with_discount"),
+        F.col("l_linestatus").alias("name"),
+        F.col("l_shipdate").alias("last_update"),
+    )
+    return with_audit(rows, PACKAGES_MD5)
+
+
+def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("appid"),
+        F.col("l_linestatus").alias("name"),
+        F.nullif(F.col("l_returnflag"), F.lit("N")).alias("currency"),
+        F.floor("l_quantity").cast("bigint").alias("price_initial"),
+        F.floor("l_quantity").cast("bigint").alias("price_final"),
+        cents(F.col("l_discount")).alias("discount_percent"),
+        F.col("l_shipdate").alias("last_update"),
+    )
+    return with_audit(rows, PRICES_MD5)
+
+
+def raw_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    step = F.floor(F.col("o_totalprice") / 100000).cast("bigint")
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("appid"),
+        F.col("o_orderpriority").alias("name"),
+        F.col("o_orderstatus").alias("developer"),
+        F.nullif(F.col("o_orderstatus"), F.lit("F")).alias("publisher"),
+        F.lit(None).cast("bigint").alias("score_rank"),
+        step.alias("positive"),
+        (step + 1).alias("negative"),
+        F.lit(0).cast("bigint").alias("userscore"),
+        F.concat(step.cast("string"), F.lit(" .. "), (step + 1).cast("string")).alias("owners"),
+        step.cast("double").alias("price"),
+        (step + 1).cast("double").alias("initialprice"),
+        F.lit(0.0).alias("discount"),
+        F.lit(None).cast("bigint").alias("ccu"),
+        F.col("o_orderdate").alias("last_update"),
+    )
+    return with_audit(rows, SNAPSHOTS_MD5)
+
+
+def raw_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order headers as cards; arrays from the words of the priority text."""
+    words = F.split(F.col("o_orderpriority"), "-")
+    nothing = F.lit(None).cast("string")
+    rows = table(spark, sf_dir, "orders").select(
+        (F.col("o_orderstatus") != "P").alias("success"),
+        F.col("o_custkey").alias("appid"),
+        F.col("o_orderpriority").alias("name"),
+        F.lit(None).cast("bigint").alias("required_age"),
+        (F.col("o_orderstatus") == "F").alias("is_free"),
+        F.nullif(F.col("o_orderstatus"), F.lit("O")).alias("supported_languages"),
+        F.lit("").alias("website"),
+        F.lit("").alias("pc_requirements"),
+        nothing.alias("mac_requirements"),
+        nothing.alias("linux_requirements"),
+        words.alias("developers"),
+        F.when(F.col("o_orderstatus") == "F", words).alias("publishers"),
+        F.array(F.try_element_at(words, F.lit(1)).cast("bigint")).alias("categories_id"),
+        F.slice(words, 2, 1).alias("categories_description"),
+        F.slice(words, 1, 1).alias("genres_id"),
+        F.slice(words, 2, 1).alias("genres_description"),
+        F.trunc("o_orderdate", "YEAR").cast("timestamp").alias("release_date"),
+        F.col("o_orderdate").alias("last_update"),
+    )
+    return with_audit(rows, CARDS_MD5)
+
+
+def stg_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging_view(raw_catalog(spark, sf_dir), CATALOG_MD5)
+
+
+def stg_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging_view(raw_sales(spark, sf_dir), SALE_LOG, ["appid"])
+
+
+def stg_queue_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging_view(raw_queue_cards(spark, sf_dir), QUEUE_CARDS)
+
+
+def daily_event_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One load of events per day, stamped half an hour after midnight."""
+    days = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    return measure(days, EVENT_CHECK, by=["day"]).select(
+        F.lit("events_daily").alias("dag_id"),
+        F.lit(SALE_LOG.schema).alias("schema_name"),
+        F.lit(SALE_LOG.name).alias("table_name"),
+        "metrics_name", "agg_type", "metrics_value",
+        (F.col("day").cast("timestamp") + F.expr("INTERVAL 30 MINUTES")).alias("last_update"),
+    )
+
+
+def card_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Card responses made from orders: good, failed, absent and unreadable ones.
+
+    Finished orders leave null fields out of the JSON, open ones write them as null.
+    """
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    day = F.col("o_orderdate")
+    total = F.floor("o_totalprice").cast("bigint")
+    released = (
+        F.when(priority == "3-MEDIUM", F.lit("Coming soon"))
+        .when(status == "F", F.date_format(day, "MMM d, yyyy"))
+        .otherwise(F.date_format(day, "d MMMM, yyyy"))
+    )
+    words = F.split(priority, "-")
+    data = F.struct(
+        F.nullif(priority, F.lit("5-LOW")).alias("name"),
+        F.when(status == "F", F.lit("18")).otherwise(F.lit(" ")).alias("required_age"),
+        (status == "O").alias("is_free"),
+        F.struct(F.concat(F.lit("min "), status).alias("minimum")).alias("pc_requirements"),
+        words.alias("developers"),
+        F.array(
+            F.struct(
+                F.try_element_at(words, F.lit(1)).cast("int").alias("id"),
+                F.try_element_at(words, F.lit(2)).alias("description"),
+            )
+        ).alias("categories"),
+        F.struct(released.alias("date")).alias("release_date"),
+        F.when(
+            F.col("o_totalprice") >= 100000,
+            F.struct(
+                F.when(status == "F", "USD").otherwise("").alias("currency"),
+                total.alias("initial"),
+                (total - 1).alias("final"),
+                F.lit(10).alias("discount_percent"),
+            ),
+        ).alias("price_overview"),
+        F.array(
+            F.struct(
+                F.array(
+                    F.struct(
+                        F.col("o_custkey").alias("packageid"),
+                        F.nullif(priority, F.lit("2-HIGH")).alias("option_text"),
+                        total.alias("price_in_cents_with_discount"),
+                    ),
+                    F.struct(
+                        (F.col("o_custkey") + 1).alias("packageid"),
+                        status.alias("option_text"),
+                        F.lit(None).cast("bigint").alias("price_in_cents_with_discount"),
+                    ),
+                ).alias("subs")
+            ),
+            F.struct(
+                F.array().cast(
+                    "array<struct<packageid:bigint,option_text:string,"
+                    "price_in_cents_with_discount:bigint>>"
+                ).alias("subs")
+            ),
+        ).alias("package_groups"),
+    )
+    key = F.col("o_orderkey").cast("string")
+    good = F.create_map(key, F.struct(F.lit(True).alias("success"), data.alias("data")))
+    failed = F.create_map(key, F.struct(F.lit(False).alias("success")))
+    payload = (
+        F.when(status == "F", F.to_json(good, {"ignoreNullFields": "true"}))
+        .when(status == "O", F.to_json(good, {"ignoreNullFields": "false"}))
+        .when(priority == "1-URGENT", F.lit(None).cast("string"))
+        .when(priority == "2-HIGH", F.lit("{bad"))
+        .otherwise(F.to_json(failed))
+    )
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("appid"), payload.alias("payload")
+    )
+
+
+def search_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search pages made from customers: an id link, and a link without one for each."""
+    key = F.col("c_custkey").cast("string")
+    page = F.struct(
+        F.lit(2).alias("total_count"),
+        F.array(
+            F.struct(
+                F.nullif(F.col("c_name"), F.lit("Customer#000000007")).alias("name"),
+                F.concat(F.lit("https://img.example.org/apps/"), key, F.lit("/h.jpg")).alias("logo"),
+            ),
+            F.struct(
+                F.col("c_mktsegment").alias("name"),
+                F.concat(F.lit("https://img.example.org/subs/"), key, F.lit("/h.jpg")).alias("logo"),
+            ),
+        ).alias("items"),
+    )
+    return table(spark, sf_dir, "customer").select(F.to_json(page).alias("payload"))
+
+
+def keyed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed pages made from customers; one market segment lands empty pages."""
+    info = F.struct(
+        F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("developer"),
+        F.lit("ignored").alias("extra"),
+        F.col("c_nationkey").cast("string").alias("positive"),
+        F.when(F.col("c_nationkey") < 5, " ").otherwise("7").alias("ccu"),
+    )
+    page = F.when(
+        F.col("c_mktsegment") == "BUILDING", F.lit("{}")
+    ).otherwise(F.to_json(F.create_map(F.col("c_custkey").cast("string"), info)))
+    return table(spark, sf_dir, "customer").select(page.alias("payload"))
+
+
+def hour_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event hours as landed pages of one walk per user, 100 rows a page."""
+    hour = F.floor(
+        (F.unix_timestamp("ts") - F.unix_timestamp(F.lit(datetime(2024, 1, 1)))) / 3600
+    ).cast("bigint")
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("walk"), (hour * 100).alias("offset")
+    )
+
+
+def day_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user and day: rows of a page are that day's purchases."""
+    day = F.datediff(F.to_date("ts"), F.lit(date(2024, 1, 1))).cast("bigint")
+    return (
+        table(spark, sf_dir, "events")
+        .groupBy(F.col("user_id").alias("walk"), day.alias("page"))
+        .agg(F.count_if(F.col("event_type") == "purchase").alias("rows"))
+    )

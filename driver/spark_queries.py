@@ -1,0 +1,489 @@
+"""One query per operator over the driver tables."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from driver import roles as R
+from sightlog.functions.hashing import row_hash, version
+from sightlog.functions.scalar import blank_to_null, link_id, release_date, week_start
+from sightlog.operators import flatten
+from sightlog.operators.compaction import add_column, compact, idempotent_append
+from sightlog.operators.limits import with_global_max
+from sightlog.operators.pages import islands, missing_pages, truncation
+from sightlog.operators.quality import (
+    collect_metrics,
+    compare_series,
+    freshness,
+    measure,
+    not_null,
+    previous_metrics,
+)
+from sightlog.operators.ranks import split_batches
+from sightlog.operators.validate import VIOLATIONS, validate
+from sightlog.plans import queue as Q
+from sightlog.plans.staging import staging_view
+from sightlog.specs import Column, TableSpec
+from sightlog.tables import CARDS, PACKAGES, PRICES, SALE_LOG, SNAPSHOTS
+
+QUERIES = {}
+
+
+def query(fn):
+    """Register ``fn`` under its name."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return R.comparable(fn(spark, sf_dir))
+
+    QUERIES[fn.__name__] = run
+    return fn
+
+
+def _json_arrays(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({n: F.to_json(n) for n in names})
+
+
+def _rules(df: DataFrame) -> DataFrame:
+    """Broken rules as one text column."""
+    return df.withColumn("broken", F.array_join(VIOLATIONS, ",")).drop(VIOLATIONS)
+
+
+@query
+def scan_count(spark, sf_dir):
+    return R.table(spark, sf_dir, "lineitem").agg(
+        F.count(F.lit(1)).alias("n"), F.count("l_shipdate").alias("n_dated")
+    )
+
+
+# -- staging views -------------------------------------------------------------------------
+
+
+@query
+def stg_catalog(spark, sf_dir):
+    return R.stg_catalog(spark, sf_dir)
+
+
+@query
+def stg_daily(spark, sf_dir):
+    return staging_view(R.raw_daily(spark, sf_dir), R.SALE_LOG_MD5)
+
+
+@query
+def stg_cards(spark, sf_dir):
+    view = staging_view(R.raw_cards(spark, sf_dir), R.CARDS_MD5)
+    arrays = [c.name for c in CARDS.columns if c.is_array]
+    return _json_arrays(view, *arrays)
+
+
+@query
+def stg_prices(spark, sf_dir):
+    return staging_view(R.raw_prices(spark, sf_dir), R.PRICES_MD5)
+
+
+@query
+def stg_composite(spark, sf_dir):
+    return staging_view(R.raw_packages(spark, sf_dir), R.PACKAGES_MD5)
+
+
+@query
+def stg_added_column(spark, sf_dir):
+    """The same view with the late column: now rows of a state can differ."""
+    return staging_view(
+        R.raw_packages(spark, sf_dir), R.PACKAGES_MD5, [*R.PACKAGES_MD5.view_columns, "name"]
+    )
+
+
+@query
+def stg_snapshots(spark, sf_dir):
+    return staging_view(R.raw_snapshots(spark, sf_dir), R.SNAPSHOTS_MD5)
+
+
+# -- the work queue ------------------------------------------------------------------------
+
+
+def _current(spark, sf_dir):
+    return Q.current_cards(R.stg_queue_cards(spark, sf_dir))
+
+
+def _eligible(spark, sf_dir):
+    return Q.eligible_sales(
+        Q.latest_sales(R.stg_sales(spark, sf_dir)), _current(spark, sf_dir)
+    )
+
+
+def _queue(spark, sf_dir):
+    return Q.fetch_queue(
+        R.stg_catalog(spark, sf_dir), R.stg_sales(spark, sf_dir),
+        R.stg_queue_cards(spark, sf_dir), R.RUN_DATE, R.NOW,
+    )
+
+
+@query
+def latest_state(spark, sf_dir):
+    return _current(spark, sf_dir)
+
+
+@query
+def latest_two(spark, sf_dir):
+    return Q.latest_sales(R.stg_sales(spark, sf_dir))
+
+
+@query
+def global_max(spark, sf_dir):
+    return with_global_max(
+        R.stg_queue_cards(spark, sf_dir).select("appid", "success", "last_update"),
+        "last_update", "max_last_update",
+    )
+
+
+@query
+def specials_eligible(spark, sf_dir):
+    return _eligible(spark, sf_dir)
+
+
+@query
+def sale_transitions(spark, sf_dir):
+    return Q.sale_transitions(_eligible(spark, sf_dir), R.RUN_DATE)
+
+
+@query
+def never_fetched(spark, sf_dir):
+    return Q.never_fetched(
+        R.stg_catalog(spark, sf_dir), _current(spark, sf_dir),
+        Q.latest_sales(R.stg_sales(spark, sf_dir)),
+    )
+
+
+@query
+def retry_failed(spark, sf_dir):
+    return Q.retry_failed(
+        _current(spark, sf_dir), _eligible(spark, sf_dir), R.RUN_DATE, R.NOW
+    )
+
+
+@query
+def fetch_queue(spark, sf_dir):
+    return _queue(spark, sf_dir)
+
+
+@query
+def queue_export(spark, sf_dir):
+    return Q.export_queue(_queue(spark, sf_dir))
+
+
+@query
+def batch_split(spark, sf_dir):
+    return split_batches(
+        R.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("appid")), "appid", 500
+    )
+
+
+# -- functions, audit and storage ----------------------------------------------------------
+
+
+@query
+def week_starts(spark, sf_dir):
+    day = F.to_date("ts")
+    return R.table(spark, sf_dir, "events").select(
+        "event_id", week_start(day).alias("week"), (day == week_start(day)).alias("is_start")
+    )
+
+
+@query
+def state_hash(spark, sf_dir):
+    rows = R.table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"),
+        F.when(F.col("c_nationkey") != 3, F.col("c_nationkey")).alias("nation"),
+        (F.col("c_acctbal") >= 0).alias("solvent"),
+        F.split("c_name", "#").alias("words"),
+    )
+    columns = ["segment", "nation", "solvent", "words"]
+    return rows.select("c_custkey", row_hash(rows, columns, "md5").alias("row_hash"))
+
+
+@query
+def audit_cols(spark, sf_dir):
+    rows = R.table(spark, sf_dir, "events").withColumnRenamed("ts", "last_update")
+    return rows.select(
+        "event_id", "last_update", version().alias("ver"),
+        F.trunc("last_update", "MM").alias("load_month"),
+    )
+
+
+@query
+def compact_monthly(spark, sf_dir):
+    return compact(R.raw_catalog(spark, sf_dir), R.CATALOG_MD5)
+
+
+@query
+def compact_late_column(spark, sf_dir):
+    return compact(R.raw_packages(spark, sf_dir), R.PACKAGES_MD5)
+
+
+@query
+def idempotent_load(spark, sf_dir):
+    daily = R.raw_daily(spark, sf_dir)
+    stored = compact(daily.where(F.to_date("last_update") < F.lit(date(2024, 1, 16))), R.SALE_LOG_MD5)
+    return idempotent_append(stored, daily, R.SALE_LOG_MD5)
+
+
+@query
+def added_column(spark, sf_dir):
+    rows = R.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_shipdate", F.col("l_returnflag").alias("name")
+    )
+    cut = F.lit(datetime(1998, 1, 1))
+    return add_column(
+        rows.where(F.col("l_shipdate") < cut).drop("name"),
+        rows.where(F.col("l_shipdate") >= cut),
+        {"name": ""},
+    )
+
+
+# -- load metrics and table tests ----------------------------------------------------------
+
+
+def _monthly_metrics(spark, sf_dir):
+    rows = R.table(spark, sf_dir, "lineitem").withColumn("load_month", F.trunc("l_shipdate", "MM"))
+    return measure(rows, R.LINEITEM_CHECK, by=["load_month"])
+
+
+@query
+def dq_collect(spark, sf_dir):
+    return _monthly_metrics(spark, sf_dir).withColumn(
+        "metrics_value", F.round("metrics_value", 6)
+    )
+
+
+@query
+def dq_collect_load(spark, sf_dir):
+    """All events as one load."""
+    check = R.EVENT_CHECK
+    return collect_metrics(
+        R.table(spark, sf_dir, "events"), SALE_LOG, check, datetime(2024, 1, 31), "events_all"
+    ).withColumn("metrics_value", F.round("metrics_value", 6))
+
+
+@query
+def dq_previous(spark, sf_dir):
+    return previous_metrics(
+        R.daily_event_metrics(spark, sf_dir), SALE_LOG, R.EVENT_CHECK,
+        datetime(2024, 1, 20, 12), "events_daily",
+    ).withColumn("old_value", F.round("old_value", 6))
+
+
+@query
+def dq_drift(spark, sf_dir):
+    rows = R.table(spark, sf_dir, "lineitem").withColumn("load_month", F.trunc("l_shipdate", "MM"))
+    metrics = measure(rows, R.LINEITEM_CHECK, by=["l_returnflag", "load_month"])
+    drifted = compare_series(
+        metrics, R.LINEITEM_CHECK, ["l_returnflag", "metrics_name"], at="load_month"
+    )
+    return drifted.withColumns(
+        {c: F.round(c, 6) for c in ("new_value", "old_value", "drift")}
+    )
+
+
+@query
+def freshness_test(spark, sf_dir):
+    events = R.table(spark, sf_dir, "events").withColumnRenamed("ts", "last_update")
+    cases = [
+        ("fresh", events, date(2024, 1, 31)),
+        ("stale", events, date(2024, 2, 2)),
+        ("empty", events.where(F.col("value") < 0), date(2024, 1, 31)),
+    ]
+    out = None
+    for name, rows, day in cases:
+        case = freshness(rows, day).withColumn("case_name", F.lit(name))
+        out = case if out is None else out.unionByName(case)
+    return out
+
+
+@query
+def test_not_null(spark, sf_dir):
+    rows = R.table(spark, sf_dir, "customer").select(
+        "c_custkey", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment")
+    )
+    return not_null(rows, "segment")
+
+
+# -- validation ----------------------------------------------------------------------------
+
+
+@query
+def coerce_types(spark, sf_dir):
+    spec = TableSpec(
+        schema="raw", name="coerced",
+        columns=(
+            Column("event_id", int), Column("k", int | None), Column("whole", int | None),
+            Column("amount", float | None), Column("flag", bool | None),
+        ),
+        key=("event_id",),
+    )
+    rows = R.table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.concat(F.lit(" "), F.get_json_object("props", "$.k"), F.lit(" ")).alias("k"),
+        F.col("value").cast("string").alias("whole"),
+        F.concat(F.col("value").cast("string"), F.when(F.col("event_type") == "error", "d").otherwise("")).alias("amount"),
+        F.when(F.col("event_type") == "view", "on").when(F.col("event_type") == "click", "No")
+        .otherwise(F.col("event_type")).alias("flag"),
+    )
+    return _rules(validate(rows, spec))
+
+
+@query
+def constraint_ge(spark, sf_dir):
+    spec = TableSpec(
+        schema="raw", name="accounts",
+        columns=(Column("c_custkey", int, ge=0), Column("c_acctbal", float, ge=0)),
+        key=("c_custkey",),
+    )
+    return _rules(validate(R.table(spark, sf_dir, "customer"), spec)).where("broken <> ''")
+
+
+@query
+def constraint_required(spark, sf_dir):
+    spec = TableSpec(
+        schema="raw", name="segments",
+        columns=(Column("c_custkey", int), Column("segment", str), Column("absent", str | None)),
+        key=("c_custkey",),
+    )
+    rows = R.table(spark, sf_dir, "customer").withColumn(
+        "segment", F.nullif("c_mktsegment", F.lit("BUILDING"))
+    )
+    return _rules(validate(rows, spec)).where("broken <> ''")
+
+
+@query
+def blank_lines(spark, sf_dir):
+    lines = R.table(spark, sf_dir, "documents").select(
+        "doc_id", F.explode(F.split("text", "\n")).alias("line")
+    )
+    return lines.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count(blank_to_null(F.col("line"))).alias("n_text")
+    )
+
+
+# -- nested data ---------------------------------------------------------------------------
+
+
+@query
+def regex_id(spark, sf_dir):
+    ids = link_id(F.col("url"), r"/(\d+)")
+    return R.table(spark, sf_dir, "pages").select("page_id", ids.alias("id")).where("id IS NOT NULL")
+
+
+@query
+def release_dates(spark, sf_dir):
+    day = F.col("o_orderdate")
+    text = (
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.date_format(day, "MMM d, yyyy"))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.date_format(day, "d MMM, yyyy"))
+        .when(F.col("o_orderpriority") == "3-MEDIUM", F.date_format(day, "d MMMM, yyyy"))
+        .when(F.col("o_orderpriority") == "5-LOW", F.date_format(day, "MMMM d, yyyy"))
+        .otherwise(F.concat(F.lit("Q3 "), F.date_format(day, "yyyy")))
+    )
+    return R.table(spark, sf_dir, "orders").select(
+        "o_orderkey", release_date(text).alias("released")
+    )
+
+
+@query
+def json_field(spark, sf_dir):
+    props = F.try_parse_json("props")
+    return R.table(spark, sf_dir, "events").select(
+        "event_id",
+        flatten.variant_text(props, "$.k", "").alias("k"),
+        flatten.variant_text(props, "$.absent", "none").alias("absent"),
+    )
+
+
+@query
+def array_project(spark, sf_dir):
+    objects = F.transform(
+        F.split("p_name", " "),
+        lambda w, i: F.struct((i + 1).alias("id"), w.alias("description")),
+    )
+    rows = R.table(spark, sf_dir, "part").select("p_partkey", objects.alias("categories"))
+    return rows.select(
+        "p_partkey",
+        F.array_join(F.transform("categories", lambda c: c["id"].cast("string")), "|").alias("ids"),
+        F.array_join(F.transform("categories", lambda c: c["description"]), "|").alias("names"),
+    )
+
+
+@query
+def explode_two(spark, sf_dir):
+    """Line items nested two deep and flattened again; empty groups give no rows."""
+    sub = F.struct(
+        F.col("l_suppkey").alias("packageid"), F.col("l_returnflag").alias("option_text")
+    )
+    other = F.struct(
+        F.col("l_partkey").alias("packageid"), F.col("l_linestatus").alias("option_text")
+    )
+    groups = F.array(
+        F.struct(F.array(sub, other).alias("subs")),
+        F.struct(F.slice(F.array(sub), 1, 0).alias("subs")),
+    )
+    return (
+        R.table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", "l_linenumber", F.explode(groups).alias("g"))
+        .select("l_orderkey", "l_linenumber", F.explode("g.subs").alias("s"))
+        .select("l_orderkey", "l_linenumber", "s.packageid", "s.option_text")
+    )
+
+
+@query
+def flatten_cards(spark, sf_dir):
+    rows = flatten.card_rows(flatten.parse_cards(R.card_landing(spark, sf_dir)))
+    arrays = [c.name for c in CARDS.columns if c.is_array]
+    return _json_arrays(_rules(validate(rows, CARDS)), *arrays)
+
+
+@query
+def flatten_prices(spark, sf_dir):
+    rows = flatten.price_rows(flatten.parse_cards(R.card_landing(spark, sf_dir)))
+    return _rules(validate(rows, PRICES))
+
+
+@query
+def flatten_packages(spark, sf_dir):
+    rows = flatten.package_rows(flatten.parse_cards(R.card_landing(spark, sf_dir)))
+    return _rules(validate(rows, PACKAGES))
+
+
+@query
+def flatten_search(spark, sf_dir):
+    return flatten.search_rows(R.search_landing(spark, sf_dir))
+
+
+@query
+def flatten_keyed(spark, sf_dir):
+    return _rules(validate(flatten.keyed_rows(R.keyed_landing(spark, sf_dir), SNAPSHOTS), SNAPSHOTS))
+
+
+# -- page completeness ---------------------------------------------------------------------
+
+
+@query
+def page_coverage(spark, sf_dir):
+    landed = R.hour_pages(spark, sf_dir)
+    totals = landed.select("walk").distinct().withColumn("total_count", F.lit(72_000).cast("bigint"))
+    return missing_pages(landed, totals, ["walk"], page_rows=100)
+
+
+@query
+def empty_runs(spark, sf_dir):
+    empty = R.day_manifest(spark, sf_dir).where("rows = 0")
+    return islands(empty, ["walk"], "page", block=8)
+
+
+@query
+def page_truncation(spark, sf_dir):
+    return truncation(
+        R.day_manifest(spark, sf_dir), ["walk"], "page", "rows",
+        max_pages=30, stop_after_empty=3,
+    )
