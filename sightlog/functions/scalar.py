@@ -13,7 +13,8 @@ BLANKS = (
 )
 
 # The release-date spellings that parse; everything else is null.
-RELEASE_DATE_FORMATS = ("MMM d, yyyy", "d MMM, yyyy", "d MMMM, yyyy", "MMMM d, yyyy")
+MONTH_FIRST_FORMATS = ("MMM d, yyyy", "MMMM d, yyyy")
+DAY_FIRST_FORMATS = ("d MMM, yyyy", "d MMMM, yyyy")
 
 # Fixed value: where an entity id stands in an image link.
 LINK_ID_PATTERN = r"/apps/(\d+)/"
@@ -36,8 +37,22 @@ def link_id(c: Column, pattern: str = LINK_ID_PATTERN) -> Column:
 
 
 def release_date(c: Column) -> Column:
-    """Timestamp of the first spelling that fits, else null."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in RELEASE_DATE_FORMATS])
+    """Timestamp of the spelling that fits, else null.
+
+    Failed parses are dear, so only the spellings with the right first character are tried,
+    and only on text with a comma, which all of them have.
+    """
+
+    def any_of(formats: tuple[str, ...]) -> Column:
+        return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+
+    first = F.left(c, F.lit(1))
+    return F.when(
+        c.contains(","),
+        F.when(first.between("0", "9"), any_of(DAY_FIRST_FORMATS)).otherwise(
+            any_of(MONTH_FIRST_FORMATS)
+        ),
+    )
 
 
 def week_start(d: Column) -> Column:

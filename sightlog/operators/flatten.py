@@ -1,8 +1,8 @@
 """Nested landing payloads to flat rows.
 
-Payloads are read as VARIANT, which keeps apart what the rows must keep apart: a field that
-is missing takes its default, a field that is explicitly null stays null.  All values leave
-here as text; ``validate`` turns them into the declared types.
+Fields are read as VARIANT where the rows must keep two cases apart: a field that is missing
+takes its default, a field that is explicitly null stays null.  All values leave here as text;
+``validate`` turns them into the declared types.
 """
 
 from __future__ import annotations
@@ -23,110 +23,120 @@ def variant_text(source: Column, path: str, missing: str | None = None) -> Colum
     return F.when(F.variant_get(source, path, "variant").isNull(), F.lit(missing)).otherwise(text)
 
 
-def _objects(source: Column, path: str, fields: str) -> Column:
-    """Array of objects at ``path``; null unless the value there is an array."""
-    return F.try_variant_get(source, path, f"array<struct<{fields}>>")
+def _field_text(field: Column, missing: str) -> Column:
+    """Text of a VARIANT field of a parsed object."""
+    return F.when(field.isNull(), F.lit(missing)).otherwise(F.try_variant_get(field, "$", "string"))
+
+
+# One card response.  VARIANT fields are those whose missing and null forms differ in a row;
+# everything else is read as text or as the nested shape it must have (another shape is null).
+_CARD = """
+success: variant,
+data: struct<
+  name: variant, required_age: string, is_free: string, supported_languages: variant,
+  website: variant, pc_requirements: struct<minimum: variant>,
+  mac_requirements: struct<minimum: variant>, linux_requirements: struct<minimum: variant>,
+  developers: array<string>, publishers: array<string>,
+  categories: array<struct<id: string, description: string>>,
+  genres: array<struct<id: string, description: string>>,
+  release_date: struct<date: string>,
+  price_overview: struct<currency: string, initial: string, final: string, discount_percent: string>,
+  package_groups: array<struct<subs: array<struct<
+    packageid: string, option_text: variant, price_in_cents_with_discount: string>>>>>
+"""
+_PACKAGES = "array<struct<packageid:string,option_text:string,price:string>>"
+_NO_STRINGS = "array<string>"
+
 
+def _or_empty(array: Column, dtype: str) -> Column:
+    return F.coalesce(array, F.array().cast(dtype))
 
-def _strings(source: Column, path: str) -> Column:
-    return F.coalesce(F.try_variant_get(source, path, "array<string>"), F.array().cast("array<string>"))
+
+def _package(sub: Column) -> Column:
+    return F.struct(
+        sub["packageid"].alias("packageid"),
+        _field_text(sub["option_text"], "").alias("option_text"),
+        sub["price_in_cents_with_discount"].alias("price"),
+    )
 
 
 def parse_cards(landing: DataFrame, key: str = "appid", payload: str = "payload") -> DataFrame:
-    """One row per landed card response: card fields, ``price`` struct, ``packages`` array.
+    """One row per landed card response: card fields, ``prices`` and ``packages`` arrays.
 
-    A response that is absent, unreadable or lacks the key gives one failed card.
-    Parsing happens here once; ``cards``, ``prices`` and ``packages`` only select.
+    A response that is absent, unreadable or lacks the key gives one failed card; a failed
+    card has no prices and no packages.  Parsing happens here once; ``card_rows``,
+    ``price_rows`` and ``package_rows`` only select.
     """
-    entries = F.from_json(F.col(payload), "map<string,variant>")
+    entries = F.from_json(F.col(payload), f"map<string, struct<{_CARD}>>")
     entry = F.try_element_at(entries, F.col(key).cast("string"))
     carried = [c for c in landing.columns if c not in (key, payload)]
     opened = landing.select(F.col(key).alias("appid"), *carried, entry.alias(_ENTRY))
 
-    e = F.col(_ENTRY)
-    categories = F.coalesce(
-        _objects(e, "$.data.categories", "id:string,description:string"),
-        F.array().cast("array<struct<id:string,description:string>>"),
+    success = _field_text(F.col(f"{_ENTRY}.success"), "false")
+    data = F.col(f"{_ENTRY}.data")
+    name = _field_text(data["name"], "")
+    overview = data["price_overview"]
+    price = F.struct(
+        overview["currency"].alias("currency"),
+        overview["initial"].alias("price_initial"),
+        overview["final"].alias("price_final"),
+        overview["discount_percent"].alias("discount_percent"),
     )
-    genres = F.coalesce(
-        _objects(e, "$.data.genres", "id:string,description:string"),
-        F.array().cast("array<struct<id:string,description:string>>"),
-    )
-    subs = "subs:array<struct<packageid:string,option_text:variant,price_in_cents_with_discount:string>>"
-    groups = _objects(e, "$.data.package_groups", subs)
-    package_type = "array<struct<packageid:string,option_text:string,price:string>>"
-
-    def package(s: Column) -> Column:
-        option = s["option_text"]
-        return F.struct(
-            s["packageid"].alias("packageid"),
-            F.when(option.isNull(), F.lit("")).otherwise(
-                F.try_variant_get(option, "$", "string")
-            ).alias("option_text"),
-            s["price_in_cents_with_discount"].alias("price"),
-        )
-
     packages = F.flatten(
         F.transform(
-            groups,
-            lambda g: F.coalesce(F.transform(g["subs"], package), F.array().cast(package_type)),
+            data["package_groups"],
+            lambda g: _or_empty(F.transform(g["subs"], _package), _PACKAGES),
         )
     )
+    succeeded = success.isin("true", "1")
     return opened.select(
-        variant_text(e, "$.success", "false").alias("success"),
+        success.alias("success"),
         "appid",
-        variant_text(e, "$.data.name", "").alias("name"),
-        variant_text(e, "$.data.required_age").alias("required_age"),
-        variant_text(e, "$.data.is_free").alias("is_free"),
-        variant_text(e, "$.data.supported_languages", "").alias("supported_languages"),
-        variant_text(e, "$.data.website", "").alias("website"),
-        variant_text(e, "$.data.pc_requirements.minimum", "").alias("pc_requirements"),
-        variant_text(e, "$.data.mac_requirements.minimum", "").alias("mac_requirements"),
-        variant_text(e, "$.data.linux_requirements.minimum", "").alias("linux_requirements"),
-        _strings(e, "$.data.developers").alias("developers"),
-        _strings(e, "$.data.publishers").alias("publishers"),
-        F.transform(categories, lambda c: c["id"]).alias("categories_id"),
-        F.transform(categories, lambda c: c["description"]).alias("categories_description"),
-        F.transform(genres, lambda g: g["id"]).alias("genres_id"),
-        F.transform(genres, lambda g: g["description"]).alias("genres_description"),
-        release_date(variant_text(e, "$.data.release_date.date")).alias("release_date"),
-        F.struct(
-            variant_text(e, "$.data.price_overview.currency", "").alias("currency"),
-            variant_text(e, "$.data.price_overview.initial").alias("price_initial"),
-            variant_text(e, "$.data.price_overview.final").alias("price_final"),
-            variant_text(e, "$.data.price_overview.discount_percent").alias("discount_percent"),
-        ).alias("price"),
-        F.coalesce(packages, F.array().cast(package_type)).alias("packages"),
+        name.alias("name"),
+        data["required_age"].alias("required_age"),
+        data["is_free"].alias("is_free"),
+        _field_text(data["supported_languages"], "").alias("supported_languages"),
+        _field_text(data["website"], "").alias("website"),
+        _field_text(data["pc_requirements"]["minimum"], "").alias("pc_requirements"),
+        _field_text(data["mac_requirements"]["minimum"], "").alias("mac_requirements"),
+        _field_text(data["linux_requirements"]["minimum"], "").alias("linux_requirements"),
+        _or_empty(data["developers"], _NO_STRINGS).alias("developers"),
+        _or_empty(data["publishers"], _NO_STRINGS).alias("publishers"),
+        _or_empty(data["categories"]["id"], _NO_STRINGS).alias("categories_id"),
+        _or_empty(data["categories"]["description"], _NO_STRINGS).alias("categories_description"),
+        _or_empty(data["genres"]["id"], _NO_STRINGS).alias("genres_id"),
+        _or_empty(data["genres"]["description"], _NO_STRINGS).alias("genres_description"),
+        release_date(data["release_date"]["date"]).alias("release_date"),
+        F.when(succeeded, F.array(price)).alias("prices"),
+        F.when(succeeded, packages).alias("packages"),
         *carried,
     )
 
 
-def _succeeded(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("success") == "true")
-
-
 def card_rows(parsed: DataFrame) -> DataFrame:
     """A card for every response, failed ones included."""
-    return parsed.drop("price", "packages")
+    return parsed.drop("prices", "packages")
+
+
+def _exploded(parsed: DataFrame, array: str) -> DataFrame:
+    # The outer form plus a test on the element: for a plain explode Spark adds a test on the
+    # array, moves it below the projection and so parses the JSON twice.
+    return parsed.select("appid", "name", F.explode_outer(array).alias("e")).where("e IS NOT NULL")
 
 
 def price_rows(parsed: DataFrame) -> DataFrame:
     """A price row for every successful response; free entities have null prices."""
-    return _succeeded(parsed).select("appid", "name", "price.*")
+    return _exploded(parsed, "prices").select("appid", "name", "e.*")
 
 
 def package_rows(parsed: DataFrame) -> DataFrame:
     """A row per package of a successful response; none without packages."""
-    return (
-        _succeeded(parsed)
-        .select("appid", "name", F.explode("packages").alias("p"))
-        .select(
-            "appid",
-            F.col("p.packageid").alias("packageid"),
-            F.col("p.option_text").alias("package_option_text"),
-            F.col("p.price").alias("package_price_with_discount"),
-            "name",
-        )
+    return _exploded(parsed, "packages").select(
+        "appid",
+        F.col("e.packageid").alias("packageid"),
+        F.col("e.option_text").alias("package_option_text"),
+        F.col("e.price").alias("package_price_with_discount"),
+        "name",
     )
 
 

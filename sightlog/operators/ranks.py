@@ -2,7 +2,7 @@
 
 The input is always a frame of distinct values with their counts.  Values are cut into
 ranges holding about equally many distinct values, ranges are summed, and only the small
-range totals (at most ``RANGES`` per group) are put in one order.  Results are exact: the cut
+range totals (a fixed number per group) are put in one order.  Results are exact: the cut
 points decide how work is spread, never what comes out.
 """
 
@@ -13,45 +13,51 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 RANGES = 1024
-_ACCURACY = 4 * RANGES
+GROUP_RANGES = 64
 _BUCKET = "__bucket"
 _CUTS = "__cuts"
 
 
-def _bucket_of(value: Column, cuts: Column) -> Column:
+def _bucket_of(value: Column, cuts: Column, ranges: int) -> Column:
     """How many cut points lie below ``value``: binary search in a sorted array."""
     steps = []
-    step = RANGES // 2
+    step = ranges // 2
     while step:
         steps.append(step)
         step //= 2
-    return F.aggregate(
+    found = F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
         lambda at, s: at + F.when(value > F.get(cuts, at + s - 1), s).otherwise(0),
     )
+    # never null; saying so keeps Spark from testing it for null below the aggregation
+    return F.coalesce(found, F.lit(0))
 
 
 def into_ranges(
-    counts: DataFrame, value: str, by: Sequence[str], weight: str, few_groups: bool = False
+    counts: DataFrame, value: str, by: Sequence[str], weight: str, few_groups: bool = False,
+    ranges: int = RANGES,
 ) -> DataFrame:
-    """``counts`` with the range each distinct value falls in.
+    """``counts`` with the range each distinct value falls in; ``ranges`` is a power of two.
 
     ``few_groups`` states that ``by`` has a bounded number of groups (one per declared
     column), so their cut points can be broadcast; otherwise the join strategy is left to
     the measured size.
     """
-    fractions = [i / RANGES for i in range(1, RANGES)]
+    fractions = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
     # the always-true test on the weight keeps this branch on the same shuffle as the others
-    counted = F.when(F.col(weight) > 0, F.col(value))
     cuts = counts.groupBy(*by).agg(
-        F.percentile_approx(counted, fractions, _ACCURACY).alias(_CUTS)
+        F.expr(
+            f"percentile_approx(CASE WHEN {weight} > 0 THEN {value} END, "
+            f"array({fractions}), {4 * ranges})"
+        ).alias(_CUTS)
     )
     if by:
         with_cuts = counts.join(F.broadcast(cuts) if few_groups else cuts, list(by))
     else:
         with_cuts = counts.withColumn(_CUTS, cuts.select(_CUTS).scalar())
-    return with_cuts.withColumn(_BUCKET, _bucket_of(F.col(value), F.col(_CUTS))).drop(_CUTS)
+    bucket = _bucket_of(F.col(value), F.col(_CUTS), ranges)
+    return with_cuts.withColumn(_BUCKET, bucket).drop(_CUTS)
 
 
 def range_totals(ranged: DataFrame, by: Sequence[str], weight: str) -> DataFrame:
@@ -80,7 +86,10 @@ def exact_median(
         .agg(F.count(F.lit(1)).alias("rows"))
     )
     one_load = not by
-    ranged = into_ranges(counts, "value", group, "rows", few_groups=one_load)
+    ranged = into_ranges(
+        counts, "value", group, "rows", few_groups=one_load,
+        ranges=RANGES if one_load else GROUP_RANGES,
+    )
     totals = range_totals(ranged, group, "rows")
     total = F.sum("inside").over(Window.partitionBy(*group))
     low, high = F.expr("(total + 1) div 2"), F.expr("total div 2 + 1")

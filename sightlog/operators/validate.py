@@ -12,6 +12,7 @@ from sightlog.functions.scalar import blank_to_null, stripped
 from sightlog.specs import Column as SpecColumn, TableSpec
 
 VIOLATIONS = "violations"
+_RAW = "__raw_"
 
 # Accepted spellings of booleans.
 TRUE_WORDS = ("1", "on", "t", "true", "y", "yes")
@@ -32,13 +33,14 @@ def _from_text(text: Column, target: T.DataType) -> Column:
         return text
     word = stripped(text)
     if isinstance(target, T.LongType):
-        # "18.0" and "1_000" are whole numbers too
+        # "18.0" and "1_000" are whole numbers too; plain digits take the short way
         whole = F.regexp_replace(word, r"^([+-]?\d+)\.0+$", "$1")
         digits = F.regexp_replace(whole, r"(?<=\d)_(?=\d)", "")
-        return F.when(word.contains(".") | word.contains("_"), digits).otherwise(word).try_cast(target)
+        return F.coalesce(text.try_cast(target), digits.try_cast(target))
     if isinstance(target, T.DoubleType):
         # the cast alone would take type suffixes such as "1.5d"
-        suffixed = word.rlike("[0-9.][dDfF]$")
+        lowered = F.lower(word)
+        suffixed = F.right(lowered, F.lit(1)).isin("d", "f") & ~lowered.endswith("inf")
         return F.when(~suffixed, word.try_cast(target))
     if isinstance(target, T.BooleanType):
         lowered = F.lower(word)
@@ -63,16 +65,11 @@ def coerce(value: Column, source: T.DataType, target: T.DataType) -> Column:
     return value.try_cast(target)
 
 
-def _column_rules(c: SpecColumn, df: DataFrame) -> tuple[Column, list[Column]]:
-    """Typed value and the rules it may break, each as a label or null."""
-    if c.name not in df.columns:
-        missing = F.lit(None).cast(c.spark_type)
-        return missing, [F.lit(f"{c.name}:required")] if c.required else []
-    source = df.schema[c.name].dataType
-    raw = F.col(c.name)
-    if c.blank_to_null and isinstance(source, T.StringType):
-        raw = blank_to_null(raw)
-    typed = coerce(raw, source, c.spark_type)
+def _rules(c: SpecColumn, source: T.DataType | None) -> list[Column]:
+    """The rules column ``c`` may break, each as a label or null."""
+    typed, raw = F.col(c.name), F.col(_RAW + c.name)
+    if source is None:
+        return [F.lit(f"{c.name}:required")] if c.required else []
     rules = []
     if source != c.spark_type:
         rules.append(F.when(raw.isNotNull() & typed.isNull(), F.lit(f"{c.name}:type")))
@@ -82,21 +79,30 @@ def _column_rules(c: SpecColumn, df: DataFrame) -> tuple[Column, list[Column]]:
         rules.append(F.when(raw.isNull(), F.lit(f"{c.name}:required")))
     if c.ge is not None:
         rules.append(F.when(typed < F.lit(c.ge), F.lit(f"{c.name}:ge")))
-    return typed, rules
+    return rules
 
 
 def validate(df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataFrame:
     """Declared columns in declared types, ``keep`` columns, and the broken rules per row.
 
-    Columns that are neither declared nor kept are dropped.
+    Columns that are neither declared nor kept are dropped.  Types are converted in one
+    projection and judged in the next, so no value is converted twice.
     """
-    values, rules = [], []
+    sources = {f.name: f.dataType for f in df.schema.fields}
+    converted, rules = [], []
     for c in spec.columns:
-        typed, broken = _column_rules(c, df)
-        values.append(typed.alias(c.name))
-        rules.extend(broken)
+        source = sources.get(c.name)
+        if source is None:
+            converted.append(F.lit(None).cast(c.spark_type).alias(c.name))
+        else:
+            raw = F.col(c.name)
+            if c.blank_to_null and isinstance(source, T.StringType):
+                raw = blank_to_null(raw)
+            converted.append(coerce(raw, source, c.spark_type).alias(c.name))
+            converted.append(raw.alias(_RAW + c.name))
+        rules.extend(_rules(c, source))
     labels = F.array_compact(F.array(*rules)) if rules else F.array().cast("array<string>")
-    return df.select(*values, *keep, labels.alias(VIOLATIONS))
+    return df.select(*converted, *keep).select(*spec.payload, *keep, labels.alias(VIOLATIONS))
 
 
 def violation_counts(validated: DataFrame) -> DataFrame:

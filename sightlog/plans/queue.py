@@ -15,6 +15,10 @@ from pyspark.sql import DataFrame, functions as F
 from sightlog.functions.scalar import run_date_or_default, week_start
 from sightlog.operators.limits import latest_per_key, limit_by
 
+# ``appid`` is a required column.  Saying so on every input gives the joins below the same
+# scan to share: Spark adds this filter itself, but only on some sides of some joins.
+_KNOWN = "appid IS NOT NULL"
+
 NEW_LIMIT = 2000
 RETRY_LIMIT = 500
 SALE_GAP_DAYS = 5
@@ -28,7 +32,7 @@ def current_cards(
     A state that was seen, left and seen again keeps its first date, so "current" is the
     state that appeared last.
     """
-    return latest_per_key(cards, "appid", tie_breaker).select(
+    return latest_per_key(cards.where(_KNOWN), "appid", tie_breaker).select(
         "appid", "success", "release_date", "last_update"
     )
 
@@ -45,7 +49,7 @@ def latest_sales(
     sales: DataFrame, tie_breaker: Sequence[str] = ("row_hash",), n: int = 2
 ) -> DataFrame:
     """Latest ``n`` sale observations per entity: (appid, last_upd)."""
-    return limit_by(sales, n, ["appid"], [F.desc("last_update")], tie_breaker).select(
+    return limit_by(sales.where(_KNOWN), n, ["appid"], [F.desc("last_update")], tie_breaker).select(
         "appid", F.to_date("last_update").alias("last_upd")
     )
 
@@ -86,6 +90,7 @@ def never_fetched(
     A renamed entity has several catalog rows and may repeat; ``distinct_ids`` keeps its
     newest row only.
     """
+    catalog = catalog.where(_KNOWN)
     if distinct_ids:
         catalog = latest_per_key(catalog, "appid", tie_breaker)
     return (
