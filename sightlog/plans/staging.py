@@ -29,7 +29,7 @@ def staging_view(
 
 def staging_views(warehouse: Warehouse, specs: Sequence[TableSpec] = RAW_TABLES) -> dict[str, DataFrame]:
     """Staging views over the raw tables of a catalog, by table name."""
-    return {s.name: staging_view(warehouse.spark.table(s.full_name), s) for s in specs}
+    return {s.name: staging_view(warehouse.read(s), s) for s in specs}
 
 
 def register(views: dict[str, DataFrame], prefix: str = "stg_") -> None:

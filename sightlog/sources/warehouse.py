@@ -53,7 +53,12 @@ class Warehouse:
     def read(
         self, spec: TableSpec, since: date | None = None, until: date | None = None
     ) -> DataFrame:
-        """Table rows; a date range also prunes the month partitions."""
+        """Table rows; a date range also prunes the month partitions.
+
+        The file list is refreshed first: another session, such as that of a stream, may
+        have appended since this one last looked.
+        """
+        self.spark.catalog.refreshTable(spec.full_name)
         df = self.spark.table(spec.full_name)
         if since is not None:
             df = df.where(
@@ -121,7 +126,7 @@ class Warehouse:
         Range partitioning on (month, key) gives balanced files that cover narrow key
         ranges; only the partitions written are replaced.
         """
-        df = self.spark.table(spec.full_name)
+        df = self.read(spec)
         columns = df.columns
         if months is not None:
             df = df.where(F.col("load_month").isin(list(months)))

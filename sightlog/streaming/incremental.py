@@ -41,16 +41,17 @@ def run_available(
     return query
 
 
-def append_new(
-    warehouse: Warehouse, spec: TableSpec
-) -> Callable[[DataFrame, int], None]:
+def append_new(spec: TableSpec) -> Callable[[DataFrame, int], None]:
     """Micro-batch loader for payload rows stamped with ``last_update``.
 
     A batch that is replayed after a failure finds its states already stored and adds none.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        warehouse = Warehouse(batch.sparkSession)
         rows = with_audit(batch, spec)
-        warehouse.append(spec, unseen(rows, warehouse.read(spec), spec))
+        # one value per month in the batch; only those partitions of the table are read
+        months = [r[0] for r in rows.select("load_month").distinct().collect()]
+        warehouse.append(spec, unseen(rows, warehouse.read(spec), spec, months))
 
     return load
