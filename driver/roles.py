@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 from datetime import date, datetime
 
@@ -10,8 +11,9 @@ from pyspark.sql import Column as SparkColumn, DataFrame, SparkSession, function
 from sightlog.functions.hashing import with_audit
 from sightlog.operators.quality import measure
 from sightlog.plans.staging import staging_view
-from sightlog.session import use_utc
+from sightlog.session import shared_dir, use_utc
 from sightlog.sources.landing import read_table_file
+from sightlog.sources.warehouse import Warehouse
 from sightlog.specs import Check, Column, TableSpec
 from sightlog.tables import CARDS, CATALOG, PACKAGES, PRICES, SALE_LOG, SNAPSHOTS, STATE_KEY
 
@@ -61,6 +63,19 @@ def cents(c: SparkColumn) -> SparkColumn:
     return F.floor(c * 100 + 0.5).cast("bigint")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder under the shared one, for queries that store what they load."""
+    return f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+
+
+def scratch_table(spark: SparkSession, *specs: TableSpec) -> tuple[Warehouse, list[TableSpec]]:
+    """Empty tables in a database of their own."""
+    warehouse = Warehouse(spark, scratch(spark))
+    moved = [replace(s, schema=f"run_{uuid.uuid4().hex[:12]}") for s in specs]
+    warehouse.deploy(moved)
+    return warehouse, moved
+
+
 def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("appid"),

@@ -14,19 +14,25 @@ from sightlog.operators.compaction import add_column, compact, idempotent_append
 from sightlog.operators.limits import with_global_max
 from sightlog.operators.pages import islands, missing_pages, truncation
 from sightlog.operators.quality import (
+    CheckError,
+    TableTest,
     collect_metrics,
     compare_series,
     freshness,
     measure,
     not_null,
     previous_metrics,
+    run_tests,
 )
 from sightlog.operators.ranks import split_batches
 from sightlog.operators.validate import VIOLATIONS, validate
 from sightlog.plans import queue as Q
+from sightlog.plans.load import gated_load
 from sightlog.plans.staging import staging_view
+from sightlog.sources import staged
 from sightlog.specs import Column, TableSpec
-from sightlog.tables import CARDS, PACKAGES, PRICES, SALE_LOG, SNAPSHOTS
+from sightlog.streaming.incremental import append_new, new_files, run_available
+from sightlog.tables import CARDS, CATALOG, METRICS, PACKAGES, PRICES, SALE_LOG, SNAPSHOTS
 
 QUERIES = {}
 
@@ -487,3 +493,81 @@ def page_truncation(spark, sf_dir):
         R.day_manifest(spark, sf_dir), ["walk"], "page", "rows",
         max_pages=30, stop_after_empty=3,
     )
+
+
+# -- queries that store what they load -----------------------------------------------------
+
+
+@query
+def fan_out_load(spark, sf_dir):
+    """Card responses staged as three tables; rows that break rules set aside."""
+    base = R.scratch(spark)
+    staged.fan_out(R.card_landing(spark, sf_dir), f"{base}/run", quarantine=f"{base}/aside")
+    out = None
+    for spec, _ in staged.CARD_STREAMS:
+        good = staged.read_staged(spark, spec, f"{base}/run/{spec.name}").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum("appid").alias("id_sum")
+        )
+        part = good.select(F.lit(spec.name).alias("table_name"), "n_rows", "id_sum")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def gated_loads(spark, sf_dir):
+    """One load per order year through the gate; a load that drifts too far is not stored."""
+    warehouse, (catalog, metrics) = R.scratch_table(spark, CATALOG, METRICS)
+    base = R.scratch(spark)
+    orders = R.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("appid"), F.col("o_orderpriority").alias("name"),
+        F.year("o_orderdate").alias("year"),
+    )
+    for year in range(1995, 2002):
+        path, at = f"{base}/{year}", datetime(year, 12, 31, 0, 30)
+        staged.stage(orders.where(F.col("year") == year), catalog, path)
+        try:
+            gated_load(warehouse, catalog, path, at, "yearly", now=at, metrics_spec=metrics)
+        except CheckError:
+            continue
+    stored = warehouse.read(catalog).groupBy("last_update").agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+    recorded = warehouse.read(metrics).select("last_update", "metrics_name", "metrics_value")
+    return stored.join(recorded, "last_update", "left")
+
+
+@query
+def incremental_load(spark, sf_dir):
+    """Events read as a stream of files into a table of daily states."""
+    warehouse, (daily,) = R.scratch_table(spark, R.SALE_LOG_MD5)
+    R.use_utc(spark)
+    stream = new_files(
+        spark, sf_dir, "user_id bigint, event_type string, ts timestamp_ntz", "parquet",
+        pathGlobFilter="events.parquet",
+    ).select(
+        F.col("user_id").alias("appid"), F.col("event_type").alias("name"),
+        F.col("ts").cast("timestamp").alias("last_update"),
+    )
+    run_available(stream, append_new(daily), f"{R.scratch(spark)}/checkpoint")
+    return staging_view(warehouse.read(daily), daily)
+
+
+@query
+def stored_failures(spark, sf_dir):
+    """Table tests with their failing rows kept; the outcomes."""
+    customers = R.table(spark, sf_dir, "customer").select(
+        "c_custkey", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment")
+    )
+    events = R.table(spark, sf_dir, "events").withColumnRenamed("ts", "last_update")
+    outcomes = run_tests(
+        [
+            TableTest("id_not_null", not_null(customers, "c_custkey"), "error"),
+            TableTest("segment_not_null", not_null(customers, "segment")),
+            TableTest("events_fresh", freshness(events, date(2024, 2, 5)), "error"),
+        ],
+        R.scratch(spark),
+    )
+    return spark.createDataFrame(
+        [(o.name, o.status, o.failures) for o in outcomes],
+        "test_name string, status string, failures bigint",
+    )

@@ -7,8 +7,8 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sightlog.functions.hashing import load_month
-from sightlog.operators.limits import limit_by
+from sightlog.functions.hashing import load_month, version
+from sightlog.operators.limits import first_seen, limit_by
 from sightlog.specs import TableSpec
 
 
@@ -16,18 +16,26 @@ def _with_month(df: DataFrame) -> DataFrame:
     return df if "load_month" in df.columns else df.withColumn("load_month", load_month())
 
 
-def _tie_columns(df: DataFrame, spec: TableSpec) -> list[str]:
-    """Columns in which two sightings of a state at the same instant can still differ."""
-    loose = [c for c in df.columns if c in spec.payload and c not in spec.hash_columns]
-    return loose or ["row_hash"]
+def _late_columns(df: DataFrame, spec: TableSpec) -> list[str]:
+    """Payload columns in which two sightings of one state can differ."""
+    return [c for c in df.columns if c in spec.payload and c not in spec.hash_columns]
 
 
 def compact(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """One row per (month, key): the earliest sighting."""
+    """One row per (month, key): the earliest sighting.
+
+    Where the state fixes the whole payload this is a hash aggregate; only tables with late
+    columns need rows to be ranked.
+    """
     dated = _with_month(df)
-    return limit_by(
-        dated, 1, ["load_month", *spec.key], ["last_update"], _tie_columns(dated, spec)
-    ).select(*df.columns)
+    keys = ["load_month", *spec.key]
+    late = _late_columns(dated, spec)
+    if late:
+        kept = limit_by(dated, 1, keys, ["last_update"], late)
+    else:
+        fixed = [c for c in dated.columns if c not in ("last_update", "ver")]
+        kept = first_seen(dated, keys, fixed).withColumn("ver", version())
+    return kept.select(*df.columns)
 
 
 def unseen(
@@ -54,7 +62,9 @@ def unseen(
     known = known.select(*keyed()).distinct()
     dated = _with_month(batch)
     dated = dated.select("*", *keyed())
-    fresh = limit_by(dated, 1, names, ["last_update"], _tie_columns(dated, spec))
+    # ranked on the join keys, so the join below needs no second shuffle
+    late = _late_columns(dated, spec) or ["row_hash"]
+    fresh = limit_by(dated, 1, names, ["last_update"], late)
     return fresh.join(known, names, "left_anti").select(*batch.columns)
 
 

@@ -93,9 +93,11 @@ def never_fetched(
     catalog = catalog.where(_KNOWN)
     if distinct_ids:
         catalog = latest_per_key(catalog, "appid", tie_breaker)
+    # One anti join for both tests, with bare shuffles on both sides: the form in which Spark
+    # splits the partition of an entity that holds very many catalog rows.
+    known = current.select("appid").unionByName(sales_latest.select("appid"))
     return (
-        catalog.join(current.select("appid"), "appid", "left_anti")
-        .join(sales_latest.select("appid").distinct(), "appid", "left_anti")
+        catalog.join(known, "appid", "left_anti")
         .orderBy(F.desc("last_update"), "appid", *tie_breaker)
         .limit(limit)
         .select("appid")

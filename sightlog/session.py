@@ -20,6 +20,8 @@ def build_session(app: str = "sightlog", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # per-entity limits up to the queue's size are applied before the shuffle
+        "spark.sql.optimizer.windowGroupLimitThreshold": "5000",
         **conf,
     }
     for key, value in settings.items():

@@ -78,9 +78,12 @@ def fan_out(
     landing: DataFrame,
     run_dir: str,
     streams: Sequence[tuple[TableSpec, Callable[[DataFrame], DataFrame]]] = CARD_STREAMS,
+    quarantine: str | None = None,
 ) -> dict[str, str]:
     """Stage one landing frame as several tables; returns the directory per table.
 
+    With ``quarantine`` rows that break rules go to a directory per table there.
+
     The JSON is parsed once into a Parquet copy in the run directory (not a cache, which a
     lost executor would take with it); each table then reads only its own columns of it.
     """
@@ -92,7 +95,8 @@ def fan_out(
     staged = {}
     for spec, rows in streams:
         staged[spec.name] = f"{run_dir}/{spec.name}"
-        stage(rows(written), spec, staged[spec.name])
+        aside = f"{quarantine}/{spec.name}" if quarantine else None
+        stage(rows(written), spec, staged[spec.name], aside)
     remove(spark, parsed_dir)
     return staged
 

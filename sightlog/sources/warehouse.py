@@ -25,10 +25,14 @@ def schema_name(custom: str | None, default: str) -> str:
 
 
 class Warehouse:
-    """Table operations of one session's catalog."""
+    """Table operations of one session's catalog.
 
-    def __init__(self, spark: SparkSession):
+    ``location`` puts new databases under that folder instead of the warehouse directory.
+    """
+
+    def __init__(self, spark: SparkSession, location: str | None = None):
         self.spark = spark
+        self.location = location
 
     def execute(self, statement: str) -> None:
         self.spark.sql(statement)
@@ -39,7 +43,8 @@ class Warehouse:
 
     def create_databases(self, names: Sequence[str]) -> None:
         for name in names:
-            self.execute(f"CREATE DATABASE IF NOT EXISTS {name}")
+            where = f" LOCATION '{self.location}/{name}'" if self.location else ""
+            self.execute(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
     def deploy(self, specs: Sequence[TableSpec]) -> None:
         """Create the table of every declaration that has none yet."""
