@@ -44,8 +44,8 @@ LINEITEM_CHECK = Check(median_columns=("l_quantity", "l_extendedprice", "l_disco
 EVENT_CHECK = Check(median_columns=("value",))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table_file(use_utc(spark), sf_dir, name)
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    return read_table_file(use_utc(spark), sf_dir, name, spread)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -288,7 +288,7 @@ def card_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(priority == "2-HIGH", F.lit("{bad"))
         .otherwise(F.to_json(failed))
     )
-    return table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders", spread=True).select(
         F.col("o_orderkey").alias("appid"), payload.alias("payload")
     )
 

@@ -329,7 +329,7 @@ def coerce_types(spark, sf_dir):
         ),
         key=("event_id",),
     )
-    rows = R.table(spark, sf_dir, "events").select(
+    rows = R.table(spark, sf_dir, "events", spread=True).select(
         F.col("event_id").cast("string").alias("event_id"),
         F.concat(F.lit(" "), F.get_json_object("props", "$.k"), F.lit(" ")).alias("k"),
         F.col("value").cast("string").alias("whole"),

@@ -18,6 +18,15 @@ def total_count(landing: DataFrame, payload: str = "payload") -> DataFrame:
     return landing.withColumn("total_count", usable)
 
 
+def require_totals(landing: DataFrame, payload: str = "payload") -> DataFrame:
+    """Landed pages with their totals; a page without a usable total is an error."""
+    pages = total_count(landing, payload)
+    bad = pages.where(F.col("total_count").isNull()).count()
+    if bad:
+        raise PageError(f"{bad} landed pages announce no usable total_count")
+    return pages
+
+
 def missing_pages(
     landed: DataFrame, totals: DataFrame, keys: Sequence[str], page_rows: int, block: int = 10_000
 ) -> DataFrame:

@@ -20,13 +20,37 @@ def read_payload_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_table_file(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """One Parquet table of a folder.
+# Below this many input bytes per core a Parquet input has too few row groups to use them all.
+SMALL_INPUT_PER_CORE = 4 * 1024 * 1024
+
+
+def spread_small(df: DataFrame, path: str) -> DataFrame:
+    """Spread a small input over all cores, for work that costs far more than reading.
+
+    A Parquet row group is read by one task, so parsing a file of one row group would use one
+    core.  Inputs past the size limit have splits enough and are left alone: nothing large is
+    ever shuffled here.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    small = fs.getContentSummary(jvm_path).getLength() < cores * SMALL_INPUT_PER_CORE
+    return df.repartition(cores) if small else df
+
+
+def read_table_file(
+    spark: SparkSession, folder: str, table: str, spread: bool = False
+) -> DataFrame:
+    """One Parquet table of a folder; ``spread`` it over all cores if it is small.
 
     Files written without a time zone read as UTC timestamps, so a date never depends on the
     machine's zone.
     """
-    df = spark.read.parquet(f"{folder}/{table}.parquet")
+    path = f"{folder}/{table}.parquet"
+    df = spark.read.parquet(path)
+    if spread:
+        df = spread_small(df, path)
     return df.select(
         *[
             F.col(f.name).cast("timestamp").alias(f.name)

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sightlog.functions.hashing import with_audit
 from sightlog.operators.compaction import compact, unseen
-from sightlog.operators.quality import not_null
 from sightlog.sources import staged
 from sightlog.sources.staged import StageError
 from sightlog.specs import TableSpec
@@ -169,9 +168,6 @@ class Warehouse:
             rows, "column_name string, expected string, actual string"
         )
 
-    def null_failures(self, spec: TableSpec, columns: Sequence[str]) -> dict[str, DataFrame]:
-        return {c: not_null(self.read(spec), c) for c in columns}
-
 
 def _literal(value: object) -> str:
     if isinstance(value, str):

@@ -2,7 +2,14 @@ import random
 
 import pytest
 
-from sightlog.operators.pages import islands, missing_pages, total_count, truncation
+from sightlog.operators.pages import (
+    PageError,
+    islands,
+    missing_pages,
+    require_totals,
+    total_count,
+    truncation,
+)
 
 
 def test_total_count(rows):
@@ -10,6 +17,9 @@ def test_total_count(rows):
                (4, "{}"), (5, None), (6, "{bad"), (7, '{"total_count": 0}')], "id int, payload string")
     got = {r["id"]: r["total_count"] for r in total_count(df).collect()}
     assert got == {1: 250, 2: None, 3: None, 4: None, 5: None, 6: None, 7: 0}
+    with pytest.raises(PageError, match="^5 "):
+        require_totals(df)
+    assert require_totals(df.where("id in (1, 7)")).count() == 2
 
 
 @pytest.mark.parametrize("block", [1, 2, 10_000])
