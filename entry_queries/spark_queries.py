@@ -1,4 +1,4 @@
-"""One query per operator over the driver tables."""
+"""One query per operator over the given tables."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driver import roles as R
+from entry_queries import roles as R
 from sightlog.functions.hashing import row_hash, version
 from sightlog.functions.scalar import blank_to_null, link_id, release_date, week_start
 from sightlog.operators import flatten

@@ -9,6 +9,7 @@ from sightlog.specs import Check, Column, TableSpec
 STATE_KEY = ("appid", "row_hash")
 DAILY_KEY = ("to_date(last_update)", "appid", "row_hash")
 
+# The databases of the warehouse.
 DATABASES = ("meta", "raw", "raw_dq", "staging", "dbt_dq", "core", "marts")
 
 CATALOG = TableSpec(
