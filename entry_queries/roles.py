@@ -9,6 +9,7 @@ from datetime import date, datetime
 from pyspark.sql import Column as SparkColumn, DataFrame, SparkSession, functions as F, types as T
 
 from sightlog.functions.hashing import with_audit
+from sightlog.functions.scalar import instant
 from sightlog.operators.quality import measure
 from sightlog.plans.staging import staging_view
 from sightlog.session import shared_dir, use_utc
@@ -330,7 +331,7 @@ def keyed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hour_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event hours as landed pages of one walk per user, 100 rows a page."""
     hour = F.floor(
-        (F.unix_timestamp("ts") - F.unix_timestamp(F.lit(datetime(2024, 1, 1)))) / 3600
+        (F.unix_timestamp("ts") - F.unix_timestamp(instant(datetime(2024, 1, 1)))) / 3600
     ).cast("bigint")
     return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("walk"), (hour * 100).alias("offset")

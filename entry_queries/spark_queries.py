@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from entry_queries import roles as R
 from sightlog.functions.hashing import row_hash, version
-from sightlog.functions.scalar import blank_to_null, link_id, release_date, week_start
+from sightlog.functions.scalar import blank_to_null, instant, link_id, release_date, week_start
 from sightlog.operators import flatten
 from sightlog.operators.compaction import add_column, compact, idempotent_append
 from sightlog.operators.limits import with_global_max
@@ -241,7 +241,7 @@ def added_column(spark, sf_dir):
     rows = R.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_shipdate", F.col("l_returnflag").alias("name")
     )
-    cut = F.lit(datetime(1998, 1, 1))
+    cut = instant(datetime(1998, 1, 1))
     return add_column(
         rows.where(F.col("l_shipdate") < cut).drop("name"),
         rows.where(F.col("l_shipdate") >= cut),

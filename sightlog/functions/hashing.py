@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from sightlog.functions.scalar import instant
 from sightlog.specs import TableSpec
 
 NULL_MARK = "\\N"
@@ -55,7 +56,7 @@ def load_month(at: str = "last_update") -> Column:
 
 def load_time(now: datetime | None = None) -> Column:
     """Load stamp in whole seconds; pass ``now`` to make a load repeatable."""
-    stamp = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    stamp = F.current_timestamp() if now is None else instant(now)
     return F.date_trunc("second", stamp)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, functions as F
 
@@ -22,6 +22,11 @@ LINK_ID_PATTERN = r"/apps/(\d+)/"
 DEFAULT_RUN_DATE = date(2026, 1, 1)
 
 
+def instant(moment: datetime) -> Column:
+    """Timestamp literal; a moment without a zone is UTC, whatever zone the driver runs in."""
+    return F.lit(moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc))
+
+
 def stripped(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 

@@ -8,7 +8,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sightlog.functions.scalar import days_apart, relative_drift
+from sightlog.functions.scalar import days_apart, instant, relative_drift
 from sightlog.operators.ranks import exact_median
 from sightlog.specs import Check, TableSpec
 
@@ -62,7 +62,7 @@ def collect_metrics(
         F.lit(spec.schema).alias("schema_name"),
         F.lit(spec.name).alias("table_name"),
         "metrics_name", "agg_type", "metrics_value",
-        F.lit(at).cast("timestamp").alias("last_update"),
+        instant(at).alias("last_update"),
     )
 
 
@@ -73,7 +73,7 @@ def previous_metrics(
 
     "Latest" compares full timestamps, so a load stamped at any time of day is found.
     """
-    at = at if isinstance(at, Column) else F.lit(at).cast("timestamp")
+    at = at if isinstance(at, Column) else instant(at)
     same = history.where(
         (F.col("dag_id") == load)
         & (F.col("schema_name") == spec.schema)

@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
+from sightlog.functions.scalar import instant
 from sightlog.operators.quality import (
     collect_metrics,
     compare_metrics,
@@ -30,12 +31,12 @@ def check_load(
     Only the metric rows, one per declared metric, come to the driver.
     """
     spark = warehouse.spark
-    measured = collect_metrics(rows, spec, spec.check, at, load).collect()
+    measured = collect_metrics(rows, spec, spec.check, at, load).drop("last_update").collect()
     metrics = spark.createDataFrame(
         measured,
         "dag_id string, schema_name string, table_name string, metrics_name string, "
-        "agg_type string, metrics_value double, last_update timestamp",
-    )
+        "agg_type string, metrics_value double",
+    ).withColumn("last_update", instant(at))
     previous = previous_metrics(warehouse.read(metrics_spec), spec, spec.check, at, load)
     compared = compare_metrics(metrics, previous, spec.check).collect()
     for row in compared:

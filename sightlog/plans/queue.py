@@ -12,7 +12,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from sightlog.functions.scalar import run_date_or_default, week_start
+from sightlog.functions.scalar import instant, run_date_or_default, week_start
 from sightlog.operators.limits import latest_per_key, limit_by
 
 # ``appid`` is a required column.  Saying so on every input gives the joins below the same
@@ -113,7 +113,7 @@ def retry_failed(
     The calendar test is a literal, so on other days the arm folds to an empty relation.
     """
     day = F.lit(run_date)
-    today = F.to_date(F.current_timestamp() if now is None else F.lit(now).cast("timestamp"))
+    today = F.to_date(F.current_timestamp() if now is None else instant(now))
     newest = newest_load(current).scalar()
     return (
         current.where(day == week_start(day))

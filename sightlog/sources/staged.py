@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sightlog.operators import flatten
 from sightlog.operators.validate import (
-    VIOLATIONS,
     ValidationError,
+    split_valid,
     validate,
     violation_counts,
 )
@@ -46,24 +46,28 @@ def remove(spark: SparkSession, path: str) -> None:
 def stage(df: DataFrame, spec: TableSpec, path: str, quarantine: str | None = None) -> None:
     """Validate rows and write the typed payload to ``path``.
 
-    Rows are parsed and checked once: they are written next to the rules they break, and the
-    count of broken rules is read back from that one column.  A broken rule stops the load;
-    with ``quarantine`` the rows at fault go there instead.
+    Rows are parsed, checked and written once, next to the rules they break; the count of
+    broken rules is read back from that one column, and readers of the stage leave it out.
+    A broken rule stops the load; with ``quarantine`` the rows at fault go there instead.
     """
     spark = df.sparkSession
-    checked = f"{path}__checked"
     validated = validate(df, spec)
-    validated.write.mode("overwrite").parquet(checked)
-    written = spark.read.schema(validated.schema).parquet(checked)
+    validated.write.mode("overwrite").parquet(path)
+    written = spark.read.schema(validated.schema).parquet(path)
     counts = {r["rule"]: r["rows"] for r in violation_counts(written).collect()}
-    if counts and quarantine is None:
-        remove(spark, checked)
+    if not counts:
+        return
+    if quarantine is None:
+        remove(spark, path)
         raise ValidationError(spec.full_name, counts)
-    if counts:
-        written.where(f"size({VIOLATIONS}) > 0").write.mode("append").parquet(quarantine)
-        logger.warning("%s: rows quarantined by rule: %s", spec.full_name, counts)
-    written.where(f"size({VIOLATIONS}) = 0").drop(VIOLATIONS).write.mode("overwrite").parquet(path)
-    remove(spark, checked)
+    logger.warning("%s: rows quarantined by rule: %s", spec.full_name, counts)
+    valid, broken = split_valid(written)
+    broken.write.mode("append").parquet(quarantine)
+    kept = f"{path}__kept"
+    valid.write.mode("overwrite").parquet(kept)
+    remove(spark, path)
+    fs, kept_path = _path(spark, kept)
+    fs.rename(kept_path, _path(spark, path)[1])
 
 
 # Which rows of a parsed card response go to which table.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -96,10 +96,17 @@ class Warehouse:
         self, spec: TableSpec, df: DataFrame, now: datetime | None = None,
         skip_known: bool = False,
     ) -> None:
-        """Audit and append payload rows; ``skip_known`` leaves out states already stored."""
+        """Audit and append payload rows; ``skip_known`` leaves out states already stored.
+
+        Rows without a ``last_update`` get one load time, fixed here, so the table needs to
+        be searched in one month only.
+        """
+        stamped = "last_update" in df.columns
+        if not stamped and now is None:
+            now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
         rows = with_audit(df, spec, now)
         if skip_known:
-            months = None if now is None else [date(now.year, now.month, 1)]
+            months = None if stamped else [date(now.year, now.month, 1)]
             rows = unseen(rows, self.read(spec), spec, months)
         self.append(spec, rows)
 

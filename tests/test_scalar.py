@@ -1,4 +1,5 @@
-from datetime import date, datetime
+import time
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,3 +67,18 @@ def test_dates_and_stamps(spark):
     assert one(spark, S.run_stamp(F.lit(datetime(2024, 1, 2, 3, 4, 5, 678901)).cast("timestamp"))) == "2024-01-02 03:04:05.678"
     assert S.run_date_or_default(None) == date(2026, 1, 1)
     assert S.run_date_or_default(date(2024, 2, 2)) == date(2024, 2, 2)
+
+
+def test_moments_do_not_depend_on_the_local_zone(spark, monkeypatch):
+    zoned = datetime(2024, 1, 2, 3, tzinfo=timezone(timedelta(hours=2)))
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        got = [
+            one(spark, F.date_format(S.instant(m), "yyyy-MM-dd HH"))
+            for m in (datetime(2024, 1, 2, 3), zoned)
+        ]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert got == ["2024-01-02 03", "2024-01-02 01"]
