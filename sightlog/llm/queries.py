@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sightlog.llm import decontaminate, langid, mixing, secrets as secret_scan, simhash
+from sightlog.llm import decontaminate, langid, mixing, secrets as secret_scan, simhash, substring
 from sightlog.llm.common import read
 
 
@@ -19,6 +19,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.removed_repeats(read(spark, sf_dir, "documents", "doc_id", "text"), digest=True)
+    return kept.withColumnRenamed("kept", "kept_sha256")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents", "doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -54,6 +59,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op3_substring": op3_substring,
     "op4_mixing": op4_mixing,
     "op5_language_id": op5_language_id,
     "op8_decontamination": op8_decontamination,
