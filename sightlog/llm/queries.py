@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sightlog.llm import decontaminate, langid, mixing, secrets as secret_scan, simhash, substring
+from sightlog.llm import decontaminate, divergence, langid, mixing, secrets as secret_scan, simhash, substring
 from sightlog.llm.common import read
 
 
@@ -19,6 +19,14 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = divergence.judge(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "class_distance", "word_distance",
+    )
+
+
 def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring.removed_repeats(read(spark, sf_dir, "documents", "doc_id", "text"), digest=True)
     return kept.withColumnRenamed("kept", "kept_sha256")
@@ -59,6 +67,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_quality": op2_quality,
     "op3_substring": op3_substring,
     "op4_mixing": op4_mixing,
     "op5_language_id": op5_language_id,
