@@ -42,7 +42,7 @@ SYMBOLS = b"#*$%&|<>"
 
 #: Largest distances, and what a text needs for each to be judged.
 MAX_CLASS_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.80
+MAX_WORD_DISTANCE = 0.50
 MIN_CHARS_JUDGED = 300
 MIN_WORDS_JUDGED = 100
 
