@@ -56,6 +56,11 @@ def word_count(text: Column) -> Column:
     return F.when(text == "", 0).otherwise(F.size(parts) - ends).cast("bigint")
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, also where ``use`` refers to it in a lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Parts of a batch with about ``limit`` characters each, one row at least, with their texts."""
     texts = batch.column(column).to_pylist()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sightlog.llm import decontaminate, divergence, langid, mixing, secrets as secret_scan, simhash, substring
+from sightlog.llm import decontaminate, divergence, langid, licenses, mixing, quotes, secrets as secret_scan, simhash, substring
 from sightlog.llm.common import read
 
 
@@ -44,6 +44,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", (~learnable).alias("held_out"), "lang_pred", "score")
 
 
+def op6_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.linked(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     found = decontaminate.hits(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -58,6 +62,15 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.licenses(read(spark, sf_dir, "documents", "doc_id", "text"))
+    names = F.array_sort(F.array_distinct(F.transform("findings", lambda f: f["name"])))
+    return found.select(
+        "doc_id", F.size("findings").cast("bigint").alias("n_windows"), F.array_join(names, ",").alias("licenses"),
+        F.coalesce(F.array_max(F.transform("findings", lambda f: f["share"])), F.lit(0.0)).alias("share"),
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select(
@@ -71,7 +84,9 @@ QUERIES = {
     "op3_substring": op3_substring,
     "op4_mixing": op4_mixing,
     "op5_language_id": op5_language_id,
+    "op6_quotes": op6_quotes,
     "op8_decontamination": op8_decontamination,
+    "op9_licenses": op9_licenses,
     "op10_simhash": op10_simhash,
 }
 
