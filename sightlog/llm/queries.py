@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sightlog.llm import decontaminate, divergence, langid, licenses, mixing, quotes, secrets as secret_scan, simhash, substring
+from sightlog.llm import decontaminate, divergence, kneser_ney, langid, licenses, mixing, quotes, secrets as secret_scan, simhash, substring
 from sightlog.llm.common import read
 
 
@@ -48,6 +48,13 @@ def op6_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.linked(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
 
+def op7_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(
+        read(spark, sf_dir, "documents", "doc_id", "text", "lang"),
+        read(spark, sf_dir, "labels", "doc_id", "quality", "toxic"),
+    )
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     found = decontaminate.hits(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -85,6 +92,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_language_id": op5_language_id,
     "op6_quotes": op6_quotes,
+    "op7_perplexity": op7_perplexity,
     "op8_decontamination": op8_decontamination,
     "op9_licenses": op9_licenses,
     "op10_simhash": op10_simhash,

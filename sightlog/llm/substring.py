@@ -41,7 +41,7 @@ from sightlog.llm.hashing import Words, mixed, stretch_names
 WINDOW = 20
 ROUNDS = 4
 #: Characters of text by bucket.
-BUCKET_CHARS = 16_000_000
+BUCKET_CHARS = 8_000_000
 #: Entries a task gathers before it sends them.
 HELD = 4_000_000
 
@@ -361,9 +361,8 @@ def removed_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
 
     ``kept`` is the kept words joined by one space, or with ``digest`` their SHA-256 in hex.
     """
-    spark = docs.sparkSession
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // BUCKET_CHARS))
+    buckets = max(1, -(-chars // BUCKET_CHARS))
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     own = own.withColumn(
         "owner", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(int(NO_ID)))), F.lit(buckets)).cast("int")
