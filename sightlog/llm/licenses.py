@@ -64,11 +64,12 @@ def least_similarity(size: int, width: int) -> float:
 
 
 def bands(width: int) -> int:
-    """Min-hashes of a window of ``width`` shingles, enough for the smallest template it takes."""
+    """Min-hashes of a window of ``width`` shingles, enough for every template it takes."""
     if width == 1:
         return 1
-    smallest = LADDER[LADDER.index(width) - 1] * 3 // 4 + 1
-    return math.ceil(math.log(1 - RECALL) / math.log(1 - least_similarity(max(2, smallest), width)))
+    sizes = range(LADDER[LADDER.index(width) - 1] * 3 // 4 + 1, width * 3 // 4 + 1)
+    least = min(least_similarity(size, width) for size in sizes if width_of(size) == width)
+    return math.ceil(math.log(1 - RECALL) / math.log(1 - least))
 
 
 def stride(width: int) -> int:
