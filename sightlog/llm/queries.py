@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sightlog.llm import decontaminate, divergence, kneser_ney, langid, licenses, mixing, quotes, secrets as secret_scan, simhash, substring
 from sightlog.llm.common import read
+from sightlog.llm.oracle import ORACLE  # noqa: F401
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,5 +98,3 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_simhash": op10_simhash,
 }
-
-ORACLE: dict[str, str] = {}
