@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from entry_queries.roles import ODD_ENTRIES
+
 
 def _md5(*texts: str) -> str:
     """Hash of length-prefixed texts; each text expression must already be non-null."""
@@ -50,19 +52,17 @@ current_cards AS (
          max(last_update) OVER () AS max_last_update
   FROM stg_cards
   QUALIFY row_number() OVER (PARTITION BY appid ORDER BY last_update DESC) = 1),
+recent_sales AS (
+  SELECT *, row_number() OVER (PARTITION BY appid ORDER BY last_update DESC) AS nth FROM stg_sales),
 latest_sales AS (
-  SELECT appid, CAST(last_update AS DATE) AS last_upd FROM stg_sales
-  QUALIFY row_number() OVER (PARTITION BY appid ORDER BY last_update DESC) <= 2),
-eligible AS (
-  SELECT s.appid, s.last_upd FROM (
-    SELECT sp.appid, CAST(sp.last_update AS DATE) AS last_upd, sp.last_update
-    FROM stg_sales sp LEFT JOIN current_cards ap ON ap.appid = sp.appid
-    WHERE ap.success OR ap.appid IS NULL) s
-  QUALIFY row_number() OVER (PARTITION BY s.appid ORDER BY s.last_update DESC) <= 2),
+  SELECT appid, CAST(last_update AS DATE) AS last_upd FROM recent_sales WHERE nth <= 2),
+failed AS (SELECT appid FROM current_cards WHERE NOT success),
+eligible AS (SELECT appid, last_upd FROM latest_sales WHERE appid NOT IN (SELECT appid FROM failed)),
+seen AS (
+  SELECT appid, max(last_upd) AS newest, date_diff('day', min(last_upd), max(last_upd)) AS days_between
+  FROM eligible GROUP BY appid),
 arm_changed AS (
-  SELECT appid FROM eligible GROUP BY appid
-  HAVING (max(last_upd) - min(last_upd) = 0 OR max(last_upd) - min(last_upd) > 5)
-     AND max(last_upd) = DATE '2024-01-28'),
+  SELECT appid FROM seen WHERE newest = DATE '2024-01-28' AND days_between NOT BETWEEN 1 AND 5),
 arm_new AS (
   SELECT a.appid FROM stg_catalog a
   WHERE a.appid NOT IN (SELECT appid FROM current_cards)
@@ -80,14 +80,12 @@ queue AS (
   UNION ALL SELECT appid FROM arm_retry)
 """
 
-_CENTS = "CAST(floor({} * 100 + 0.5) AS BIGINT)"
-
 _PACKAGES = f"""
 raw_packages AS (
   SELECT *, {_md5(*[_text(c) for c in ('appid', 'packageid', 'package_option_text', 'package_price_with_discount')])} AS row_hash
   FROM (
-    SELECT l_partkey AS appid, l_suppkey AS packageid, l_returnflag AS package_option_text,
-           {_CENTS.format('l_extendedprice')} AS package_price_with_discount,
+    SELECT l_suppkey AS appid, CAST(l_linenumber AS BIGINT) AS packageid, l_returnflag AS package_option_text,
+           CAST(floor(l_discount * 20) AS BIGINT) AS package_price_with_discount,
            l_linestatus AS name, l_shipdate AS last_update
     FROM lineitem))
 """
@@ -180,6 +178,49 @@ c AS (
   FROM orders)
 """
 
+_HOURS = """hours AS (
+  SELECT CAST(floor(epoch(max(ts) - TIMESTAMP '2024-01-01') / 3600) AS BIGINT) AS last FROM events),
+landed AS (
+  SELECT DISTINCT user_id AS walk,
+         CAST(floor(epoch(ts - TIMESTAMP '2024-01-01') / 3600) AS BIGINT) * 100 AS "offset" FROM events),
+walks AS (SELECT DISTINCT walk FROM landed)"""
+
+
+def _odd(path: str, allowed: str, label: str) -> str:
+    return f"CASE WHEN json_type(j, '{path}') NOT IN ({allowed}, 'NULL') THEN '{label}' END"
+
+
+def _odd_elements(path: str, of: str, allowed: str, label: str) -> str:
+    kinds = f"list_transform(from_json(json_extract(j, '{path}'), '[\"JSON\"]'), lambda x: coalesce(json_type(x{of}), 'NULL'))"
+    return (
+        f"CASE WHEN json_type(j, '{path}') = 'ARRAY' AND "
+        f"len(list_filter({kinds}, lambda x: x <> '{allowed}')) > 0 THEN '{label}' END"
+    )
+
+
+_TEXT, _LIST, _OBJECT = "'VARCHAR'", "'ARRAY'", "'OBJECT'"
+_EMPTY_LIST = "'OBJECT', 'ARRAY'"  # the given lists in these places are empty
+_ODD_RULES = (
+    _odd("$", _OBJECT, "response:type"),
+    _odd("$.data", _EMPTY_LIST, "data:type"),
+    _odd("$.data.name", _TEXT, "name:type"),
+    _odd("$.data.supported_languages", _TEXT, "supported_languages:type"),
+    _odd("$.data.website", _TEXT, "website:type"),
+    _odd("$.data.pc_requirements", _EMPTY_LIST, "pc_requirements:type"),
+    _odd("$.data.mac_requirements.minimum", _TEXT, "mac_requirements:type"),
+    _odd("$.data.developers", _LIST, "developers:type"),
+    _odd_elements("$.data.publishers", "", "VARCHAR", "publishers:type"),
+    _odd("$.data.categories", _LIST, "categories:type"),
+    _odd_elements("$.data.categories", ", '$.description'", "VARCHAR", "categories_description:type"),
+    _odd_elements("$.data.genres", "", "OBJECT", "genres:type"),
+    _odd_elements("$.data.genres", ", '$.id'", "VARCHAR", "genres_id:type"),
+    _odd_elements("$.data.genres", ", '$.description'", "VARCHAR", "genres_description:type"),
+    _odd("$.data.release_date.date", _TEXT, "release_date:type"),
+    _odd("$.data.price_overview", _OBJECT, "price_overview:type"),
+    _odd("$.data.package_groups", _LIST, "package_groups:type"),
+)
+_ODD_ENTRIES = ", ".join(f"({i}, '{e}')" for i, e in enumerate(ODD_ENTRIES))
+
 ORACLE: dict[str, str] = {
     "scan_count": "SELECT count(*) AS n, count(l_shipdate) AS n_dated FROM lineitem",
     "stg_catalog": f"WITH {_CATALOG} SELECT appid, name, row_hash, last_update FROM stg_catalog",
@@ -190,10 +231,10 @@ QUALIFY row_number() OVER (
     "stg_cards": f"WITH {_CARDS} " + _earliest("raw_cards", "appid, row_hash", ", ".join(_CARD_COLUMNS)),
     "stg_prices": f"""WITH raw_prices AS (
   SELECT *, {_md5(*[_text(c) for c in _PRICE_COLUMNS])} AS row_hash FROM (
-    SELECT l_partkey AS appid, l_linestatus AS name, nullif(l_returnflag, 'N') AS currency,
-           CAST(floor(l_quantity) AS BIGINT) AS price_initial,
-           CAST(floor(l_quantity) AS BIGINT) AS price_final,
-           {_CENTS.format('l_discount')} AS discount_percent, l_shipdate AS last_update
+    SELECT CAST(l_linenumber AS BIGINT) AS appid, l_linestatus AS name, 'USD' AS currency,
+           CAST(floor(l_quantity / 25) AS BIGINT) AS price_initial,
+           CAST(floor(l_quantity / 25) AS BIGINT) AS price_final,
+           CAST(NULL AS BIGINT) AS discount_percent, l_shipdate AS last_update
     FROM lineitem)) """
     + _earliest("raw_prices", "appid, row_hash, CAST(last_update AS DATE)", ", ".join(_PRICE_COLUMNS)),
     "stg_composite": f"WITH {_PACKAGES} " + _earliest(
@@ -243,6 +284,16 @@ FROM raw_packages
 QUALIFY row_number() OVER (
   PARTITION BY date_trunc('month', last_update), appid, packageid, row_hash
   ORDER BY last_update, name) = 1""",
+    "compact_metrics": """WITH daily AS (
+  SELECT CAST(ts AS DATE) AS day, 'row_count' AS metrics_name, 'count' AS agg_type,
+         CAST(count(*) AS DOUBLE) AS metrics_value FROM events GROUP BY ALL
+  UNION ALL
+  SELECT CAST(ts AS DATE), 'value', 'median', median(value) FROM events GROUP BY ALL),
+stamped AS (SELECT *, CAST(day AS TIMESTAMP) + INTERVAL 30 MINUTE AS last_update FROM daily)
+SELECT dag_id, 'raw' AS schema_name, 'sale_log' AS table_name, metrics_name, agg_type,
+       round(metrics_value, 6) AS metrics_value, last_update, -(epoch_us(last_update) // 1000) AS ver,
+       CAST(date_trunc('month', day) AS DATE) AS load_month
+FROM stamped, (VALUES ('events_daily'), ('events_again')) v(dag_id)""",
     "idempotent_load": f"""WITH {_DAILY}
 SELECT appid, name, row_hash, last_update, -(epoch_us(last_update) // 1000) AS ver,
        CAST(date_trunc('month', last_update) AS DATE) AS load_month
@@ -332,6 +383,9 @@ SELECT o_orderstatus <> 'P' AS success, o_orderkey AS appid,
   '[]' AS genres_id, '[]' AS genres_description,
   CASE WHEN o_orderstatus <> 'P' THEN released END AS release_date, '' AS broken
 FROM c""",
+    "flatten_odd_shapes": f"""SELECT o_orderkey AS appid,
+  array_to_string(list_sort(list_filter([{', '.join(_ODD_RULES)}], lambda x: x IS NOT NULL)), ',') AS broken
+FROM orders JOIN (SELECT n, CAST(e AS JSON) AS j FROM (VALUES {_ODD_ENTRIES}) v(n, e)) ON n = o_orderkey % {len(ODD_ENTRIES)}""",
     "flatten_prices": f"""WITH {_CARD_PARTS}
 SELECT o_orderkey AS appid, card_name AS name,
   CASE WHEN o_totalprice >= 100000 AND o_orderstatus = 'F' THEN 'USD' END AS currency,
@@ -358,11 +412,11 @@ FROM customer""",
   CAST(NULL AS DOUBLE) AS initialprice, CAST(NULL AS DOUBLE) AS discount,
   CASE WHEN c_nationkey >= 5 THEN CAST(7 AS BIGINT) END AS ccu, '' AS broken
 FROM customer WHERE c_mktsegment <> 'BUILDING'""",
-    "page_coverage": """WITH landed AS (
-  SELECT DISTINCT user_id AS walk,
-         CAST(floor(epoch(ts - TIMESTAMP '2024-01-01') / 3600) AS BIGINT) * 100 AS "offset" FROM events),
-expected AS (
-  SELECT walk, CAST(o AS BIGINT) AS "offset" FROM (SELECT DISTINCT walk FROM landed), range(0, 72000, 100) t(o))
+    "page_coverage": f"""WITH {_HOURS},
+expected AS (SELECT walk, CAST(h * 100 AS BIGINT) AS "offset" FROM walks, range(0, (SELECT last + 1 FROM hours)) t(h))
+SELECT walk, "offset" FROM expected EXCEPT SELECT walk, "offset" FROM landed""",
+    "bounded_coverage": f"""WITH {_HOURS},
+expected AS (SELECT walk, CAST(h * 100 AS BIGINT) AS "offset" FROM walks, range(0, 72) t(h))
 SELECT walk, "offset" FROM expected EXCEPT SELECT walk, "offset" FROM landed""",
     "empty_runs": """WITH m AS (
   SELECT user_id AS walk, CAST(CAST(ts AS DATE) - DATE '2024-01-01' AS BIGINT) AS page,

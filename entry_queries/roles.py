@@ -12,11 +12,11 @@ from sightlog.functions.hashing import with_audit
 from sightlog.functions.scalar import instant
 from sightlog.operators.quality import measure
 from sightlog.plans.staging import staging_view
-from sightlog.session import shared_dir, use_utc
+from sightlog.session import scratch_dir, use_utc
 from sightlog.sources.landing import read_table_file
 from sightlog.sources.warehouse import Warehouse
 from sightlog.specs import Check, Column, TableSpec
-from sightlog.tables import CARDS, CATALOG, PACKAGES, PRICES, SALE_LOG, SNAPSHOTS, STATE_KEY
+from sightlog.tables import CARDS, CATALOG, METRICS, PACKAGES, PRICES, SALE_LOG, SNAPSHOTS, STATE_KEY
 
 RUN_DATE = date(2024, 1, 28)
 NOW = datetime(2024, 2, 4)
@@ -27,6 +27,7 @@ SALE_LOG_MD5 = replace(SALE_LOG, hash_algorithm="md5")
 CARDS_MD5 = replace(CARDS, hash_algorithm="md5")
 PRICES_MD5 = replace(PRICES, hash_algorithm="md5")
 PACKAGES_MD5 = replace(PACKAGES, hash_algorithm="md5")
+METRICS_MD5 = replace(METRICS, hash_algorithm="md5")
 SNAPSHOTS_MD5 = replace(SNAPSHOTS, hash_algorithm="md5")
 
 # The columns of a card that the queue uses.
@@ -45,8 +46,8 @@ LINEITEM_CHECK = Check(median_columns=("l_quantity", "l_extendedprice", "l_disco
 EVENT_CHECK = Check(median_columns=("value",))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    return read_table_file(use_utc(spark), sf_dir, name, spread)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_table_file(use_utc(spark), sf_dir, name)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -66,7 +67,7 @@ def cents(c: SparkColumn) -> SparkColumn:
 
 def scratch(spark: SparkSession) -> str:
     """A new folder under the shared one, for queries that store what they load."""
-    return f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    return scratch_dir(spark)
 
 
 def scratch_table(spark: SparkSession, *specs: TableSpec) -> tuple[Warehouse, list[TableSpec]]:
@@ -124,11 +125,12 @@ def raw_queue_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers' lines as packages: states repeat, and sightings of one differ in the name."""
     rows = table(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").alias("appid"),
-        F.col("l_suppkey").alias("packageid"),
+        F.col("l_suppkey").alias("appid"),
+        F.col("l_linenumber").cast("bigint").alias("packageid"),
         F.col("l_returnflag").alias("package_option_text"),
-        cents(F.col("l_extendedprice")).alias("package_price_with_discount"),
+        F.floor(F.col("l_discount") * 20).cast("bigint").alias("package_price_with_discount"),
         F.col("l_linestatus").alias("name"),
         F.col("l_shipdate").alias("last_update"),
     )
@@ -136,13 +138,15 @@ def raw_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line numbers as entities with few prices: a day sees each state many times."""
+    step = F.floor(F.col("l_quantity") / 25).cast("bigint")
     rows = table(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").alias("appid"),
+        F.col("l_linenumber").cast("bigint").alias("appid"),
         F.col("l_linestatus").alias("name"),
-        F.nullif(F.col("l_returnflag"), F.lit("N")).alias("currency"),
-        F.floor("l_quantity").cast("bigint").alias("price_initial"),
-        F.floor("l_quantity").cast("bigint").alias("price_final"),
-        cents(F.col("l_discount")).alias("discount_percent"),
+        F.lit("USD").alias("currency"),
+        step.alias("price_initial"),
+        step.alias("price_final"),
+        F.lit(None).cast("bigint").alias("discount_percent"),
         F.col("l_shipdate").alias("last_update"),
     )
     return with_audit(rows, PRICES_MD5)
@@ -220,6 +224,12 @@ def daily_event_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily event metrics recorded by two loads: the values of each are those of the other."""
+    daily = daily_event_metrics(spark, sf_dir)
+    return with_audit(daily.unionByName(daily.withColumn("dag_id", F.lit("events_again"))), METRICS_MD5)
+
+
 def card_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Card responses made from orders: good, failed, absent and unreadable ones.
 
@@ -289,11 +299,46 @@ def card_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(priority == "2-HIGH", F.lit("{bad"))
         .otherwise(F.to_json(failed))
     )
-    return table(spark, sf_dir, "orders", spread=True).select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("appid"), payload.alias("payload")
     )
 
 
+#: Card responses with a value of a wrong type, and some that only look odd; one for each order.
+ODD_ENTRIES = (
+    '{"success": true, "data": {"name": "fine", "developers": ["a"]}}',
+    '{"success": true, "data": {"name": 5}}',
+    '{"success": true, "data": {"developers": "abc"}}',
+    '{"success": true, "data": {"publishers": [1, "x"]}}',
+    '{"success": true, "data": {"categories": {"id": 1}}}',
+    '{"success": true, "data": {"categories": [{"id": 1, "description": 7}]}}',
+    '{"success": true, "data": {"genres": [{"id": 3, "description": "a"}]}}',
+    '{"success": true, "data": {"genres": ["a"]}}',
+    '{"success": true, "data": {"price_overview": "x"}}',
+    '{"success": true, "data": {"package_groups": "y"}}',
+    '{"success": true, "data": {"website": {"a": 1}}}',
+    '{"success": true, "data": {"supported_languages": [1, 2]}}',
+    '{"success": true, "data": {"pc_requirements": []}}',
+    '{"success": true, "data": {"pc_requirements": "abc"}}',
+    '{"success": true, "data": {"mac_requirements": {"minimum": 1}}}',
+    '{"success": true, "data": {"release_date": {"date": 2020}}}',
+    '{"success": true, "data": []}',
+    '{"success": true, "data": "text"}',
+    '"text"',
+)
+
+
+def odd_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An odd card response for each order."""
+    entries = F.array(*[F.lit(e) for e in ODD_ENTRIES])
+    entry = F.element_at(entries, (F.col("o_orderkey") % len(ODD_ENTRIES) + 1).cast("int"))
+    key = F.col("o_orderkey").cast("string")
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("appid"),
+        F.concat(F.lit('{"'), key, F.lit('": '), entry, F.lit("}")).alias("payload"),
+    )
+
+
 def search_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search pages made from customers: an id link, and a link without one for each."""
     key = F.col("c_custkey").cast("string")
@@ -329,12 +374,16 @@ def keyed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hour_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event hours as landed pages of one walk per user, 100 rows a page."""
-    hour = F.floor(
-        (F.unix_timestamp("ts") - F.unix_timestamp(instant(datetime(2024, 1, 1)))) / 3600
+    """Event hours as landed pages of one walk per user, 100 rows a page; each page announces the
+    rows of all hours up to the last event."""
+    events = table(spark, sf_dir, "events")
+    hours = lambda at: F.floor(
+        (F.unix_timestamp(at) - F.unix_timestamp(instant(datetime(2024, 1, 1)))) / 3600
     ).cast("bigint")
-    return table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("walk"), (hour * 100).alias("offset")
+    last = events.agg(hours(F.max("ts"))).scalar()
+    return events.select(
+        F.col("user_id").alias("walk"), (hours("ts") * 100).alias("offset"),
+        F.concat(F.lit('{"total_count": '), ((last + 1) * 100).cast("string"), F.lit("}")).alias("payload"),
     )
 
 

@@ -12,7 +12,7 @@ from sightlog.functions.scalar import blank_to_null, instant, link_id, release_d
 from sightlog.operators import flatten
 from sightlog.operators.compaction import add_column, compact, idempotent_append
 from sightlog.operators.limits import with_global_max
-from sightlog.operators.pages import islands, missing_pages, truncation
+from sightlog.operators.pages import islands, missing_pages, total_count, truncation
 from sightlog.operators.quality import (
     CheckError,
     TableTest,
@@ -229,6 +229,14 @@ def compact_late_column(spark, sf_dir):
     return compact(R.raw_packages(spark, sf_dir), R.PACKAGES_MD5)
 
 
+@query
+def compact_metrics(spark, sf_dir):
+    """Load metrics are a plain log: equal values of different loads all stay."""
+    return compact(R.repeated_metrics(spark, sf_dir), R.METRICS_MD5).withColumn(
+        "metrics_value", F.round("metrics_value", 6)
+    ).drop("row_hash")
+
+
 @query
 def idempotent_load(spark, sf_dir):
     daily = R.raw_daily(spark, sf_dir)
@@ -329,7 +337,7 @@ def coerce_types(spark, sf_dir):
         ),
         key=("event_id",),
     )
-    rows = R.table(spark, sf_dir, "events", spread=True).select(
+    rows = R.table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("event_id"),
         F.concat(F.lit(" "), F.get_json_object("props", "$.k"), F.lit(" ")).alias("k"),
         F.col("value").cast("string").alias("whole"),
@@ -365,11 +373,10 @@ def constraint_required(spark, sf_dir):
 
 @query
 def blank_lines(spark, sf_dir):
-    lines = R.table(spark, sf_dir, "documents").select(
-        "doc_id", F.explode(F.split("text", "\n")).alias("line")
-    )
-    return lines.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.count(blank_to_null(F.col("line"))).alias("n_text")
+    lines = F.split("text", "\n")
+    return R.table(spark, sf_dir, "documents").select(
+        "doc_id", F.size(lines).cast("bigint").alias("n_lines"),
+        F.size(F.filter(lines, lambda x: blank_to_null(x).isNotNull())).cast("bigint").alias("n_text"),
     )
 
 
@@ -413,11 +420,11 @@ def array_project(spark, sf_dir):
         F.split("p_name", " "),
         lambda w, i: F.struct((i + 1).alias("id"), w.alias("description")),
     )
-    rows = R.table(spark, sf_dir, "part").select("p_partkey", objects.alias("categories"))
-    return rows.select(
+    landed = R.table(spark, sf_dir, "part").select("p_partkey", F.parse_json(F.to_json(objects)).alias("categories"))
+    return landed.select(
         "p_partkey",
-        F.array_join(F.transform("categories", lambda c: c["id"].cast("string")), "|").alias("ids"),
-        F.array_join(F.transform("categories", lambda c: c["description"]), "|").alias("names"),
+        F.array_join(flatten.field_texts(F.col("categories"), "id"), "|").alias("ids"),
+        F.array_join(flatten.field_texts(F.col("categories"), "description"), "|").alias("names"),
     )
 
 
@@ -434,11 +441,15 @@ def explode_two(spark, sf_dir):
         F.struct(F.array(sub, other).alias("subs")),
         F.struct(F.slice(F.array(sub), 1, 0).alias("subs")),
     )
-    return (
-        R.table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_linenumber", F.explode(groups).alias("g"))
-        .select("l_orderkey", "l_linenumber", F.explode("g.subs").alias("s"))
-        .select("l_orderkey", "l_linenumber", "s.packageid", "s.option_text")
+    landed = R.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.parse_json(F.to_json(groups)).alias("groups")
+    )
+    return landed.select(
+        "l_orderkey", "l_linenumber", F.explode(flatten.nested_items(F.col("groups"), "subs")).alias("s")
+    ).select(
+        "l_orderkey", "l_linenumber",
+        F.variant_get("s", "$.packageid", "bigint").alias("packageid"),
+        F.variant_get("s", "$.option_text", "string").alias("option_text"),
     )
 
 
@@ -449,6 +460,13 @@ def flatten_cards(spark, sf_dir):
     return _json_arrays(_rules(validate(rows, CARDS)), *arrays)
 
 
+@query
+def flatten_odd_shapes(spark, sf_dir):
+    """Values of a wrong JSON type, each named among the broken rules."""
+    rows = flatten.card_rows(flatten.parse_cards(R.odd_landing(spark, sf_dir)))
+    return validate(rows, CARDS).select("appid", F.array_join(F.array_sort(VIOLATIONS), ",").alias("broken"))
+
+
 @query
 def flatten_prices(spark, sf_dir):
     rows = flatten.price_rows(flatten.parse_cards(R.card_landing(spark, sf_dir)))
@@ -474,11 +492,21 @@ def flatten_keyed(spark, sf_dir):
 # -- page completeness ---------------------------------------------------------------------
 
 
+def _walks(landed):
+    return total_count(landed).groupBy("walk").agg(F.max("total_count").alias("total_count"))
+
+
 @query
 def page_coverage(spark, sf_dir):
     landed = R.hour_pages(spark, sf_dir)
-    totals = landed.select("walk").distinct().withColumn("total_count", F.lit(72_000).cast("bigint"))
-    return missing_pages(landed, totals, ["walk"], page_rows=100)
+    return missing_pages(landed, _walks(landed), ["walk"], page_rows=100)
+
+
+@query
+def bounded_coverage(spark, sf_dir):
+    """Walks over the first three days only."""
+    landed = R.hour_pages(spark, sf_dir)
+    return missing_pages(landed, _walks(landed), ["walk"], page_rows=100, max_rows=7200)
 
 
 @query

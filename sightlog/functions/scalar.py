@@ -45,8 +45,9 @@ def release_date(c: Column) -> Column:
     """Timestamp of the spelling that fits, else null.
 
     Failed parses are dear, so only the spellings with the right first character are tried,
-    and only on text with a comma, which all of them have.
+    and only on text with a comma, which all of them have.  A run of blanks counts as one.
     """
+    c = F.regexp_replace(c, r"\s+", " ")
 
     def any_of(formats: tuple[str, ...]) -> Column:
         return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])

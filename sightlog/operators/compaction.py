@@ -25,8 +25,11 @@ def compact(df: DataFrame, spec: TableSpec) -> DataFrame:
     """One row per (month, key): the earliest sighting.
 
     Where the state fixes the whole payload this is a hash aggregate; only tables with late
-    columns need rows to be ranked.
+    columns need rows to be ranked.  A table that does not keep states (a plain log, such as
+    the metrics) stays as it is: equal rows of it are different events.
     """
+    if not spec.keep_states:
+        return df
     dated = _with_month(df)
     keys = ["load_month", *spec.key]
     late = _late_columns(dated, spec)
@@ -47,20 +50,25 @@ def unseen(
     """Rows of ``batch`` whose key the target lacks in the same month, one per key.
 
     Both sides are reduced to one row per key before they meet, so repeated sightings of one
-    state never pile up in a join task.  ``months`` limits the target scan to those
-    partitions; a load knows its own month.
+    state never pile up in a join task.  Only the target's partitions from the batch's first
+    month to its last are read; ``months`` names them where the load knows them, else the two
+    are scalar subqueries over the batch.  All rows of a plain log are new.
     """
+    if not spec.keep_states:
+        return batch
     exprs = ["load_month", *spec.key]
     names = [f"__k{i}" for i in range(len(exprs))]
 
     def keyed() -> list[Column]:
         return [F.expr(e).alias(n) for e, n in zip(exprs, names, strict=True)]
 
-    known = _with_month(target)
+    known, dated = _with_month(target), _with_month(batch)
     if months is not None:
         known = known.where(F.col("load_month").isin(list(months)))
+    else:
+        first, last = (dated.agg(f("load_month")).scalar() for f in (F.min, F.max))
+        known = known.where(F.col("load_month").between(first, last))
     known = known.select(*keyed()).distinct()
-    dated = _with_month(batch)
     dated = dated.select("*", *keyed())
     # ranked on the join keys, so the join below needs no second shuffle
     late = _late_columns(dated, spec) or ["row_hash"]

@@ -1,8 +1,9 @@
 """Nested landing payloads to flat rows.
 
-Fields are read as VARIANT where the rows must keep two cases apart: a field that is missing
-takes its default, a field that is explicitly null stays null.  All values leave here as text;
-``validate`` turns them into the declared types.
+Payloads stay VARIANT until each field is read, so a value's JSON type is known: a field that is
+missing takes its default, one that is explicitly null stays null, and one of a wrong type is
+named among the row's violations instead of turning into text or nothing.  All values leave here
+as text; ``validate`` turns them into the declared types and carries the violations on.
 """
 
 from __future__ import annotations
@@ -10,9 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sightlog.functions.scalar import LINK_ID_PATTERN, link_id, release_date
+from sightlog.operators.validate import VIOLATIONS
 from sightlog.specs import TableSpec
 
 _ENTRY = "__entry"
+_DATA = "__data"
 
 
 def variant_text(source: Column, path: str, missing: str | None = None) -> Column:
@@ -23,96 +26,181 @@ def variant_text(source: Column, path: str, missing: str | None = None) -> Colum
     return F.when(F.variant_get(source, path, "variant").isNull(), F.lit(missing)).otherwise(text)
 
 
-def _field_text(field: Column, missing: str) -> Column:
-    """Text of a VARIANT field of a parsed object."""
-    return F.when(field.isNull(), F.lit(missing)).otherwise(F.try_variant_get(field, "$", "string"))
-
-
-# One card response.  VARIANT fields are those whose missing and null forms differ in a row;
-# everything else is read as text or as the nested shape it must have (another shape is null).
-_CARD = """
-success: variant,
-data: struct<
-  name: variant, required_age: string, is_free: string, supported_languages: variant,
-  website: variant, pc_requirements: struct<minimum: variant>,
-  mac_requirements: struct<minimum: variant>, linux_requirements: struct<minimum: variant>,
-  developers: array<string>, publishers: array<string>,
-  categories: array<struct<id: string, description: string>>,
-  genres: array<struct<id: string, description: string>>,
-  release_date: struct<date: string>,
-  price_overview: struct<currency: string, initial: string, final: string, discount_percent: string>,
-  package_groups: array<struct<subs: array<struct<
-    packageid: string, option_text: variant, price_in_cents_with_discount: string>>>>>
-"""
-_PACKAGES = "array<struct<packageid:string,option_text:string,price:string>>"
-_NO_STRINGS = "array<string>"
+def kind(value: Column) -> Column:
+    """JSON type of a VARIANT as Spark names it; null where there is no value."""
+    return F.schema_of_variant(value)
 
 
-def _or_empty(array: Column, dtype: str) -> Column:
-    return F.coalesce(array, F.array().cast(dtype))
+def is_void(value: Column) -> Column:
+    """No field, or an explicit null."""
+    return value.isNull() | (kind(value) == "VOID")
 
 
-def _package(sub: Column) -> Column:
-    return F.struct(
-        sub["packageid"].alias("packageid"),
-        _field_text(sub["option_text"], "").alias("option_text"),
-        sub["price_in_cents_with_discount"].alias("price"),
-    )
+def is_blank(value: Column) -> Column:
+    """Values that stand for nothing where an object or a list is wanted: no field, null, an empty
+    text, list or object, zero, false."""
+    text = F.try_variant_get(value, "$", "string")
+    items = F.try_variant_get(value, "$", "array<variant>")
+    nothing = kind(value).isin("VOID", "OBJECT<>") | (F.size(items) == 0)
+    scalar = ~kind(value).startswith("ARRAY") & ~kind(value).startswith("OBJECT")
+    return value.isNull() | nothing | (scalar & text.isin("", "0", "0.0", "false"))
+
+
+def broken_unless(fine: Column, label: str) -> Column:
+    """The label of a broken rule, or null; a test without result counts as passed."""
+    return F.when(~fine, F.lit(label))
+
+
+def is_object(value: Column) -> Column:
+    return kind(value).startswith("OBJECT")
+
+
+def is_list(value: Column) -> Column:
+    return kind(value).startswith("ARRAY")
+
+
+def is_text(value: Column) -> Column:
+    return kind(value) == "STRING"
+
+
+def field(value: Column, name: str) -> Column:
+    """A field of a VARIANT object; null where the value is no object or lacks it."""
+    return F.try_variant_get(value, f"$.{name}", "variant")
+
+
+def items_of(value: Column) -> Column:
+    """Elements of a VARIANT list as VARIANTs; none where the value is no list."""
+    return F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array().cast("array<variant>"))
+
+
+def field_texts(value: Column, name: str) -> Column:
+    """Text of one field of each object of a VARIANT list, in order."""
+    return F.transform(items_of(value), lambda v: F.try_variant_get(v, f"$.{name}", "string"))
+
+
+def nested_items(groups: Column, name: str) -> Column:
+    """The elements of the lists that objects of a VARIANT list hold in a field, in order."""
+    return F.flatten(F.transform(items_of(groups), lambda g: items_of(field(g, name))))
+
+
+def _field_text(value: Column, missing: str) -> Column:
+    """Text of a VARIANT field; ``missing`` where there is none, null where it is null."""
+    return F.when(value.isNull(), F.lit(missing)).otherwise(F.try_variant_get(value, "$", "string"))
+
+
+def _only_text(value: Column, missing: str) -> Column:
+    """``_field_text`` of a field that must be text; null where it is of another type."""
+    return F.when(value.isNull() | is_text(value), _field_text(value, missing))
+
+
+def _text_or_void(value: Column, label: str) -> Column:
+    return broken_unless(is_void(value) | is_text(value), label)
+
+
+def _texts(value: Column) -> Column:
+    """A list's texts; other elements are null, which no declared list allows."""
+    return F.transform(items_of(value), lambda v: F.when(is_text(v), F.try_variant_get(v, "$", "string")))
+
+
+def _all_objects(value: Column) -> Column:
+    return is_blank(value) | (is_list(value) & F.forall(items_of(value), is_object))
+
+
+def _labels(*rules: Column) -> Column:
+    return F.array_compact(F.array(*rules))
+
+
+_PRICE_FIELDS = (("price_initial", "initial"), ("price_final", "final"), ("discount_percent", "discount_percent"))
 
 
 def parse_cards(landing: DataFrame, key: str = "appid", payload: str = "payload") -> DataFrame:
-    """One row per landed card response: card fields, ``prices`` and ``packages`` arrays.
+    """One row per landed card response: card fields, ``prices`` and ``packages`` arrays, and the
+    ``violations`` of shape.
 
     A response that is absent, unreadable or lacks the key gives one failed card; a failed
     card has no prices and no packages.  Parsing happens here once; ``card_rows``,
     ``price_rows`` and ``package_rows`` only select.
     """
-    entries = F.from_json(F.col(payload), f"map<string, struct<{_CARD}>>")
+    entries = F.from_json(F.col(payload), "map<string, variant>")
     entry = F.try_element_at(entries, F.col(key).cast("string"))
     carried = [c for c in landing.columns if c not in (key, payload)]
     opened = landing.select(F.col(key).alias("appid"), *carried, entry.alias(_ENTRY))
-
-    success = _field_text(F.col(f"{_ENTRY}.success"), "false")
-    data = F.col(f"{_ENTRY}.data")
-    name = _field_text(data["name"], "")
-    overview = data["price_overview"]
+    opened = opened.select("appid", *carried, _ENTRY, field(F.col(_ENTRY), "data").alias(_DATA))
+
+    source, data = F.col(_ENTRY), F.col(_DATA)
+    of = lambda name: field(data, name)
+    success = _field_text(field(source, "success"), "false")
+    name = _only_text(of("name"), "")
+    name_rule = _text_or_void(of("name"), "name:type")
+    overview, groups = of("price_overview"), of("package_groups")
+    requirements = [(c, of(c)) for c in ("pc_requirements", "mac_requirements", "linux_requirements")]
+    currency = field(overview, "currency")
     price = F.struct(
-        overview["currency"].alias("currency"),
-        overview["initial"].alias("price_initial"),
-        overview["final"].alias("price_final"),
-        overview["discount_percent"].alias("discount_percent"),
+        _only_text(currency, "").alias("currency"),
+        *[_field_text_or_null(field(overview, f)).alias(c) for c, f in _PRICE_FIELDS],
+        _labels(name_rule, _text_or_void(currency, "currency:type"),
+                broken_unless(is_blank(overview) | is_object(overview), "price_overview:type")).alias(VIOLATIONS),
     )
-    packages = F.flatten(
-        F.transform(
-            data["package_groups"],
-            lambda g: _or_empty(F.transform(g["subs"], _package), _PACKAGES),
+
+    def package(sub: Column) -> Column:
+        option = field(sub, "option_text")
+        return F.struct(
+            _field_text_or_null(field(sub, "packageid")).alias("packageid"),
+            _only_text(option, "").alias("option_text"),
+            _field_text_or_null(field(sub, "price_in_cents_with_discount")).alias("price"),
+            _labels(name_rule, _text_or_void(option, "package_option_text:type"),
+                    broken_unless(is_object(sub), "package_groups:type")).alias(VIOLATIONS),
         )
+
+    groups_fine = _all_objects(groups) & F.forall(
+        items_of(groups), lambda g: is_blank(field(g, "subs")) | is_list(field(g, "subs"))
+    )
+    released = field(of("release_date"), "date")
+    shapes = _labels(
+        broken_unless(is_blank(source) | is_object(source), "response:type"),
+        broken_unless(is_blank(data) | is_object(data), "data:type"),
+        name_rule,
+        *[_text_or_void(of(c), f"{c}:type") for c in ("supported_languages", "website")],
+        *[broken_unless(is_blank(v) | is_object(v), f"{c}:type") for c, v in requirements],
+        *[_text_or_void(field(v, "minimum"), f"{c}:type") for c, v in requirements],
+        *[broken_unless(is_void(of(c)) | is_list(of(c)), f"{c}:type") for c in ("developers", "publishers")],
+        *[broken_unless(_all_objects(of(c)), f"{c}:type") for c in ("categories", "genres")],
+        broken_unless(is_blank(of("release_date")) | is_object(of("release_date")), "release_date:type"),
+        broken_unless(is_blank(released) | is_text(released), "release_date:type"),
+        broken_unless(is_blank(overview) | is_object(overview), "price_overview:type"),
+        broken_unless(groups_fine, "package_groups:type"),
+    )
+    texts_of = lambda objects, f: F.transform(
+        items_of(objects), lambda v: F.when(is_text(field(v, f)), F.try_variant_get(v, f"$.{f}", "string"))
     )
     succeeded = success.isin("true", "1")
     return opened.select(
         success.alias("success"),
         "appid",
         name.alias("name"),
-        data["required_age"].alias("required_age"),
-        data["is_free"].alias("is_free"),
-        _field_text(data["supported_languages"], "").alias("supported_languages"),
-        _field_text(data["website"], "").alias("website"),
-        _field_text(data["pc_requirements"]["minimum"], "").alias("pc_requirements"),
-        _field_text(data["mac_requirements"]["minimum"], "").alias("mac_requirements"),
-        _field_text(data["linux_requirements"]["minimum"], "").alias("linux_requirements"),
-        _or_empty(data["developers"], _NO_STRINGS).alias("developers"),
-        _or_empty(data["publishers"], _NO_STRINGS).alias("publishers"),
-        _or_empty(data["categories"]["id"], _NO_STRINGS).alias("categories_id"),
-        _or_empty(data["categories"]["description"], _NO_STRINGS).alias("categories_description"),
-        _or_empty(data["genres"]["id"], _NO_STRINGS).alias("genres_id"),
-        _or_empty(data["genres"]["description"], _NO_STRINGS).alias("genres_description"),
-        release_date(data["release_date"]["date"]).alias("release_date"),
+        _field_text_or_null(of("required_age")).alias("required_age"),
+        _field_text_or_null(of("is_free")).alias("is_free"),
+        _only_text(of("supported_languages"), "").alias("supported_languages"),
+        _only_text(of("website"), "").alias("website"),
+        *[_only_text(field(v, "minimum"), "").alias(c) for c, v in requirements],
+        _texts(of("developers")).alias("developers"),
+        _texts(of("publishers")).alias("publishers"),
+        field_texts(of("categories"), "id").alias("categories_id"),
+        texts_of(of("categories"), "description").alias("categories_description"),
+        texts_of(of("genres"), "id").alias("genres_id"),
+        texts_of(of("genres"), "description").alias("genres_description"),
+        release_date(F.try_variant_get(released, "$", "string")).alias("release_date"),
         F.when(succeeded, F.array(price)).alias("prices"),
-        F.when(succeeded, packages).alias("packages"),
+        F.when(succeeded, F.transform(nested_items(groups, "subs"), package)).alias("packages"),
+        F.array_distinct(shapes).alias(VIOLATIONS),
         *carried,
     )
 
 
+def _field_text_or_null(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
+
+
 def card_rows(parsed: DataFrame) -> DataFrame:
     """A card for every response, failed ones included."""
     return parsed.drop("prices", "packages")
@@ -137,6 +225,7 @@ def package_rows(parsed: DataFrame) -> DataFrame:
         F.col("e.option_text").alias("package_option_text"),
         F.col("e.price").alias("package_price_with_discount"),
         "name",
+        f"e.{VIOLATIONS}",
     )
 
 

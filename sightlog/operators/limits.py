@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 _RANK = "__rank"
 _SLICE = "__slice"
 
-GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
-
 
 def limit_by(
     df: DataFrame,
@@ -18,14 +16,14 @@ def limit_by(
     keys: Sequence[str | Column],
     order: Sequence[str | Column],
     tie_breaker: Sequence[str | Column],
-    slices: int = 64,
+    slices: int | None = None,
 ) -> DataFrame:
     """First ``n`` rows per key under ``order``; ``tie_breaker`` makes the choice unique.
 
     Spark pushes a ``row_number() <= n`` filter below the shuffle, so each map task sends at
-    most n rows per key and one hot key stays small.  It does so only up to a threshold on
-    n; past it, rows are first ranked within hashed slices of each key, so no task ever
-    sorts all rows of a hot key.
+    most n rows per key and one hot key stays small.  With ``slices`` rows are first ranked
+    within that many hashed slices of each key: ask for it where n is so large that Spark
+    does not push the filter (``spark.sql.optimizer.windowGroupLimitThreshold``).
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -33,7 +31,7 @@ def limit_by(
         raise ValueError("a tie_breaker is required: equal order values have no fixed order")
     key_columns = [F.expr(k) if isinstance(k, str) else k for k in keys]
     ordering = [*order, *tie_breaker]
-    if n >= int(df.sparkSession.conf.get(GROUP_LIMIT_CONF)):
+    if slices is not None:
         hashed = F.pmod(F.xxhash64(*df.columns), F.lit(slices))
         df = _ranked(df.withColumn(_SLICE, hashed), n, [*key_columns, F.col(_SLICE)], ordering)
         df = df.drop(_SLICE)

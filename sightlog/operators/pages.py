@@ -12,10 +12,15 @@ class PageError(ValueError):
 
 
 def total_count(landing: DataFrame, payload: str = "payload") -> DataFrame:
-    """Landed pages with the total they announce; null unless a whole number >= 0."""
-    stated = F.try_variant_get(F.try_parse_json(payload), "$.total_count", "string")
-    usable = F.when(stated.rlike(r"^\d+$"), stated.try_cast("bigint"))
-    return landing.withColumn("total_count", usable)
+    """Landed pages with the total they announce; null unless a JSON whole number >= 0.
+
+    A text or a fraction is no total, also where it spells a whole number.
+    """
+    stated = F.try_variant_get(F.try_parse_json(payload), "$.total_count", "variant")
+    number = F.try_variant_get(stated, "$", "bigint")
+    return landing.withColumn(
+        "total_count", F.when((F.schema_of_variant(stated) == "BIGINT") & (number >= 0), number)
+    )
 
 
 def require_totals(landing: DataFrame, payload: str = "payload") -> DataFrame:
@@ -28,15 +33,21 @@ def require_totals(landing: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def missing_pages(
-    landed: DataFrame, totals: DataFrame, keys: Sequence[str], page_rows: int, block: int = 10_000
+    landed: DataFrame, totals: DataFrame, keys: Sequence[str], page_rows: int, block: int = 10_000,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Offsets ``0, page_rows, ...`` below the total that did not land: (keys..., offset).
 
-    ``totals`` has one row per walk with ``total_count``.  Expected offsets are made block by
+    ``totals`` has one row per walk with ``total_count``.  A walk bounded by ``max_rows`` is
+    expected to read that many rows, whatever the total.  Expected offsets are made block by
     block on all executors.
     """
     if page_rows < 1:
         raise ValueError("page_rows must be at least 1")
+    if max_rows is not None:
+        if max_rows < 1:
+            raise ValueError("max_rows must be at least 1")
+        totals = totals.withColumn("total_count", F.lit(max_rows).cast("bigint"))
     keys = list(keys)
     span = block * page_rows
     starts = F.sequence(F.lit(0).cast("long"), F.col("total_count") - 1, F.lit(span).cast("long"))

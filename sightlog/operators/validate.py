@@ -65,7 +65,7 @@ def coerce(value: Column, source: T.DataType, target: T.DataType) -> Column:
     return value.try_cast(target)
 
 
-def _rules(c: SpecColumn, source: T.DataType | None) -> list[Column]:
+def _rules(c: SpecColumn, source: T.DataType | None, shaped: bool) -> list[Column]:
     """The rules column ``c`` may break, each as a label or null."""
     typed, raw = F.col(c.name), F.col(_RAW + c.name)
     if source is None:
@@ -76,7 +76,10 @@ def _rules(c: SpecColumn, source: T.DataType | None) -> list[Column]:
     if c.is_array:
         rules.append(F.when(F.exists(typed, lambda v: v.isNull()), F.lit(f"{c.name}:type")))
     if c.required:
-        rules.append(F.when(raw.isNull(), F.lit(f"{c.name}:required")))
+        missing = raw.isNull()
+        if shaped:  # a value of a wrong type is there, but not as a value
+            missing &= ~F.array_contains(VIOLATIONS, f"{c.name}:type")
+        rules.append(F.when(missing, F.lit(f"{c.name}:required")))
     if c.ge is not None:
         rules.append(F.when(typed < F.lit(c.ge), F.lit(f"{c.name}:ge")))
     return rules
@@ -85,9 +88,11 @@ def _rules(c: SpecColumn, source: T.DataType | None) -> list[Column]:
 def validate(df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataFrame:
     """Declared columns in declared types, ``keep`` columns, and the broken rules per row.
 
-    Columns that are neither declared nor kept are dropped.  Types are converted in one
-    projection and judged in the next, so no value is converted twice.
+    Columns that are neither declared nor kept are dropped.  Rules that rows come with (a column
+    ``violations``, from parsing) count along.  Types are converted in one projection and judged
+    in the next, so no value is converted twice.
     """
+    shaped = VIOLATIONS in df.columns
     sources = {f.name: f.dataType for f in df.schema.fields}
     converted, rules = [], []
     for c in spec.columns:
@@ -100,8 +105,11 @@ def validate(df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> Data
                 raw = blank_to_null(raw)
             converted.append(coerce(raw, source, c.spark_type).alias(c.name))
             converted.append(raw.alias(_RAW + c.name))
-        rules.extend(_rules(c, source))
+        rules.extend(_rules(c, source, shaped))
     labels = F.array_compact(F.array(*rules)) if rules else F.array().cast("array<string>")
+    if shaped:
+        labels = F.array_distinct(F.concat(F.coalesce(VIOLATIONS, F.array().cast("array<string>")), labels))
+        converted.append(F.col(VIOLATIONS))
     return df.select(*converted, *keep).select(*spec.payload, *keep, labels.alias(VIOLATIONS))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sightlog.operators.limits import first_seen, limit_by
 from sightlog.sources.warehouse import Warehouse
-from sightlog.specs import TableSpec
+from sightlog.specs import SpecError, TableSpec
 from sightlog.tables import RAW_TABLES
 
 
@@ -19,6 +19,8 @@ def staging_view(
 
     ``columns`` asks for fewer payload columns, and then only those are read.
     """
+    if not spec.keep_states:
+        raise SpecError(f"{spec.full_name} is a plain log and has no states to collapse")
     wanted = list(spec.view_columns if columns is None else columns)
     out = [*wanted, "row_hash"]
     if set(wanted) <= set(spec.hash_columns):

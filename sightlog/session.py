@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -20,8 +19,6 @@ def build_session(app: str = "sightlog", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        # per-entity limits up to the queue's size are applied before the shuffle
-        "spark.sql.optimizer.windowGroupLimitThreshold": "5000",
         **conf,
     }
     for key, value in settings.items():
@@ -37,16 +34,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach.
-
-    The cluster names it in ``spark.checkpoint.dir``.  Only a local-mode session without
-    that setting (tests) gets a folder of its own; elsewhere a missing setting is an error.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or one in the warehouse, which
+    the session's executors share as well."""
     configured = spark.conf.get(SHARED_DIR_CONF, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {SHARED_DIR_CONF} to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="sightlog-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set(SHARED_DIR_CONF, made)
-    return made
+    return (configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
+
+
+def scratch_dir(spark: SparkSession, prefix: str = "run") -> str:
+    """A new folder under the shared one, removed when the session's JVM ends."""
+    folder = f"{shared_dir(spark)}/{prefix}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return folder

@@ -140,3 +140,47 @@ def test_keyed_pages(rows):
     assert sorted(got) == [5, 6]
     assert got[5]["price"] == 1.5 and got[5]["ccu"] is None and got[6]["score_rank"] is None
     assert all(r[VIOLATIONS] == [] for r in got.values())
+
+
+@pytest.mark.parametrize(
+    ("data", "label"),
+    [
+        ({"name": 5}, "name:type"),
+        ({"developers": "abc"}, "developers:type"),
+        ({"categories": {"id": 1}}, "categories:type"),
+        ({"categories": [None]}, "categories:type"),
+        ({"genres": [{"id": 1, "description": "x"}]}, "genres_id:type"),
+        ({"price_overview": "x"}, "price_overview:type"),
+        ({"package_groups": "y"}, "package_groups:type"),
+        ({"package_groups": [{"subs": {"packageid": 1}}]}, "package_groups:type"),
+        ({"website": {"a": 1}}, "website:type"),
+        ({"supported_languages": [1, 2]}, "supported_languages:type"),
+        ({"linux_requirements": ["x"]}, "linux_requirements:type"),
+        ({"release_date": {"date": 2020}}, "release_date:type"),
+        ({"required_age": [18]}, "required_age:type"),
+    ],
+)
+def test_wrong_shapes_stop_the_load(parse, tmp_path, data, label):
+    from sightlog.operators.validate import ValidationError
+    from sightlog.sources import staged
+
+    parsed = parse({"success": True, "data": {"name": "n", **data}})
+    assert card(parse, {"success": True, "data": {"name": "n", **data}})[VIOLATIONS] == [label]
+    with pytest.raises(ValidationError) as broken:
+        staged.stage(flatten.card_rows(parsed), CARDS, str(tmp_path / "cards"))
+    assert broken.value.counts == {label: 1}
+
+
+def test_blank_shapes_are_defaults(parse):
+    blank = {"categories": "", "genres": None, "price_overview": [], "package_groups": 0,
+             "pc_requirements": [], "release_date": False}
+    assert card(parse, {"success": True, "data": blank})[VIOLATIONS] == []
+    assert card(parse, {"success": False, "data": []})[VIOLATIONS] == []
+    assert card(parse, [])[VIOLATIONS] == []
+    assert card(parse, "text")[VIOLATIONS] == ["response:type"]
+
+
+def test_wrong_name_breaks_price_and_package_rows(parse):
+    parsed = parse({"success": True, "data": {"name": 5, "package_groups": [{"subs": [{"packageid": 1}]}]}})
+    assert validate(flatten.price_rows(parsed), PRICES).first()[VIOLATIONS] == ["name:type"]
+    assert validate(flatten.package_rows(parsed), PACKAGES).first()[VIOLATIONS] == ["name:type"]
