@@ -41,7 +41,7 @@ def is_blank(value: Column) -> Column:
     text, list or object, zero, false."""
     text = F.try_variant_get(value, "$", "string")
     items = F.try_variant_get(value, "$", "array<variant>")
-    nothing = kind(value).isin("VOID", "OBJECT<>") | (F.size(items) == 0)
+    nothing = kind(value).isin("VOID", "OBJECT<>") | (F.coalesce(F.size(items), F.lit(-1)) == 0)
     scalar = ~kind(value).startswith("ARRAY") & ~kind(value).startswith("OBJECT")
     return value.isNull() | nothing | (scalar & text.isin("", "0", "0.0", "false"))
 
@@ -110,6 +110,11 @@ def _labels(*rules: Column) -> Column:
     return F.array_compact(F.array(*rules))
 
 
+_FIELDS = (
+    "name", "required_age", "is_free", "supported_languages", "website", "pc_requirements",
+    "mac_requirements", "linux_requirements", "developers", "publishers", "categories", "genres",
+    "release_date", "price_overview", "package_groups",
+)
 _PRICE_FIELDS = (("price_initial", "initial"), ("price_final", "final"), ("discount_percent", "discount_percent"))
 
 
@@ -127,8 +132,11 @@ def parse_cards(landing: DataFrame, key: str = "appid", payload: str = "payload"
     opened = landing.select(F.col(key).alias("appid"), *carried, entry.alias(_ENTRY))
     opened = opened.select("appid", *carried, _ENTRY, field(F.col(_ENTRY), "data").alias(_DATA))
 
+    # each field is read once, into a column of its own
+    parts = [field(F.col(_DATA), name).alias(_ENTRY + name) for name in _FIELDS]
+    opened = opened.select("appid", *carried, _ENTRY, _DATA, *parts)
     source, data = F.col(_ENTRY), F.col(_DATA)
-    of = lambda name: field(data, name)
+    of = lambda name: F.col(_ENTRY + name)
     success = _field_text(field(source, "success"), "false")
     name = _only_text(of("name"), "")
     name_rule = _text_or_void(of("name"), "name:type")
