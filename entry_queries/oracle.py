@@ -440,13 +440,14 @@ SELECT 'cards' AS table_name, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT
 UNION ALL SELECT 'prices', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM good WHERE card_name IS NOT NULL
 UNION ALL SELECT 'packages', 2 * count(*), CAST(2 * sum(o_orderkey) AS BIGINT) FROM good""",
     "gated_loads": """WITH RECURSIVE y AS (
-  SELECT CAST(year(o_orderdate) AS INTEGER) AS yr, count(*) AS n FROM orders GROUP BY ALL),
-gate(yr, n, stored, last_n) AS (
-  SELECT yr, n, true, n FROM y WHERE yr = 1995
+  SELECT yr, n, row_number() OVER (ORDER BY yr) AS nth FROM (
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS yr, count(*) AS n FROM orders GROUP BY ALL)),
+gate(yr, nth, n, stored, last_n) AS (
+  SELECT yr, nth, n, true, n FROM y WHERE nth = 1
   UNION ALL
-  SELECT y.yr, y.n, greatest(y.n, last_n) / least(y.n, last_n) - 1 <= 0.5,
+  SELECT y.yr, y.nth, y.n, greatest(y.n, last_n) / least(y.n, last_n) - 1 <= 0.5,
          CASE WHEN greatest(y.n, last_n) / least(y.n, last_n) - 1 <= 0.5 THEN y.n ELSE last_n END
-  FROM gate JOIN y ON y.yr = gate.yr + 1)
+  FROM gate JOIN y ON y.nth = gate.nth + 1)
 SELECT make_timestamp(yr, 12, 31, 0, 30, 0) AS last_update, n AS n_rows,
        'row_count' AS metrics_name, CAST(n AS DOUBLE) AS metrics_value
 FROM gate WHERE stored""",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 from dataclasses import replace
 from datetime import date, datetime
@@ -42,8 +44,8 @@ QUEUE_CARDS = TableSpec(
     key=STATE_KEY,
 )
 
-LINEITEM_CHECK = Check(median_columns=("l_quantity", "l_extendedprice", "l_discount"))
-EVENT_CHECK = Check(median_columns=("value",))
+LINEITEM_CHECK = Check(medians=("l_quantity", "l_extendedprice", "l_discount"))
+EVENT_CHECK = Check(medians=("value",))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,10 +72,24 @@ def scratch(spark: SparkSession) -> str:
     return scratch_dir(spark)
 
 
+def scratch_database(spark: SparkSession) -> str:
+    """A new database, whose files go with the session and whose name with the process."""
+    name = f"run_{uuid.uuid4().hex[:12]}"
+    Warehouse(spark, scratch(spark)).create_databases([name])
+    atexit.register(_forget, spark, name)
+    return name
+
+
+def _forget(spark: SparkSession, database: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
 def scratch_table(spark: SparkSession, *specs: TableSpec) -> tuple[Warehouse, list[TableSpec]]:
-    """Empty tables in a database of their own."""
-    warehouse = Warehouse(spark, scratch(spark))
-    moved = [replace(s, schema=f"run_{uuid.uuid4().hex[:12]}") for s in specs]
+    """Empty tables in a new database."""
+    database = scratch_database(spark)
+    moved = [replace(s, schema=database) for s in specs]
+    warehouse = Warehouse(spark)
     warehouse.deploy(moved)
     return warehouse, moved
 

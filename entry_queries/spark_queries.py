@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,12 +16,13 @@ from sightlog.operators.limits import with_global_max
 from sightlog.operators.pages import islands, missing_pages, total_count, truncation
 from sightlog.operators.quality import (
     CheckError,
-    TableTest,
     collect_metrics,
     compare_series,
     freshness,
+    freshness_test,
     measure,
     not_null,
+    not_null_test,
     previous_metrics,
     run_tests,
 )
@@ -37,13 +39,13 @@ from sightlog.tables import CARDS, CATALOG, METRICS, PACKAGES, PRICES, SALE_LOG,
 QUERIES = {}
 
 
-def query(fn):
+def query(fn, name: str | None = None):
     """Register ``fn`` under its name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return R.comparable(fn(spark, sf_dir))
 
-    QUERIES[fn.__name__] = run
+    QUERIES[name or fn.__name__] = run
     return fn
 
 
@@ -301,8 +303,8 @@ def dq_drift(spark, sf_dir):
     )
 
 
-@query
-def freshness_test(spark, sf_dir):
+@partial(query, name="freshness_test")
+def freshness_cases(spark, sf_dir):
     events = R.table(spark, sf_dir, "events").withColumnRenamed("ts", "last_update")
     cases = [
         ("fresh", events, date(2024, 1, 31)),
@@ -550,11 +552,11 @@ def gated_loads(spark, sf_dir):
         F.col("o_custkey").alias("appid"), F.col("o_orderpriority").alias("name"),
         F.year("o_orderdate").alias("year"),
     )
-    for year in range(1995, 2002):
-        path, at = f"{base}/{year}", datetime(year, 12, 31, 0, 30)
-        staged.stage(orders.where(F.col("year") == year), catalog, path)
+    staged.stage(orders, catalog, f"{base}/orders", by=("year",))
+    for part in staged.parts(spark, f"{base}/orders"):
+        at = datetime(int(part.removeprefix("year=")), 12, 31, 0, 30)
         try:
-            gated_load(warehouse, catalog, path, at, "yearly", now=at, metrics_spec=metrics)
+            gated_load(warehouse, catalog, f"{base}/orders/{part}", at, "yearly", now=at, metrics_spec=metrics)
         except CheckError:
             continue
     stored = warehouse.read(catalog).groupBy("last_update").agg(
@@ -589,11 +591,11 @@ def stored_failures(spark, sf_dir):
     events = R.table(spark, sf_dir, "events").withColumnRenamed("ts", "last_update")
     outcomes = run_tests(
         [
-            TableTest("id_not_null", not_null(customers, "c_custkey"), "error"),
-            TableTest("segment_not_null", not_null(customers, "segment")),
-            TableTest("events_fresh", freshness(events, date(2024, 2, 5)), "error"),
+            not_null_test("id_not_null", customers, "c_custkey", "error"),
+            not_null_test("segment_not_null", customers, "segment"),
+            freshness_test("events_fresh", events, date(2024, 2, 5), severity="error"),
         ],
-        R.scratch(spark),
+        R.scratch_database(spark),
     )
     return spark.createDataFrame(
         [(o.name, o.status, o.failures) for o in outcomes],

@@ -67,7 +67,7 @@ def main() -> None:
         "latest_two": lambda: Q.latest_sales(staging_view(daily, SALE_LOG, ["appid"])),
         "compact": lambda: compact(daily, SALE_LOG),
         "unseen": lambda: unseen(daily.where("last_update > '2026-02-01'"), daily.where("last_update <= '2026-02-05'"), SALE_LOG),
-        "metrics": lambda: measure(log, Check(median_columns=("price", "appid"))),
+        "metrics": lambda: measure(log, Check(medians=("price", "appid"))),
         "batches": lambda: split_batches(log, "appid", 500),
         "queue": lambda: Q.fetch_queue(
             staging_view(states, CATALOG), staging_view(daily, SALE_LOG, ["appid"]),

@@ -2,28 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sightlog.functions.scalar import days_apart, instant, relative_drift
-from sightlog.operators.ranks import exact_median
+from sightlog.operators.ranks import band_rows, bands, exact_medians
 from sightlog.specs import Check, TableSpec
 
 EPOCH = date(1970, 1, 1)
 
 
 class CheckError(RuntimeError):
-    """A metric drifted past the error threshold."""
-
-
-def _approximate_median(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
-    wide = df.groupBy(*by).agg(
-        *[F.percentile_approx(F.col(c).cast("double"), 0.5, 10_000).alias(c) for c in columns]
-    )
-    return wide.unpivot(list(by), list(columns), "metrics_name", "metrics_value")
+    """A load that differs too much from the one before it."""
 
 
 def measure(
@@ -31,24 +24,25 @@ def measure(
 ) -> DataFrame:
     """Row count and medians, long form: (by..., metrics_name, agg_type, metrics_value).
 
-    ``by`` measures several loads at once.  A column without values has a null median.
+    ``by`` measures several loads at once.  A column without values has a null median.  One
+    pass counts rows and finds the medians, or with exact ones the values around them, which a
+    second pass orders.
     """
     by = list(by)
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).cast("double").alias("metrics_value"))
-    rows = counts.select(
-        *by, F.lit(check.count_metric).alias("metrics_name"),
-        F.lit("count").alias("agg_type"), "metrics_value",
+    around = bands(df, check.medians, by)
+    rows = around.select(
+        *by, F.lit(check.rows_as).alias("metrics_name"), F.lit("count").alias("agg_type"),
+        F.col("rows").cast("double").alias("metrics_value"),
     )
-    if not check.median_columns:
+    if not check.medians:
         return rows
-    find = _approximate_median if approximate else exact_median
-    medians = find(df, check.median_columns, by)
-    names = F.array(*[F.lit(c) for c in check.median_columns])
-    expected = counts.select(*by, F.explode(names).alias("metrics_name"))
+    named = band_rows(around, check.medians, by)
+    if approximate:
+        medians = named.withColumn("metrics_value", F.col("middle"))
+    else:
+        medians = exact_medians(df, check.medians, by, named)
     return rows.unionByName(
-        expected.join(medians, [*by, "metrics_name"], "left").select(
-            *by, "metrics_name", F.lit("median").alias("agg_type"), "metrics_value"
-        )
+        medians.select(*by, "metrics_name", F.lit("median").alias("agg_type"), "metrics_value")
     )
 
 
@@ -81,7 +75,7 @@ def previous_metrics(
     )
     last = same.where(F.col("last_update") <= at).agg(F.max("last_update")).scalar()
     return same.where(
-        (F.col("last_update") == last) & F.col("metrics_name").isin(*check.metric_names)
+        (F.col("last_update") == last) & F.col("metrics_name").isin(*check.measures)
     ).select("metrics_name", F.col("metrics_value").alias("old_value"))
 
 
@@ -91,11 +85,11 @@ def drift_columns(new: Column, old: Column, check: Check) -> list[Column]:
     status = (
         F.when(drift.isNull(), "skip")
         .when(F.isnan(drift), "ok")  # Spark orders NaN above every number
-        .when(drift > check.error_threshold, "error")
-        .when(drift > check.warn_threshold, "warn")
+        .when(drift > check.limits.stop, "error")
+        .when(drift > check.limits.report, "warn")
         .otherwise("ok")
     )
-    if check.fail_on_empty:
+    if check.empty_stops:
         status = F.when(new.isNull() | (new == 0), "error").otherwise(status)
     return [drift.alias("drift"), status.alias("status")]
 
@@ -121,12 +115,12 @@ def compare_series(
 
 def require_stable(compared: list, spec: TableSpec) -> None:
     """Stop the load if any compared metric is an error."""
-    bad = [r for r in compared if r["status"] == "error"]
-    if bad:
-        lines = [
-            f"{r['metrics_name']}: {r['old_value']} -> {r['new_value']}" for r in bad
-        ]
-        raise CheckError(f"{spec.full_name} drifted too far: " + "; ".join(lines))
+    moved = [
+        f"{r['metrics_name']} went from {r['old_value']} to {r['new_value']}"
+        for r in compared if r["status"] == "error"
+    ]
+    if moved:
+        raise CheckError(f"load of {spec.full_name} refused: {'; '.join(moved)}")
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -151,10 +145,12 @@ def freshness(
 
 @dataclass(frozen=True)
 class TableTest:
-    """A named test: a frame of failing rows, and what a failure means."""
+    """A named test of a table: an aggregate that counts its failures, and the failing rows."""
 
     name: str
-    failures: DataFrame
+    rows: DataFrame
+    failures: Column
+    failing: Callable[[DataFrame], DataFrame]
     severity: str = "warn"
 
 
@@ -165,16 +161,40 @@ class TestOutcome:
     failures: int
 
 
-def run_tests(tests: Sequence[TableTest], store: str) -> list[TestOutcome]:
-    """Keep the failing rows of each test under ``store`` and report pass, warn or error.
+def not_null_test(name: str, rows: DataFrame, column: str, severity: str = "warn") -> TableTest:
+    return TableTest(
+        name, rows, F.count_if(F.col(column).isNull()), lambda df: not_null(df, column), severity
+    )
+
+
+def freshness_test(
+    name: str, rows: DataFrame, run_date: date, max_days: int = 1, severity: str = "warn"
+) -> TableTest:
+    newest = F.coalesce(F.max(F.to_date("last_update")), F.lit(EPOCH))
+    stale = days_apart(newest, F.lit(run_date)) > max_days
+    return TableTest(
+        name, rows, stale.cast("bigint"), lambda df: freshness(df, run_date, max_days), severity
+    )
+
 
-    Rows are written once and counted from the written copy.
+def run_tests(tests: Sequence[TableTest], schema: str = "dbt_dq") -> list[TestOutcome]:
+    """Pass, warn or error of each test, with the failing rows as a table in ``schema``.
+
+    All tests of one frame are counted in one pass over it; rows are read again and stored only
+    for tests that fail.  The table of a test that passes is dropped.
     """
-    outcomes = []
+    frames: dict[int, list[TableTest]] = {}
+    for test in tests:
+        frames.setdefault(id(test.rows), []).append(test)
+    counts: dict[str, int] = {}
+    for group in frames.values():
+        measured = [t.failures.alias(f"t{i}") for i, t in enumerate(group)]
+        found = group[0].rows.agg(*measured).first()
+        counts |= {t.name: found[f"t{i}"] for i, t in enumerate(group)}
     for test in tests:
-        path = f"{store}/{test.name}"
-        test.failures.write.mode("overwrite").parquet(path)
-        written = test.failures.sparkSession.read.schema(test.failures.schema).parquet(path)
-        failed = written.count()
-        outcomes.append(TestOutcome(test.name, test.severity if failed else "pass", failed))
-    return outcomes
+        spark, table = test.rows.sparkSession, f"{schema}.{test.name}"
+        if counts[test.name]:
+            test.failing(test.rows).write.mode("overwrite").saveAsTable(table)
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return [TestOutcome(t.name, t.severity if counts[t.name] else "pass", counts[t.name]) for t in tests]

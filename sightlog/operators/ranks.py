@@ -1,19 +1,25 @@
 """Ranks and medians over whole frames without bringing them into one task.
 
-The input is always a frame of distinct values with their counts.  Values are cut into
-ranges holding about equally many distinct values, ranges are summed, and only the small
-range totals (a fixed number per group) are put in one order.  Results are exact: the cut
+Medians come from two passes: a summary of ranks gives bounds around the middle of each column,
+and only values between them are ordered.  Positions in a long queue come from ranges of about
+equally many distinct keys; range totals are put in one order.  Results are exact: bounds and cut
 points decide how work is spread, never what comes out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 RANGES = 1024
-GROUP_RANGES = 64
+
+#: Entries of the rank summary: ranks are off by at most a share of 1 / ACCURACY.
+ACCURACY = 10_000
+#: Share of the ranks kept on either side of a median: ten times that.
+BAND = 10 / ACCURACY
+
 _BUCKET = "__bucket"
 _CUTS = "__cuts"
 
@@ -35,89 +41,108 @@ def _bucket_of(value: Column, cuts: Column, ranges: int) -> Column:
 
 
 def into_ranges(
-    counts: DataFrame, value: str, by: Sequence[str], weight: str, few_groups: bool = False,
-    ranges: int = RANGES,
+    counts: DataFrame, value: str, weight: str, ranges: int = RANGES
 ) -> DataFrame:
-    """``counts`` with the range each distinct value falls in; ``ranges`` is a power of two.
-
-    ``few_groups`` states that ``by`` has a bounded number of groups (one per declared
-    column), so their cut points can be broadcast; otherwise the join strategy is left to
-    the measured size.
-    """
+    """``counts`` with the range each distinct value falls in; ``ranges`` is a power of two."""
     fractions = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
     # the always-true test on the weight keeps this branch on the same shuffle as the others
-    cuts = counts.groupBy(*by).agg(
+    cuts = counts.agg(
         F.expr(
             f"percentile_approx(CASE WHEN {weight} > 0 THEN {value} END, "
             f"array({fractions}), {4 * ranges})"
         ).alias(_CUTS)
     )
-    if by:
-        with_cuts = counts.join(F.broadcast(cuts) if few_groups else cuts, list(by))
-    else:
-        with_cuts = counts.withColumn(_CUTS, cuts.select(_CUTS).scalar())
+    with_cuts = counts.withColumn(_CUTS, cuts.select(_CUTS).scalar())
     bucket = _bucket_of(F.col(value), F.col(_CUTS), ranges)
     return with_cuts.withColumn(_BUCKET, bucket).drop(_CUTS)
 
 
-def range_totals(ranged: DataFrame, by: Sequence[str], weight: str) -> DataFrame:
-    """Per range: rows in it and rows in earlier ranges of the same group."""
-    totals = ranged.groupBy(*by, _BUCKET).agg(F.sum(weight).alias("inside"))
-    window = Window.partitionBy(*by).orderBy(_BUCKET)
+def range_totals(ranged: DataFrame, weight: str) -> DataFrame:
+    """Per range: rows in it and rows in earlier ranges; one row each, ordered in one task."""
+    totals = ranged.groupBy(_BUCKET).agg(F.sum(weight).alias("inside"))
+    window = Window.orderBy(_BUCKET)
     upto = F.sum("inside").over(window.rowsBetween(Window.unboundedPreceding, 0))
     return totals.withColumn("before", upto - F.col("inside"))
 
 
-def exact_median(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
+def bands(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows of each group, and for each column its values, an approximate median and two bounds
+    around it: (by..., rows, n_i, q_i) for column number i.
+
+    The bounds lie BAND of the rows to either side, several times what the approximation may be
+    off, so the exact middle is between them.
+    """
+    found = []
+    for i, c in enumerate(columns):
+        value = F.col(c).cast("double")
+        at = [max(0.0, 0.5 - BAND), 0.5, min(1.0, 0.5 + BAND)]
+        found += [F.count(value).alias(f"n_{i}"), F.percentile_approx(value, at, ACCURACY).alias(f"q_{i}")]
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *found)
+
+
+def band_rows(around: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``bands`` as rows: (by..., metrics_name, n, low, middle, high)."""
+    each = F.array(*[
+        F.struct(
+            F.lit(c).alias("metrics_name"), F.col(f"n_{i}").alias("n"), F.get(f"q_{i}", F.lit(0)).alias("low"),
+            F.get(f"q_{i}", F.lit(1)).alias("middle"), F.get(f"q_{i}", F.lit(2)).alias("high"),
+        )
+        for i, c in enumerate(columns)
+    ])
+    return around.select(*by, F.explode(each).alias("e")).select(*by, "e.*")
+
+
+def exact_medians(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str], around: DataFrame
 ) -> DataFrame:
-    """Interpolated median of each column, long form: (by..., metrics_name, metrics_value).
+    """Interpolated median of each column: (by..., metrics_name, metrics_value), null where a
+    column has no values.
 
-    Nulls are skipped; a column without values gives no row.
+    ``around`` are the ``band_rows`` of the same frame.  Values are counted, those below the band
+    are summed without being ordered, and only the band's are ordered: a share of about
+    2 * BAND of a group's rows, whatever its size.
     """
-    by = list(by)
     group = [*by, "metrics_name"]
     long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        by, list(columns), "metrics_name", "value"
-    )
-    counts = (
-        long.where(F.col("value").isNotNull())
-        .groupBy(*group, "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    one_load = not by
-    ranged = into_ranges(
-        counts, "value", group, "rows", few_groups=one_load,
-        ranges=RANGES if one_load else GROUP_RANGES,
+        list(by), list(columns), "metrics_name", "value"
     )
-    totals = range_totals(ranged, group, "rows")
-    total = F.sum("inside").over(Window.partitionBy(*group))
-    low, high = F.expr("(total + 1) div 2"), F.expr("total div 2 + 1")
-    upto = F.col("before") + F.col("inside")
-    middle = (
-        totals.withColumn("total", total)
-        .withColumns({"low": low, "high": high})
-        .where(
-            ((F.col("before") < F.col("low")) & (F.col("low") <= upto))
-            | ((F.col("before") < F.col("high")) & (F.col("high") <= upto))
+    counts = long.where(F.col("value").isNotNull()).groupBy(*group, "value").agg(F.count(F.lit(1)).alias("rows"))
+    # without groups there is a row per declared column; else sizes decide, measured at run time
+    bounds = around if by else F.broadcast(around)
+    value = F.col("value")
+    placed = (
+        counts.join(bounds, _same(counts, bounds, group)).select(
+            *[counts[g] for g in group], "n", "rows", "high",
+            F.when(value >= F.col("low"), value).alias("value"),
         )
-        .select(*group, _BUCKET, "before", "low", "high")
+        .where(F.col("value").isNull() | (F.col("value") <= F.col("high")))
+        .groupBy(*group, "n", "value").agg(F.sum("rows").alias("rows"))
     )
-    running = F.sum("rows").over(
-        Window.partitionBy(*group, _BUCKET)
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.sum("rows").over(
+        Window.partitionBy(*group).orderBy(F.asc_nulls_first("value")).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    low, high = F.expr("(n + 1) div 2"), F.expr("n div 2 + 1")
+    ranked = placed.withColumn("upto", upto)
+    inside = F.col("value").isNotNull()
+    ends = ranked.groupBy(*group).agg(
+        F.min(F.when(inside & (F.col("upto") >= low), value)).alias("a"),
+        F.min(F.when(inside & (F.col("upto") >= high), value)).alias("b"),
+        F.max(F.when(~inside, F.col("upto") >= low)).alias("missed"),
     )
-    # at most two ranges per column hold the middle ranks
-    middle = F.broadcast(middle) if one_load else middle
-    placed = ranged.join(middle, [*group, _BUCKET]).withColumn(
-        "rank", F.col("before") + running
+    held = F.coalesce(~F.col("missed"), F.lit(True)) & F.col("a").isNotNull() & F.col("b").isNotNull()
+    median = F.when(held, (F.col("a") + F.col("b")) / 2).otherwise(
+        F.raise_error(F.lit("the middle of a column lies outside its band"))
     )
-    ends = placed.groupBy(*group).agg(
-        F.min(F.when(F.col("rank") >= F.col("low"), F.col("value"))).alias("a"),
-        F.min(F.when(F.col("rank") >= F.col("high"), F.col("value"))).alias("b"),
+    found = ends.select(*group, median.cast("double").alias("metrics_value"))
+    return around.join(found, _same(around, found, group), "left").select(
+        *[around[g] for g in group], "metrics_value"
     )
-    return ends.select(*group, ((F.col("a") + F.col("b")) / 2).alias("metrics_value"))
+
+
+def _same(a: DataFrame, b: DataFrame, names: Sequence[str]) -> Column:
+    """Equality of all columns named, nulls alike: a load without a key is a load."""
+    equal = [a[n].eqNullSafe(b[n]) for n in names]
+    return reduce(lambda x, y: x & y, equal)
 
 
 def split_batches(queue: DataFrame, key: str, size: int, copies_per_block: int = 100_000) -> DataFrame:
@@ -131,8 +156,8 @@ def split_batches(queue: DataFrame, key: str, size: int, copies_per_block: int =
     counts = (
         queue.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     )
-    ranged = into_ranges(counts, key, [], "rows")
-    totals = range_totals(ranged, [], "rows").select(_BUCKET, "before")
+    ranged = into_ranges(counts, key, "rows")
+    totals = range_totals(ranged, "rows").select(_BUCKET, "before")
     running = F.sum("rows").over(
         Window.partitionBy(_BUCKET).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     )

@@ -120,20 +120,3 @@ def violation_counts(validated: DataFrame) -> DataFrame:
         .groupBy("rule")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-
-
-def require_valid(validated: DataFrame, spec: TableSpec) -> DataFrame:
-    """The rows without the rule column; any broken rule stops the load.
-
-    The driver receives one number per declared rule.
-    """
-    counts = {r["rule"]: r["rows"] for r in violation_counts(validated).collect()}
-    if counts:
-        raise ValidationError(spec.full_name, counts)
-    return validated.drop(VIOLATIONS)
-
-
-def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid rows, and rows to quarantine with the rules they broke."""
-    clean = F.size(VIOLATIONS) == 0
-    return validated.where(clean).drop(VIOLATIONS), validated.where(~clean)

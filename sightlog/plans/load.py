@@ -16,14 +16,17 @@ from sightlog.operators.quality import (
 )
 from sightlog.sources import staged
 from sightlog.sources.warehouse import Warehouse
-from sightlog.specs import TableSpec
+from sightlog.specs import Check, TableSpec
 from sightlog.tables import METRICS
 
 logger = logging.getLogger(__name__)
 
+#: Says that a load is gated by the check its table declares.
+TABLE_CHECK = "table"
+
 
 def check_load(
-    warehouse: Warehouse, rows: DataFrame, spec: TableSpec, at: datetime, load: str,
+    warehouse: Warehouse, rows: DataFrame, spec: TableSpec, check: Check, at: datetime, load: str,
     metrics_spec: TableSpec = METRICS,
 ) -> DataFrame:
     """Metrics of a load that stays within its thresholds; raises CheckError otherwise.
@@ -31,18 +34,19 @@ def check_load(
     Only the metric rows, one per declared metric, come to the driver.
     """
     spark = warehouse.spark
-    measured = collect_metrics(rows, spec, spec.check, at, load).drop("last_update").collect()
+    measured = collect_metrics(rows, spec, check, at, load).drop("last_update").collect()
     metrics = spark.createDataFrame(
         measured,
         "dag_id string, schema_name string, table_name string, metrics_name string, "
         "agg_type string, metrics_value double",
     ).withColumn("last_update", instant(at))
-    previous = previous_metrics(warehouse.read(metrics_spec), spec, spec.check, at, load)
-    compared = compare_metrics(metrics, previous, spec.check).collect()
+    previous = previous_metrics(warehouse.read(metrics_spec), spec, check, at, load)
+    compared = compare_metrics(metrics, previous, check).collect()
     for row in compared:
         if row["status"] == "warn":
             logger.warning(
-                "%s %s drifted %.1f%%", spec.full_name, row["metrics_name"], 100 * row["drift"]
+                "%s of %s moved by %.0f %% since the load before",
+                row["metrics_name"], spec.full_name, 100 * row["drift"],
             )
     require_stable(compared, spec)
     return metrics
@@ -58,18 +62,23 @@ def gated_load(
     files_per_batch: int | None = None,
     skip_known: bool = False,
     metrics_spec: TableSpec = METRICS,
+    check: Check | None | str = TABLE_CHECK,
 ) -> None:
     """Load a staged directory into its table.
 
+    The table's check gates the load unless ``check`` gives another, or None for none: a full
+    crawl is not held to what daily slices of the same table are.
+
     The drift check comes first, so a load that fails it leaves tables and metrics as they
     were and its staged files in place.  The directory goes only after data and metrics are
     stored.  ``at`` stamps the metrics (the run), ``now`` the rows (the load).
     """
     spark = warehouse.spark
     metrics = None
-    if spec.check and staged.parquet_files(spark, staged_dir):
+    wanted = spec.check if check == TABLE_CHECK else check
+    if wanted and staged.has_rows_staged(spark, staged_dir):
         rows = staged.read_staged(spark, spec, staged_dir)
-        metrics = check_load(warehouse, rows, spec, at, load, metrics_spec)
+        metrics = check_load(warehouse, rows, spec, wanted, at, load, metrics_spec)
     warehouse.append_directory(spec, staged_dir, now, files_per_batch, skip_known)
     if metrics is not None:
         warehouse.append_payload(metrics_spec, metrics)

@@ -155,6 +155,19 @@ def fetch_queue(
     )
 
 
+class QueueError(ValueError):
+    """A queue that cannot be worked off."""
+
+
+def require_workable(queue: DataFrame) -> None:
+    """An empty queue and ids below 1 are errors."""
+    found = queue.agg(F.count(F.lit(1)).alias("n"), F.min("appid").alias("least")).first()
+    if not found["n"]:
+        raise QueueError("the queue holds no ids")
+    if found["least"] is None or found["least"] < 1:
+        raise QueueError(f"ids must be 1 or more, the least is {found['least']}")
+
+
 def export_queue(queue: DataFrame) -> DataFrame:
     """Queue in ascending id order, duplicates kept."""
     return queue.select("appid").orderBy("appid")

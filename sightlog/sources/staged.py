@@ -3,22 +3,19 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sightlog.operators import flatten
-from sightlog.operators.validate import (
-    ValidationError,
-    split_valid,
-    validate,
-    violation_counts,
-)
+from sightlog.operators.validate import VIOLATIONS, ValidationError, validate, violation_counts
 from sightlog.specs import TableSpec
 from sightlog.tables import CARDS, PACKAGES, PRICES
 
 logger = logging.getLogger(__name__)
 
+_GOOD = "row_good"
+
 
 class StageError(ValueError):
     """A staged directory or a parameter that cannot be loaded."""
@@ -29,45 +26,94 @@ def _path(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
 
-def parquet_files(spark: SparkSession, path: str) -> list[str]:
-    """Parquet files of a directory in name order; anything but a directory is an error."""
-    fs, jvm_path = _path(spark, path)
-    if not fs.exists(jvm_path) or not fs.getFileStatus(jvm_path).isDirectory():
+def _files(spark: SparkSession, path: str) -> Iterator[str]:
+    """Parquet files of a directory, one at a time; anything but a directory is an error."""
+    fs, folder = _path(spark, path)
+    if not fs.exists(folder) or not fs.getFileStatus(folder).isDirectory():
         raise StageError(f"not a directory: {path}")
-    names = [str(s.getPath().toString()) for s in fs.listStatus(jvm_path) if s.isFile()]
-    return sorted(n for n in names if n.endswith(".parquet"))
+    listing = fs.listStatusIterator(folder)
+    while listing.hasNext():
+        found = listing.next()
+        if found.isFile() and found.getPath().getName().endswith(".parquet"):
+            yield found.getPath().toString()
+
+
+def has_rows_staged(spark: SparkSession, path: str) -> bool:
+    """Whether a directory holds a Parquet file; looks no further than the first."""
+    return next(_files(spark, path), None) is not None
+
+
+def portions(spark: SparkSession, path: str, files: int | None = None) -> list[str | list[str]]:
+    """What to load one after another: the directory, or its files by ``files`` at a time.
+
+    Names are listed only if they are asked for.
+    """
+    if files is None:
+        return [path] if has_rows_staged(spark, path) else []
+    if files < 1:
+        raise StageError(f"a portion needs at least one file, not {files}")
+    ordered = sorted(_files(spark, path))
+    return [ordered[i:i + files] for i in range(0, len(ordered), files)]
+
+
+def parts(spark: SparkSession, path: str) -> list[str]:
+    """Sub-directories of a directory that was staged by a column, in name order."""
+    fs, folder = _path(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(folder) if f.isDirectory())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _path(spark, path)
+    return fs.exists(folder)
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    fs, jvm_path = _path(spark, path)
-    fs.delete(jvm_path, True)
+    fs, folder = _path(spark, path)
+    if fs.exists(folder) and not fs.delete(folder, True):
+        raise StageError(f"could not remove {path}")
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a directory in the place of another."""
+    remove(spark, target)
+    fs, to = _path(spark, target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(_path(spark, source)[1], to):
+        raise StageError(f"could not move {source} to {target}")
 
 
-def stage(df: DataFrame, spec: TableSpec, path: str, quarantine: str | None = None) -> None:
+def stage(
+    df: DataFrame, spec: TableSpec, path: str, quarantine: str | None = None,
+    by: tuple[str, ...] = (),
+) -> None:
     """Validate rows and write the typed payload to ``path``.
 
-    Rows are parsed, checked and written once, next to the rules they break; the count of
-    broken rules is read back from that one column, and readers of the stage leave it out.
-    A broken rule stops the load; with ``quarantine`` the rows at fault go there instead.
+    Rows are checked and written once, apart by whether they break a rule, under a name that no
+    load looks at; the good ones are put in place last, so a directory that is there is whole.
+    A broken rule stops the load; with ``quarantine`` the rows at fault replace what an earlier
+    run put there.  ``by`` makes a sub-directory for each value of these columns.
     """
-    spark = df.sparkSession
-    validated = validate(df, spec)
-    validated.write.mode("overwrite").parquet(path)
-    written = spark.read.schema(validated.schema).parquet(path)
-    counts = {r["rule"]: r["rows"] for r in violation_counts(written).collect()}
-    if not counts:
-        return
-    if quarantine is None:
-        remove(spark, path)
-        raise ValidationError(spec.full_name, counts)
-    logger.warning("%s: rows quarantined by rule: %s", spec.full_name, counts)
-    valid, broken = split_valid(written)
-    broken.write.mode("append").parquet(quarantine)
-    kept = f"{path}__kept"
-    valid.write.mode("overwrite").parquet(kept)
-    remove(spark, path)
-    fs, kept_path = _path(spark, kept)
-    fs.rename(kept_path, _path(spark, path)[1])
+    spark, writing = df.sparkSession, f"{path}__writing"
+    remove(spark, writing)
+    validated = validate(df, spec, keep=by)
+    flagged = validated.withColumn(_GOOD, F.size(VIOLATIONS) == 0)
+    flagged.write.partitionBy(_GOOD, *by).parquet(writing)
+    good, broken = f"{writing}/{_GOOD}=true", f"{writing}/{_GOOD}=false"
+    if exists(spark, broken):
+        found = violation_counts(spark.read.schema(validated.schema).parquet(broken)).collect()
+        counts = {r["rule"]: r["rows"] for r in found}
+        if quarantine is None:
+            remove(spark, writing)
+            raise ValidationError(spec.full_name, counts)
+        logger.warning("%s: rows quarantined by rule: %s", spec.full_name, counts)
+        move(spark, broken, quarantine)
+    elif quarantine is not None:
+        remove(spark, quarantine)
+    if not exists(spark, good):  # no good rows: an empty directory
+        fs, folder = _path(spark, good)
+        fs.mkdirs(folder)
+    move(spark, good, path)
+    remove(spark, writing)
 
 
 # Which rows of a parsed card response go to which table.

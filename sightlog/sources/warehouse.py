@@ -6,13 +6,12 @@ import logging
 from collections.abc import Sequence
 from datetime import date, datetime, timezone
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sightlog.functions.hashing import with_audit
 from sightlog.operators.compaction import compact, unseen
+from sightlog.session import use_utc
 from sightlog.sources import staged
-from sightlog.sources.staged import StageError
 from sightlog.specs import TableSpec
 
 logger = logging.getLogger(__name__)
@@ -30,15 +29,15 @@ class Warehouse:
     """
 
     def __init__(self, spark: SparkSession, location: str | None = None):
-        self.spark = spark
+        self.spark = use_utc(spark)
         self.location = location
 
     def execute(self, statement: str) -> None:
         self.spark.sql(statement)
 
-    def to_arrow(self, query: str) -> pa.Table:
-        """Result of a query on the driver; for small results."""
-        return self.spark.sql(query).toArrow()
+    def export(self, query: str, path: str) -> None:
+        """Result of a query as Parquet, written by the executors."""
+        self.spark.sql(query).write.mode("overwrite").parquet(path)
 
     def create_databases(self, names: Sequence[str]) -> None:
         for name in names:
@@ -99,7 +98,7 @@ class Warehouse:
         """Audit and append payload rows; ``skip_known`` leaves out states already stored.
 
         Rows without a ``last_update`` get one load time, fixed here, so the table needs to
-        be searched in one month only.
+        be searched in one month only; stamped rows are searched for in the months they span.
         """
         stamped = "last_update" in df.columns
         if not stamped and now is None:
@@ -114,29 +113,33 @@ class Warehouse:
         self, spec: TableSpec, path: str, now: datetime | None = None,
         files_per_batch: int | None = None, skip_known: bool = False,
     ) -> int:
-        """Append a staged directory; returns the number of appends made.
+        """Append a staged directory, whole or by portions; returns the number of appends."""
+        todo = staged.portions(self.spark, path, files_per_batch)
+        for portion in todo:
+            rows = staged.read_staged(self.spark, spec, portion)
+            self.append_payload(spec, rows, now, skip_known)
+        if not todo:
+            logger.warning("%s: nothing staged for %s", path, spec.full_name)
+        return len(todo)
+
+    def create_views(self, specs: Sequence[TableSpec], schema: str | None = "staging") -> None:
+        """A staging view for each table, kept in the catalog for later sessions.
 
-        One append takes the whole directory unless ``files_per_batch`` asks for more.
+        Without ``schema`` a view stands beside its table.
         """
-        if files_per_batch is not None and files_per_batch < 1:
-            raise StageError(f"files_per_batch must be at least 1, got {files_per_batch}")
-        files = staged.parquet_files(self.spark, path)
-        if not files:
-            logger.warning("no parquet files in %s", path)
-            return 0
-        step = files_per_batch or len(files)
-        batches = [files[i:i + step] for i in range(0, len(files), step)]
-        for batch in batches:
-            rows = staged.read_staged(self.spark, spec, path if len(batches) == 1 else batch)
-            self.append_payload(spec, rows, now, skip_known)
-        return len(batches)
+        for spec in specs:
+            where = schema_name(schema, spec.schema)
+            self.create_databases([where])
+            self.execute(f"CREATE OR REPLACE VIEW {where}.stg_{spec.name} AS {view_sql(spec)}")
 
     def compact(self, spec: TableSpec, months: Sequence[date] | None = None) -> None:
         """Rewrite month partitions with one row per key, clustered by key.
 
         Range partitioning on (month, key) gives balanced files that cover narrow key
-        ranges; only the partitions written are replaced.
+        ranges; only the partitions written are replaced.  A plain log stays as it is.
         """
+        if not spec.keep_states:
+            return
         df = self.read(spec)
         columns = df.columns
         if months is not None:
@@ -176,9 +179,23 @@ class Warehouse:
         )
 
 
+def view_sql(spec: TableSpec) -> str:
+    """SQL of a table's staging view: one row per key, with its first sighting."""
+    keys = ", ".join(spec.key)
+    columns = ", ".join(f"`{c}`" for c in (*spec.view_columns, "row_hash"))
+    if set(spec.view_columns) <= set(spec.hash_columns):
+        return (
+            f"SELECT {columns}, min(last_update) AS last_update FROM {spec.full_name} "
+            f"GROUP BY {columns}, {keys}"
+        )
+    loose = ", ".join(c for c in spec.view_columns if c not in spec.hash_columns)
+    return (
+        f"SELECT {columns}, last_update FROM {spec.full_name} "
+        f"QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY last_update, {loose}) = 1"
+    )
+
+
 def _literal(value: object) -> str:
     if isinstance(value, str):
         return "'" + value.replace("'", "\\'") + "'"
     return str(value)
-
-

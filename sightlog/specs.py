@@ -77,19 +77,31 @@ class Column:
         return isinstance(self.spark_type, T.ArrayType)
 
 
+@dataclass(frozen=True)
+class Limits:
+    """Relative drift above which a metric is reported, and above which it stops the load."""
+
+    # The shares of the previous value.
+    report: float = 0.20
+    stop: float = 0.50
+
+
 @dataclass(frozen=True)
 class Check:
-    """What a load is compared on, and how far a metric may drift from the previous load."""
+    """What a load is compared on with the load before: its rows and medians of columns.
+
+    An empty load passes, as there is nothing to compare, unless ``empty_stops``.
+    """
 
-    median_columns: tuple[str, ...] = ()
-    warn_threshold: float = 0.20
-    error_threshold: float = 0.50
-    count_metric: str = "row_count"
-    fail_on_empty: bool = False
+    medians: tuple[str, ...] = ()
+    limits: Limits = Limits()
+    rows_as: str = "row_count"
+    empty_stops: bool = False
 
     @property
-    def metric_names(self) -> tuple[str, ...]:
-        return (self.count_metric, *self.median_columns)
+    def measures(self) -> dict[str, str]:
+        """Kind of each metric by its name."""
+        return {self.rows_as: "count"} | dict.fromkeys(self.medians, "median")
 
 
 @dataclass(frozen=True)
@@ -127,7 +139,7 @@ class TableSpec:
             object.__setattr__(self, "view_columns", tuple(names))
         unknown = {*self.hash_columns, *self.view_columns} - set(names)
         if self.check:
-            unknown |= set(self.check.median_columns) - set(names)
+            unknown |= set(self.check.medians) - set(names)
         if unknown:
             raise SpecError(f"table {self.full_name}: unknown columns {sorted(unknown)}")
 

@@ -66,7 +66,7 @@ PRICES = TableSpec(
         Column("discount_percent", int | None, ge=0, blank_to_null=True),
     ),
     key=DAILY_KEY,
-    check=Check(median_columns=("price_initial", "price_final", "discount_percent")),
+    check=Check(medians=("price_initial", "price_final", "discount_percent")),
 )
 
 # ``name`` joined the table after its first loads: it is no part of a state or of the view.
@@ -83,7 +83,7 @@ PACKAGES = TableSpec(
     key=("appid", "packageid", "row_hash"),
     hash_columns=("appid", "packageid", "package_option_text", "package_price_with_discount"),
     view_columns=("appid", "packageid", "package_option_text", "package_price_with_discount"),
-    check=Check(median_columns=("package_price_with_discount",)),
+    check=Check(medians=("package_price_with_discount",)),
     added_defaults={"name": ""},
 )
 

@@ -53,8 +53,8 @@ def test_view_with_a_late_column(rows):
     assert [r["name"] for r in view.collect()] == ["old"]
 
 
-@pytest.mark.parametrize("threshold", [1000, 2])
-def test_limit_by_against_brute_force(spark, rows, threshold):
+@pytest.mark.parametrize("slices", [None, 4])
+def test_limit_by_against_brute_force(rows, slices):
     rng = random.Random(3)
     # one key holds most rows
     data = [(rng.choice([1, 1, 1, 2, 3]), rng.randrange(20), i) for i in range(400)]
@@ -63,14 +63,9 @@ def test_limit_by_against_brute_force(spark, rows, threshold):
     for key in {k for k, _, _ in data}:
         mine = sorted((r for r in data if r[0] == key), key=lambda r: (-r[1], r[2]))
         expected |= set(mine[:3])
-    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", threshold)
-    try:
-        got = limit_by(df, 3, ["k"], [F.desc("v")], ["i"], slices=4)
-        assert {tuple(r) for r in got.collect()} == expected
-        assert got.columns == ["k", "v", "i"]
-    finally:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
+    got = limit_by(df, 3, ["k"], [F.desc("v")], ["i"], slices)
+    assert {tuple(r) for r in got.collect()} == expected
+    assert got.columns == ["k", "v", "i"]
 
 
 def test_limit_by_needs_a_tie_breaker(rows):

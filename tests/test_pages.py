@@ -14,10 +14,11 @@ from sightlog.operators.pages import (
 
 def test_total_count(rows):
     df = rows([(1, '{"total_count": 250}'), (2, '{"total_count": -1}'), (3, '{"total_count": "x"}'),
-               (4, "{}"), (5, None), (6, "{bad"), (7, '{"total_count": 0}')], "id int, payload string")
+               (4, "{}"), (5, None), (6, "{bad"), (7, '{"total_count": 0}'),
+               (8, '{"total_count": "72"}'), (9, '{"total_count": 72.0}')], "id int, payload string")
     got = {r["id"]: r["total_count"] for r in total_count(df).collect()}
-    assert got == {1: 250, 2: None, 3: None, 4: None, 5: None, 6: None, 7: 0}
-    with pytest.raises(PageError, match="^5 "):
+    assert got == {1: 250, 2: None, 3: None, 4: None, 5: None, 6: None, 7: 0, 8: None, 9: None}
+    with pytest.raises(PageError, match="^7 "):
         require_totals(df)
     assert require_totals(df.where("id in (1, 7)")).count() == 2
 

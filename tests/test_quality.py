@@ -6,13 +6,13 @@ import pytest
 from sightlog.functions.hashing import with_audit
 from sightlog.operators.quality import (
     CheckError,
-    TableTest,
     collect_metrics,
     compare_metrics,
     compare_series,
     freshness,
     measure,
     not_null,
+    not_null_test,
     previous_metrics,
     require_stable,
     run_tests,
@@ -21,7 +21,7 @@ from sightlog.specs import Check
 from sightlog.tables import PRICES
 
 AT = datetime(2025, 11, 3, 0, 30)
-CHECK = Check(median_columns=("price_initial", "price_final"))
+CHECK = Check(medians=("price_initial", "price_final"))
 HISTORY = (
     "dag_id string, schema_name string, table_name string, metrics_name string, "
     "agg_type string, metrics_value double, last_update timestamp"
@@ -102,7 +102,7 @@ def test_first_load_is_skipped(rows):
 
 
 def test_empty_load_can_be_an_error(rows):
-    check = Check(fail_on_empty=True)
+    check = Check(empty_stops=True)
     metrics = rows([("row_count", 0.0)], "metrics_name string, metrics_value double")
     previous = rows([("row_count", 5.0)], "metrics_name string, old_value double")
     assert compare_metrics(metrics, previous, check).first()["status"] == "error"
@@ -126,16 +126,19 @@ def test_empty_table_is_not_fresh(rows):
     assert [r["last_observed_date"] for r in got] == [date(1970, 1, 1)]
 
 
-def test_run_tests_stores_failures(spark, rows, tmp_path):
+def test_run_tests_stores_failures(spark, rows):
+    spark.sql("CREATE DATABASE IF NOT EXISTS dq_test")
     df = rows([(1, None), (2, "x")], "appid long, name string")
-    outcomes = run_tests(
-        [TableTest("null_name", not_null(df, "name")), TableTest("null_id", not_null(df, "appid"), "error"),
-         TableTest("strict", not_null(df, "name"), "error")],
-        str(tmp_path / "dq"),
-    )
+    tests = [not_null_test("null_name", df, "name"), not_null_test("null_id", df, "appid", "error"),
+             not_null_test("strict", df, "name", "error")]
+    for _ in range(2):
+        outcomes = run_tests(tests, "dq_test")
     assert [(o.name, o.status, o.failures) for o in outcomes] == [
         ("null_name", "warn", 1), ("null_id", "pass", 0), ("strict", "error", 1)]
-    assert spark.read.parquet(str(tmp_path / "dq" / "null_name")).first()["appid"] == 1
+    assert spark.table("dq_test.null_name").first()["appid"] == 1
+    assert not spark.catalog.tableExists("dq_test.null_id")
+    run_tests([not_null_test("null_name", df.where("name IS NOT NULL"), "name")], "dq_test")
+    assert not spark.catalog.tableExists("dq_test.null_name")
 
 
 def test_metrics_hash_ignores_the_load(rows):

@@ -4,7 +4,13 @@ from collections import defaultdict
 
 import pytest
 
-from sightlog.operators.ranks import exact_median, split_batches
+from sightlog.operators.quality import measure
+from sightlog.operators.ranks import split_batches
+from sightlog.specs import Check
+
+
+def exact_median(df, columns, by=()):
+    return measure(df, Check(medians=tuple(columns)), by).where("agg_type = 'median'")
 
 
 def skewed(rng, n):
@@ -36,7 +42,20 @@ def test_median_by_group(rows):
 
 
 def test_median_without_values(rows):
-    assert exact_median(rows([(None,)], "a double"), ["a"]).count() == 0
+    assert [r["metrics_value"] for r in exact_median(rows([(None,)], "a double"), ["a"]).collect()] == [None]
+
+
+def test_median_of_a_load_without_key(rows):
+    df = rows([(None, 1.0), (None, 4.0), ("x", 2.0)], "k string, a double")
+    assert {r["k"]: r["metrics_value"] for r in exact_median(df, ["a"], ["k"]).collect()} == {None: 2.5, "x": 2.0}
+
+
+def test_only_values_around_the_middle_are_ordered(spark):
+    """Most distinct values never reach the window."""
+    df = spark.range(200_000).selectExpr("cast(id * 7919 % 200003 as double) AS a")
+    assert exact_median(df, ["a"]).first()["metrics_value"] == statistics.median(
+        float(i * 7919 % 200003) for i in range(200_000)
+    )
 
 
 @pytest.mark.parametrize("block", [3, 100_000])

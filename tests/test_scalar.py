@@ -82,3 +82,9 @@ def test_moments_do_not_depend_on_the_local_zone(spark, monkeypatch):
         monkeypatch.undo()
         time.tzset()
     assert got == ["2024-01-02 03", "2024-01-02 01"]
+
+
+@pytest.mark.parametrize("text", ["Jan  5, 2024", "Jan 5,  2024", "5  January, 2024"])
+def test_runs_of_blanks_in_dates(rows, text):
+    got = rows([(text,)], "t string").select(S.release_date(F.col("t"))).first()[0]
+    assert got is not None and got.date() == date(2024, 1, 5)

@@ -51,7 +51,7 @@ def test_bad_references():
     with pytest.raises(SpecError):
         spec(hash_columns=("nope",))
     with pytest.raises(SpecError):
-        spec(check=Check(median_columns=("nope",)))
+        spec(check=Check(medians=("nope",)))
     with pytest.raises(SpecError):
         spec(columns=(Column("a", int), Column("a", int)))
 
@@ -72,4 +72,4 @@ def test_store_tables():
     assert sum(map(len, tables.NOT_NULL_RAW.values())) == 7
     assert sum(map(len, tables.NOT_NULL_VIEWS.values())) == 2
     assert tables.SALE_LOG.key[0] == tables.PRICES.key[0] == "to_date(last_update)"
-    assert tables.PRICES.check.median_columns == ("price_initial", "price_final", "discount_percent")
+    assert tables.PRICES.check.medians == ("price_initial", "price_final", "discount_percent")

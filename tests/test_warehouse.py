@@ -4,7 +4,6 @@ import uuid
 from dataclasses import replace
 from datetime import date, datetime
 
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +14,7 @@ from sightlog.plans.load import gated_load
 from sightlog.sources import landing, staged
 from sightlog.sources.staged import StageError
 from sightlog.sources.warehouse import Warehouse, schema_name
+from sightlog.specs import SpecError
 from sightlog.tables import CARDS, CATALOG, DATABASES, METRICS, PACKAGES, PRICES, RAW_TABLES
 
 AT = datetime(2025, 11, 3, 0, 30)
@@ -49,13 +49,14 @@ def test_databases_and_deploy(wh, db):
         assert wh.schema_drift(s).count() == 0
 
 
-def test_append_by_name_read_and_arrow(wh, db, spark):
+def test_append_by_name_read_and_export(wh, db, spark, tmp_path):
     spec = db(CATALOG)
     wh.deploy([spec])
     wh.append_payload(spec, catalog_rows(spark, 3).select("name", "appid"), AT)
     wh.append_payload(spec, catalog_rows(spark, 2), datetime(2025, 12, 1))
-    got = wh.to_arrow(f"SELECT appid, name FROM {spec.full_name} ORDER BY appid, last_update")
-    assert isinstance(got, pa.Table) and got["appid"].to_pylist() == [0, 0, 1, 1, 2]
+    wh.export(f"SELECT appid, name FROM {spec.full_name}", str(tmp_path / "out"))
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.columns == ["appid", "name"] and sorted(r["appid"] for r in got.collect()) == [0, 0, 1, 1, 2]
     assert wh.read(spec, since=date(2025, 12, 1)).count() == 2
     assert wh.read(spec, until=date(2025, 11, 30)).count() == 3
     plan = wh.read(spec, since=date(2025, 12, 1))._jdf.queryExecution().executedPlan().toString()
@@ -109,7 +110,7 @@ def test_directory_guards(wh, db, spark, tmp_path, caplog):
         wh.append_directory(spec, str(tmp_path / "file"))
     (tmp_path / "empty").mkdir()
     assert wh.append_directory(spec, str(tmp_path / "empty")) == 0
-    assert "no parquet files" in caplog.text and wh.read(spec).count() == 0
+    assert "nothing staged" in caplog.text and wh.read(spec).count() == 0
 
 
 @pytest.mark.parametrize("batch, appends", [(None, 1), (2, 2), (5, 1)])
@@ -229,7 +230,7 @@ def test_gated_load(loads, spark, caplog):
         assert catalog.counts() == (100, 1) and os.path.exists(big)
     # past the warning threshold: loaded, with a warning
     catalog.load(catalog.stage(catalog_rows(spark, 130)), 4)
-    assert catalog.counts() == (230, 2) and "drifted" in caplog.text
+    assert catalog.counts() == (230, 2) and "moved by 30 %" in caplog.text
     catalog.load(big, 5)
     assert catalog.counts() == (390, 3)
 
@@ -260,3 +261,85 @@ def test_unchecked_load(loads, spark):
     unchecked.load(unchecked.stage(catalog_rows(spark, 5)), 1)
     unchecked.load(unchecked.stage(catalog_rows(spark, 500)), 2)
     assert unchecked.counts() == (505, 0)
+
+
+def test_views_outlive_the_session(wh, db, spark):
+    specs = [db(CATALOG), db(PACKAGES)]
+    wh.deploy(specs)
+    for day in (datetime(2025, 11, 3), datetime(2025, 11, 4)):
+        wh.append_payload(specs[0], catalog_rows(spark, 5), day)
+    schema = specs[0].schema
+    wh.create_views(specs, schema)
+    other = spark.newSession()
+    got = other.table(f"{schema}.stg_{CATALOG.name}")
+    want = staging.staging_view(wh.read(specs[0]), specs[0])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert other.table(f"{schema}.stg_{PACKAGES.name}").count() == 0
+
+
+def test_a_plain_log_keeps_equal_rows(wh, db, spark):
+    spec = db(METRICS)
+    wh.deploy([spec])
+    row = spark.createDataFrame(
+        [("a", "raw", "t", "row_count", "count", 5.0)],
+        "dag_id string, schema_name string, table_name string, metrics_name string, agg_type string, metrics_value double",
+    )
+    for load in (row, row.selectExpr("'b' AS dag_id", *row.columns[1:])):
+        wh.append_payload(spec, load, AT, skip_known=True)
+    wh.compact(spec)
+    assert wh.read(spec).count() == 2
+    with pytest.raises(SpecError):
+        staging.staging_view(wh.read(spec), spec)
+
+
+def test_repeatable_append_reads_the_months_of_the_batch(wh, db, spark):
+    from sightlog.functions.hashing import with_audit
+    from sightlog.operators.compaction import unseen
+
+    spec = db(CATALOG)
+    wh.deploy([spec])
+    for month in (10, 11, 12):
+        wh.append_payload(spec, catalog_rows(spark, 3), datetime(2025, month, 1))
+    batch = with_audit(catalog_rows(spark, 4), spec, datetime(2025, 11, 2))
+    new = unseen(batch, wh.read(spec), spec)
+    assert [r["appid"] for r in new.collect()] == [3]
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert any("load_month" in part.split("]")[0] for part in plan.split("PartitionFilters")[1:])
+
+
+def staged_rows(rows, *ids):
+    return rows([(i, "n") for i in ids], "appid long, name string")
+
+
+def test_a_crash_before_publishing_leaves_nothing_to_load(rows, spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "run")
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(staged, "move", crash)
+        with pytest.raises(RuntimeError):
+            staged.stage(staged_rows(rows, 1, 2), CATALOG, path)
+    assert not staged.exists(spark, path)
+    staged.stage(staged_rows(rows, 3), CATALOG, path)
+    assert [r["appid"] for r in staged.read_staged(spark, CATALOG, path).collect()] == [3]
+    assert not staged.exists(spark, f"{path}__writing")
+
+
+def test_a_rerun_replaces_the_quarantine(rows, spark, tmp_path):
+    path, aside = str(tmp_path / "run"), str(tmp_path / "aside")
+    for _ in range(2):
+        staged.stage(staged_rows(rows, 1, -2), CATALOG, path, aside)
+    assert spark.read.parquet(aside).count() == 1 and staged.read_staged(spark, CATALOG, path).count() == 1
+    staged.stage(staged_rows(rows, -1), CATALOG, path, aside)
+    assert staged.read_staged(spark, CATALOG, path).count() == 0 and not staged.has_rows_staged(spark, path)
+    staged.stage(staged_rows(rows, 1), CATALOG, path, aside)
+    assert not staged.exists(spark, aside)
+
+
+def test_staging_by_a_column(rows, spark, tmp_path):
+    df = rows([(1, "a", 7), (2, "b", 8), (3, "c", 8)], "appid long, name string, day int")
+    staged.stage(df, CATALOG, str(tmp_path / "run"), by=("day",))
+    assert staged.parts(spark, str(tmp_path / "run")) == ["day=7", "day=8"]
+    assert staged.read_staged(spark, CATALOG, str(tmp_path / "run" / "day=8")).count() == 2
