@@ -451,6 +451,12 @@ gate(yr, nth, n, stored, last_n) AS (
 SELECT make_timestamp(yr, 12, 31, 0, 30, 0) AS last_update, n AS n_rows,
        'row_count' AS metrics_name, CAST(n AS DOUBLE) AS metrics_value
 FROM gate WHERE stored""",
+    "staged_portions": """SELECT event_type AS name, count(*) AS n_rows, CAST(sum(user_id) AS BIGINT) AS id_sum
+FROM events GROUP BY event_type""",
+    "schema_drift": "SELECT 'name' AS column_name, 'string' AS expected, CAST(NULL AS VARCHAR) AS actual",
+    "altered_column": """SELECT CASE WHEN l_shipdate < TIMESTAMP '1998-01-01' THEN '' ELSE l_linestatus END AS name,
+  CAST(date_trunc('month', l_shipdate) AS DATE) AS load_month, count(*) AS n_rows
+FROM lineitem GROUP BY ALL""",
     "incremental_load": f"""WITH {_DAILY}
 SELECT appid, name, row_hash, last_update FROM raw_daily
 QUALIFY row_number() OVER (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime
 from functools import partial
 
@@ -566,6 +567,48 @@ def gated_loads(spark, sf_dir):
     return stored.join(recorded, "last_update", "left")
 
 
+@query
+def staged_portions(spark, sf_dir):
+    """Events staged day by day and loaded two files at a time; what all the files hold together."""
+    warehouse, (catalog,) = R.scratch_table(spark, CATALOG)
+    path = f"{R.scratch(spark)}/events"
+    rows = R.table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("appid"), F.col("event_type").alias("name")
+    )
+    staged.stage(rows.repartition(5), catalog, path)
+    warehouse.append_directory(catalog, path, datetime(2024, 2, 1), files_per_batch=2)
+    return warehouse.read(catalog).groupBy("name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("appid").alias("id_sum")
+    )
+
+
+def _table_before_and_after(spark, sf_dir):
+    """A package table made without its late column: drift before, and the table after the column
+    was added and more rows came."""
+    before = replace(PACKAGES, columns=tuple(c for c in PACKAGES.columns if c.name != "name"), added_defaults={})
+    warehouse, (old,) = R.scratch_table(spark, before)
+    spec = replace(PACKAGES, schema=old.schema)
+    rows = R.raw_packages(spark, sf_dir).drop("row_hash", "ver", "load_month")
+    cut = instant(datetime(1998, 1, 1))
+    warehouse.append_payload(old, rows.where(F.col("last_update") < cut).drop("name"))
+    drift = warehouse.schema_drift(spec)
+    warehouse.add_column(spec, "name")
+    warehouse.append_payload(spec, rows.where(F.col("last_update") >= cut))
+    return drift, warehouse.read(spec)
+
+
+@query
+def schema_drift(spark, sf_dir):
+    return _table_before_and_after(spark, sf_dir)[0]
+
+
+@query
+def altered_column(spark, sf_dir):
+    return _table_before_and_after(spark, sf_dir)[1].groupBy("name", "load_month").agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+
+
 @query
 def incremental_load(spark, sf_dir):
     """Events read as a stream of files into a table of daily states."""
