@@ -143,3 +143,98 @@ def quality_base(text: str | None) -> tuple:
     symbols = len(re.findall(r"[#*$%&|<>]", text))
     failed = len(w) < 50 or 100 * len(repeated) > 50 * len(w)
     return len(w), sum(map(len, w)), symbols, dup, len(repeated), failed
+
+
+def without_windows(text: str, items: list) -> str | None:
+    """The text without the words of benchmark windows and what stands between them; None where
+    nothing else is left."""
+    windows = set()
+    for _, item in items:
+        w = ITEM_WORDS.findall(lower(item or ""))
+        windows |= {tuple(w[i : i + 10]) for i in range(max(1, len(w) - 9) if w else 0)}
+    places = [m.span() for m in ITEM_WORDS.finditer(lower(text))]
+    w = [lower(text)[a:b] for a, b in places]
+    hit = set()
+    for n in {len(x) for x in windows}:
+        for i in range(len(w) - n + 1):
+            if tuple(w[i : i + n]) in windows:
+                hit.update(range(i, i + n))
+    if hit and len(hit) == len(w):
+        return None
+    out, at, i = [], 0, 0
+    while i < len(w):
+        if i in hit:
+            end = i
+            while end + 1 in hit:
+                end += 1
+            out.append(text[at : places[i][0]])
+            at, i = places[end][1], end + 1
+        else:
+            i += 1
+    return "".join(out) + text[at:]
+
+
+def redacted(text: str) -> str:
+    """The text with a mark for each stretch that base secrets cover."""
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    covered = [m.span() for m in assign.finditer(text) if len(m.group(2)) >= 6]
+    covered += [m.span() for m in re.finditer(r"AKIA[A-Z0-9]{16,}", text)] + [m.span() for m in re.finditer(r"[0-9a-f]{24,}", text)]
+    out, at = [], 0
+    for a, b in sorted(covered):
+        if a < at:
+            at = max(at, b)
+            continue
+        out += [text[at:a], "[redacted]"]
+        at = b
+    return "".join(out) + text[at:]
+
+
+def distance(p: list, q: list) -> float:
+    """Jensen-Shannon distance, base 2, of two lists of counts."""
+    import math
+
+    p = [x / (sum(p) or 1) for x in p]
+    q = [x / (sum(q) or 1) for x in q]
+    m = [(a + b) / 2 for a, b in zip(p, q)]
+    bits = lambda a: sum(x * math.log2(x / y) for x, y in zip(a, m) if x)
+    return math.sqrt(max(0.0, (bits(p) + bits(q)) / 2))
+
+
+class KneserNey:
+    """Interpolated modified Kneser-Ney over characters, after its definition."""
+
+    def __init__(self, texts: list[str], order: int):
+        self.order = order
+        counts = Counter(
+            ("\0" * (order - 1) + t)[i : i + order] for t in texts for i in range(len(t))
+        )
+        self.counts = {order: counts}
+        for n in range(order - 1, 0, -1):
+            self.counts[n] = Counter(g[1:] for g in self.counts[n + 1])
+        self.cuts, self.after = {}, {}
+        for n, found in self.counts.items():
+            of = Counter(found.values())
+            y = of[1] / (of[1] + 2 * of[2]) if of[1] else 0
+            self.cuts[n] = [0.0] + [
+                min(max(i - (i + 1) * y * of[i + 1] / of[i], 0.0), float(i)) if of[i] and of[1] else i / 2 for i in (1, 2, 3)
+            ]
+            self.after[n] = defaultdict(list)
+            for g, c in found.items():
+                self.after[n][g[:-1]].append(c)
+
+    def probability(self, gram: str) -> float:
+        n = len(gram)
+        lower = self.probability(gram[1:]) if n > 1 else 1 / (len(self.counts[1]) + 1)
+        follow = self.after[n].get(gram[:-1])
+        if not follow:
+            return lower
+        cut = lambda c: min(self.cuts[n][min(c, 3)], c)
+        own = self.counts[n][gram]
+        return ((own - cut(own)) if own else 0) / sum(follow) + sum(map(cut, follow)) / sum(follow) * lower
+
+    def perplexity(self, text: str) -> float:
+        import math
+
+        padded = "\0" * (self.order - 1) + text
+        total = sum(math.log2(self.probability(padded[i : i + self.order])) for i in range(len(text)))
+        return 2 ** (-total / len(text))
