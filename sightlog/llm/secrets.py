@@ -75,6 +75,34 @@ def scan(text: Column) -> tuple[Column, Column]:
     return F.array_sort(base), _matches(text, 3, OPAQUE, 0, lambda v: v.rlike(MIXED))
 
 
+def apart(base: Column, opaque: Column) -> Column:
+    """The opaque spans that overlap no base span; others say nothing new.
+
+    One walk over all spans in order: an opaque one waits until it is clear that no base span
+    begins inside it.
+    """
+    none = F.lit(None).cast(SPANS[len("array<"):-1])
+    zero = F.struct(F.lit(0).alias("end"), none.alias("waits"), F.array().cast(SPANS).alias("out"))
+
+    def out_with(acc: Column) -> Column:
+        return F.when(acc["waits"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(acc["waits"])))
+
+    def add(acc: Column, s: Column) -> Column:
+        is_base, covered = s["kind"] < 3, s["start"] < acc["end"]
+        waits = (
+            F.when(is_base & (s["start"] < acc["waits"]["end"]), none)
+            .when(is_base | covered, acc["waits"]).otherwise(s)
+        )
+        return F.struct(
+            F.when(is_base, F.greatest(acc["end"], s["end"])).otherwise(acc["end"]).alias("end"),
+            waits.alias("waits"),
+            F.when(is_base | covered, acc["out"]).otherwise(out_with(acc)).alias("out"),
+        )
+
+    walked = F.aggregate(F.array_sort(F.concat(base, opaque)), zero, add, out_with)
+    return F.when(F.size(opaque) == 0, opaque).when(F.size(base) == 0, opaque).otherwise(walked)
+
+
 def ownership(found: DataFrame) -> DataFrame:
     """Distinct repositories and owners of each value, of rows (value, repo, owner)."""
     once = found.groupBy("value", "owner", "repo").agg(F.lit(1).alias("one"))
@@ -100,13 +128,9 @@ def secrets(
         ),
         folder, "found",
     )
-    # opaque tokens that overlap a base span say nothing new
-    apart = F.filter(
-        "opaque",
-        lambda o: ~F.exists("base", lambda b: (b["start"] < o["end"]) & (o["start"] < b["end"])),
-    )
+    spans = F.concat("base", apart(F.col("base"), F.col("opaque")))
     candidates = own.select(
-        "row", "repo", "owner", F.explode(F.concat("base", apart)).alias("span")
+        "row", "repo", "owner", F.explode(spans).alias("span")
     ).select("row", "repo", "owner", "span", F.sha2("span.value", 256).alias("value"))
     known = ownership(candidates.select("value", "repo", "owner"))
     live = F.col("n_owners") <= max_owners

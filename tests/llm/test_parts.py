@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sightlog.llm import decontaminate, divergence, kneser_ney, langid, licenses, mixing, simhash, substring
+from sightlog.llm import decontaminate, divergence, kneser_ney, langid, licenses, mixing, secrets, simhash, substring
 from sightlog.llm.common import word_count
 from sightlog.llm.components import components
 
@@ -173,3 +173,20 @@ def test_kneser_ney_probabilities_sum_to_one(spark, tmp_path):
     found = [r.p for r in kneser_ney.probabilities(df, counts, str(tmp_path)).collect()]
     # one share of the uniform distribution is left for a character never seen
     assert 0.9 < sum(found) < 1 and max(found) < 1
+
+
+def test_opaque_spans_apart_from_base_spans(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(300):
+        opaque, at = [], 0
+        for _ in range(rng.randrange(6)):
+            at += rng.randrange(1, 6)
+            opaque.append((at, 3, at + rng.randrange(1, 6), "o"))
+            at = opaque[-1][2]
+        base = [(a, k, a + rng.randrange(1, 9), "b") for k, a in ((rng.randrange(3), rng.randrange(30)) for _ in range(rng.randrange(4)))]
+        rows.append((i, base, opaque))
+    df = spark.createDataFrame(rows, f"i int, base {secrets.SPANS}, opaque {secrets.SPANS}")
+    found = {r.i: [tuple(s) for s in r.out] for r in df.select("i", secrets.apart(F.col("base"), F.col("opaque")).alias("out")).collect()}
+    for i, base, opaque in rows:
+        assert found[i] == [o for o in opaque if not any(b[0] < o[2] and o[0] < b[2] for b in base)]
