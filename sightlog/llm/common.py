@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -91,3 +92,48 @@ def with_columns(
                 yield pa.RecordBatch.from_arrays(part.columns + compute(texts), names=schema.names)
 
     return df.mapInArrow(run, schema)
+
+
+def packed(df: DataFrame, key: str, held_bytes: int = 64_000_000) -> DataFrame:
+    """(key, blob): the rows a task has for each value of an integer ``key``, compressed together.
+
+    For columns that would fill a shuffle as they are; ``unpacked`` gives the rows back.
+    """
+    names = [c for c in df.columns if c != key]
+
+    def blob(rows: pa.Table) -> bytes:
+        out, option = pa.BufferOutputStream(), pa.ipc.IpcWriteOptions(compression="zstd")
+        with pa.ipc.new_stream(out, rows.schema, options=option) as writer:
+            writer.write_table(rows)
+        return out.getvalue().to_pybytes()
+
+    def sent(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        keys = table.column(key).to_numpy()
+        order = np.argsort(keys, kind="stable")
+        cuts = np.flatnonzero(np.diff(keys[order])) + 1
+        groups = np.split(order, cuts)
+        rows = table.select(names)
+        blobs = [blob(rows.take(pa.array(g)).combine_chunks()) for g in groups]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([int(keys[g[0]]) for g in groups], pa.int32()), pa.array(blobs, pa.binary())], names=[key, "blob"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.nbytes for b in held) >= held_bytes:
+                yield sent(held)
+                held = []
+        if held:
+            yield sent(held)
+
+    return df.mapInArrow(run, f"`{key}` int, blob binary")
+
+
+def unpacked(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Rows of the blobs of ``packed``."""
+    for blob in table.column("blob"):
+        yield from pa.ipc.open_stream(blob.as_buffer())

@@ -8,7 +8,7 @@ Documents are dealt into buckets by a hash of their id.  A bucket names each of
 with its count in trusted text: these rows are both the counts of the model and the list of what
 the bucket needs to know.  The probabilities of all n-grams asked for are joined to that list by
 language and n-gram, and come back to the bucket, where each document's text is read through
-them.  Texts are shuffled once; both steps use the same exchange.
+them.  Texts are packed and compressed for the way to their buckets, once for each step.
 
 A document is kept if its perplexity is at most the QUANTILE of its language's, times SLACK, or
 if it has fewer than MIN_CHARS characters.  The
@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sightlog.llm.common import scratch_folder, slices, stored, text_or_empty
+from sightlog.llm.common import packed, scratch_folder, slices, stored, text_or_empty, unpacked
 from sightlog.llm.langid import learned
 
 ORDER = 4
@@ -36,7 +36,7 @@ QUANTILE = 0.99
 SLACK = 1.25
 #: Shorter texts say too little; they are kept.
 MIN_CHARS = 100
-BUCKET_CHARS = 8_000_000
+BUCKET_CHARS = 12_000_000
 
 GRAMS = "owner int, lang string, gram bigint, n bigint"
 SCORES = "doc_id bigint, lang string, chars bigint, perplexity double"
@@ -70,7 +70,7 @@ def _count(docs: pa.Table, trusted: pa.Table) -> pa.Table:
     """Rows of GRAMS of a bucket: its n-grams, and how often trusted text has them."""
     fit = set(trusted.column("id").to_pylist())
     seen: dict = {}
-    for batch in docs.to_batches():
+    for batch in unpacked(docs):
         for part, texts in slices(batch, "text"):
             ids = part.column("doc_id").to_pylist()
             for lang, rows in _by_language(part):
@@ -98,7 +98,7 @@ def _score(docs: pa.Table, answers: pa.Table) -> pa.Table:
     names, bits = answers.column("gram").to_numpy().view(np.uint64)[order], answers.column("bits").to_numpy()[order]
     tables: dict = {}
     out: list[list] = [[], [], [], []]
-    for batch in docs.to_batches():
+    for batch in unpacked(docs):
         for part, texts in slices(batch, "text"):
             ids = part.column("doc_id").to_pylist()
             for lang, rows in _by_language(part):
@@ -195,7 +195,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     owner = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-chars // BUCKET_CHARS)))).cast("int").alias("owner")
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"), "lang", owner)
-    by_owner = own.repartition("owner").groupBy("owner")
+    by_owner = packed(own, "owner").repartition("owner").groupBy("owner")
     fit = trusted.select("doc_id").distinct().select(F.col("doc_id").cast("bigint").alias("id"), owner)
     found = stored(by_owner.cogroup(fit.groupBy("owner")).applyInArrow(_count, GRAMS), folder, "grams")
     counts = found.where("n > 0").groupBy("lang", "gram").agg(F.sum("n").alias("c"))
