@@ -8,6 +8,8 @@ as text; ``validate`` turns them into the declared types and carries the violati
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sightlog.functions.scalar import LINK_ID_PATTERN, link_id, release_date
@@ -15,7 +17,7 @@ from sightlog.operators.validate import VIOLATIONS
 from sightlog.specs import TableSpec
 
 _ENTRY = "__entry"
-_DATA = "__data"
+_KIND = "__kind_"
 
 
 def variant_text(source: Column, path: str, missing: str | None = None) -> Column:
@@ -31,21 +33,6 @@ def kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def is_void(value: Column) -> Column:
-    """No field, or an explicit null."""
-    return value.isNull() | (kind(value) == "VOID")
-
-
-def is_blank(value: Column) -> Column:
-    """Values that stand for nothing where an object or a list is wanted: no field, null, an empty
-    text, list or object, zero, false."""
-    text = F.try_variant_get(value, "$", "string")
-    items = F.try_variant_get(value, "$", "array<variant>")
-    nothing = kind(value).isin("VOID", "OBJECT<>") | (F.coalesce(F.size(items), F.lit(-1)) == 0)
-    scalar = ~kind(value).startswith("ARRAY") & ~kind(value).startswith("OBJECT")
-    return value.isNull() | nothing | (scalar & text.isin("", "0", "0.0", "false"))
-
-
 def broken_unless(fine: Column, label: str) -> Column:
     """The label of a broken rule, or null; a test without result counts as passed."""
     return F.when(~fine, F.lit(label))
@@ -55,14 +42,6 @@ def is_object(value: Column) -> Column:
     return kind(value).startswith("OBJECT")
 
 
-def is_list(value: Column) -> Column:
-    return kind(value).startswith("ARRAY")
-
-
-def is_text(value: Column) -> Column:
-    return kind(value) == "STRING"
-
-
 def field(value: Column, name: str) -> Column:
     """A field of a VARIANT object; null where the value is no object or lacks it."""
     return F.try_variant_get(value, f"$.{name}", "variant")
@@ -88,24 +67,6 @@ def _field_text(value: Column, missing: str) -> Column:
     return F.when(value.isNull(), F.lit(missing)).otherwise(F.try_variant_get(value, "$", "string"))
 
 
-def _only_text(value: Column, missing: str) -> Column:
-    """``_field_text`` of a field that must be text; null where it is of another type."""
-    return F.when(value.isNull() | is_text(value), _field_text(value, missing))
-
-
-def _text_or_void(value: Column, label: str) -> Column:
-    return broken_unless(is_void(value) | is_text(value), label)
-
-
-def _texts(value: Column) -> Column:
-    """A list's texts; other elements are null, which no declared list allows."""
-    return F.transform(items_of(value), lambda v: F.when(is_text(v), F.try_variant_get(v, "$", "string")))
-
-
-def _all_objects(value: Column) -> Column:
-    return is_blank(value) | (is_list(value) & F.forall(items_of(value), is_object))
-
-
 def _labels(*rules: Column) -> Column:
     return F.array_compact(F.array(*rules))
 
@@ -115,6 +76,10 @@ _FIELDS = (
     "mac_requirements", "linux_requirements", "developers", "publishers", "categories", "genres",
     "release_date", "price_overview", "package_groups",
 )
+_REQUIREMENTS = ("pc_requirements", "mac_requirements", "linux_requirements")
+_INNER = {f"{c}.minimum": (c, "minimum") for c in _REQUIREMENTS} | {
+    "release_date.date": ("release_date", "date"), "currency": ("price_overview", "currency"),
+}
 _PRICE_FIELDS = (("price_initial", "initial"), ("price_final", "final"), ("discount_percent", "discount_percent"))
 
 
@@ -130,81 +95,164 @@ def parse_cards(landing: DataFrame, key: str = "appid", payload: str = "payload"
     entry = F.try_element_at(entries, F.col(key).cast("string"))
     carried = [c for c in landing.columns if c not in (key, payload)]
     opened = landing.select(F.col(key).alias("appid"), *carried, entry.alias(_ENTRY))
-    opened = opened.select("appid", *carried, _ENTRY, field(F.col(_ENTRY), "data").alias(_DATA))
-
-    # each field is read once, into a column of its own
-    parts = [field(F.col(_DATA), name).alias(_ENTRY + name) for name in _FIELDS]
-    opened = opened.select("appid", *carried, _ENTRY, _DATA, *parts)
-    source, data = F.col(_ENTRY), F.col(_DATA)
-    of = lambda name: F.col(_ENTRY + name)
-    success = _field_text(field(source, "success"), "false")
-    name = _only_text(of("name"), "")
-    name_rule = _text_or_void(of("name"), "name:type")
+    # each value and its JSON type are read once, level by level, into columns of their own
+    opened = _with_reads(opened, {"response": F.col(_ENTRY), "success": field(F.col(_ENTRY), "success"),
+                                  "data": field(F.col(_ENTRY), "data")})
+    opened = _with_reads(opened, {name: field(_read("data").value, name) for name in _FIELDS})
+    opened = _with_reads(opened, {inner: field(_read(outer).value, name) for inner, (outer, name) in _INNER.items()})
+
+    of = _read
+    success = _field_text(of("success").value, "false")
+    name = of("name").only_text("")
+    name_rule = of("name").text_rule("name:type")
     overview, groups = of("price_overview"), of("package_groups")
-    requirements = [(c, of(c)) for c in ("pc_requirements", "mac_requirements", "linux_requirements")]
-    currency = field(overview, "currency")
     price = F.struct(
-        _only_text(currency, "").alias("currency"),
-        *[_field_text_or_null(field(overview, f)).alias(c) for c, f in _PRICE_FIELDS],
-        _labels(name_rule, _text_or_void(currency, "currency:type"),
-                broken_unless(is_blank(overview) | is_object(overview), "price_overview:type")).alias(VIOLATIONS),
+        of("currency").only_text("").alias("currency"),
+        *[_field_text_or_null(field(overview.value, f)).alias(c) for c, f in _PRICE_FIELDS],
+        _labels(name_rule, of("currency").text_rule("currency:type"),
+                overview.object_rule("price_overview:type")).alias(VIOLATIONS),
     )
-
-    def package(sub: Column) -> Column:
-        option = field(sub, "option_text")
-        return F.struct(
-            _field_text_or_null(field(sub, "packageid")).alias("packageid"),
-            _only_text(option, "").alias("option_text"),
-            _field_text_or_null(field(sub, "price_in_cents_with_discount")).alias("price"),
-            _labels(name_rule, _text_or_void(option, "package_option_text:type"),
-                    broken_unless(is_object(sub), "package_groups:type")).alias(VIOLATIONS),
-        )
-
-    groups_fine = _all_objects(groups) & F.forall(
-        items_of(groups), lambda g: is_blank(field(g, "subs")) | is_list(field(g, "subs"))
-    )
-    released = field(of("release_date"), "date")
     shapes = _labels(
-        broken_unless(is_blank(source) | is_object(source), "response:type"),
-        broken_unless(is_blank(data) | is_object(data), "data:type"),
+        of("response").object_rule("response:type"),
+        of("data").object_rule("data:type"),
         name_rule,
-        *[_text_or_void(of(c), f"{c}:type") for c in ("supported_languages", "website")],
-        *[broken_unless(is_blank(v) | is_object(v), f"{c}:type") for c, v in requirements],
-        *[_text_or_void(field(v, "minimum"), f"{c}:type") for c, v in requirements],
-        *[broken_unless(is_void(of(c)) | is_list(of(c)), f"{c}:type") for c in ("developers", "publishers")],
-        *[broken_unless(_all_objects(of(c)), f"{c}:type") for c in ("categories", "genres")],
-        broken_unless(is_blank(of("release_date")) | is_object(of("release_date")), "release_date:type"),
-        broken_unless(is_blank(released) | is_text(released), "release_date:type"),
-        broken_unless(is_blank(overview) | is_object(overview), "price_overview:type"),
-        broken_unless(groups_fine, "package_groups:type"),
-    )
-    texts_of = lambda objects, f: F.transform(
-        items_of(objects), lambda v: F.when(is_text(field(v, f)), F.try_variant_get(v, f"$.{f}", "string"))
+        *[of(c).text_rule(f"{c}:type") for c in ("supported_languages", "website")],
+        *[of(c).object_rule(f"{c}:type") for c in _REQUIREMENTS],
+        *[of(f"{c}.minimum").text_rule(f"{c}:type") for c in _REQUIREMENTS],
+        *[broken_unless(of(c).is_void | of(c).is_list, f"{c}:type") for c in ("developers", "publishers")],
+        *[broken_unless(of(c).is_blank | of(c).is_objects, f"{c}:type") for c in ("categories", "genres")],
+        of("release_date").object_rule("release_date:type"),
+        broken_unless(of("release_date.date").is_blank | of("release_date.date").is_text, "release_date:type"),
+        overview.object_rule("price_overview:type"),
+        broken_unless(_groups_fine(groups), "package_groups:type"),
     )
     succeeded = success.isin("true", "1")
     return opened.select(
         success.alias("success"),
         "appid",
         name.alias("name"),
-        _field_text_or_null(of("required_age")).alias("required_age"),
-        _field_text_or_null(of("is_free")).alias("is_free"),
-        _only_text(of("supported_languages"), "").alias("supported_languages"),
-        _only_text(of("website"), "").alias("website"),
-        *[_only_text(field(v, "minimum"), "").alias(c) for c, v in requirements],
-        _texts(of("developers")).alias("developers"),
-        _texts(of("publishers")).alias("publishers"),
-        field_texts(of("categories"), "id").alias("categories_id"),
-        texts_of(of("categories"), "description").alias("categories_description"),
-        texts_of(of("genres"), "id").alias("genres_id"),
-        texts_of(of("genres"), "description").alias("genres_description"),
-        release_date(F.try_variant_get(released, "$", "string")).alias("release_date"),
+        _field_text_or_null(of("required_age").value).alias("required_age"),
+        _field_text_or_null(of("is_free").value).alias("is_free"),
+        of("supported_languages").only_text("").alias("supported_languages"),
+        of("website").only_text("").alias("website"),
+        *[of(f"{c}.minimum").only_text("").alias(c) for c in _REQUIREMENTS],
+        of("developers").texts().alias("developers"),
+        of("publishers").texts().alias("publishers"),
+        field_texts(of("categories").value, "id").alias("categories_id"),
+        of("categories").texts("description").alias("categories_description"),
+        of("genres").texts("id").alias("genres_id"),
+        of("genres").texts("description").alias("genres_description"),
+        release_date(F.try_variant_get(of("release_date.date").value, "$", "string")).alias("release_date"),
         F.when(succeeded, F.array(price)).alias("prices"),
-        F.when(succeeded, F.transform(nested_items(groups, "subs"), package)).alias("packages"),
+        F.when(succeeded, _packages(groups, name_rule)).alias("packages"),
         F.array_distinct(shapes).alias(VIOLATIONS),
         *carried,
     )
 
 
+def _with_reads(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """``df`` with each value and the value's JSON type."""
+    read = df.select("*", *[v.alias(_ENTRY + n) for n, v in values.items()])
+    return read.select("*", *[kind(_column(_ENTRY + n)).alias(_KIND + n) for n in values])
+
+
+def _column(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
+@dataclass(frozen=True)
+class _Read:
+    """A VARIANT value and its JSON type."""
+
+    value: Column
+    kind: Column
+
+    @property
+    def is_void(self) -> Column:
+        return self.value.isNull() | (self.kind == "VOID")
+
+    @property
+    def is_list(self) -> Column:
+        return self.kind.startswith("ARRAY")
+
+    @property
+    def is_text(self) -> Column:
+        return self.kind == "STRING"
+
+    @property
+    def is_objects(self) -> Column:
+        """A list of objects only."""
+        return self.kind.startswith("ARRAY<OBJECT")
+
+    @property
+    def is_blank(self) -> Column:
+        """A value that stands for nothing where an object or a list is wanted: no field, null, an
+        empty text, list or object, zero, false."""
+        text = F.try_variant_get(self.value, "$", "string")
+        return (
+            F.when(self.value.isNull() | self.kind.isin("VOID", "OBJECT<>"), F.lit(True))
+            .when(self.kind == "ARRAY<VOID>", F.size(items_of(self.value)) == 0)
+            .when(self.is_list | self.kind.startswith("OBJECT"), F.lit(False))
+            .otherwise(text.isin("", "0", "0.0", "false"))
+        )
+
+    def text_rule(self, label: str) -> Column:
+        return broken_unless(self.is_void | self.is_text, label)
+
+    def object_rule(self, label: str) -> Column:
+        return broken_unless(self.is_blank | self.kind.startswith("OBJECT"), label)
+
+    def only_text(self, missing: str) -> Column:
+        """Text; ``missing`` where there is no field, null where it is null or of another type."""
+        return F.when(self.value.isNull(), F.lit(missing)).when(self.is_text, F.try_variant_get(self.value, "$", "string"))
+
+    def texts(self, name: str | None = None) -> Column:
+        """Texts of a list, or of a field of a list's objects; elements of other types are null,
+        which no declared list allows."""
+        of = lambda v: v if name is None else field(v, name)
+        path = "$" if name is None else f"$.{name}"
+        plain = self.kind == "ARRAY<STRING>" if name is None else self.kind.rlike(f"^ARRAY<OBJECT<[^<>]*\\b{name}: STRING[,>]")
+        quick = F.transform(items_of(self.value), lambda v: F.try_variant_get(v, path, "string"))
+        each = F.transform(items_of(self.value), lambda v: F.when(kind(of(v)) == "STRING", F.try_variant_get(v, path, "string")))
+        return F.when(plain, quick).otherwise(each)
+
+
+def _read(name: str) -> _Read:
+    return _Read(_column(_ENTRY + name), _column(_KIND + name))
+
+
+def _groups_fine(groups: _Read) -> Column:
+    """Lists of objects that hold lists of anything; told from the type alone where it is plain."""
+    inner = F.forall(
+        items_of(groups.value),
+        lambda g: F.coalesce(kind(field(g, "subs")).startswith("ARRAY") | kind(field(g, "subs")).isin("VOID"), F.lit(True)),
+    )
+    told = groups.kind.rlike("^ARRAY<OBJECT<[^<>]*subs: ARRAY<")
+    return F.when(groups.is_blank | told, F.lit(True)).otherwise(groups.is_objects & inner)
+
+
+def _packages(groups: _Read, name_rule: Column) -> Column:
+    """A package for each object of the groups' lists."""
+    # no other type than text among all options: no need to look at each
+    plain = ~groups.kind.rlike("option_text: (?!STRING|VOID)") & groups.kind.rlike("subs: ARRAY<OBJECT<")
+
+    def package(sub: Column) -> Column:
+        option = field(sub, "option_text")
+        text = F.try_variant_get(option, "$", "string")
+        wrong = F.when(plain, F.lit(False)).otherwise(~kind(option).isin("STRING", "VOID"))
+        wrong = F.coalesce(wrong, F.lit(False))
+        odd = F.when(plain, F.lit(False)).otherwise(F.coalesce(~is_object(sub), F.lit(False)))
+        return F.struct(
+            _field_text_or_null(field(sub, "packageid")).alias("packageid"),
+            F.when(option.isNull(), F.lit("")).when(~wrong, text).alias("option_text"),
+            _field_text_or_null(field(sub, "price_in_cents_with_discount")).alias("price"),
+            _labels(name_rule, F.when(wrong, F.lit("package_option_text:type")),
+                    F.when(odd, F.lit("package_groups:type"))).alias(VIOLATIONS),
+        )
+
+    return F.transform(nested_items(groups.value, "subs"), package)
+
+
 def _field_text_or_null(value: Column) -> Column:
     return F.try_variant_get(value, "$", "string")
 
