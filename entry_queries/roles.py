@@ -52,6 +52,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table_file(use_utc(spark), sf_dir, name)
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by key, as landed responses lie in many files: making and parsing their JSON is
+    then shared out, however few row groups the given table has."""
+    return df.repartition(*keys)
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Timestamps without zone, as the oracle has them."""
     return df.select(
@@ -315,7 +321,7 @@ def card_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(priority == "2-HIGH", F.lit("{bad"))
         .otherwise(F.to_json(failed))
     )
-    return table(spark, sf_dir, "orders").select(
+    return dealt(table(spark, sf_dir, "orders"), "o_orderkey").select(
         F.col("o_orderkey").alias("appid"), payload.alias("payload")
     )
 
@@ -349,7 +355,7 @@ def odd_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = F.array(*[F.lit(e) for e in ODD_ENTRIES])
     entry = F.element_at(entries, (F.col("o_orderkey") % len(ODD_ENTRIES) + 1).cast("int"))
     key = F.col("o_orderkey").cast("string")
-    return table(spark, sf_dir, "orders").select(
+    return dealt(table(spark, sf_dir, "orders"), "o_orderkey").select(
         F.col("o_orderkey").alias("appid"),
         F.concat(F.lit('{"'), key, F.lit('": '), entry, F.lit("}")).alias("payload"),
     )

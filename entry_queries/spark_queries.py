@@ -340,7 +340,7 @@ def coerce_types(spark, sf_dir):
         ),
         key=("event_id",),
     )
-    rows = R.table(spark, sf_dir, "events").select(
+    rows = R.dealt(R.table(spark, sf_dir, "events"), "event_id").select(
         F.col("event_id").cast("string").alias("event_id"),
         F.concat(F.lit(" "), F.get_json_object("props", "$.k"), F.lit(" ")).alias("k"),
         F.col("value").cast("string").alias("whole"),
@@ -444,7 +444,7 @@ def explode_two(spark, sf_dir):
         F.struct(F.array(sub, other).alias("subs")),
         F.struct(F.slice(F.array(sub), 1, 0).alias("subs")),
     )
-    landed = R.table(spark, sf_dir, "lineitem").select(
+    landed = R.dealt(R.table(spark, sf_dir, "lineitem"), "l_orderkey").select(
         "l_orderkey", "l_linenumber", F.parse_json(F.to_json(groups)).alias("groups")
     )
     return landed.select(
