@@ -31,7 +31,7 @@ def _columns(docs: DataFrame) -> list[Column]:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language: those without any letter go."""
+    """Documents in a language: those without any letter go, whether or not a language could be learned."""
     labelled = docs.where(langid.learned(F.col("doc_id"))).select("doc_id", "text", "lang")
     named = langid.identify(docs, labelled, language="__lang", score="__score")
     return named.where(F.col("__lang") != langid.UNKNOWN).select(_columns(docs))

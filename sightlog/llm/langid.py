@@ -7,9 +7,9 @@ phrases, times the logarithm of the language's sample size, estimates the cross
 language with the least wins.  Phrases are cut every BLOCK characters, so that all blocks of a
 batch are read in step; each block of every text is read.
 
-Defined results: null text or a text without a letter is ``und`` with score 0, and so is every
-text when nothing could be learned.  Among equal languages the first by code point wins, with
-score 0.  With one learned language the score is 1.  The score is 1 - least / second least.
+Defined results: null text or a text without a letter is ``und`` with score 0.  When nothing could
+be learned, every other text is ``unlearned`` with score 0.  Among equal languages the first by
+code point wins, with score 0.  With one learned language the score is 1.  The score is 1 - least / second least.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from sightlog.llm.common import with_columns
 
 UNKNOWN = "und"
+UNLEARNED = "unlearned"  # has letters, but there is no model
 SYMBOLS = 64  # 0: not in any sample, 1: no letter, others: letters
 BLOCK = 512  # characters read in step
 LETTER = re.compile(r"[^\W\d_]")
@@ -180,6 +181,9 @@ def judge(parser: Parser | None, texts: list) -> tuple[list[str], list[float]]:
     """Language and score of each text."""
     named, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
     rows = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
+    if parser is None:
+        for i in rows:
+            named[i] = UNLEARNED
     if parser is None or not rows:
         return named, scores
     cost = phrases(parser, [texts[i] for i in rows]) * parser.bits[:, None]

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sightlog.llm.queries import QUERIES
@@ -245,3 +246,12 @@ def test_perplexity_against_plain_model(spark, small):
         for d, t, x, _ in docs[::9]:
             if x == lang and t:
                 assert found[d] == pytest.approx(model.perplexity(t), rel=1e-6)
+
+
+def test_language_stage_keeps_documents_when_no_language_is_known(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    docs = docs.unionByName(docs.limit(1).withColumn("text", F.lit(None).cast("string")).withColumn("doc_id", F.lit(-1).cast("bigint")))
+    docs = docs.unionByName(docs.limit(1).withColumn("text", F.lit("12 34 !?")).withColumn("doc_id", F.lit(-2).cast("bigint")))
+    with_letters = {d for d, t in rows(docs, "doc_id", "text") if any(c.isalpha() for c in t or "")}
+    kept = {r[0] for r in rows(corpus_pipeline.language(spark, docs, small), "doc_id")}
+    assert kept == with_letters and len(kept) >= 190
