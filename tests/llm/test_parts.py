@@ -190,3 +190,34 @@ def test_opaque_spans_apart_from_base_spans(spark):
     found = {r.i: [tuple(s) for s in r.out] for r in df.select("i", secrets.apart(F.col("base"), F.col("opaque")).alias("out")).collect()}
     for i, base, opaque in rows:
         assert found[i] == [o for o in opaque if not any(b[0] < o[2] and o[0] < b[2] for b in base)]
+
+
+def test_every_sampled_letter_is_a_symbol():
+    """More letters than the table has columns, in four scripts."""
+    rng = random.Random(4)
+    scripts = {"a": (0x61, 26), "b": (0x3B1, 24), "c": (0x430, 32), "d": (0x4E00, 300)}
+
+    def text(language: str, n: int) -> str:
+        first, size = scripts[language]
+        return "".join(chr(first + int(size * rng.random() ** 2)) for _ in range(n))
+
+    sample = {x: [text(x, 400), text(x, 300)] for x in scripts}
+    sample["e"] = [chr(0x4E00 + 301 + i % 97) + chr(0x4E00 + i % 89) for i in range(300)]  # shares letters with d
+    parser = langid.build(sample)
+
+    def plain(text: str, learned: list[str]) -> int:
+        count, at = 0, 0
+        while at < len(text):
+            end = at + 1
+            while end < len(text) and any(text[at : end + 1] in x for x in learned):
+                end += 1
+            count, at = count + 1, end
+        return count
+
+    texts = [text(x, 120) for x in scripts for _ in range(5)] + [x * 3 for t in sample.values() for x in t]
+    texts = [t[: langid.BLOCK] for t in texts]
+    found = langid.phrases(parser, texts)
+    for i, name in enumerate(parser.languages):
+        assert found[i].tolist() == [plain(t, sample[name]) for t in texts]
+    held_out = [(x, text(x, 200)) for x in scripts for _ in range(10)]
+    assert langid.judge(parser, [t for _, t in held_out])[0] == [x for x, _ in held_out]
