@@ -18,9 +18,14 @@ Symbols and windows travel packed, a row per task and bucket, and once per task
 they occur in it, so a passage that a third of all documents have is one entry per task.  Texts
 are shuffled once; both joins use the same exchange.
 
+A document is known by its id and a part: 0 where the id says enough, and a hash of the text for
+rows without id and for ids that stand on different texts.  Both order documents and deal them
+into buckets.
+
 Defined results: null text has no words; texts with fewer than WINDOW words lose none; rows
-without id come behind all others and share a name; repeated rows with one id are the same
-document, so neither is earlier and both keep their words.
+without id come behind all others, and among themselves, like rows that share an id, in the order
+of their hashes; repeated rows with one id (or none) and one text are the same document, so
+neither is earlier and both keep their words.
 """
 
 from __future__ import annotations
@@ -35,7 +40,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from sightlog.llm.common import slices, text_or_empty
+from sightlog.llm.common import scratch_folder, slices, stored, text_or_empty
 from sightlog.llm.hashing import Words, mixed, stretch_names
 
 WINDOW = 20
@@ -111,7 +116,7 @@ def window_names(words: Words, at: np.ndarray) -> list[np.ndarray]:
 
 
 def bucket_of(doc: np.ndarray, buckets: int) -> np.ndarray:
-    """pmod(xxhash64(doc_id), buckets), as Spark computes it."""
+    """pmod(xxhash64(doc), buckets), as Spark computes it; ``doc`` is id ^ part."""
     p1, p2, p3, p4 = map(np.uint64, XX[:4])
     turn = lambda x, r: (x << np.uint64(r)) | (x >> np.uint64(64 - r))
     h = np.uint64(XX[4] + 42 + 8) ^ (turn(doc.view(np.uint64) * p2, 31) * p1)
@@ -146,23 +151,25 @@ def packed(bucket: np.ndarray, columns: list[np.ndarray]) -> Iterator[list]:
         yield [int(bucket[begin]), *[bytes_of(c[begin:end]) for c in columns]]
 
 
-def firsts(keys: list[np.ndarray], doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def firsts(
+    keys: list[np.ndarray], doc: np.ndarray, sub: np.ndarray, place: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """An order by key, document and place, and in that order: whether a key begins, and whether an
     entry lies behind the key's first document and place."""
-    order = np.lexsort((place, doc, *keys[::-1]))
-    doc, place = doc[order], place[order]
+    order = np.lexsort((place, sub, doc, *keys[::-1]))
+    doc, sub, place = doc[order], sub[order], place[order]
     new = np.zeros(len(order), bool)
     for key in keys:
         key = key[order]
         new |= np.r_[True, key[1:] != key[:-1]][: len(order)]
     head = np.flatnonzero(new)[np.cumsum(new) - 1]
-    later = (doc != doc[head]) | (place != place[head])
+    later = (doc != doc[head]) | (sub != sub[head]) | (place != place[head])
     return order, new, later
 
 
 #: Entries of a bucket that ask (with keys) or already have an answer (without), and answers.
-ENTRIES = "bucket int, asks boolean, long binary, short binary, docs binary, places binary"
-ANSWERS = "owner int, docs binary, places binary"
+ENTRIES = "bucket int, asks boolean, long binary, short binary, docs binary, subs binary, places binary"
+ANSWERS = "owner int, docs binary, subs binary, places binary"
 
 
 class Gathered:
@@ -177,30 +184,31 @@ class Gathered:
         self.parts: list[list[np.ndarray]] = []
         self.held = 0
 
-    def add(self, keys: list[np.ndarray], doc: np.ndarray, place: np.ndarray):
-        self.parts.append([*keys, doc.astype(np.int64), place.astype(np.int32)])
+    def add(self, keys: list[np.ndarray], doc: np.ndarray, sub: np.ndarray, place: np.ndarray):
+        self.parts.append([*keys, doc.astype(np.int64), sub.astype(np.int64), place.astype(np.int32)])
         self.held += len(place)
 
     def sent(self) -> Iterator[list]:
         """Rows of ENTRIES."""
         if not self.held:
             return
-        *keys, doc, place = [np.concatenate(c) for c in zip(*self.parts)]
+        *keys, doc, sub, place = [np.concatenate(c) for c in zip(*self.parts)]
         self.parts, self.held = [], 0
-        order, new, answered = judged(keys, doc, place, self.later)
+        order, new, answered = judged(keys, doc, sub, place, self.later)
         known = order[answered]
-        known = known[np.lexsort((place[known], doc[known]))]
-        for bucket, docs, places in packed(bucket_of(doc[known], self.buckets), [doc[known], place[known]]):
-            yield [bucket, False, b"", b"", docs, places]
+        known = known[np.lexsort((place[known], sub[known], doc[known]))]
+        owner = bucket_of(doc[known] ^ sub[known], self.buckets)
+        for bucket, *blobs in packed(owner, [doc[known], sub[known], place[known]]):
+            yield [bucket, False, b"", b"", *blobs]
         first = order[new]
         bucket = (keys[0][first] % np.uint64(self.buckets)).astype(np.int32)
-        for bucket, *blobs in packed(bucket, [*[k[first] for k in keys], doc[first], place[first]]):
-            yield [bucket, True, blobs[0], blobs[1] if self.short else b"", *blobs[-2:]]
+        for bucket, *blobs in packed(bucket, [*[k[first] for k in keys], doc[first], sub[first], place[first]]):
+            yield [bucket, True, blobs[0], blobs[1] if self.short else b"", *blobs[-3:]]
 
 
-def judged(keys: list[np.ndarray], doc: np.ndarray, place: np.ndarray, only_later: bool):
+def judged(keys: list[np.ndarray], doc: np.ndarray, sub: np.ndarray, place: np.ndarray, only_later: bool):
     """``firsts``, and which entries of that order are answered."""
-    order, new, later = firsts(keys, doc, place)
+    order, new, later = firsts(keys, doc, sub, place)
     if not only_later and len(new):
         later = np.diff(np.r_[np.flatnonzero(new), len(new)])[np.cumsum(new) - 1] > 1
     return order, new, later
@@ -217,15 +225,19 @@ def _batches(rows: Iterator[list], names: list[str], kinds: list) -> Iterator[pa
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
 
 
-ENTRY_NAMES = ["bucket", "asks", "long", "short", "docs", "places"]
-ENTRY_KINDS = [pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-ANSWER_NAMES, ANSWER_KINDS = ["owner", "docs", "places"], [pa.int32(), pa.binary(), pa.binary()]
+ENTRY_NAMES = ["bucket", "asks", "long", "short", "docs", "subs", "places"]
+ENTRY_KINDS = [pa.int32(), pa.bool_(), *[pa.binary()] * 5]
+ANSWER_NAMES, ANSWER_KINDS = ["owner", "docs", "subs", "places"], [pa.int32(), *[pa.binary()] * 3]
 
 
 def ids_of(part) -> np.ndarray:
     return part.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def subs_of(part) -> np.ndarray:
+    return part.column("sub").to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _symbol_entries(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[list]:
@@ -234,7 +246,7 @@ def _symbol_entries(buckets: int):
                 for part, texts in slices(batch, "text"):
                     words = Words(texts)
                     s = Symbols(words)
-                    gathered.add([s.name], ids_of(part)[s.doc], words.place[s.begin])
+                    gathered.add([s.name], ids_of(part)[s.doc], subs_of(part)[s.doc], words.place[s.begin])
                     if gathered.held >= HELD:
                         yield from gathered.sent()
             yield from gathered.sent()
@@ -252,14 +264,14 @@ def _answer(buckets: int, short: bool, only_later: bool):
         asking, known = table.filter(asks), table.filter(pc.invert(asks))
         keys = [numbers(asking.column("long"), np.uint64)]
         keys += [numbers(asking.column("short"), np.uint32)] if short else []
-        doc, place = numbers(asking.column("docs"), np.int64), numbers(asking.column("places"), np.int32)
-        order, _, answered = judged(keys, doc, place, only_later)
+        kinds = {"docs": np.int64, "subs": np.int64, "places": np.int32}
+        asked = [numbers(asking.column(c), k) for c, k in kinds.items()]
+        order, _, answered = judged(keys, *asked, only_later)
         pick = order[answered]
-        doc = np.r_[doc[pick], numbers(known.column("docs"), np.int64)]
-        place = np.r_[place[pick], numbers(known.column("places"), np.int32)]
-        order = np.lexsort((place, doc))
-        doc, place = doc[order], place[order]
-        return _table(packed(bucket_of(doc, buckets), [doc, place]), ANSWER_NAMES, ANSWER_KINDS)
+        doc, sub, place = [np.r_[a[pick], numbers(known.column(c), k)] for a, (c, k) in zip(asked, kinds.items())]
+        order = np.lexsort((place, sub, doc))
+        doc, sub, place = doc[order], sub[order], place[order]
+        return _table(packed(bucket_of(doc ^ sub, buckets), [doc, sub, place]), ANSWER_NAMES, ANSWER_KINDS)
 
     return run
 
@@ -268,24 +280,23 @@ class Answers:
     """Which (document, place) pairs were answered, for one bucket of documents."""
 
     def __init__(self, table: pa.Table):
-        doc = numbers(table.column("docs"), np.int64)
+        doc, sub = numbers(table.column("docs"), np.int64), numbers(table.column("subs"), np.int64)
         place = numbers(table.column("places"), np.int32).astype(np.int64)
-        order = np.lexsort((place, doc))
-        doc, place = doc[order], place[order]
-        self.ids, first = np.unique(doc, return_index=True)
-        self.bounds, self.places = np.r_[first, len(doc)], place
-
-    def of(self, doc_id: int) -> np.ndarray:
-        i = int(np.searchsorted(self.ids, doc_id))
-        if i == len(self.ids) or self.ids[i] != doc_id:
-            return self.places[:0]
-        return self.places[self.bounds[i] : self.bounds[i + 1]]
-
-    def marks(self, words: Words, ids: np.ndarray) -> np.ndarray:
+        order = np.lexsort((place, sub, doc))
+        doc, sub, self.places = doc[order], sub[order], place[order]
+        first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (sub[1:] != sub[:-1])][: len(doc)])
+        bounds = zip(first.tolist(), [*first[1:].tolist(), len(doc)])
+        self.bounds = dict(zip(zip(doc[first].tolist(), sub[first].tolist()), bounds))
+
+    def of(self, doc_id: int, sub: int) -> np.ndarray:
+        begin, end = self.bounds.get((doc_id, sub), (0, 0))
+        return self.places[begin:end]
+
+    def marks(self, words: Words, ids: np.ndarray, subs: np.ndarray) -> np.ndarray:
         """Whether each place of the sequence was answered."""
         marked = np.zeros(len(words.names), bool)
-        for i, doc_id in enumerate(ids.tolist()):
-            own = self.of(doc_id)
+        for i, key in enumerate(zip(ids.tolist(), subs.tolist())):
+            own = self.of(*key)
             own = own[own < words.count[i]]
             marked[words.first[i] + own] = True
         return marked
@@ -308,11 +319,11 @@ def _window_entries(buckets: int):
         def rows() -> Iterator[list]:
             gathered = Gathered(buckets, short=True, later=True)
             for part, texts in _parts(docs):
-                ids = ids_of(part)
+                ids, subs = ids_of(part), subs_of(part)
                 words = Words(texts)
                 symbols = Symbols(words)
-                at = candidates(words, symbols, answers.marks(words, ids)[symbols.begin])
-                gathered.add(window_names(words, at), ids[words.doc[at]], words.place[at])
+                at = candidates(words, symbols, answers.marks(words, ids, subs)[symbols.begin])
+                gathered.add(window_names(words, at), ids[words.doc[at]], subs[words.doc[at]], words.place[at])
                 if gathered.held >= HELD:
                     yield from gathered.sent()
             yield from gathered.sent()
@@ -333,9 +344,9 @@ def _kept(digest: bool):
         def rows() -> Iterator[list]:
             for part, texts in _parts(docs):
                 ids = part.column("doc_id").to_pylist()
-                for doc_id, text in zip(ids, texts):
+                for doc_id, sub, text in zip(ids, subs_of(part).tolist(), texts):
                     words = (text or "").encode("utf-8", "surrogatepass").split()
-                    at = answers.of(NO_ID if doc_id is None else doc_id)
+                    at = answers.of(NO_ID if doc_id is None else doc_id, sub)
                     at = at[at + WINDOW <= len(words)]
                     kept, removed = words, 0
                     if len(at):
@@ -356,6 +367,20 @@ def _kept(digest: bool):
     return run
 
 
+def _with_sub(own: DataFrame) -> DataFrame:
+    """``own`` (doc_id, text) with the part that tells apart rows without id, and rows of different
+    texts that share one."""
+    h = F.xxhash64("text")
+    shared = own.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(h).alias("low"), F.max(h).alias("high"))
+    shared = stored(
+        shared.where("low != high").select(F.col("doc_id").alias("shared")), scratch_folder(own.sparkSession), "shared"
+    )
+    # odd without id, even with one
+    half = F.shiftrightunsigned(h, 1).bitwiseAND(F.lit(~1))
+    sub = F.when(F.col("doc_id").isNull(), half + 1).when(F.col("shared").isNotNull(), half).otherwise(0)
+    return own.join(shared, F.col("doc_id") == F.col("shared"), "left").select("doc_id", "text", sub.cast("bigint").alias("sub"))
+
+
 def removed_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed and kept for each row of ``docs`` (doc_id, text).
 
@@ -364,9 +389,8 @@ def removed_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(1, -(-chars // BUCKET_CHARS))
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
-    own = own.withColumn(
-        "owner", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(int(NO_ID)))), F.lit(buckets)).cast("int")
-    )
+    key = F.coalesce("doc_id", F.lit(int(NO_ID))).bitwiseXOR(F.col("sub"))
+    own = _with_sub(own).withColumn("owner", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
     by_owner = own.repartition("owner").groupBy("owner")
 
     symbols = own.mapInArrow(_symbol_entries(buckets), ENTRIES)

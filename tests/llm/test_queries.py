@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from sightlog.llm import substring
 from sightlog.llm.queries import QUERIES
 
 FOLDERS = ["small", "odd"]
@@ -255,3 +256,21 @@ def test_language_stage_keeps_documents_when_no_language_is_known(spark, small):
     with_letters = {d for d, t in rows(docs, "doc_id", "text") if any(c.isalpha() for c in t or "")}
     kept = {r[0] for r in rows(corpus_pipeline.language(spark, docs, small), "doc_id")}
     assert kept == with_letters and len(kept) >= 190
+
+
+def test_substring_without_ids_and_with_shared_ids(spark, odd):
+    """Rows without id, and rows that share an id, are documents of their own."""
+    text = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    passage = text("p", 30)
+    given = [(d, t) for d, t, _, _ in documents(spark, odd)]
+    given += [(None, text("a", 90)), (None, text("b", 10) + " " + passage), (None, passage + " " + text("c", 70)), (None, text("e", 200))]
+    given += [(7_000_000, text("f", 80)), (7_000_000, passage + " " + text("g", 9)), (7_000_000, text("h", 60)), (2**63 - 1, text("i", 40) + " " + passage)]
+    df = spark.createDataFrame(given, "doc_id bigint, text string").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartition(5)
+    found = rows(substring.removed_repeats(df, digest=True), "doc_id", "n_words", "n_removed", "kept")
+    half = F.shiftrightunsigned(F.xxhash64("text"), 1).bitwiseAND(F.lit(~1))
+    hashed = {(d, t): h for d, t, h in rows(df.withColumn("h", half), "doc_id", "text", "h")}
+    # ids in order, those without one last, and then by hash
+    keyed = {(d is None, d or 0, h, t): t for (d, t), h in hashed.items()}
+    expected = Counter((None if key[0] else key[1], *rest) for key, *rest in brute.deduplicated(list(keyed.items())))
+    assert set(found) == set(expected)
+    assert (None, 200, 0) in {r[:3] for r in found} and (7_000_000, 60, 0) in {r[:3] for r in found}
