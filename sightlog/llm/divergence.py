@@ -9,9 +9,10 @@ Common words are found in two steps, so that no table of all words is shuffled:
 corpus name the words that make up at least 1 / RARE of a part, the CANDIDATES of each language
 named most are counted over everything, and the COMMON most frequent of them are kept.
 
-References are held for the MAX_LANGUAGES languages with most documents; the documents of the
-rest, and those without language, are compared with the distribution of them all together.  This
-bounds what is sent to tasks.
+Every language has its own reference.  Languages are dealt by hash into blocks of about
+MAX_LANGUAGES, and each block is counted and judged in a pass of its own, which bounds what a
+task holds.  Documents without language are a group for the characters; their words, which may
+be of any language, are not judged.
 
 Defined results: null text is empty, has 0 words and fails; repeated rows are each judged;
 languages without a reference (none of their documents has a word) reject nothing by distance.
@@ -127,42 +128,39 @@ def duplicate_lines(data: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def _languages(docs: DataFrame) -> list:
-    """The languages with a group of their own."""
-    found = (
-        docs.where(F.col("lang").isNotNull()).groupBy("lang").count()
-        .orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    )
-    return [r.lang for r in found]
+def _blocks(docs: DataFrame) -> list[DataFrame]:
+    """``docs`` in parts that have about MAX_LANGUAGES languages each, and all rows of those."""
+    blocks = -(-docs.select("lang").distinct().count() // MAX_LANGUAGES)
+    if blocks <= 1:
+        return [docs]
+    block = F.pmod(F.xxhash64("lang"), F.lit(blocks))
+    return [docs.where(block == b) for b in range(blocks)]
 
 
-def _by_language(part: pa.RecordBatch, languages: list) -> list[tuple[str | None, np.ndarray]]:
-    """(group, numbers of its rows) for the groups of a batch."""
-    held, rows = set(languages), {}
+def _by_language(part: pa.RecordBatch) -> list[tuple[str | None, np.ndarray]]:
+    """(language, numbers of its rows) for the languages of a batch."""
+    rows: dict = {}
     for i, lang in enumerate(part.column("lang").to_pylist()):
-        rows.setdefault(lang if lang in held else None, []).append(i)
+        rows.setdefault(lang, []).append(i)
     return [(lang, np.array(i)) for lang, i in rows.items()]
 
 
-def _candidate_rows(languages: list):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, texts in slices(batch, "text"):
-                words = Words(texts)
-                for lang, rows in _by_language(part, languages):
-                    own = words.names[np.isin(words.doc, rows)]
-                    names, counts = np.unique(own, return_counts=True)
-                    heavy = counts * RARE >= len(own)
-                    if heavy.any():
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * int(heavy.sum()), pa.string()), pa.array(names[heavy].view(np.int64)), pa.array(counts[heavy])],
-                            names=["lang", "name", "n"],
-                        )
-
-    return run
+def _candidate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part, texts in slices(batch, "text"):
+            words = Words(texts)
+            for lang, rows in _by_language(part):
+                own = words.names[np.isin(words.doc, rows)]
+                names, counts = np.unique(own, return_counts=True)
+                heavy = counts * RARE >= len(own)
+                if heavy.any():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * int(heavy.sum()), pa.string()), pa.array(names[heavy].view(np.int64)), pa.array(counts[heavy])],
+                        names=["lang", "name", "n"],
+                    )
 
 
-def _count_rows(languages: list, candidates):
+def _count_rows(candidates):
     """Counts of classes (kind 0), of candidates (1) and of all words (2), a row per task each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +174,7 @@ def _count_rows(languages: list, candidates):
             for part, texts in slices(batch, "text"):
                 words = Words(texts)
                 classes = class_counts(words)
-                for lang, rows in _by_language(part, languages):
+                for lang, rows in _by_language(part):
                     own = words.names[np.isin(words.doc, rows)]
                     known = candidates.value.get(lang, np.zeros(0, np.uint64))
                     counts = np.bincount(_position(known, own), minlength=len(known) + 1)
@@ -199,11 +197,10 @@ def _position(known: np.ndarray, names: np.ndarray) -> np.ndarray:
     return np.where(known[at] == names, at, len(known))
 
 
-def references(docs: DataFrame) -> tuple[list, dict]:
-    """The languages held and the reference of each group, from all of ``docs`` (text, lang)."""
+def references(docs: DataFrame) -> dict:
+    """The reference of each language, from all of ``docs`` (text, lang)."""
     spark = docs.sparkSession
-    languages = _languages(docs)
-    named = docs.select("lang", "text").mapInArrow(_candidate_rows(languages), "lang string, name bigint, n bigint")
+    named = docs.select("lang", "text").mapInArrow(_candidate_rows, "lang string, name bigint, n bigint")
     ranked = named.groupBy("lang", "name").agg(F.sum("n").alias("n"))
     candidates: dict = {}
     for row in _top(ranked, CANDIDATES):
@@ -211,13 +208,14 @@ def references(docs: DataFrame) -> tuple[list, dict]:
     known = {g: np.sort(np.array(n, np.int64).view(np.uint64)) for g, n in candidates.items()}
     counted = (
         docs.select("lang", "text")
-        .mapInArrow(_count_rows(languages, spark.sparkContext.broadcast(known)), "lang string, kind int, key bigint, n bigint")
+        .mapInArrow(_count_rows(spark.sparkContext.broadcast(known)), "lang string, kind int, key bigint, n bigint")
         .groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
         .collect()  # at most CANDIDATES and the classes for each group
     )
-    found = {}
-    for group in {r.lang for r in counted}:
-        own = [r for r in counted if r.lang == group]
+    found, groups = {}, {}
+    for r in counted:
+        groups.setdefault(r.lang, []).append(r)
+    for group, own in groups.items():
         classes = np.zeros(len(CLASSES))
         for r in own:
             if r.kind == 0:
@@ -229,7 +227,7 @@ def references(docs: DataFrame) -> tuple[list, dict]:
         counts = np.array([n for n, _ in words], float)[order]
         if total:
             found[group] = Reference(classes, names[order], np.r_[counts, total - counts.sum()])
-    return languages, found
+    return found
 
 
 def _top(ranked: DataFrame, n: int) -> list:
@@ -239,8 +237,14 @@ def _top(ranked: DataFrame, n: int) -> list:
 
 def judge(docs: DataFrame, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
     """doc_id and FIELDS for each row of ``docs`` (doc_id, text, lang)."""
-    languages, found = references(docs)
-    held = docs.sparkSession.sparkContext.broadcast(found)
+    parts = [_judged(part, max_class, max_word) for part in _blocks(docs)] or [_judged(docs, max_class, max_word)]
+    while len(parts) > 1:
+        parts = [a.unionAll(b) for a, b in zip(parts[::2], parts[1::2])] + parts[len(parts) // 2 * 2 :]
+    return parts[0]
+
+
+def _judged(docs: DataFrame, max_class: float, max_word: float) -> DataFrame:
+    held = docs.sparkSession.sparkContext.broadcast(references(docs))
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {FIELDS}"
     names = [f.split()[0] for f in schema.split(", ")]
 
@@ -253,11 +257,13 @@ def judge(docs: DataFrame, max_class: float = MAX_CLASS_DISTANCE, max_word: floa
                 symbols = [len(d) - len(d.translate(None, SYMBOLS)) for d in words.data]
                 lines = [duplicate_lines(d) for d in words.data]
                 by_class, by_word = np.zeros(len(texts)), np.zeros(len(texts))
-                for lang, rows in _by_language(part, languages):
+                for lang, rows in _by_language(part):
                     ref = held.value.get(lang)
                     if ref is None:
                         continue
                     by_class[rows] = distance(classes[rows].astype(float), ref.classes)
+                    if lang is None:
+                        continue
                     wide = len(ref.counts)
                     at = np.isin(words.doc, rows)
                     counts = np.bincount(

@@ -274,3 +274,22 @@ def test_substring_without_ids_and_with_shared_ids(spark, odd):
     expected = Counter((None if key[0] else key[1], *rest) for key, *rest in brute.deduplicated(list(keyed.items())))
     assert set(found) == set(expected)
     assert (None, 200, 0) in {r[:3] for r in found} and (7_000_000, 60, 0) in {r[:3] for r in found}
+
+
+def test_quality_has_a_reference_for_every_language(spark, monkeypatch):
+    """Documents of rare languages are compared with their own, however many languages there are."""
+    from sightlog.llm import divergence
+
+    monkeypatch.setattr(divergence, "MAX_LANGUAGES", 3)
+    docs = []
+    for k in range(10):
+        for i in range(2 + (k < 3)):
+            docs.append((100 * k + i, " ".join(f"l{k}w{(j * (i + 3)) % 40} x{k}y{j * 7 + i}" for j in range(100)), f"l{k}"))
+    docs += [(9_000 + i, docs[3 * i][1], None) for i in range(4)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(4)
+    found = {r.doc_id: r for r in divergence.judge(df).collect()}
+    assert len(found) == len(docs)
+    for k in range(10):
+        alone = {r.doc_id: r for r in divergence.judge(df.where(F.col("lang") == f"l{k}")).collect()}
+        assert alone and all(found[d] == r and r.word_distance > 0 for d, r in alone.items())
+    assert all(found[9_000 + i].word_distance == 0 for i in range(4))
