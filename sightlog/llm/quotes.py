@@ -9,7 +9,8 @@ Threads follow replies up to a message without one, and a conversation is ordere
 its threads begin with and then by turn, which puts every message behind the one it answers.
 
 Earlier occurrences are found in blocks of turns: the last one within a block by a running
-window, the one before by a running window over one row per block.  So a line that a whole
+window, the one before by a running window over one row per block.  Places are counted within
+blocks of a thread, over those within ranges of threads, and over the ranges.  So a line that a whole
 conversation repeats, or a conversation that a third of all messages belong to, is spread over
 many tasks, and no quote is paired with all its earlier occurrences.
 
@@ -31,8 +32,6 @@ from sightlog.llm.common import scratch_folder, stored, with_columns
 #: Turns by block.
 BLOCK = 1024
 MARK = re.compile(r"[ \t]*>")
-#: A line of fewer characters is not taken for a quoted one by itself.
-MIN_LINE = 16
 
 PARTS = "array<struct<level:int,key:bigint,chars:int>>"
 
@@ -70,7 +69,7 @@ def parse(text: str | None) -> tuple[str, list[dict]]:
         whole = " ".join(lines)
         parts.append({"level": level, "key": key_of(whole), "chars": len(whole)})
         if len(lines) > 1 or level == 0:
-            parts += [{"level": level, "key": key_of(x), "chars": len(x)} for x in lines if len(x) >= MIN_LINE]
+            parts += [{"level": level, "key": key_of(x), "chars": len(x)} for x in lines]
     return "\n".join(body).strip("\n"), parts
 
 
@@ -155,10 +154,17 @@ def with_place(full: DataFrame) -> DataFrame:
     order = [F.col("turn"), F.col("role"), F.xxhash64("body")]
     rows = full.select("*", block[-1])
     inside = W.partitionBy("conv_id", "thread", "block").orderBy(*order)
-    before = W.partitionBy("conv_id").orderBy("thread", "block").rowsBetween(W.unboundedPreceding, -1)
+    span = F.floor(F.col("thread") / BLOCK).alias("span")
+    before = W.partitionBy("conv_id", "span").orderBy("thread", "block").rowsBetween(W.unboundedPreceding, -1)
+    spans_before = W.partitionBy("conv_id").orderBy("span").rowsBetween(W.unboundedPreceding, -1)
+    spans = rows.groupBy("conv_id", span).agg(F.count("*").alias("n")).select(
+        F.col("conv_id").alias("sc"), F.col("span").alias("ss"), F.coalesce(F.sum("n").over(spans_before), F.lit(0)).alias("ahead")
+    )
     sizes = rows.groupBy("conv_id", "thread", "block").agg(F.count("*").alias("n")).select(
-        F.col("conv_id").alias("c"), F.col("thread").alias("t"), F.col("block").alias("b"),
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"),
+        "conv_id", "thread", "block", "n", span
+    ).withColumn("own", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    sizes = sizes.join(spans, F.col("conv_id").eqNullSafe(F.col("sc")) & F.col("span").eqNullSafe(F.col("ss"))).select(
+        F.col("conv_id").alias("c"), F.col("thread").alias("t"), F.col("block").alias("b"), (F.col("own") + F.col("ahead")).alias("offset")
     )
     same = F.col("conv_id").eqNullSafe(F.col("c")) & F.col("thread").eqNullSafe(F.col("t")) & F.col("block").eqNullSafe(F.col("b"))
     numbered = rows.select("*", (F.row_number().over(inside) - 1).alias("nth")).join(sizes, same)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sightlog.llm import substring
+from sightlog.llm import quotes, substring
 from sightlog.llm.queries import QUERIES
 
 FOLDERS = ["small", "odd"]
@@ -293,3 +293,19 @@ def test_quality_has_a_reference_for_every_language(spark, monkeypatch):
         alone = {r.doc_id: r for r in divergence.judge(df.where(F.col("lang") == f"l{k}")).collect()}
         assert alone and all(found[d] == r and r.word_distance > 0 for d, r in alone.items())
     assert all(found[9_000 + i].word_distance == 0 for i in range(4))
+
+
+def test_short_quoted_lines_and_many_threads(spark):
+    said = "Is the build ready now, and can we ship?\nYes, please.\nOk"
+    talk = [(1, 0, "user", said), (1, 1, "assistant", "Something else."), (1, 2, "user", "> Yes, please.\nDone."), (1, 3, "user", "> Ok\nFine.")]
+    # threads of their own over several ranges, with replies to early ones at the end
+    talk += [(2, i, "user", f"line {i} of many") for i in range(3000)]
+    talk += [(2, 3000 + i, "user", f"> line {7 * i} of many\nreply") for i in range(50)]
+    df = spark.createDataFrame(talk, "conv_id long, turn int, role string, text string").repartition(5)
+    found = {(r.conv_id, r.turn): r for r in quotes.linked(df).collect()}
+    assert [found[1, t].reply_to for t in range(4)] == [None, None, 0, 0]
+    assert [found[1, t].n_linked for t in (2, 3)] == [1, 1]
+    assert [found[1, t].place for t in range(4)] == [0, 3, 1, 2]
+    own = [r for r in found.values() if r.conv_id == 2]
+    assert all(found[2, 3000 + i].reply_to == 7 * i for i in range(50))
+    assert [r.place for r in sorted(own, key=lambda r: (r.thread, r.turn))] == list(range(3050))
