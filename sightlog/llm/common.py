@@ -16,6 +16,9 @@ NOT_BLANKS = r"[^\x20\x09-\x0D]+"
 #: A-Z to a-z on UTF-8 bytes; other letters stay.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
+#: Letters, digits and all bytes from 0x80 on with A-Z lowered, every other byte a space.
+FOLDED = bytes(b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+
 #: Characters of text handled at a time inside a task.
 SLICE_CHARS = 4_000_000
 
@@ -57,6 +60,11 @@ def word_count(text: Column) -> Column:
     return F.when(text == "", 0).otherwise(F.size(parts) - ends).cast("bigint")
 
 
+def folded_words(text: bytes | None) -> list[bytes]:
+    """Runs of letters, digits and characters beyond ASCII, with A-Z lowered."""
+    return text.translate(FOLDED).split() if text else []
+
+
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` of a value that is computed once, also where ``use`` refers to it in a lambda."""
     return F.element_at(F.transform(F.array(value), use), 1)

@@ -116,9 +116,78 @@ by_doc AS (
 SELECT doc_id, coalesce(n_windows, 0) AS n_windows, coalesce(licenses, '') AS licenses, coalesce(share, 0.0) AS share
 FROM d LEFT JOIN by_doc USING (doc_id)"""
 
+def _features(table: str, key: str) -> str:
+    words = f"SELECT {key} AS doc_id, {_BENCH_WORDS} AS w FROM {table}"
+    return (
+        f"SELECT doc_id, len(w) AS n_words, list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f "
+        f"FROM ({words})"
+    )
+
+
+def _crc_table() -> str:
+    """Each byte through an empty CRC-32 register, bit by bit, as nested selects."""
+    query = "SELECT i, i AS c FROM (SELECT unnest(range(256)) AS i)"
+    for _ in range(8):
+        query = f"SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END AS c FROM ({query})"
+    return query
+
+
+IMPORTANCE = f"""
+WITH RECURSIVE table_of AS ({_crc_table()}),
+d AS ({_features('documents', 'doc_id')}),
+t AS ({_features('benchmark', 'item_id')}),
+distinct_features AS (SELECT DISTINCT unnest(f) AS f FROM d UNION SELECT DISTINCT unnest(f) FROM t),
+bytes AS (SELECT f, hex(encode(f)) AS h FROM distinct_features),
+crc AS (
+  SELECT f, h, 0 AS pos, 4294967295::BIGINT AS c FROM bytes
+  UNION ALL
+  SELECT f, h, pos + 1, xor(table_of.c, crc.c >> 8)
+  FROM crc JOIN table_of ON table_of.i = xor(crc.c, ('0x' || substr(h, 2 * pos + 1, 2))::BIGINT) & 255
+  WHERE 2 * pos < length(h)),
+bucket_of AS (SELECT f, xor(c, 4294967295) % 10000 AS b FROM crc WHERE 2 * pos = length(h)),
+s AS (SELECT b, count(*) AS n FROM (SELECT unnest(f) AS f FROM d) JOIN bucket_of USING (f) GROUP BY b),
+u AS (SELECT b, count(*) AS n FROM (SELECT unnest(f) AS f FROM t) JOIN bucket_of USING (f) GROUP BY b),
+gain AS (
+  SELECT b, floor(1000 * ln((coalesce(u.n, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(n), 0)::DOUBLE FROM s) + 10000)
+                  / ((coalesce(s.n, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(n), 0)::DOUBLE FROM u) + 10000))))::BIGINT AS g
+  FROM (SELECT unnest(range(10000)) AS b) LEFT JOIN s USING (b) LEFT JOIN u USING (b)),
+weights AS (
+  SELECT doc_id, floor(sum(g) / count(*)::DOUBLE)::BIGINT AS weight
+  FROM (SELECT doc_id, unnest(f) AS f FROM d) JOIN bucket_of USING (f) JOIN gain USING (b) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, n_words, len(f)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                                    / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (doc_id)),
+drawn AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_words >= 20
+  QUALIFY rank <= (SELECT 25 * count(*) // 100 FROM scored WHERE n_words >= 20))
+SELECT doc_id, n_features, weight, score, rank FROM scored LEFT JOIN drawn USING (doc_id)"""
+
+_TERMS = r"coalesce(regexp_extract_all(translate(text, '{}', '{}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), [])".format(UPPER, LOWER)
+
+LEXICAL = f"""
+WITH d AS (SELECT doc_id, w, len(w)::BIGINT AS n FROM (SELECT doc_id, {_TERMS} AS w FROM documents) WHERE len(w) > 0),
+totals AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM d),
+wanted AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+tf AS (
+  SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term), totals),
+adds AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))) AS a
+  FROM tf JOIN weights USING (term), totals),
+scores AS (SELECT item_id, doc_id, sum(a)::BIGINT AS score FROM adds JOIN wanted USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50"""
+
 ORACLE = {
     "op1_secrets": SECRETS,
     "op3_substring": SUBSTRING,
     "op8_decontamination": DECONTAMINATION,
     "op9_licenses": LICENSES,
+    "op11_importance": IMPORTANCE,
+    "op13_lexical_search": LEXICAL,
 }

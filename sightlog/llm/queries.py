@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sightlog.llm import decontaminate, divergence, kneser_ney, langid, licenses, mixing, quotes, secrets as secret_scan, simhash, substring
+from sightlog.llm import (
+    decontaminate, divergence, importance, kneser_ney, langid, lexical, licenses, mixing, quotes, secrets as secret_scan, simhash,
+    substring,
+)
 from sightlog.llm.common import read
 from sightlog.llm.oracle import ORACLE  # noqa: F401
 
@@ -86,6 +89,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "text"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_quality": op2_quality,
@@ -97,4 +108,6 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_licenses": op9_licenses,
     "op10_simhash": op10_simhash,
+    "op11_importance": op11_importance,
+    "op13_lexical_search": op13_lexical_search,
 }
