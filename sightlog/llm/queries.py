@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sightlog.llm import (
-    decontaminate, divergence, importance, kneser_ney, langid, lexical, licenses, mixing, quotes, secrets as secret_scan, simhash,
-    substring,
+    decontaminate, divergence, importance, kneser_ney, langid, lexical, licenses, mixing, quotes, recurrent,
+    secrets as secret_scan, simhash, substring,
 )
 from sightlog.llm.common import read
 from sightlog.llm.oracle import ORACLE  # noqa: F401
@@ -93,6 +93,10 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "text"))
 
 
+def op12_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent.score(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
 
@@ -109,5 +113,6 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_simhash": op10_simhash,
     "op11_importance": op11_importance,
+    "op12_recurrent_lm": op12_recurrent_lm,
     "op13_lexical_search": op13_lexical_search,
 }
