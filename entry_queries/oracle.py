@@ -466,4 +466,29 @@ UNION ALL SELECT 'segment_not_null', CASE WHEN count(*) > 0 THEN 'warn' ELSE 'pa
   FROM customer WHERE c_mktsegment = 'BUILDING'
 UNION ALL SELECT 'events_fresh', CASE WHEN abs(DATE '2024-02-05' - max(CAST(ts AS DATE))) > 1 THEN 'error' ELSE 'pass' END,
   CASE WHEN abs(DATE '2024-02-05' - max(CAST(ts AS DATE))) > 1 THEN 1 ELSE 0 END FROM events""",
+    "resumed_load": """WITH rows AS (
+  SELECT o_orderpriority AS name, CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT) AS price FROM orders)
+SELECT name, CAST(count(*) AS DOUBLE) AS n_rows, CAST(sum(price) AS DOUBLE) AS total FROM rows GROUP BY name
+UNION ALL SELECT 'row_count', 1.0, count(*) FROM rows
+UNION ALL SELECT unnest(['price_initial', 'price_final']), 1.0, median(price) FROM rows
+UNION ALL SELECT 'discount_percent', 1.0, 0.0
+UNION ALL SELECT 'summary of ' || unnest(['price_initial', 'price_final', 'discount_percent']), 1.0, count(*) FROM rows""",
+    "compaction_beside_append": f"""WITH {_CATALOG},
+dated AS (SELECT *, CAST(date_trunc('month', last_update) AS DATE) AS load_month, appid % 5 = 0 AS late FROM raw_catalog),
+seen AS (
+  SELECT *, row_number() OVER (PARTITION BY load_month, appid, row_hash ORDER BY last_update) AS nth FROM dated)
+SELECT moment, load_month, count(*) AS n_rows, count(DISTINCT (appid, row_hash)) AS n_states, min(last_update) AS first_seen
+FROM (SELECT unnest(['before', 'during', 'after', 'in the end']) AS moment), seen
+WHERE (moment = 'before' AND NOT late) OR moment = 'during' OR (moment = 'after' AND (late OR nth = 1))
+   OR (moment = 'in the end' AND nth = 1)
+GROUP BY moment, load_month""",
+    "span_medians": """WITH long AS (
+  SELECT CAST(year(l_shipdate) AS VARCHAR) AS year, unnest(['l_quantity', 'l_extendedprice', 'l_discount']) AS metrics_name,
+         unnest([CAST(l_quantity AS DOUBLE), CAST(l_extendedprice AS DOUBLE), CAST(l_discount AS DOUBLE)]) AS v FROM lineitem)
+SELECT year, metrics_name, count(v) AS n, round(median(v), 6) AS metrics_value, true AS held
+FROM long GROUP BY year, metrics_name""",
+    "stateful_load": f"""WITH {_DAILY}
+SELECT appid, name, row_hash, last_update FROM raw_daily
+QUALIFY row_number() OVER (
+  PARTITION BY appid, row_hash, CAST(last_update AS DATE) ORDER BY last_update, event_id) = 1""",
 }

@@ -27,15 +27,17 @@ from sightlog.operators.quality import (
     previous_metrics,
     run_tests,
 )
-from sightlog.operators.ranks import split_batches
+from sightlog.operators.ranks import exact_medians, split_batches
+from sightlog.operators.summaries import merged, spans, summarize
 from sightlog.operators.validate import VIOLATIONS, validate
 from sightlog.plans import queue as Q
 from sightlog.plans.load import gated_load
 from sightlog.plans.staging import staging_view
 from sightlog.sources import staged
+from sightlog.sources.versions import VersionedWarehouse
 from sightlog.specs import Column, TableSpec
-from sightlog.streaming.incremental import append_new, new_files, run_available
-from sightlog.tables import CARDS, CATALOG, METRICS, PACKAGES, PRICES, SALE_LOG, SNAPSHOTS
+from sightlog.streaming.incremental import append_new, new_files, run_available, run_stateful
+from sightlog.tables import CARDS, CATALOG, METRICS, PACKAGES, PRICES, SALE_LOG, SNAPSHOTS, SUMMARIES
 
 QUERIES = {}
 
@@ -644,3 +646,119 @@ def stored_failures(spark, sf_dir):
         [(o.name, o.status, o.failures) for o in outcomes],
         "test_name string, status string, failures bigint",
     )
+
+
+# -- loads that break off, tables that change while they are read ---------------------------
+
+
+class _Stopped(Exception):
+    """A run that ends after some step."""
+
+
+def _stop_after(wanted: str):
+    def step(name: str) -> None:
+        if name == wanted:
+            raise _Stopped(name)
+
+    return step
+
+
+@query
+def resumed_load(spark, sf_dir):
+    """A gated load in portions that is stopped after each kind of step and run again: what is stored."""
+    R.use_utc(spark)
+    warehouse, base = VersionedWarehouse(spark, R.scratch(spark)), R.scratch(spark)
+    rows = R.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("appid"), F.col("o_orderpriority").alias("name"),
+        F.col("o_orderstatus").alias("currency"), R.cents(F.col("o_totalprice")).alias("price_final"),
+    ).withColumns({"price_initial": F.col("price_final"), "discount_percent": F.lit(0)})
+    staged.stage(rows.repartition(5, "appid"), PRICES, f"{base}/orders")
+    at = datetime(2024, 2, 1, 0, 30)
+    for stop in ("check", "portion 2", "metrics", "summaries", "record", None):
+        try:
+            gated_load(
+                warehouse, PRICES, f"{base}/orders", at, "resumed", at, files_per_batch=2,
+                step=_stop_after(stop), summaries_spec=SUMMARIES,
+            )
+        except _Stopped:
+            continue
+    stored = warehouse.read(PRICES).groupBy("name").agg(
+        F.count(F.lit(1)).cast("double").alias("n_rows"), F.sum("price_final").cast("double").alias("total")
+    )
+    metrics = warehouse.read(METRICS).groupBy("metrics_name").agg(
+        F.count(F.lit(1)).cast("double").alias("n_rows"), F.max("metrics_value").alias("total")
+    )
+    summaries = warehouse.read(SUMMARIES).groupBy(F.concat(F.lit("summary of "), "metrics_name").alias("name")).agg(
+        F.count(F.lit(1)).cast("double").alias("n_rows"), F.sum("n").cast("double").alias("total")
+    )
+    return stored.unionByName(metrics.withColumnRenamed("metrics_name", "name")).unionByName(summaries)
+
+
+@query
+def compaction_beside_append(spark, sf_dir):
+    """Months compacted while other rows are appended and readers read: what each of them sees."""
+    R.use_utc(spark)
+    warehouse = VersionedWarehouse(spark, R.scratch(spark))
+    spec, rows = R.CATALOG_MD5, R.raw_catalog(spark, sf_dir)
+    late = F.pmod("appid", F.lit(5)) == 0
+    warehouse.append(spec, rows.where(~late))
+    before = warehouse.read(spec)
+    during = []
+
+    def meanwhile() -> None:
+        warehouse.append(spec, rows.where(late))
+        during.append(warehouse.read(spec))
+
+    warehouse.compact(spec, before_switch=meanwhile)
+    after = warehouse.read(spec)
+    warehouse.compact(spec)
+    seen = None
+    for moment, df in (("before", before), ("during", during[0]), ("after", after), ("in the end", warehouse.read(spec))):
+        part = df.groupBy(F.lit(moment).alias("moment"), "load_month").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_distinct("appid", "row_hash").alias("n_states"),
+            F.min("last_update").alias("first_seen"),
+        )
+        seen = part if seen is None else seen.unionByName(part)
+    return seen
+
+
+@query
+def span_medians(spark, sf_dir):
+    """Medians of years from the stored summaries of their months, with the exact ones by their bounds."""
+    R.use_utc(spark)
+    warehouse = VersionedWarehouse(spark, R.scratch(spark))
+    columns = list(R.LINEITEM_CHECK.medians)
+    rows = R.table(spark, sf_dir, "lineitem").withColumn("year", F.year("l_shipdate").cast("string"))
+    loads = summarize(rows.withColumn("load", F.date_format("l_shipdate", "yyyy-MM")), columns, ["load"])
+    named = loads.withColumnRenamed("load", "dag_id").withColumns({"schema_name": F.lit("raw"), "table_name": F.lit("lineitem")})
+    warehouse.append_payload(SUMMARIES, named, datetime(2024, 2, 1))
+    stored = warehouse.read(SUMMARIES).withColumn("year", F.substring("dag_id", 1, 4))
+    around = spans(stored, ["year"])
+    # quarters merged first: the same years within what a merge may add
+    quarters = merged(stored.withColumn("quarter", F.expr("(substr(dag_id, 6, 2) - 1) div 3")), ["year", "quarter"])
+    again = spans(quarters, ["year"]).select("year", "metrics_name", F.col("low").alias("low2"), F.col("high").alias("high2"))
+    exact = exact_medians(rows, columns, ["year"], around)
+    value = F.col("metrics_value")
+    held = value.between(F.col("low"), F.col("high")) & value.between(F.col("low2"), F.col("high2"))
+    return exact.join(around, ["year", "metrics_name"]).join(again, ["year", "metrics_name"]).select(
+        "year", "metrics_name", "n", F.round(value, 6).alias("metrics_value"),
+        (held & F.col("middle").between(F.col("low"), F.col("high"))).alias("held"),
+    )
+
+
+@query
+def stateful_load(spark, sf_dir):
+    """Events landing in files out of order, over runs of a stream that keeps first sightings as its state."""
+    R.use_utc(spark)
+    warehouse, base = VersionedWarehouse(spark, R.scratch(spark)), R.scratch(spark)
+    landed = R.table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("appid"), F.col("event_type").alias("name"), F.col("ts").alias("last_update")
+    )
+    late = F.pmod("appid", F.lit(3)) == 0
+    fields = "appid bigint, name string, last_update timestamp"
+    # the afternoons first, then the mornings with sightings of the same days, then everything once more
+    for part in (landed.where((F.hour("last_update") >= 12) & ~late), landed.where((F.hour("last_update") < 12) | late), landed):
+        part.withColumn("last_update", F.col("last_update").cast("timestamp")).repartition(3).write.mode("append").parquet(f"{base}/landing")
+        stream = new_files(spark, f"{base}/landing", fields, "parquet", files_per_batch=2)
+        run_stateful(stream, warehouse, R.SALE_LOG_MD5, f"{base}/checkpoint", "events")
+    return staging_view(warehouse.read(R.SALE_LOG_MD5), R.SALE_LOG_MD5)

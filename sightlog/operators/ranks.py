@@ -93,29 +93,32 @@ def band_rows(around: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
 
 
 def exact_medians(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str], around: DataFrame
+    df: DataFrame, columns: Sequence[str], by: Sequence[str], around: DataFrame, few: bool | None = None
 ) -> DataFrame:
     """Interpolated median of each column: (by..., metrics_name, metrics_value), null where a
     column has no values.
 
-    ``around`` are the ``band_rows`` of the same frame.  Values are counted, those below the band
-    are summed without being ordered, and only the band's are ordered: a share of about
-    2 * BAND of a group's rows, whatever its size.
+    ``around`` are the ``band_rows`` of the same frame, or ``summaries.spans``.  Values are counted,
+    those below the band are summed without being ordered, and only the band's are ordered: a share of
+    about 2 * BAND of a group's rows, whatever its size.  With ``few`` groups, whose number the caller
+    has checked, or without any, the bounds are broadcast and values beyond them are not shuffled.
     """
+    few = not by if few is None else few
     group = [*by, "metrics_name"]
     long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         list(by), list(columns), "metrics_name", "value"
     )
-    counts = long.where(F.col("value").isNotNull()).groupBy(*group, "value").agg(F.count(F.lit(1)).alias("rows"))
-    # without groups there is a row per declared column; else sizes decide, measured at run time
-    bounds = around if by else F.broadcast(around)
     value = F.col("value")
+    given = long.where(value.isNotNull())
+    inside = F.when(value >= F.col("low"), value).alias("value")
+    if not few:
+        # equal values are counted before they meet the bounds
+        counts = given.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("rows"))
+    else:
+        counts, around = given.withColumn("rows", F.lit(1)), F.broadcast(around)
     placed = (
-        counts.join(bounds, _same(counts, bounds, group)).select(
-            *[counts[g] for g in group], "n", "rows", "high",
-            F.when(value >= F.col("low"), value).alias("value"),
-        )
-        .where(F.col("value").isNull() | (F.col("value") <= F.col("high")))
+        counts.join(around, _same(counts, around, group)).where(value <= F.col("high"))
+        .select(*[counts[g] for g in group], "n", "rows", inside)
         .groupBy(*group, "n", "value").agg(F.sum("rows").alias("rows"))
     )
     upto = F.sum("rows").over(

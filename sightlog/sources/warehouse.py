@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -75,8 +75,19 @@ class Warehouse:
             )
         return df
 
-    def append(self, spec: TableSpec, df: DataFrame) -> None:
-        """Append rows, matched by column name.
+    def is_done(self, spec: TableSpec, key: str) -> bool:
+        """Whether a load of this key is stored; catalog tables keep no such records."""
+        return False
+
+    def done_below(self, spec: TableSpec, key: str) -> set[str]:
+        """Keys of the portions of a load that are stored."""
+        return set()
+
+    def finish(self, spec: TableSpec, key: str) -> None:
+        """Record that all portions of a load are stored."""
+
+    def append(self, spec: TableSpec, df: DataFrame, key: str | None = None) -> None:
+        """Append rows, matched by column name.  Catalog tables do not record ``key``.
 
         Rows are balanced into files per month by size (a month is never one task) and
         sorted by key inside each file, so key filters skip row groups.
@@ -93,13 +104,17 @@ class Warehouse:
 
     def append_payload(
         self, spec: TableSpec, df: DataFrame, now: datetime | None = None,
-        skip_known: bool = False,
+        skip_known: bool = False, key: str | None = None,
     ) -> None:
         """Audit and append payload rows; ``skip_known`` leaves out states already stored.
 
+        Where the table records keys, nothing happens if ``key`` is stored.
+
         Rows without a ``last_update`` get one load time, fixed here, so the table needs to
         be searched in one month only; stamped rows are searched for in the months they span.
         """
+        if key is not None and self.is_done(spec, key):
+            return
         stamped = "last_update" in df.columns
         if not stamped and now is None:
             now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
@@ -107,17 +122,32 @@ class Warehouse:
         if skip_known:
             months = None if stamped else [date(now.year, now.month, 1)]
             rows = unseen(rows, self.read(spec), spec, months)
-        self.append(spec, rows)
+        self.append(spec, rows, key)
 
     def append_directory(
         self, spec: TableSpec, path: str, now: datetime | None = None,
-        files_per_batch: int | None = None, skip_known: bool = False,
+        files_per_batch: int | None = None, skip_known: bool = False, key: str | None = None,
+        step: Callable[[str], None] | None = None,
     ) -> int:
-        """Append a staged directory, whole or by portions; returns the number of appends."""
+        """Append a staged directory, whole or by portions; returns the number of portions.
+
+        With ``key`` each portion is recorded as it is stored, and one that is stored is not loaded
+        again: a load that broke off goes on where it stopped.  A portion that fails is named.
+        ``step`` is told of each portion that is stored.
+        """
         todo = staged.portions(self.spark, path, files_per_batch)
-        for portion in todo:
+        keys = [None if key is None else f"{key}/{files_per_batch or 'all'}/{i}" for i in range(len(todo))]
+        if key is not None and self.done_below(spec, key) - set(keys):
+            raise staged.StageError(f"{path}: was begun with portions of another size, not {files_per_batch}")
+        for i, portion in enumerate(todo):
             rows = staged.read_staged(self.spark, spec, portion)
-            self.append_payload(spec, rows, now, skip_known)
+            try:
+                self.append_payload(spec, rows, now, skip_known, keys[i])
+            except Exception as e:
+                e.add_note(f"portion {i + 1} of {len(todo)} of {path} was not stored in {spec.full_name}")
+                raise
+            if step is not None:
+                step(f"portion {i + 1}")
         if not todo:
             logger.warning("%s: nothing staged for %s", path, spec.full_name)
         return len(todo)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sightlog.functions.hashing import with_audit
+from sightlog.functions.hashing import version, with_audit
 from sightlog.operators.compaction import unseen
 from sightlog.sources.landing import LANDING_SCHEMA
+from sightlog.sources.versions import VersionedWarehouse
 from sightlog.sources.warehouse import Warehouse
 from sightlog.specs import TableSpec
 
@@ -53,3 +54,40 @@ def append_new(spec: TableSpec) -> Callable[[DataFrame, int], None]:
         warehouse.append(spec, unseen(rows, warehouse.read(spec), spec))
 
     return load
+
+
+def first_sightings(stream: DataFrame, spec: TableSpec) -> DataFrame:
+    """A stream of states as they are first seen, or seen to be older than was known.
+
+    The earliest sighting of each key is state of the stream, so nothing is read back from the table.
+    Beside it stands the time of the batch that brought it (the same in a replay): in update mode all keys
+    of a batch come out, and those whose sighting is of an earlier batch are left out.  Rows are payload
+    stamped with ``last_update``; late columns are part of the state here.
+    """
+    audited = with_audit(stream, spec)
+    names = [f"__k{i}" for i in range(len(spec.key))]
+    keyed = audited.select("*", F.current_timestamp().alias("__batch"), *[F.expr(k).alias(n) for k, n in zip(spec.key, names, strict=True)])
+    fixed = [c for c in audited.columns if c not in ("last_update", "ver")]
+    seen = F.min(F.struct("last_update", "__batch")).alias("__first")
+    first = keyed.groupBy(*fixed, *names).agg(seen).where(F.col("__first.__batch") == F.current_timestamp())
+    return first.withColumn("last_update", F.col("__first.last_update")).withColumn("ver", version()).select(*audited.columns)
+
+
+def run_stateful(
+    stream: DataFrame, warehouse: VersionedWarehouse, spec: TableSpec, checkpoint: str, name: str
+) -> StreamingQuery:
+    """Stores first sightings of everything that has landed, then stops.
+
+    A batch is recorded with its rows under ``name``, so one that is replayed after a failure adds nothing.
+    The table has a row for each time a key became older, which staging and compaction reduce to one.
+    """
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        VersionedWarehouse(batch.sparkSession, warehouse.location).append(spec, batch, key=f"{name}/{batch_id}")
+
+    query = (
+        first_sightings(stream, spec).writeStream.outputMode("update").trigger(availableNow=True)
+        .option("checkpointLocation", checkpoint).foreachBatch(load).start()
+    )
+    query.awaitTermination()
+    return query

@@ -124,6 +124,24 @@ METRICS = TableSpec(
     keep_states=False,
 )
 
+# Rank summaries of the columns whose medians are checked, a row for each load and column.
+SUMMARIES = TableSpec(
+    schema="raw_dq",
+    name="load_summaries",
+    columns=(
+        Column("dag_id", str),
+        Column("schema_name", str),
+        Column("table_name", str),
+        Column("metrics_name", str),
+        Column("n", int),
+        Column("slack", int),
+        Column("points", list[float]),
+    ),
+    key=("row_hash",),
+    hash_columns=("dag_id", "schema_name", "table_name", "metrics_name", "n"),
+    keep_states=False,
+)
+
 RAW_TABLES = (CATALOG, SALE_LOG, CARDS, PRICES, PACKAGES, SNAPSHOTS)
 ALL_TABLES = (*RAW_TABLES, METRICS)
 
