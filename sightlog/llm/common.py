@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 #: Characters that separate words, as a Java and Python character class.
 BLANKS = r"[\x20\x09-\x0D]"
@@ -49,6 +49,19 @@ def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
+def most_frequent(counts: DataFrame, count: str, limit: int) -> DataFrame:
+    """Rows of the largest counts above 0, as many as whole counts allow within ``limit``.
+
+    The smallest count that fits comes from how many rows there are of each count, so no task and
+    not the driver sees more rows than there are different counts.
+    """
+    n = F.col(count)
+    rows = counts.where(n > 0).groupBy(n.alias("n")).agg(F.count(F.lit(1)).alias("rows"))
+    upto = F.sum("rows").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0))
+    least = rows.withColumn("upto", upto).where(F.col("upto") <= limit).agg(F.min("n")).scalar()
+    return counts.where(n >= least)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sightlog.llm.common import folded_words, scratch_folder, slices, stored
+from sightlog.llm.common import folded_words, most_frequent, scratch_folder, slices, stored
 
 BUCKETS = 10_000
 SEED = 7
@@ -82,11 +82,9 @@ def frequent(docs: DataFrame, folder: str, n_words: int = HEAD_WORDS, n_pairs: i
 
     parts = docs.mapInArrow(tally, "first binary, second binary, n bigint")
     counted = stored(parts.groupBy("first", "second").agg(F.sum("n").alias("n")), folder, "tally")
-    order = [F.desc("n"), "first", "second"]
     alone = F.col("second").isNull()
-    # both limits are parameters, so what comes to the driver is bounded
-    tops = counted.where(alone).orderBy(*order).limit(n_words).unionByName(counted.where(~alone).orderBy(*order).limit(n_pairs))
-    rows = tops.select("first", "second").collect()
+    tops = most_frequent(counted.where(alone), "n", n_words).unionByName(most_frequent(counted.where(~alone), "n", n_pairs))
+    rows = tops.select("first", "second").collect()  # both limits are parameters
     return [bytes(r[0]) for r in rows if r[1] is None], [(bytes(a), bytes(b)) for a, b in rows if b is not None]
 
 
