@@ -491,4 +491,23 @@ FROM long GROUP BY year, metrics_name""",
 SELECT appid, name, row_hash, last_update FROM raw_daily
 QUALIFY row_number() OVER (
   PARTITION BY appid, row_hash, CAST(last_update AS DATE) ORDER BY last_update, event_id) = 1""",
+    "page_gaps": f"""WITH {_HOURS},
+expected AS (SELECT walk, CAST(h * 100 AS BIGINT) AS "offset" FROM walks, range(0, (SELECT last + 1 FROM hours)) t(h)),
+missing AS (SELECT walk, "offset" FROM expected EXCEPT SELECT walk, "offset" FROM landed),
+grouped AS (SELECT *, "offset" // 100 - row_number() OVER (PARTITION BY walk ORDER BY "offset") AS g FROM missing)
+SELECT walk, min("offset") AS first, max("offset") AS last, count(*) AS pages FROM grouped GROUP BY walk, g""",
+    "view_of_compacted": f"""WITH {_DAILY}
+SELECT appid, name, row_hash, last_update FROM raw_daily
+QUALIFY row_number() OVER (
+  PARTITION BY appid, row_hash, CAST(last_update AS DATE) ORDER BY last_update, event_id) = 1""",
+    "drift_of_empty": """WITH m AS (
+  SELECT user_id AS walk, CAST(CAST(ts AS DATE) - DATE '2024-01-01' AS BIGINT) AS page,
+         CAST(count(*) FILTER (WHERE event_type = 'purchase') AS DOUBLE) AS n
+  FROM events GROUP BY ALL),
+s AS (SELECT walk, page, n, lag(n) OVER (PARTITION BY walk ORDER BY page) AS o FROM m)
+SELECT empty, walk, page, n AS new_value, o AS old_value,
+       CASE WHEN empty = 'stops' AND n = 0 THEN 'error' WHEN o IS NULL OR o = 0 OR n = 0 THEN 'skip'
+            WHEN greatest(n, o) / least(n, o) - 1 > 0.5 THEN 'error' WHEN greatest(n, o) / least(n, o) - 1 > 0.2 THEN 'warn'
+            ELSE 'ok' END AS status
+FROM (SELECT unnest(['passes', 'stops']) AS empty), s""",
 }

@@ -14,7 +14,7 @@ from sightlog.functions.scalar import blank_to_null, instant, link_id, release_d
 from sightlog.operators import flatten
 from sightlog.operators.compaction import add_column, compact, idempotent_append
 from sightlog.operators.limits import with_global_max
-from sightlog.operators.pages import islands, missing_pages, total_count, truncation
+from sightlog.operators.pages import islands, missing_pages, missing_ranges, total_count, truncation
 from sightlog.operators.quality import (
     CheckError,
     collect_metrics,
@@ -35,7 +35,7 @@ from sightlog.plans.load import gated_load
 from sightlog.plans.staging import staging_view
 from sightlog.sources import staged
 from sightlog.sources.versions import VersionedWarehouse
-from sightlog.specs import Column, TableSpec
+from sightlog.specs import Check, Column, TableSpec
 from sightlog.streaming.incremental import append_new, new_files, run_available, run_stateful
 from sightlog.tables import CARDS, CATALOG, METRICS, PACKAGES, PRICES, SALE_LOG, SNAPSHOTS, SUMMARIES
 
@@ -229,6 +229,12 @@ def compact_monthly(spark, sf_dir):
     return compact(R.raw_catalog(spark, sf_dir), R.CATALOG_MD5)
 
 
+@query
+def view_of_compacted(spark, sf_dir):
+    """The staging view of a compacted table, which is that of the table."""
+    return staging_view(compact(R.raw_daily(spark, sf_dir), R.SALE_LOG_MD5), R.SALE_LOG_MD5)
+
+
 @query
 def compact_late_column(spark, sf_dir):
     return compact(R.raw_packages(spark, sf_dir), R.PACKAGES_MD5)
@@ -306,6 +312,21 @@ def dq_drift(spark, sf_dir):
     )
 
 
+@query
+def drift_of_empty(spark, sf_dir):
+    """Days without sales beside days with some: skipped, or an error where an empty load is one."""
+    sales = R.day_manifest(spark, sf_dir).select(
+        "walk", "page", F.lit("row_count").alias("metrics_name"), F.col("rows").cast("double").alias("metrics_value")
+    )
+    out = None
+    for name, check in (("passes", Check()), ("stops", Check(empty_stops=True))):
+        case = compare_series(sales, check, ["walk", "metrics_name"], at="page").select(
+            F.lit(name).alias("empty"), "walk", "page", "new_value", "old_value", "status"
+        )
+        out = case if out is None else out.unionByName(case)
+    return out
+
+
 @partial(query, name="freshness_test")
 def freshness_cases(spark, sf_dir):
     events = R.table(spark, sf_dir, "events").withColumnRenamed("ts", "last_update")
@@ -514,6 +535,13 @@ def bounded_coverage(spark, sf_dir):
     return missing_pages(landed, _walks(landed), ["walk"], page_rows=100, max_rows=7200)
 
 
+@query
+def page_gaps(spark, sf_dir):
+    """What did not land, as ranges of offsets."""
+    landed = R.hour_pages(spark, sf_dir)
+    return missing_ranges(landed, _walks(landed), ["walk"], page_rows=100, block=24)
+
+
 @query
 def empty_runs(spark, sf_dir):
     empty = R.day_manifest(spark, sf_dir).where("rows = 0")

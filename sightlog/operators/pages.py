@@ -64,6 +64,46 @@ def missing_pages(
     return expected.join(seen, [*keys, "offset"], "left_anti")
 
 
+def missing_ranges(
+    landed: DataFrame, totals: DataFrame, keys: Sequence[str], page_rows: int, block: int = 10_000,
+    max_rows: int | None = None,
+) -> DataFrame:
+    """The pages of ``missing_pages`` as ranges: (keys..., first, last, pages), offsets of their ends.
+
+    Gaps are read off between landed pages, so work follows what landed and not what was expected.  The
+    page before each one is looked for in its block of pages, and for the first of a block in the block
+    before: only one row for each block of a walk is ordered across blocks.
+    """
+    if page_rows < 1:
+        raise ValueError("page_rows must be at least 1")
+    if max_rows is not None:
+        if max_rows < 1:
+            raise ValueError("max_rows must be at least 1")
+        totals = totals.withColumn("total_count", F.lit(max_rows).cast("bigint"))
+    keys = list(keys)
+    walk = [*keys, "__walk"]  # a constant, for walks without keys
+    wanted = totals.where(F.col("total_count") > 0).select(
+        *keys, F.lit(0).alias("__walk"), F.expr(f"(total_count + {page_rows - 1}) div {page_rows}").alias("__pages")
+    )
+    page = F.expr(f"offset div {page_rows}")
+    seen = landed.where((F.col("offset") >= 0) & (F.col("offset") % page_rows == 0)).select(
+        *keys, F.lit(0).alias("__walk"), page.alias("__page")
+    ).distinct()
+    inside = seen.join(wanted, walk).where(F.col("__page") < F.col("__pages")).withColumn("__block", F.expr(f"__page div {block}"))
+    blocks = inside.groupBy(*walk, "__block").agg(F.min("__page").alias("__page"), F.max("__page").alias("__end"))
+    before = F.lag("__end", 1, -1).over(Window.partitionBy(*walk).orderBy("__block"))
+    between = F.lag("__page").over(Window.partitionBy(*walk, "__block").orderBy("__page"))
+    firsts = blocks.select(*walk, before.alias("__from"), F.col("__page").alias("__to"))
+    others = inside.select(*walk, between.alias("__from"), F.col("__page").alias("__to")).where(F.col("__from").isNotNull())
+    ends = blocks.groupBy(*walk).agg(F.max("__end").alias("__end"))
+    rest = wanted.join(ends, walk, "left").select(*walk, F.coalesce("__end", F.lit(-1)).alias("__from"), F.col("__pages").alias("__to"))
+    gaps = firsts.unionByName(others).unionByName(rest).where(F.col("__to") - F.col("__from") > 1)
+    return gaps.select(
+        *keys, ((F.col("__from") + 1) * page_rows).alias("first"), ((F.col("__to") - 1) * page_rows).alias("last"),
+        (F.col("__to") - F.col("__from") - 1).alias("pages"),
+    )
+
+
 def islands(
     positions: DataFrame, keys: Sequence[str], position: str, block: int = 10_000
 ) -> DataFrame:

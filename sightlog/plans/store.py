@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sightlog.functions.scalar import run_date_or_default
 from sightlog.operators import flatten
-from sightlog.operators.pages import missing_pages, require_totals
+from sightlog.operators.pages import missing_ranges, require_totals
 from sightlog.operators.quality import (
     CheckError,
     TestOutcome,
@@ -65,7 +65,8 @@ def load_search(
     missing = None
     if page_rows is not None:
         totals = pages.agg(F.max("total_count").alias("total_count"))
-        missing = missing_pages(pages, totals, [], page_rows, max_rows=max_rows).count()
+        gaps = missing_ranges(pages, totals, [], page_rows, max_rows=max_rows)
+        missing = gaps.agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0]
         if missing:
             logger.warning("%s: %d pages did not land", spec.full_name, missing)
     path = f"{run_dir}/{spec.name}"

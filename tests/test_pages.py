@@ -6,6 +6,7 @@ from sightlog.operators.pages import (
     PageError,
     islands,
     missing_pages,
+    missing_ranges,
     require_totals,
     total_count,
     truncation,
@@ -62,3 +63,25 @@ def test_truncation(rows):
     assert got == {"full": (4, 0, True), "ended": (4, 2, False), "gappy": (4, 1, True), "short": (2, 0, False)}
     with pytest.raises(ValueError):
         truncation(df, ["walk"], "page", "n", 0, 2)
+
+
+@pytest.mark.parametrize("block", [1, 3, 10_000])
+@pytest.mark.parametrize("max_rows", [None, 95])
+def test_missing_ranges_are_the_missing_pages(rows, block, max_rows):
+    rng = random.Random(block)
+    walks = [(w, rng.choice([0, 1, 10, 95, 400, None])) for w in "abcdefgh"] + [(None, 30)]
+    landed = [(w, rng.choice([rng.randrange(45) * 10, rng.randrange(450), -10])) for w, _ in walks[:-2] for _ in range(rng.randrange(60))]
+    totals, pages = rows(walks, "walk string, total_count long"), rows(landed, "walk string, offset long")
+    gaps = missing_ranges(pages, totals, ["walk"], 10, block, max_rows).collect()
+    found = sorted((str(g["walk"]), o) for g in gaps for o in range(g["first"], g["last"] + 1, 10))
+    expected = sorted((str(r["walk"]), r["offset"]) for r in missing_pages(pages, totals, ["walk"], 10, max_rows=max_rows).collect())
+    assert found == expected and sum(g["pages"] for g in gaps) == len(found)
+    ends = {(g["walk"], g["last"] + 10) for g in gaps}
+    assert not any((g["walk"], g["first"]) in ends for g in gaps)  # as long as can be
+
+
+def test_missing_ranges_of_a_walk_without_keys(rows):
+    landed, totals = rows([(0,), (20,), (30,)], "offset long"), rows([(60,)], "total_count long")
+    assert sorted(tuple(r) for r in missing_ranges(landed, totals, [], 10).collect()) == [(10, 10, 1), (40, 50, 2)]
+    with pytest.raises(ValueError, match="page_rows"):
+        missing_ranges(landed, totals, [], 0)
