@@ -9,13 +9,16 @@ at least the similarity ``least_similarity`` with it, and the band count is chos
 pair meets with probability RECALL or more.  What met is verified by exact containment.
 
 A regular expression first sets aside texts in which no shingle of any template occurs: no window
-of theirs could be verified.  It is applied to whole texts.
+of theirs could be verified.  It is applied to whole texts.  The shingles of the others are dealt
+into chunks of CHUNK places, each followed by as many as the widest window reaches beyond its end;
+every window begins in one chunk, so time and memory grow with the text and not with its square.
 
 The templates are a parameter and bounded: their min-hashes are broadcast after a check of
 their number.
 
-Defined results: null or empty text has no license; repeated rows each get a row, and rows that
-share an id share what is found under it; templates with fewer than 5 words are refused.
+Defined results: null or empty text has no license; repeated rows, rows that share an id and rows
+without id each get a row with what their own text holds; templates with fewer than 5 words are
+refused.
 """
 
 from __future__ import annotations
@@ -25,12 +28,13 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sightlog.llm.common import bound, text_or_empty
+from sightlog.llm.common import bound, scratch_folder, stored, text_or_empty
 
 SHINGLE = 5
 MIN_SHARE = 0.8
 RECALL = 0.999
 LADDER = (1, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048)
+CHUNK = 8192  # shingles; every stride divides it
 MAX_TEMPLATE_BANDS = 100_000
 WORD = "[A-Za-z0-9]+"
 
@@ -92,22 +96,32 @@ def shingles_of(words: Column) -> Column:
     return bound(words, hashed)
 
 
-def min_hashes(shingles: Column, width: int) -> Column:
+def min_hashes(shingles: Column, width: int, chunk: Column | None = None) -> Column:
     """(place, width, key) of every window of ``width`` shingles, for each band; the last window
-    may be shorter."""
+    may be shorter.
+
+    With ``chunk`` the shingles are those of that chunk and what follows it: places count from its
+    beginning, and windows are those that begin in it.
+    """
     step = stride(width)
+    first = F.lit(True) if chunk is None else chunk == 0
+    windows_type = "array<struct<place:int,width:int,key:bigint>>"
 
     def of_band(band: Column) -> Column:
         mixed = F.transform(shingles, lambda h: F.xxhash64(h, band))
 
         def windows(m: Column) -> Column:
-            last = F.greatest(F.ceil((F.size(m) - width) / F.lit(step)), F.lit(0)).cast("int")
+            # a later chunk has none where the last window begins before it
+            last = F.ceil((F.size(m) - width) / F.lit(step)).cast("int")
+            last = F.when(first, F.greatest(last, F.lit(0))).otherwise(last)
+            if chunk is not None:
+                last = F.least(last, F.lit(CHUNK // step - 1))
             one = lambda i: F.struct(
                 (i * step).alias("place"), F.lit(width).alias("width"),
                 F.xxhash64(F.lit(width), band, F.array_min(F.slice(m, i * step + 1, F.lit(width)))).alias("key"),
             )
-            return F.when(F.size(m) > 0, F.transform(F.sequence(F.lit(0), last), one)).otherwise(
-                F.array().cast("array<struct<place:int,width:int,key:bigint>>")
+            return F.when((F.size(m) > 0) & (last >= 0), F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), one)).otherwise(
+                F.array().cast(windows_type)
             )
 
         return bound(mixed, windows)
@@ -168,32 +182,50 @@ def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
     return keys
 
 
+def chunked(shingles: Column, reach: int) -> Column:
+    """(chunk, part) for each CHUNK shingles, each with ``reach`` more of those that follow."""
+    part = lambda c: F.struct(c.alias("chunk"), F.slice(shingles, c * CHUNK + 1, F.lit(CHUNK + reach)).alias("part"))
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(shingles) - 1) / F.lit(CHUNK)).cast("int")), part)
+
+
 def licenses(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     """doc_id, and findings (name, first word, last word exclusive, share) sorted, for each row.
 
     The words of a finding are those of the window that holds it, in numbers.
     """
     spark = docs.sparkSession
+    folder = scratch_folder(spark)
     widths = sorted({width_of(len(words) - SHINGLE + 1) for _, words in template_words(templates)})
     text = text_or_empty()
-    maybe = docs.select("doc_id", "text").where(text.rlike(shingle_pattern(templates)))
-    shingled = maybe.select("doc_id", words_of(text).alias("words")).select("doc_id", shingles_of(F.col("words")).alias("shingles"))
-    windows = F.concat(*[min_hashes(F.col("shingles"), w) for w in widths])
+    maybe = F.when(text.rlike(shingle_pattern(templates)), shingles_of(words_of(text)))
+    own = stored(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", maybe.alias("shingles")), folder, "shingles")
+    parts = own.where(F.size("shingles") > 0).select("row", F.explode(chunked(F.col("shingles"), widths[-1])).alias("c"))
+    parts = parts.select("row", "c.chunk", "c.part")
+    windows = F.concat(*[min_hashes(F.col("part"), w, F.col("chunk")) for w in widths])
+    keys = stored(template_table(spark, templates), folder, "templates")
     met = (
-        shingled.select("doc_id", "shingles", F.explode(windows).alias("w"))
-        .join(F.broadcast(template_table(spark, templates)), F.col("w.key") == F.col("key"))
+        parts.select("row", "chunk", F.explode(windows).alias("w"))
+        .join(F.broadcast(keys.select("template", "key")), F.col("w.key") == F.col("key"))
+        .groupBy("row", "chunk").agg(F.collect_set(F.struct("template", "w.place", "w.width")).alias("met"))
     )
-    own = F.slice("shingles", F.col("w.place") + 1, F.col("w.width"))
-    share = F.size(F.array_intersect("wanted", own)) / F.size("wanted")
+    cut = F.transform("met", lambda m: F.struct(m.alias("m"), F.slice("part", m["place"] + 1, m["width"]).alias("own")))
+    wanted = keys.groupBy("template").agg(F.first("name").alias("name"), F.first("wanted").alias("wanted"))
+    share = F.size(F.array_intersect("wanted", "w.own")) / F.size("wanted")
     found = (
-        met.select("doc_id", "name", "w.place", "w.width", share.alias("share")).where(F.col("share") >= MIN_SHARE)
-        .groupBy("doc_id", "name", "place", "width").agg(F.max("share").alias("share"))
+        parts.join(met, ["row", "chunk"]).select("row", "chunk", F.explode(cut).alias("w"))
+        .join(F.broadcast(wanted), F.col("w.m.template") == F.col("template"))
+        .select(
+            "row", "name", (F.col("chunk") * CHUNK + F.col("w.m.place")).alias("place"), F.col("w.m.width").alias("width"),
+            share.alias("share"),
+        )
+        .where(F.col("share") >= MIN_SHARE)
+        .groupBy("row", "name", "place", "width").agg(F.max("share").alias("share"))
     )
     span = F.struct(
         "name", F.col("place").alias("start"), (F.col("place") + F.col("width") + SHINGLE - 1).alias("end"), "share"
     )
-    by_doc = found.groupBy(F.col("doc_id").alias("id")).agg(F.sort_array(F.collect_list(span)).alias("findings"))
-    return docs.select("doc_id").join(by_doc, F.col("doc_id").eqNullSafe(F.col("id")), "left").select(
+    by_row = found.groupBy("row").agg(F.sort_array(F.collect_list(span)).alias("findings"))
+    return own.select("row", "doc_id").join(by_row, "row", "left").select(
         "doc_id",
         F.coalesce("findings", F.array().cast("array<struct<name:string,start:int,end:int,share:double>>")).alias("findings"),
     )
