@@ -12,8 +12,12 @@ blocks of about BLOCK, each block leaves one undecided document, and these form
 the next level: a tree as high as the logarithm of the documents.  The last document of a source
 is rounded to the nearer side.  Draws are hashes of ids, so reruns agree.
 
+Rows with the same id, source and size are alike, so only how many of them are taken once more is
+decided: as many as the fraction of them gives in whole rows, and one row with the fraction that is
+left goes into the tree.  So a source whose rows all lack an id comes as near its target as others.
+
 Defined results: null text has size 0 and takes nothing; rows with the same id, source and size
-are one unit, decided together, and each gets a row; with no words at all targets are 0.
+each get a row; with no words at all targets are 0.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from sightlog.llm.common import scratch_folder, stored, text_or_empty, word_coun
 WEIGHTS = (1, 2, 3)
 MOST = 3
 BLOCK = 64
+ALIKE = 1000  # rows written out at once of those that are alike
 SEED = 20_240_229
 
 
@@ -63,19 +68,19 @@ def _draw(a: Column, b: Column, level: int) -> Column:
 
 def fold(units: Column, level: int, kind: str) -> Column:
     """Undecided unit and decided ones (with ``take``) of an array of units, two at a time."""
-    out = f"array<struct<doc_id:{kind},size:bigint,n:bigint,take:bigint>>"
-    done = lambda u, take: F.array(F.struct(u["doc_id"].alias("doc_id"), u["size"].alias("size"), u["n"].alias("n"), take.alias("take")))
+    out = f"array<struct<doc_id:{kind},size:bigint,take:bigint>>"
+    done = lambda u, take: F.array(F.struct(u["doc_id"].alias("doc_id"), u["size"].alias("size"), take.alias("take")))
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
 
     def add(acc: Column, e: Column) -> Column:
         r = acc["rest"]
-        room, spare = r["cap"] - r["mass"], e["cap"] - e["mass"]
+        room, spare = r["size"] - r["mass"], e["size"] - e["mass"]
         gain, loss = F.least(room, e["mass"]), F.least(r["mass"], spare)
         up = _draw(r["doc_id"], e["doc_id"], level) * (gain + loss) < loss
         # four ends: the rest is taken, the rest is left, the other is taken, the other is left
         rest_full, rest_empty = up & (room <= e["mass"]), ~up & (r["mass"] <= spare)
         keeps = rest_full | rest_empty
-        with_mass = lambda u, mass: F.struct(u["doc_id"].alias("doc_id"), u["size"].alias("size"), u["n"].alias("n"), u["cap"].alias("cap"), mass.alias("mass"))
+        with_mass = lambda u, mass: F.struct(u["doc_id"].alias("doc_id"), u["size"].alias("size"), mass.alias("mass"))
         rest = (
             F.when(rest_full, with_mass(e, e["mass"] - room))
             .when(rest_empty, with_mass(e, e["mass"] + r["mass"]))
@@ -91,6 +96,21 @@ def fold(units: Column, level: int, kind: str) -> Column:
     return F.aggregate(F.slice(units, F.lit(2), F.greatest(F.size(units) - 1, F.lit(0))), zero, add)
 
 
+def written_out(alike: DataFrame) -> DataFrame:
+    """Rows (without ``n`` and ``more``, with ``take``) of units of ``n`` rows, ``more`` of which are
+    taken once more.  Large units are first dealt into stretches of ALIKE rows."""
+
+    def rows(units: DataFrame, begin: Column, end: Column) -> DataFrame:
+        each = units.withColumn("nth", F.explode(F.sequence(begin, end)))
+        return each.withColumn("take", (F.col("nth") < F.col("more")).cast("bigint")).drop("n", "more", "nth", "begin")
+
+    zero, last = F.lit(0).cast("bigint"), F.col("n") - 1
+    few = rows(alike.where(F.col("n") <= ALIKE), zero, last)
+    parts = alike.where(F.col("n") > ALIKE).withColumn("begin", F.explode(F.sequence(zero, last, F.lit(ALIKE).cast("bigint"))))
+    parts = parts.repartition("doc_id", "size", "begin")
+    return few.unionByName(rows(parts, F.col("begin"), F.least(F.col("begin") + ALIKE - 1, last)))
+
+
 def mix(docs: DataFrame) -> DataFrame:
     """doc_id, source, size, source_size, target and taken, for each row (doc_id, text, source)."""
     folder = scratch_folder(docs.sparkSession)
@@ -101,41 +121,40 @@ def mix(docs: DataFrame) -> DataFrame:
 
     # a rate of MOST is exact: such a target is MOST times the size
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    # of n rows alike n * part are taken once more: whole rows at once, the fraction left by the tree
+    part = rate - F.floor(rate)
     rated = units.join(sources, units.source.eqNullSafe(sources.source)).select(
         "doc_id", units.source, "size", "n", "place", "units",
-        F.floor(rate).alias("whole"), (rate - F.floor(rate)).alias("part"),
+        F.floor(F.col("n") * part).alias("sure"), (F.col("n") * part - F.floor(F.col("n") * part)).alias("part"),
     )
     open_ = (F.col("part") > 0) & (F.col("size") > 0)
-    cap = F.col("size") * F.col("n").cast("double")
     level, decided = 0, []
     most = sources.agg(F.max("units")).first()[0] or 0
-    rest = rated.where(open_).select("place", "units", "doc_id", "size", "n", cap.alias("cap"), (cap * F.col("part")).alias("mass"))
+    rest = rated.where(open_).select("place", "units", "doc_id", "size", (F.col("size") * F.col("part")).alias("mass"))
     while True:
         # levels are fixed by the largest source; a source that is down to one unit passes through
         count = F.ceil(F.col("units") / F.lit(float(BLOCK ** (level + 1))))
         grouped = rest.groupBy(
             "place", "units", F.pmod(F.xxhash64(F.lit(SEED + level), "doc_id", "size"), count).alias("block")
-        ).agg(F.sort_array(F.collect_list(F.struct("doc_id", "size", "n", "cap", "mass"))).alias("all"))
+        ).agg(F.sort_array(F.collect_list(F.struct("doc_id", "size", "mass"))).alias("all"))
         folded = stored(
             grouped.select("place", "units", fold(F.col("all"), level, kind).alias("f")).select(
                 "place", "units", F.col("f.rest").alias("rest"), F.col("f.out").alias("out")
             ),
             folder, f"level-{level}",
         )
-        decided.append(folded.select("place", F.explode("out").alias("u")).select("place", "u.*"))
+        decided.append(folded.select("place", F.explode("out").alias("u")).select("place", "u.*").where("take > 0"))
         rest = folded.select("place", "units", "rest.*")
         if BLOCK ** (level + 1) >= most:
             break
         level += 1
-    last = rest.select("place", "doc_id", "size", "n", (F.col("mass") * 2 >= F.col("cap")).cast("bigint").alias("take"))
+    drawn = rest.where(F.col("mass") * 2 >= F.col("size")).select("place", "doc_id", "size", F.lit(1).cast("bigint").alias("take"))
     for d in decided:
-        last = last.unionByName(d)
-    still = rated.where(~open_).select("place", "doc_id", "size", "n", F.lit(0).cast("bigint").alias("take"))
-    by_place = sources.select(
-        "place", "source", "source_size", "target", F.floor(rate).alias("whole")
-    )
-    return (
-        last.unionByName(still).join(by_place, "place")
-        .withColumn("n", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")))
-        .select("doc_id", "source", "size", "source_size", "target", ((F.col("whole") + F.col("take")) * F.col("size")).alias("taken"))
+        drawn = drawn.unionByName(d)
+    sure = rated.select("place", "doc_id", "size", "n", F.col("sure").alias("take"))
+    taken = sure.unionByName(drawn.withColumn("n", F.lit(0).cast("bigint")))
+    alike = taken.groupBy("place", "doc_id", "size").agg(F.sum("n").alias("n"), F.sum("take").alias("more"))
+    by_place = sources.select("place", "source", "source_size", "target", F.floor(rate).alias("whole"))
+    return written_out(alike).join(by_place, "place").select(
+        "doc_id", "source", "size", "source_size", "target", ((F.col("whole") + F.col("take")) * F.col("size")).alias("taken")
     )
