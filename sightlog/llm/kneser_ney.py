@@ -4,15 +4,13 @@ The model's n-grams are ORDER characters of trusted text of one language.  Their
 counts of what goes on and before (continuations), the discounts of each language and order and
 the interpolation weights are aggregates and joins over tables of distinct n-grams.
 
-Documents are dealt into buckets by a hash of their id.  A bucket names each of its n-grams once,
+Documents are dealt into buckets by a hash of their id, those without id by one of their text.  A bucket names each of its n-grams once,
 with its count in trusted text: these rows are both the counts of the model and the list of what
 the bucket needs to know.  The probabilities of all n-grams asked for are joined to that list by
 language and n-gram, and come back to the bucket, where each document's text is read through
 them.  Texts are packed and compressed for the way to their buckets, once for each step.
 
-A document is kept if its perplexity is at most the QUANTILE of its language's, times SLACK, or
-if it has fewer than MIN_CHARS characters.  The
-quantile is taken over trusted documents that the model has not seen: of the trusted ones those
+A document is kept if its perplexity is at most the QUANTILE of its language's.  The quantile is taken over trusted documents that the model has not seen: of the trusted ones those
 with crc32(doc_id) mod 4 = 2 are held out.
 
 Defined results: null text is empty; a text without characters has perplexity null and is
@@ -33,9 +31,6 @@ from sightlog.llm.langid import learned
 ORDER = 4
 WIDE = 16  # bits of a character in an n-gram
 QUANTILE = 0.99
-SLACK = 1.25
-#: Shorter texts say too little; they are kept.
-MIN_CHARS = 100
 BUCKET_CHARS = 12_000_000
 
 GRAMS = "owner int, lang string, gram bigint, n bigint"
@@ -193,10 +188,13 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     whose ids are in ``trusted`` (doc_id)."""
     folder = scratch_folder(docs.sparkSession)
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    owner = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-chars // BUCKET_CHARS)))).cast("int").alias("owner")
+    buckets = F.lit(max(1, -(-chars // BUCKET_CHARS)))
+    dealt = lambda h: F.pmod(h, buckets).cast("int").alias("owner")
+    by_id, no_id = F.xxhash64("doc_id"), F.xxhash64("text")
+    owner = dealt(F.when(F.col("doc_id").isNull(), no_id).otherwise(by_id))
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"), "lang", owner)
     by_owner = packed(own, "owner").repartition("owner").groupBy("owner")
-    fit = trusted.select("doc_id").distinct().select(F.col("doc_id").cast("bigint").alias("id"), owner)
+    fit = trusted.select("doc_id").distinct().select(F.col("doc_id").cast("bigint").alias("id"), dealt(by_id))
     found = stored(by_owner.cogroup(fit.groupBy("owner")).applyInArrow(_count, GRAMS), folder, "grams")
     counts = found.where("n > 0").groupBy("lang", "gram").agg(F.sum("n").alias("c"))
     asked = stored(found.select("lang", "gram").distinct(), folder, "asked")
@@ -206,9 +204,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     return by_owner.cogroup(answers.groupBy("owner")).applyInArrow(_score, SCORES)
 
 
-def classify(
-    docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK
-) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """SCORES, threshold and kept for each row of ``docs``; ``labels`` (doc_id, quality, toxic)
     of quality 1 and toxic 0 are trusted."""
     folder = scratch_folder(docs.sparkSession)
@@ -216,12 +212,9 @@ def classify(
     trusted = good.where(F.col("doc_id").isNotNull()).select("doc_id")
     scored = stored(perplexities(docs, trusted.where(learned(F.col("doc_id")))), folder, "scores")
     unseen = scored.join(trusted.where(~learned(F.col("doc_id"))), "doc_id", "left_semi")
-    limits = unseen.groupBy("lang").agg((F.percentile_approx("perplexity", quantile, 10_000) * slack).alias("threshold"))
+    limits = unseen.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"))
     limits = stored(limits, folder, "limits").withColumnRenamed("lang", "ll")
     return scored.join(limits, same("lang", "ll"), "left").select(
         *scored.columns, "threshold",
-        (
-            F.col("perplexity").isNotNull()
-            & ((F.col("chars") < MIN_CHARS) | F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
-        ).alias("kept"),
+        (F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))).alias("kept"),
     )
