@@ -19,7 +19,6 @@ code point wins, with score 0.  With one learned language the score is 1.  The s
 from __future__ import annotations
 
 import math
-import re
 import sys
 import unicodedata
 from array import array
@@ -37,7 +36,8 @@ UNLEARNED = "unlearned"  # has letters, but there is no model
 SYMBOLS = 64  # with a column; 0: letter not in any sample, 1: no letter, others and from SYMBOLS on: letters
 WIDE = 21  # bits of a symbol in the list of transitions
 BLOCK = 512  # characters read in step
-LETTER = re.compile(r"[^\W\d_]")
+PIECE = 64  # characters of a piece, at least
+LEAST = 512  # characters of a language, at least
 
 
 @dataclass
@@ -67,8 +67,9 @@ def learned(doc_id: Column) -> Column:
 def sample(labelled: DataFrame, model_chars: int, pieces: int) -> dict[str, list[str]]:
     """Bounded sample of each language: pieces of texts chosen by a hash of the row.
 
-    ``model_chars`` bounds the characters of all languages together.  The start of a piece
-    within its text is also chosen by hash.
+    The languages share ``model_chars`` characters; where that is less than LEAST for each, they
+    have LEAST.  With little for each, pieces become fewer before they become short.  The start of a
+    piece within its text is also chosen by hash.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         "lang", "text", F.xxhash64("doc_id").alias("h")
@@ -76,7 +77,9 @@ def sample(labelled: DataFrame, model_chars: int, pieces: int) -> dict[str, list
     languages = rows.select("lang").distinct().count()
     if not languages:
         return {}
-    length = max(1, model_chars // languages // pieces)
+    each = max(LEAST, model_chars // languages)
+    pieces = max(1, min(pieces, each // PIECE))
+    length = each // pieces
     first = W.partitionBy("lang").orderBy("h", "piece")
     piece = F.substr(
         F.col("text"),
@@ -155,16 +158,21 @@ def automaton(codes: list[int]) -> tuple[array, dict[int, dict[int, int]]]:
     return nxt, beyond
 
 
-def is_letter(c: str) -> bool:
-    """Whether the character is a letter or a mark on one."""
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter, which is the Unicode category L here and in Spark's patterns."""
+    return any(map(str.isalpha, text))
+
+
+def is_symbol(c: str) -> bool:
+    """Whether the character is a letter or a mark on one, which tell languages apart."""
     return unicodedata.category(c)[0] in "LM"
 
 
 def build(pieces: dict[str, list[str]]) -> Parser | None:
     if not pieces:
         return None
-    letters = Counter(c for texts in pieces.values() for t in texts for c in t if is_letter(c))
-    symbols = np.array([0 if is_letter(chr(cp)) else 1 for cp in range(sys.maxunicode + 1)], np.int32)
+    letters = Counter(c for texts in pieces.values() for t in texts for c in t if is_symbol(c))
+    symbols = np.array([0 if is_symbol(chr(cp)) else 1 for cp in range(sys.maxunicode + 1)], np.int32)
     for i, c in enumerate(sorted(letters, key=lambda c: (-letters[c], c))):
         symbols[ord(c)] = i + 2
     languages, tables, roots, bits, rows = sorted(pieces), [np.zeros(SYMBOLS, np.int32)], [], [], 1
@@ -230,7 +238,7 @@ def phrases(parser: Parser, texts: list[str]) -> np.ndarray:
 def judge(parser: Parser | None, texts: list) -> tuple[list[str], list[float]]:
     """Language and score of each text."""
     named, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-    rows = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
+    rows = [i for i, t in enumerate(texts) if t and has_letter(t)]
     if parser is None:
         for i in rows:
             named[i] = UNLEARNED
@@ -258,9 +266,10 @@ def identify(
 ) -> DataFrame:
     """``docs`` with the predicted language of ``text`` and its score.
 
-    ``labelled`` (doc_id, text, lang) is what may be learned from; ``model_chars`` bounds the
-    characters learned over all languages, and with it the broadcast: at most
-    2 * SYMBOLS * 4 bytes for each, and 3 * 12 for transitions without a column.
+    ``labelled`` (doc_id, text, lang) is what may be learned from; the larger of
+    ``model_chars`` and LEAST for each language bounds the characters learned over all languages, and
+    with it the broadcast: at most 2 * SYMBOLS * 4 bytes for each, and 3 * 12 for transitions without
+    a column.
     """
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(build(sample(labelled, model_chars, pieces)))

@@ -45,7 +45,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
     learnable = langid.learned(F.col("doc_id"))
     named = langid.identify(docs.select("doc_id", "text"), docs.where(learnable))
-    return named.select("doc_id", (~learnable).alias("held_out"), "lang_pred", "score")
+    return named.select("doc_id", F.coalesce(~learnable, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op6_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
