@@ -19,6 +19,9 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Letters, digits and all bytes from 0x80 on with A-Z lowered, every other byte a space.
 FOLDED = bytes(b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
+#: Items walked at a time where a walk gathers an array.
+WALK = 256
+
 #: Characters of text handled at a time inside a task.
 SLICE_CHARS = 4_000_000
 
@@ -83,6 +86,45 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def walked(items: Column, carry: Column, kind: str, step: Callable, context: Callable | None = None) -> Column:
+    """(carry, out) of a walk over an array, where ``out`` is an array of type ``kind``.
+
+    ``step(carry, item, context)`` gives the next carry, an array element and whether it is put out.
+    Appending copies an array, so items are walked in blocks of WALK, each with an array of its own.
+    ``context(carry, block)`` is computed once for each block.
+    """
+    none = F.array().cast(kind)
+
+    def of_blocks(whole: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(whole) / F.lit(WALK)) - 1, F.lit(0)).cast("int")
+
+        def block(acc: Column, b: Column) -> Column:
+            def walk(part: Column, known: Column | None) -> Column:
+                def add(a: Column, item: Column) -> Column:
+                    now, element, wanted = step(a["carry"], item, known)
+                    out = F.when(wanted, F.concat(a["out"], F.array(element))).otherwise(a["out"])
+                    return F.struct(now.alias("carry"), out.alias("out"))
+
+                return F.aggregate(part, F.struct(acc["carry"].alias("carry"), none.alias("out")), add)
+
+            part = F.slice(whole, b * WALK + 1, F.lit(WALK))
+            if context is None:
+                done = walk(part, None)
+            else:
+                done = bound(part, lambda p: bound(context(acc["carry"], p), lambda known: walk(p, known)))
+            return bound(
+                done, lambda d: F.struct(d["carry"].alias("carry"), F.concat(acc["outs"], F.array(d["out"])).alias("outs"))
+            )
+
+        zero = F.struct(carry.alias("carry"), F.array().cast(f"array<{kind}>").alias("outs"))
+        return F.aggregate(
+            F.sequence(F.lit(0), last), zero, block,
+            lambda acc: F.struct(acc["carry"].alias("carry"), F.flatten(acc["outs"]).alias("out")),
+        )
+
+    return bound(items, of_blocks)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Parts of a batch with about ``limit`` characters each, one row at least, with their texts."""
     texts = batch.column(column).to_pylist()

@@ -35,8 +35,10 @@ opaque AS (
   SELECT * FROM ({_matches(3, secrets.OPAQUE, 0, "regexp_matches(val, '[0-9]') AND regexp_matches(val, '[a-z]') AND regexp_matches(val, '[A-Z]')")}) o
   WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = o.doc_id AND b.span_start < o.span_end AND o.span_start < b.span_end)),
 candidates AS (SELECT * FROM base UNION ALL SELECT * FROM opaque),
-known AS (SELECT val, count(DISTINCT coalesce(source, chr(1))) AS owners FROM candidates GROUP BY val),
-found AS (SELECT c.*, owners <= {secrets.MAX_OWNERS} AS live FROM candidates c JOIN known USING (val)),
+known AS (
+  SELECT val, count(*) AS repos, count(DISTINCT owner) AS owners
+  FROM (SELECT DISTINCT val, doc_id, coalesce(source, chr(1)) AS owner FROM candidates) GROUP BY val),
+found AS (SELECT c.*, owners <= {secrets.MAX_OWNERS} AND repos <= {secrets.MAX_REPOS} AS live FROM candidates c JOIN known USING (val)),
 by_doc AS (
   SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
          count(*) FILTER (kind = 2) AS n_hex, {_LISTED} FILTER (kind < 3) AS base_spans,

@@ -2,10 +2,12 @@
 
 Matches of fixed patterns are secrets wherever they stand.  Further candidates, long mixed
 tokens, are judged by how widely they are spread: the hashes of all candidates are counted by
-distinct repositories and owners, and a value that few owners have looks like a live credential,
-one that many share is a copied example.
+distinct repositories and owners.  A value of one owner and few repositories looks like a live
+credential; one that several owners share, or that an owner has in many repositories, is a copied
+example.
 
-Places are code points, found by adding up the lengths of matches and of what lies between them.
+Places are code points, found by adding up the lengths of matches and of what lies between them,
+in time that grows with the text and the matches and not with their square.
 Counts are aggregated by value and owner before they are put together, and joined back by value;
 a value that a third of all rows have is one row per task and owner in the first, and a split
 partition in the second.
@@ -19,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sightlog.llm.common import scratch_folder, stored, text_or_empty
+from sightlog.llm.common import bound, scratch_folder, stored, text_or_empty, walked
 
 # Fixed values of the contract: patterns and least lengths.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -33,6 +35,7 @@ MIXED = r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])"
 
 KINDS = ("assign", "access", "hex", "opaque")
 MAX_OWNERS = 1
+MAX_REPOS = 16
 
 SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
 
@@ -45,19 +48,14 @@ def _matches(text: Column, kind: int, pattern: str, group: int, ok) -> Column:
         F.regexp_extract_all(text, p, F.lit(0)).alias("full"),
         F.regexp_extract_all(text, p, F.lit(group)).alias("value"),
     )
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
 
-    def add(acc: Column, piece: Column) -> Column:
-        start = acc["at"] + F.length(piece["gap"])
+    def step(at: Column, piece: Column, _) -> tuple[Column, Column, Column]:
+        start = at + F.length(piece["gap"])
         end = start + F.length(piece["full"])
         span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), piece["value"].alias("value"))
-        return F.struct(
-            F.coalesce(end, start).alias("at"),
-            F.when(F.coalesce(ok(piece["value"]), F.lit(False)), F.concat(acc["out"], F.array(span)))
-            .otherwise(acc["out"]).alias("out"),
-        )
+        return F.coalesce(end, start), span, F.coalesce(ok(piece["value"]), F.lit(False))
 
-    found = F.aggregate(pieces, zero, add, lambda acc: acc["out"])
+    found = walked(pieces, F.lit(0), SPANS, step)["out"]
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPANS))
 
 
@@ -82,25 +80,21 @@ def apart(base: Column, opaque: Column) -> Column:
     begins inside it.
     """
     none = F.lit(None).cast(SPANS[len("array<"):-1])
-    zero = F.struct(F.lit(0).alias("end"), none.alias("waits"), F.array().cast(SPANS).alias("out"))
-
-    def out_with(acc: Column) -> Column:
-        return F.when(acc["waits"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(acc["waits"])))
 
-    def add(acc: Column, s: Column) -> Column:
+    def step(acc: Column, s: Column, _) -> tuple[Column, Column, Column]:
         is_base, covered = s["kind"] < 3, s["start"] < acc["end"]
         waits = (
             F.when(is_base & (s["start"] < acc["waits"]["end"]), none)
             .when(is_base | covered, acc["waits"]).otherwise(s)
         )
-        return F.struct(
-            F.when(is_base, F.greatest(acc["end"], s["end"])).otherwise(acc["end"]).alias("end"),
-            waits.alias("waits"),
-            F.when(is_base | covered, acc["out"]).otherwise(out_with(acc)).alias("out"),
-        )
+        end = F.when(is_base, F.greatest(acc["end"], s["end"])).otherwise(acc["end"])
+        return F.struct(end.alias("end"), waits.alias("waits")), acc["waits"], ~(is_base | covered) & acc["waits"].isNotNull()
 
-    walked = F.aggregate(F.array_sort(F.concat(base, opaque)), zero, add, out_with)
-    return F.when(F.size(opaque) == 0, opaque).when(F.size(base) == 0, opaque).otherwise(walked)
+    apart_ = bound(
+        walked(F.array_sort(F.concat(base, opaque)), F.struct(F.lit(0).alias("end"), none.alias("waits")), SPANS, step),
+        lambda w: F.when(w["carry"]["waits"].isNull(), w["out"]).otherwise(F.concat(w["out"], F.array(w["carry"]["waits"]))),
+    )
+    return F.when(F.size(opaque) == 0, opaque).when(F.size(base) == 0, opaque).otherwise(apart_)
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -111,12 +105,14 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def secrets(
-    docs: DataFrame, keep: str = "doc_id", repo: str = "doc_id", owner: str = "source", max_owners: int = MAX_OWNERS
+    docs: DataFrame, keep: str = "doc_id", repo: str = "doc_id", owner: str = "source", max_owners: int = MAX_OWNERS,
+    max_repos: int = MAX_REPOS,
 ) -> DataFrame:
     """The column ``keep``, base, extra, n_live and n_copied for each row of ``docs``.
 
     ``base`` and ``extra`` are spans; extra ones are live-looking opaque tokens apart from base
-    spans.  Values with at most ``max_owners`` owners are live, others copied.
+    spans.  Values with at most ``max_owners`` owners and ``max_repos`` repositories are live, others
+    copied.
     """
     folder = scratch_folder(docs.sparkSession)
     text = text_or_empty()
@@ -133,7 +129,7 @@ def secrets(
         "row", "repo", "owner", F.explode(spans).alias("span")
     ).select("row", "repo", "owner", "span", F.sha2("span.value", 256).alias("value"))
     known = ownership(candidates.select("value", "repo", "owner"))
-    live = F.col("n_owners") <= max_owners
+    live = (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)
     judged = (
         candidates.select("row", "span", "value").join(known, "value")
         .groupBy("row")
@@ -164,16 +160,18 @@ def of_kind(spans: Column, kind: int) -> Column:
 
 def redacted(text: Column, spans: Column, mark: str = "[redacted]") -> Column:
     """The text with each stretch that spans cover replaced by a mark."""
-    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("seen"), F.array().cast("array<string>").alias("out"))
 
-    def add(acc: Column, s: Column) -> Column:
-        apart = (s["start"] >= acc["at"]) & ((s["start"] > acc["at"]) | (acc["seen"] == 0))
-        piece = F.concat(F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"), F.lit(1).alias("seen"),
-            F.when(apart, F.concat(acc["out"], F.array(piece))).otherwise(acc["out"]).alias("out"),
-        )
+    def stretch(acc: Column, block: Column) -> Column:
+        end = F.array_max(F.transform(block, lambda s: s["end"]))
+        return F.struct(acc["at"].alias("begin"), F.substr(text, acc["at"] + 1, F.greatest(end - acc["at"], F.lit(0))).alias("text"))
 
-    rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(text, acc["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, zero, add, rest))
+    def step(acc: Column, s: Column, known: Column) -> tuple[Column, Column, Column]:
+        apart = (s["start"] >= acc["at"]) & ((s["start"] > acc["at"]) | (acc["seen"] == 0))
+        piece = F.concat(F.substr(known["text"], acc["at"] - known["begin"] + 1, s["start"] - acc["at"]), F.lit(mark))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.lit(1).alias("seen")), piece, apart
 
+    done = bound(
+        walked(spans, F.struct(F.lit(0).alias("at"), F.lit(0).alias("seen")), "array<string>", step, stretch),
+        lambda w: F.concat(F.array_join(w["out"], ""), F.substr(text, w["carry"]["at"] + 1, F.length(text))),
+    )
+    return F.when(F.size(spans) == 0, text).otherwise(done)
