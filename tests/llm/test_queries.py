@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter, defaultdict
 
 import brute
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sightlog.llm import quotes, substring
+from sightlog.llm import kneser_ney, langid, licenses, mixing, quotes, secrets, substring
 from sightlog.llm.queries import QUERIES
 
 FOLDERS = ["small", "odd"]
@@ -61,9 +62,7 @@ def test_mixing(spark, folder):
         n = len(brute.words(t))
         sizes[s] += n
         source[d, n] = s
-    repeats = Counter((d, len(brute.words(t)), s) for d, t, _, s in docs)
-    for (d, n, s), m in repeats.items():
-        largest[s] = max(largest[s], n * m)
+        largest[s] = max(largest[s], n)
     wanted, taken = brute.targets(sizes), defaultdict(int)
     for d, n, source_size, target, words in found:
         s = source[d, n]
@@ -123,7 +122,7 @@ def test_licenses(spark, folder):
     texts = {d: t for d, t, _, _ in documents(spark, folder)}
     assert len(found) == len(documents(spark, folder))
     for d, names in found:
-        if d is not None:
+        if d is not None:  # rows without id: test_licenses_of_rows_without_id
             has = [n for n, line in (("MIT", "Released under the MIT License"), ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
                                      ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
                                      ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0")) if line in (texts[d] or "")]
@@ -131,6 +130,91 @@ def test_licenses(spark, folder):
             assert bool(has) or not names
 
 
+def test_licenses_of_rows_without_id(spark):
+    mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
+    texts = [mit, "nothing of that kind here", gpl, None, "", mit + " " + gpl, mit]
+    df = spark.createDataFrame([(None, t) for t in texts] + [(7, mit), (7, "plain text of the same id")], "doc_id long, text string")
+    found = Counter((r.doc_id, ",".join(sorted({f["name"] for f in r.findings}))) for r in licenses.licenses(df).collect())
+    assert found == Counter({(None, "MIT"): 2, (None, ""): 3, (None, "GPL-3.0"): 1, (None, "GPL-3.0,MIT"): 1, (7, "MIT"): 1, (7, ""): 1})
+
+
+def test_licenses_in_chunks(spark, monkeypatch):
+    """Windows and findings do not depend on where chunks end."""
+    rng, names = random.Random(3), [t for _, t in licenses.TEMPLATES]
+    rows = [(i, " ".join(rng.choice(names) if rng.random() < 0.1 else f"w{rng.randrange(9)}" for _ in range(rng.randrange(1, 400)))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = Counter((r.doc_id, tuple(map(tuple, r.findings))) for r in licenses.licenses(df).collect())
+    monkeypatch.setattr(licenses, "CHUNK", 512)
+    assert Counter((r.doc_id, tuple(map(tuple, r.findings))) for r in licenses.licenses(df).collect()) == whole
+
+
+def test_secrets_of_one_owner_in_many_documents(spark):
+    """A token that one source has in many documents is a copied example, in few a live credential."""
+    placeholder, live, shared = "Example0Placeholder1Token2x", "Live9Credential8Of7One6Owner", "Shared5By4Two3Owners2Token1"
+    rows = [(i, f"see {placeholder} there", "hot") for i in range(2000)] + [(5000, f"a {live} b", "hot"), (5001, f"a {live} c", "hot")]
+    rows += [(6000, shared, "x"), (6001, shared, None), (None, placeholder, "hot")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = secrets.secrets(df).select("doc_id", "n_live", "n_copied", F.size("extra").alias("n")).collect()
+    assert {r.doc_id for r in found if r.n_live} == {5000, 5001}
+    assert all(r.n == r.n_live and r.n_live + r.n_copied == 1 for r in found)
+    assert len(found) == len(rows)
+
+
+def test_many_secrets_in_one_text(spark):
+    text = " ".join(f"token=abcdef{i:05d} é AKIA{'Q' * 16}" for i in range(3000))
+    df = spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")
+    found = secrets.secrets(df)
+    (row,) = found.select("doc_id", F.sha2(secrets.listed(F.col("base")), 256).alias("h"), F.size("base").alias("n")).collect()
+    assert row.n == 6000 and row.h == brute.secrets(text)[-1]
+    (cut,) = found.select(secrets.redacted(F.lit(text), F.col("base")).alias("text")).collect()
+    assert cut.text == " ".join(["[redacted] é [redacted]"] * 3000)
+
+
+def test_mixing_of_a_source_without_ids(spark):
+    """Rows that share id and size come as near the target as others, also where one is a third of all."""
+    rows = [(None, "w " * 10, "a")] * 1500 + [(i, "w " * (i % 9 + 1), "b") for i in range(1500)] + [(5, "w " * 7, "c")] * 1500
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    by = mixed.groupBy("source").agg(
+        F.count("*").alias("n"), F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max("size").alias("largest")
+    ).collect()
+    assert {r.source: r.n for r in by} == {"a": 1500, "b": 1500, "c": 1500}
+    assert all(abs(r.taken - r.target) <= r.largest / 2 + 1e-6 for r in by)
+
+
+def test_perplexity_rejects_bad_text(spark):
+    """Shuffled and foreign characters go, text like the trusted one stays, whatever its length."""
+    rng = random.Random(5)
+    vocabulary = [f"{a}{b}{c}" for a in ("ba", "to", "li") for b in ("ren", "mos", "kat") for c in ("", "er", "ing", "s")]
+    sentence = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    good = [(i, sentence(rng.randrange(20, 60)), "en") for i in range(400)]
+    noise = lambda n: "".join(rng.choice("qxzvjw#@%&0123456789 ") for _ in range(n))
+    bad = [(1000 + i, noise(rng.randrange(40, 300)), "en") for i in range(100)] + [(None, noise(200), "en")] * 3
+    docs = spark.createDataFrame(good + bad, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 400, 2)] + [(1000 + i, 0, 0) for i in range(100)], "doc_id long, quality int, toxic int")
+    kept = kneser_ney.classify(docs, labels).where("kept").select("doc_id").collect()
+    assert not [r for r in kept if r.doc_id is None or r.doc_id >= 1000]
+    assert len(kept) >= 0.95 * len(good)
+
+
+def test_letters(spark, small):
+    df = spark.createDataFrame([(1, "½ ² Ⅷ 12 _"), (2, "漢"), (3, "é"), (4, "①"), (5, None)], "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, f"some english text é 漢 {i}", "en") for i in range(20)], "doc_id long, text string, lang string")
+    named = {r.doc_id: r.lang_pred for r in langid.identify(df, labelled).collect()}
+    assert named == {1: "und", 2: "en", 3: "en", 4: "und", 5: "und"}
+
+
+def test_three_hundred_languages(spark):
+    """With many languages pieces become fewer, not too short to tell anything."""
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {f"l{k:03d}": ["".join(rng.choice(letters) for _ in range(rng.randrange(4, 9))) for _ in range(30)] for k in range(300)}
+    rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(40)), lang) for i, lang in enumerate(list(words) * 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    held = ~langid.learned(F.col("doc_id"))
+    named = langid.identify(df.where(held), df.where(~held)).select((F.col("lang") == F.col("lang_pred")).cast("int").alias("right"))
+    assert named.agg(F.avg("right")).first()[0] >= 0.95
+
+
 def test_quotes(spark, odd):
     found = {(r[0], r[1]): r for r in rows(QUERIES["op6_quotes"](spark, odd), "conv_id", "turn", "body", "reply_to", "thread", "n_quotes", "n_linked", "place")}
     assert found[1, 1][2:] == ("Try again with cmake.", 0, 0, 1, 1, 1)
