@@ -21,9 +21,8 @@ from datetime import date
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sightlog.operators.compaction import compact
 from sightlog.sources import staged
-from sightlog.sources.warehouse import Warehouse
+from sightlog.sources.warehouse import Warehouse, laid_out
 from sightlog.specs import TableSpec
 
 logger = logging.getLogger(__name__)
@@ -230,7 +229,8 @@ class VersionedWarehouse(Warehouse):
         self.log(spec).commit(change)
 
     def compact(
-        self, spec: TableSpec, months: Sequence[date] | None = None, before_switch: Callable[[], None] | None = None
+        self, spec: TableSpec, months: Sequence[date] | None = None, cluster_by: Sequence[str] = (),
+        before_switch: Callable[[], None] | None = None,
     ) -> None:
         """Months rewritten with one row per key into new folders, in place of those that were read.
 
@@ -246,9 +246,7 @@ class VersionedWarehouse(Warehouse):
         if not old:
             return
         df = log.frame(old, spec.stored_struct())
-        order = ["load_month", *[F.expr(k) for k in spec.key]]
-        rows = compact(df, spec).select(*df.columns).repartitionByRange(*order).sortWithinPartitions(*order)
-        new = log.write(rows)
+        new = log.write(laid_out(df, spec, cluster_by).select(*df.columns))
         if before_switch is not None:
             before_switch()
 

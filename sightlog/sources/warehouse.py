@@ -9,6 +9,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sightlog.functions.hashing import with_audit
+from sightlog.operators.clustering import clustered, range_bounds
 from sightlog.operators.compaction import compact, unseen
 from sightlog.session import use_utc
 from sightlog.sources import staged
@@ -162,11 +163,14 @@ class Warehouse:
             self.create_databases([where])
             self.execute(f"CREATE OR REPLACE VIEW {where}.stg_{spec.name} AS {view_sql(spec)}")
 
-    def compact(self, spec: TableSpec, months: Sequence[date] | None = None) -> None:
-        """Rewrite month partitions with one row per key, clustered by key.
+    def compact(
+        self, spec: TableSpec, months: Sequence[date] | None = None, cluster_by: Sequence[str] = ()
+    ) -> None:
+        """Rewrite month partitions with one row per key, clustered by key or by ``cluster_by``.
 
         Range partitioning on (month, key) gives balanced files that cover narrow key
-        ranges; only the partitions written are replaced.  A plain log stays as it is.
+        ranges; with ``cluster_by`` files cover narrow ranges of each of those columns.  Only
+        the partitions written are replaced.  A plain log stays as it is.
         """
         if not spec.keep_states:
             return
@@ -174,11 +178,8 @@ class Warehouse:
         columns = df.columns
         if months is not None:
             df = df.where(F.col("load_month").isin(list(months)))
-        order = ["load_month", *[F.expr(k) for k in spec.key]]
         (
-            compact(df, spec)
-            .repartitionByRange(*order)
-            .sortWithinPartitions(*order)
+            laid_out(df, spec, cluster_by)
             .select(*columns)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -209,6 +210,14 @@ class Warehouse:
         )
 
 
+def laid_out(df: DataFrame, spec: TableSpec, cluster_by: Sequence[str] = ()) -> DataFrame:
+    """Compacted rows dealt and sorted as they are to be written."""
+    if cluster_by:
+        return clustered(compact(df, spec), cluster_by, ["load_month"], bounds=range_bounds(df, cluster_by))
+    order = ["load_month", *[F.expr(k) for k in spec.key]]
+    return compact(df, spec).repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def view_sql(spec: TableSpec) -> str:
     """SQL of a table's staging view: one row per key, with its first sighting."""
     keys = ", ".join(spec.key)
