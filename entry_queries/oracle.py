@@ -39,13 +39,13 @@ raw_daily AS (
 _QUEUE = _CATALOG + """,
 stg_sales AS (
   SELECT user_id AS appid, min(ts) AS last_update FROM events
-  WHERE event_type = 'signup' AND value > 60
+  WHERE event_type = 'signup'
   GROUP BY user_id, CAST(ts AS DATE)),
 stg_cards AS (
   SELECT success, appid, release_date, min(ts) AS last_update FROM (
-    SELECT value >= 20 AS success, user_id AS appid, ts,
+    SELECT value >= 20 AS success, user_id * 3 AS appid, ts,
            CASE WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) % 3 <> 0 THEN ts END AS release_date
-    FROM events WHERE event_type = 'purchase' AND user_id % 3 = 0)
+    FROM events WHERE event_type = 'purchase')
   GROUP BY success, appid, release_date),
 current_cards AS (
   SELECT appid, success, release_date, last_update,
@@ -487,6 +487,11 @@ GROUP BY moment, load_month""",
          unnest([CAST(l_quantity AS DOUBLE), CAST(l_extendedprice AS DOUBLE), CAST(l_discount AS DOUBLE)]) AS v FROM lineitem)
 SELECT year, metrics_name, count(v) AS n, round(median(v), 6) AS metrics_value, true AS held
 FROM long GROUP BY year, metrics_name""",
+    "clustered_reads": """WITH lines AS (SELECT l_partkey, CAST(l_shipdate AS DATE) AS day, l_orderkey FROM lineitem),
+middle AS (SELECT min(l_partkey) + (max(l_partkey) - min(l_partkey)) // 2 AS part, min(day) + CAST((max(day) - min(day)) // 2 AS INTEGER) AS day FROM lines)
+SELECT 'l_partkey' AS probe, count(*) AS n_rows, CAST(sum(l_orderkey) AS BIGINT) AS order_sum, true AS few
+FROM lines WHERE l_partkey = (SELECT part FROM middle)
+UNION ALL SELECT 'day', count(*), CAST(sum(l_orderkey) AS BIGINT), true FROM lines WHERE day = (SELECT day FROM middle)""",
     "stateful_load": f"""WITH {_DAILY}
 SELECT appid, name, row_hash, last_update FROM raw_daily
 QUALIFY row_number() OVER (

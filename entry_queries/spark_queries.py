@@ -12,6 +12,7 @@ from entry_queries import roles as R
 from sightlog.functions.hashing import row_hash, version
 from sightlog.functions.scalar import blank_to_null, instant, link_id, release_date, week_start
 from sightlog.operators import flatten
+from sightlog.operators.clustering import clustered, file_ranges
 from sightlog.operators.compaction import add_column, compact, idempotent_append
 from sightlog.operators.limits import with_global_max
 from sightlog.operators.pages import islands, missing_pages, missing_ranges, total_count, truncation
@@ -790,3 +791,27 @@ def stateful_load(spark, sf_dir):
         stream = new_files(spark, f"{base}/landing", fields, "parquet", files_per_batch=2)
         run_stateful(stream, warehouse, R.SALE_LOG_MD5, f"{base}/checkpoint", "events")
     return staging_view(warehouse.read(R.SALE_LOG_MD5), R.SALE_LOG_MD5)
+
+
+@query
+def clustered_reads(spark, sf_dir):
+    """Lines stored by part and by day at once; the rows of the middle part and of the middle day, and
+    whether their files are at most a quarter of all."""
+    path, columns = f"{R.scratch(spark)}/lines", ["l_partkey", "day"]
+    lines = R.table(spark, sf_dir, "lineitem").select(
+        "l_partkey", F.to_date("l_shipdate").alias("day"), "l_orderkey", "l_linenumber", "l_quantity"
+    )
+    clustered(lines, columns, files=64).write.parquet(path)
+    stored = spark.read.parquet(path)
+    ranges = file_ranges(stored, columns)
+    ends = ranges.agg(*[f(f"{name}_{c}").alias(f"{name}_{c}") for c in columns for name, f in (("min", F.min), ("max", F.max))]).first()
+    middles = {c: ends[f"min_{c}"] + (ends[f"max_{c}"] - ends[f"min_{c}"]) // 2 for c in columns}
+    seen = None
+    for c, value in middles.items():
+        rows = stored.where(F.col(c) == F.lit(value)).agg(
+            F.lit(c).alias("probe"), F.count(F.lit(1)).alias("n_rows"), F.sum("l_orderkey").alias("order_sum")
+        )
+        hit = F.lit(value).between(F.col(f"min_{c}"), F.col(f"max_{c}")).cast("int")
+        part = rows.join(ranges.agg((F.sum(hit) * 4 <= F.count(F.lit(1))).alias("few"), F.lit(c).alias("probe")), "probe")
+        seen = part if seen is None else seen.unionByName(part)
+    return seen
