@@ -492,6 +492,14 @@ middle AS (SELECT min(l_partkey) + (max(l_partkey) - min(l_partkey)) // 2 AS par
 SELECT 'l_partkey' AS probe, count(*) AS n_rows, CAST(sum(l_orderkey) AS BIGINT) AS order_sum, true AS few
 FROM lines WHERE l_partkey = (SELECT part FROM middle)
 UNION ALL SELECT 'day', count(*), CAST(sum(l_orderkey) AS BIGINT), true FROM lines WHERE day = (SELECT day FROM middle)""",
+    "drift_of_files": """WITH months AS (
+  SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS load_month, count(*) AS n_rows FROM lineitem GROUP BY ALL)
+SELECT load_month, n_rows,
+       CASE WHEN year(load_month) < 1994 THEN 'name' WHEN year(load_month) < 1996 THEN 'packageid' WHEN year(load_month) = 1996 THEN 'appid' END AS column_name,
+       CASE WHEN year(load_month) < 1994 THEN NULL WHEN year(load_month) < 1996 THEN 'int' WHEN year(load_month) = 1996 THEN 'string' END AS stored,
+       CASE WHEN year(load_month) < 1994 THEN 'string' WHEN year(load_month) <= 1996 THEN 'bigint' END AS declared,
+       CASE WHEN year(load_month) < 1994 THEN 'missing' WHEN year(load_month) < 1996 THEN 'widened' WHEN year(load_month) = 1996 THEN 'conflict' END AS verdict
+FROM months""",
     "stateful_load": f"""WITH {_DAILY}
 SELECT appid, name, row_hash, last_update FROM raw_daily
 QUALIFY row_number() OVER (

@@ -35,6 +35,7 @@ from sightlog.plans import queue as Q
 from sightlog.plans.load import gated_load
 from sightlog.plans.staging import staging_view
 from sightlog.sources import staged
+from sightlog.sources.drift import stored_drift
 from sightlog.sources.versions import VersionedWarehouse
 from sightlog.specs import Check, Column, TableSpec
 from sightlog.streaming.incremental import append_new, new_files, run_available, run_stateful
@@ -815,3 +816,20 @@ def clustered_reads(spark, sf_dir):
         part = rows.join(ranges.agg((F.sum(hit) * 4 <= F.count(F.lit(1))).alias("few"), F.lit(c).alias("probe")), "probe")
         seen = part if seen is None else seen.unionByName(part)
     return seen
+
+
+@query
+def drift_of_files(spark, sf_dir):
+    """Packages of years that were written in different ways: what each month's files hold otherwise than
+    declared, beside the months' rows."""
+    R.use_utc(spark)
+    warehouse = VersionedWarehouse(spark, R.scratch(spark))
+    spec, rows = PACKAGES, R.raw_packages(spark, sf_dir).drop("row_hash").withColumn("row_hash", F.xxhash64("appid", "packageid"))
+    older = replace(spec, columns=tuple(c for c in spec.columns if c.name != "name"), added_defaults={})
+    year = F.year("last_update")
+    warehouse.append(older, rows.where(year < 1994).drop("name"))
+    warehouse.append(spec, rows.where(year.between(1994, 1995)).withColumn("packageid", F.col("packageid").cast("int")))
+    warehouse.append(spec, rows.where(year == 1996).withColumn("appid", F.col("appid").cast("string")))
+    warehouse.append(spec, rows.where(year > 1996))
+    months = rows.groupBy("load_month").agg(F.count(F.lit(1)).alias("n_rows"))
+    return months.join(stored_drift(warehouse, spec).drop("folders"), "load_month", "left")
