@@ -84,123 +84,195 @@ def windows(tokens: np.ndarray, lengths: np.ndarray, most: int, steps: int, ahea
         yield before, flat_token[place], np.where(inside, text_of[place], -1), fresh
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def _thirds(x: np.ndarray) -> list[np.ndarray]:
+    """Columns of the update gate, the reset gate and the candidate, each an array of its own."""
+    return [np.ascontiguousarray(part) for part in np.split(x, 3, axis=1)]
+
+
+def _sigmoid_of_half(x: np.ndarray) -> None:
+    """In place, of twice the values given."""
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
 
 
 def forward(weights: dict, gates: np.ndarray, before: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: bool):
     """States after each step; ``gates`` are the input's part of the gates for each word.
 
-    With ``keep`` also what going back needs.
+    With ``keep`` also what going back needs: states before each step, update gate, reset gate, the
+    state's part of the candidate, and the candidate.
     """
     width = state.shape[1]
+    half = np.repeat(np.array([0.5, 0.5, 1], gates.dtype), width)
+    recurrent = _thirds(weights["state"] * half)
+    z, r, c = (np.take(part, before, axis=0) for part in _thirds(gates * half))
     out = np.empty((*before.shape, width), np.float32)
-    kept = []
-    recurrent = weights["state"]
+    kept = [np.empty(z.shape, z.dtype), z, r, np.empty(z.shape, z.dtype), c] if keep else None
+    begins = fresh.any(axis=1).tolist()
     for t in range(len(before)):
-        h = np.where(fresh[t][:, None], np.float32(0), state)
-        x, a = gates[before[t]], h @ recurrent
-        zr = _sigmoid(x[:, : 2 * width] + a[:, : 2 * width])
-        z, r, an = zr[:, :width], zr[:, width:], a[:, 2 * width :]
-        c = np.tanh(x[:, 2 * width :] + r * an)
-        state = c + z * (h - c)
+        h = state
+        if begins[t]:
+            h = state.copy()
+            h[fresh[t]] = 0
+        zt, rt, ct, an = z[t], r[t], c[t], h @ recurrent[2]
+        zt += h @ recurrent[0]
+        _sigmoid_of_half(zt)
+        rt += h @ recurrent[1]
+        _sigmoid_of_half(rt)
+        ct += rt * an
+        np.tanh(ct, out=ct)
+        state = h - ct
+        state *= zt
+        state += ct
         out[t] = state
         if keep:
-            kept.append((h, z, r, an, c))
+            kept[0][t], kept[3][t] = h, an
     return out, state, kept
 
 
-def _chosen(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log probability of column ``at`` of each row of scores; ``x`` becomes the exponentials, whose
-    sums come along."""
-    rows = np.arange(len(x))
-    x -= x.max(axis=1, keepdims=True)
-    chosen = x[rows, at]
+def _bounded(weight: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether the exponentials of all scores, of states within -1 and 1, are within the range of a float."""
+    most = np.sqrt(weight.shape[1] * np.einsum("ij,ij->i", weight, weight)) + np.abs(bias)
+    return bool(most.max() < 80)
+
+
+def _exponentials(x: np.ndarray, plain: bool, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray | float]:
+    """Sums of the exponentials that ``x`` becomes, and what was taken off the scores before."""
+    most = 0.0
+    if not plain:
+        most = x.max(axis=1)
+        x -= most[:, None]
     np.exp(x, out=x)
-    total = x.sum(axis=1)
-    return chosen - np.log(total), total
+    return x @ ones[: x.shape[1]], most
 
 
-def _slope(x: np.ndarray, total: np.ndarray, at: np.ndarray, share: float) -> np.ndarray:
-    """Gradient of the scores from what ``_chosen`` left in ``x``."""
-    x *= (share / total)[:, None]
-    x[np.arange(len(x)), at] -= share
-    return x
+def _in_order(numbers: np.ndarray, most: int) -> np.ndarray:
+    return np.argsort(numbers.astype(np.uint16) if most <= 1 << 16 else numbers, kind="stable")
 
 
 def outputs(weights: dict, class_of: np.ndarray, bounds: np.ndarray, states: np.ndarray, token: np.ndarray, back: dict | None = None, share: float = 1.0):
     """Natural log probability of each token after its state; with ``back`` also the gradients of the
-    negative log probability, each token's times ``share``, and that of the states."""
-    wanted = class_of[token]
-    x = states @ weights["class_weight"]
-    x += weights["class_bias"]
-    found, total = _chosen(x, wanted)
-    found = found.astype(np.float64)
-    d_states = None
+    negative log probability, each token's times ``share``, and that of the states.
+
+    Tokens are put in order, so that those of a class lie side by side.
+    """
+    n, width = states.shape
+    found, d_states = np.zeros(n, np.float64), None if back is None else np.zeros_like(states)
+    if not n:
+        return found, d_states
+    order = _in_order(token, len(class_of))
+    word = token[order]
+    wanted = class_of[word]
+    rows, sizes = np.arange(n), np.diff(bounds)
+    ones = np.ones(max(int(sizes.max()), int(class_of[-1]) + 1), states.dtype)
+    # a last column of ones brings in the biases, and their gradients
+    h = np.ones((n, width + 1), states.dtype)
+    h[:, :width] = np.take(states, order, axis=0)
+    x = h @ np.vstack([weights["class_weight"], weights["class_bias"]])
+    logs = x[rows, wanted]
+    total, most = _exponentials(x, _bounded(weights["class_weight"].T, weights["class_bias"]), ones)
+    logs -= np.log(total) + most
+    d = None
     if back is not None:
-        d = _slope(x, total, wanted, share)
-        back["class_weight"] += states.T @ d
-        back["class_bias"] += d.sum(axis=0)
-        d_states = d @ weights["class_weight"].T
-    order = np.argsort(wanted, kind="stable")
-    cuts = np.searchsorted(wanted[order], np.arange(len(bounds)))
-    for c in range(len(bounds) - 1):
-        mine = order[cuts[c] : cuts[c + 1]]
-        words = slice(bounds[c], bounds[c + 1])
-        if not len(mine) or bounds[c + 1] - bounds[c] == 1:
-            continue
-        h, at = states[mine], token[mine] - bounds[c]
-        x = h @ weights["word_weight"][words].T
-        x += weights["word_bias"][words]
-        logs, total = _chosen(x, at)
-        found[mine] += logs
+        x *= (share / total)[:, None]
+        x[rows, wanted] -= share
+        slope = np.ascontiguousarray(h.T) @ x
+        back["class_weight"] += slope[:width]
+        back["class_bias"] += slope[width]
+        d = x @ weights["class_weight"].T
+
+    of_word = np.hstack([weights["word_weight"], weights["word_bias"][:, None]])
+    plain = _bounded(weights["word_weight"], weights["word_bias"])
+    cuts = np.searchsorted(wanted, np.arange(len(bounds)))
+    place = (rows - cuts[wanted]) * sizes[wanted] + word - bounds[wanted]
+    chosen, total = np.zeros(n, h.dtype), np.ones(n, h.dtype)
+    cuts, edges = cuts.tolist(), bounds.tolist()
+    for c in np.flatnonzero((np.diff(cuts) > 0) & (sizes > 1)).tolist():  # one word is no choice
+        mine, words = slice(cuts[c], cuts[c + 1]), slice(edges[c], edges[c + 1])
+        at, hc = place[mine], h[mine]
+        x = hc @ of_word[words].T
+        each = x.reshape(-1)
+        picked = each[at]
+        sums, most = _exponentials(x, plain, ones)
+        chosen[mine], total[mine] = picked - most, sums
         if back is not None:
-            d = _slope(x, total, at, share)
-            back["word_weight"][words] += d.T @ h
-            back["word_bias"][words] += d.sum(axis=0)
-            d_states[mine] += d @ weights["word_weight"][words]
+            x *= (share / sums)[:, None]
+            each[at] -= share
+            slope = x.T @ hc
+            back["word_weight"][words] += slope[:, :width]
+            back["word_bias"][words] += slope[:, width]
+            d[mine] += x @ weights["word_weight"][words]
+    found[order] = logs.astype(np.float64) + (chosen - np.log(total))
+    if back is not None:
+        d_states[order] = d
     return found, d_states
 
 
 def backward(weights: dict, before: np.ndarray, fresh: np.ndarray, kept: list, d_out: np.ndarray, back: dict) -> None:
     """Gradients of one window from those of its states."""
     width = d_out.shape[2]
-    d_gates = np.empty((*before.shape, 3 * width), np.float32)
+    h, z, r, an, c = kept
+    # what the slope of a state is multiplied by, for candidate and update gate; the candidate's for the reset gate
+    rest = 1 - z
+    to_z = (h - c) * z
+    to_z *= rest
+    rest *= 1 - c * c
+    to_r = (1 - r) * r
+    to_r *= an
+    dz, dr, da, dc = (np.empty(z.shape, np.float32) for _ in range(4))
+    turned = [np.ascontiguousarray(part.T) for part in np.split(weights["state"], 3, axis=1)]
+    begins = fresh.any(axis=1).tolist()
     carried = np.zeros_like(d_out[0])
     for t in range(len(before) - 1, -1, -1):
-        h, z, r, an, c = kept[t]
-        d = d_out[t] + carried
-        dc = d * (1 - z) * (1 - c * c)
-        dz = d * (h - c) * z * (1 - z)
-        dr = dc * an * r * (1 - r)
-        da = np.concatenate([dz, dr, dc * r], axis=1)
-        d_gates[t, :, : 2 * width] = da[:, : 2 * width]
-        d_gates[t, :, 2 * width :] = dc
-        back["state"] += h.T @ da
-        carried = d * z + da @ weights["state"].T
-        carried[fresh[t]] = 0
-    d_gates = d_gates.reshape(-1, 3 * width)
+        carried += d_out[t]
+        np.multiply(carried, rest[t], out=dc[t])
+        np.multiply(carried, to_z[t], out=dz[t])
+        np.multiply(dc[t], to_r[t], out=dr[t])
+        np.multiply(dc[t], r[t], out=da[t])
+        carried *= z[t]
+        for slope, part in zip((dz[t], dr[t], da[t]), turned):
+            carried += slope @ part
+        if begins[t]:
+            carried[fresh[t]] = 0
+    dz, dr, da, dc = (x.reshape(-1, width) for x in (dz, dr, da, dc))
     used = before.ravel()
-    back["bias"] += d_gates.sum(axis=0)
-    back["input"] += weights["embed"][used].T @ d_gates
-    np.add.at(back["embed"], used, d_gates @ weights["input"].T)
+    states, inputs = np.ascontiguousarray(h.reshape(-1, width).T), np.take(weights["embed"].T, used, axis=1)
+    ones = np.ones(len(used), np.float32)
+    d_input = np.zeros_like(dz)
+    for k, (of_state, of_input) in enumerate(((dz, dz), (dr, dr), (da, dc))):
+        columns = slice(k * width, (k + 1) * width)
+        back["state"][:, columns] += states @ of_state
+        back["input"][:, columns] += inputs @ of_input
+        back["bias"][columns] += ones @ of_input
+        d_input += of_input @ weights["input"][:, columns].T
+    place = used[:, None] * width + np.arange(width)
+    back["embed"] += np.bincount(place.ravel(), d_input.ravel(), weights["embed"].size).reshape(-1, width)
 
 
 class Adam:
-    """Steps of fixed decay rates; gradients are cut to a norm first."""
+    """Steps of fixed decay rates; gradients are cut to a norm first.  ``m`` and ``v`` are 10 and 200 times the means."""
 
     def __init__(self, size: int, rate: float, norm: float = 5.0):
         self.m, self.v, self.n = np.zeros(size, np.float32), np.zeros(size, np.float32), 0
         self.rate, self.norm = rate, norm
 
     def step(self, gradient: np.ndarray) -> np.ndarray:
-        size = float(np.sqrt(np.square(gradient).sum()))
+        """What to take off the weights; the gradient is used up."""
+        size = float(np.sqrt(np.dot(gradient, gradient)))
         if size > self.norm:
-            gradient = gradient * (self.norm / size)
+            gradient *= self.norm / size
         self.n += 1
-        self.m += 0.1 * (gradient - self.m)
-        self.v += 0.005 * (gradient * gradient - self.v)
-        return self.rate * (self.m / (1 - 0.9**self.n)) / (np.sqrt(self.v / (1 - 0.995**self.n)) + 1e-6)
+        self.m *= 0.9
+        self.m += gradient
+        gradient *= gradient
+        self.v *= 0.995
+        self.v += gradient
+        scale = (0.005 / (1 - 0.995**self.n)) ** 0.5
+        np.sqrt(self.v, out=gradient)
+        gradient += 1e-6 / scale
+        np.divide(self.m, gradient, out=gradient)
+        gradient *= self.rate * 0.1 / (1 - 0.9**self.n) / scale
+        return gradient
 
 
 def pieces(tokens: np.ndarray, lengths: np.ndarray, most: int, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -236,10 +308,13 @@ class Trainer:
             gates = w["embed"] @ w["input"] + w["bias"]
             out, state, kept = forward(w, gates, before, fresh, state[: before.shape[1]], True)
             live = (text >= 0).ravel()
-            d_out = np.zeros((out.shape[0] * out.shape[1], width), np.float32)
             # a window that is not full weighs less
             share = 1 / (self.lanes * self.steps)
-            _, d_out[live] = outputs(w, self.class_of, self.bounds, out.reshape(-1, width)[live], token.ravel()[live], back, share)
+            if live.all():
+                _, d_out = outputs(w, self.class_of, self.bounds, out.reshape(-1, width), token.ravel(), back, share)
+            else:
+                d_out = np.zeros((out.shape[0] * out.shape[1], width), np.float32)
+                _, d_out[live] = outputs(w, self.class_of, self.bounds, out.reshape(-1, width)[live], token.ravel()[live], back, share)
             backward(w, before, fresh, kept, d_out.reshape(out.shape), back)
             self.vector -= self.adam.step(gradient)
             self.seen += int(live.sum())

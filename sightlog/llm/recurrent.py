@@ -9,8 +9,8 @@ model gives every text a probability, and the counts behind it grow with the cor
 Training runs in rounds.  In each, tasks go on from the weights of the round before over their part of the
 round's documents (truncated backpropagation in NumPy), and their weights are averaged by the tokens they
 saw, each stretch of the weights in its own group.  Only the average comes to the driver, a few hundred
-kilobytes whatever the corpus is.  A round takes a fixed share of the training documents, so what is
-learned from grows with them; counts cover all of them.  Scoring reads whole documents and carries the
+kilobytes whatever the corpus is.  The rounds share all training documents among them, so that each one is
+learned from, in one round; counts cover all of them as well.  Scoring reads whole documents and carries the
 state from window to window.
 
 Words that are frequent in all documents are broadcast with their counts, at most ``KNOWN`` of them; each
@@ -25,16 +25,16 @@ base score is 0 for each token and the model is uniform.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sightlog.llm import gru
-from sightlog.llm.common import LOWER, most_frequent, scratch_folder, slices, stored
+from sightlog.llm.common import most_frequent, scratch_folder, slices, stored
 
 #: Words that are symbols of the model, and classes they are dealt to.
 HEAD = 2046
@@ -46,13 +46,12 @@ KNOWN_BYTES = 64
 #: Distinct words a task counts before it passes them on.
 TALLY_WORDS = 400_000
 
-#: Rounds of training, each over one in ``DEALS`` of the training documents.
+#: Rounds of training, which deal all training documents among them.
 ROUNDS = 4
-DEALS = 16
 RATE = 0.01
-LANES, STEPS, PIECE = 128, 16, 512
+LANES, STEPS, PIECE = 512, 16, 512
 #: Tokens for a task of a round, about.
-TASK_TOKENS = 1_000_000
+TASK_TOKENS = 2_000_000
 #: Weights averaged in one group.
 STRETCH = 4096
 #: Tokens scored at a time in a task, about.
@@ -65,33 +64,41 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 10 == 0
 
 
-def tokens_of(text: bytes | None) -> list[bytes]:
-    return text.translate(LOWER).split() if text else []
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of binary texts one after another, A-Z lowered, and the row of each."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    words, row = pc.list_flatten(split), pc.list_parent_indices(split)
+    real = pc.greater(pc.binary_length(words), 0)  # blanks at either end leave an empty word
+    return words.filter(real).view(pa.binary()), row.filter(real).to_numpy()
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n, m): occurrences of each word in the documents to learn from, and in all."""
 
-    def rows(counts: list[Counter]) -> pa.RecordBatch:
-        words = list(counts[1])
-        arrays = [pa.array(words, pa.binary())] + [
-            pa.array(np.fromiter(map(c.get, words, repeat(0)), np.int64, len(words))) for c in counts
-        ]
-        return pa.RecordBatch.from_arrays(arrays, names=["word", "n", "m"])
+    def counted(texts: pa.Array, learned: bool) -> pa.Table:
+        counts = pc.value_counts(words_of(texts)[0])
+        m = counts.field("counts")
+        n = m if learned else pa.array(np.zeros(len(m), np.int64))
+        return pa.table([counts.field("values"), n, m], names=["word", "n", "m"])
+
+    def added(held: list[pa.Table]) -> pa.Table:
+        sums = pa.concat_tables(held).group_by("word").aggregate([("n", "sum"), ("m", "sum")])
+        return sums.select(["word", "n_sum", "m_sum"]).rename_columns(["word", "n", "m"])
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned, every = Counter(), Counter()
+        held: list[pa.Table] = []
         for batch in batches:
-            for part, texts in slices(batch, "text", 1_000_000):
-                for text, out in zip(texts, part.column("held_out").to_pylist()):
-                    words = tokens_of(text)
-                    every.update(words)
-                    if not out:
-                        learned.update(words)
-                if len(every) > TALLY_WORDS:
-                    yield rows([learned, every])
-                    learned, every = Counter(), Counter()
-        yield rows([learned, every])
+            for part, _ in slices(batch, "text"):
+                out = part.column("held_out")
+                for rows, learned in ((pc.invert(out), True), (out, False)):
+                    held.append(counted(part.column("text").filter(rows), learned))
+                if sum(map(len, held)) > 2 * TALLY_WORDS:
+                    held = [added(held)]
+                    if len(held[0]) > TALLY_WORDS:
+                        yield from held[0].to_batches()
+                        held = []
+        if held:
+            yield from added(held).to_batches()
 
     parts = docs.select("text", "held_out").mapInArrow(tally, "word binary, n bigint, m bigint")
     return parts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
@@ -137,26 +144,29 @@ def encoded(docs: DataFrame, vocabulary: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
-        place, rare = v["known"], len(v["class_of"]) - 1
+        known, rare = pa.array(list(v["known"]), pa.binary()), len(v["class_of"]) - 1
         values = {k: np.append(v[k], last) for k, last in (("number", rare), ("seen", False), ("base", 0.0), ("rest", 0.0))}
         for batch in batches:
             for part, texts in slices(batch, "text"):
-                split = [[*tokens_of(t), b""] for t in texts]
-                n = np.fromiter(map(len, split), np.int64, len(split))
-                flat = list(chain.from_iterable(split))
-                at = np.fromiter(map(place.get, flat, repeat(-1)), np.int64, len(flat))
+                words, row = words_of(part.column("text"))
+                found = pc.fill_null(pc.index_in(words, known), -1).to_numpy()
+                n = np.bincount(row, minlength=len(texts)) + 1
                 starts = np.cumsum(n) - n
+                at = np.zeros(int(n.sum()), np.int64)  # the end of each text stays, which is the first known word
+                at[np.arange(len(row)) + row] = found
                 sums = {k: np.add.reduceat(values[k][at].astype(np.float64), starts) for k in ("seen", "base", "rest")}
-                other = np.flatnonzero(at < 0)
-                upto = np.searchsorted(other, np.append(starts, len(flat)))
-                others = [Counter(flat[i] for i in other[a:b].tolist()) for a, b in zip(upto[:-1].tolist(), upto[1:].tolist())]
+                other = np.flatnonzero(found < 0)
+                coded = words.take(pa.array(other)).dictionary_encode()
+                size = max(1, len(coded.dictionary))
+                pair, times = np.unique(row[other] * size + coded.indices.to_numpy(), return_counts=True)
+                upto = np.searchsorted(pair, size * np.arange(len(texts) + 1)).astype(np.int32)
                 ends = np.append(0, 2 * np.cumsum(n)).astype(np.int32)
                 ids = values["number"][at].astype(np.uint16)
                 arrays = [
                     part.column("doc_id"), part.column("held_out"), pa.array(n), pa.array(sums["seen"].astype(np.int64)),
                     pa.array(sums["base"]), pa.array(sums["rest"]),
                     pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(ids)]),
-                    pa.array([list(o.items()) for o in others], pa.map_(pa.binary(), pa.int32())),
+                    pa.MapArray.from_arrays(pa.array(upto), coded.dictionary.take(pa.array(pair % size)), pa.array(times.astype(np.int32))),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
@@ -206,14 +216,14 @@ def trained_round(texts: DataFrame, weights: dict, vocabulary: dict, rate: float
     return np.concatenate([np.frombuffer(r["sums"], np.float64) / r["tokens"] for r in rows]).astype(np.float32)
 
 
-def train(texts: DataFrame, vocabulary: dict, width: int, rounds: int, deals: int) -> dict:
-    """Weights after all rounds; ``texts`` are encoded, with the ``deal`` of each."""
+def train(texts: DataFrame, vocabulary: dict, width: int, rounds: int) -> dict:
+    """Weights after all rounds; ``texts`` are encoded, with the ``deal`` of each, which is its round."""
     weights = gru.start(vocabulary["class_of"], vocabulary["counts"], width)
     learned = texts.where(~F.col("held_out"))
-    sizes = {r["deal"]: r["n"] for r in learned.groupBy("deal").agg(F.sum("n_tokens").alias("n")).collect()}  # deals rows
+    sizes = {r["deal"]: r["n"] for r in learned.groupBy("deal").agg(F.sum("n_tokens").alias("n")).collect()}  # rounds rows
     for r in range(rounds):
-        mine = learned.where(F.col("deal") == r % deals)
-        tasks = max(1, sizes.get(r % deals, 0) // TASK_TOKENS)
+        mine = learned.where(F.col("deal") == r)
+        tasks = max(1, sizes.get(r, 0) // TASK_TOKENS)
         vector = trained_round(mine, weights, vocabulary, RATE / (1 + r), tasks)
         if vector is not None:
             weights = gru.shaped(vector, weights)
@@ -236,11 +246,10 @@ def scored(texts: DataFrame, weights: dict, vocabulary: dict) -> DataFrame:
 
 def score(
     docs: DataFrame, head: int = HEAD, classes: int = CLASSES, width: int = WIDTH, known: int = KNOWN, rounds: int = ROUNDS,
-    deals: int = DEALS,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of all documents.
 
-    ``docs`` has doc_id and text.  ``rounds`` of ``deals`` parts of the training documents train the weights.
+    ``docs`` has doc_id and text.  The weights are trained on all training documents, dealt to so many ``rounds``.
     """
     spark = docs.sparkSession
     folder = scratch_folder(spark)
@@ -248,9 +257,9 @@ def score(
     counts = stored(word_counts(docs), folder, "counts")
     n_docs = docs.agg(F.count_if(~F.col("held_out"))).first()[0]
     words = vocabulary(counts, n_docs, head, classes, known)
-    deal = F.pmod(F.xxhash64("doc_id", "ids"), F.lit(deals)).cast("int").alias("deal")
+    deal = F.pmod(F.xxhash64("doc_id", "ids"), F.lit(rounds)).cast("int").alias("deal")
     texts = stored(encoded(docs, words).select("*", deal, F.monotonically_increasing_id().alias("row")), folder, "texts")
-    weights = train(texts, words, width, rounds, deals)
+    weights = train(texts, words, width, rounds)
     logs = scored(texts, weights, words)
 
     c = F.coalesce(F.col("n"), F.lit(0))

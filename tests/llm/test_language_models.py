@@ -9,9 +9,11 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sightlog.llm import gru, importance, lexical, recurrent
+from sightlog.llm.common import LOWER
 from sightlog.llm.queries import QUERIES
 
 
@@ -209,3 +211,42 @@ def test_no_documents_to_learn_from(spark):
     found = recurrent.score(df).collect()
     assert len(found) == 6 and all(r.held_out and r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 for r in found)
     assert all(r.score <= 0 for r in found)
+
+
+def test_every_training_document_is_learned_from_once(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i % 7}x{j % 5}" for j in range(i % 40))) for i in range(600)] + [(5, "again"), (None, "no id")]
+    learned, train = [], recurrent.trained_round
+
+    def seen(texts, *rest):
+        learned.extend(r.doc_id for r in texts.select("doc_id").collect())
+        return train(texts, *rest)
+
+    monkeypatch.setattr(recurrent, "trained_round", seen)
+    found = recurrent.score(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(found) == len(rows)
+    assert sorted(learned) == sorted(r.doc_id for r in found if not r.held_out)
+
+
+def test_words_of_bytes():
+    texts = [b"  A b\tC\x0bd ", b"", None, "ÀB ß x y\x1cz\x85 q\x00r".encode(), b"\n", b"\xff\xfeA \xc3 B", b"x"]
+    expected = [(i, w) for i, t in enumerate(texts) for w in (t.translate(LOWER).split() if t else [])]
+    for skipped in (0, 3):
+        words, row = recurrent.words_of(pa.array(texts, pa.binary()).slice(skipped))
+        assert list(zip((row + skipped).tolist(), words.to_pylist())) == [e for e in expected if e[0] >= skipped]
+
+
+def test_wide_scores_do_not_overflow():
+    weights, class_of = toy_model(1)
+    weights = {k: v * np.float32(40) if k in ("class_weight", "word_weight") else v for k, v in weights.items()}
+    bounds = np.searchsorted(class_of, np.arange(class_of[-1] + 2))
+    states, token = np.linspace(-1, 1, 35, dtype=np.float32).reshape(7, 5), np.array([3, 0, 6, 5, 1, 4, 2])
+    w = {k: v.astype(np.float64) for k, v in weights.items()}
+    classes = states @ w["class_weight"] + w["class_bias"]
+    words = states @ w["word_weight"].T + w["word_bias"]
+    own = class_of[None, :] == class_of[token][:, None]
+    expected = classes[np.arange(7), class_of[token]] - np.logaddexp.reduce(classes, axis=1)
+    expected += words[np.arange(7), token] - np.logaddexp.reduce(np.where(own, words, -np.inf), axis=1)
+    back = {k: np.zeros_like(v) for k, v in weights.items()}
+    found, slopes = gru.outputs(weights, class_of, bounds, states, token, back)
+    assert found == pytest.approx(expected, rel=1e-4, abs=1e-4)
+    assert np.isfinite(slopes).all() and all(np.isfinite(g).all() for g in back.values())
