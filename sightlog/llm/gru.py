@@ -212,37 +212,35 @@ def backward(weights: dict, before: np.ndarray, fresh: np.ndarray, kept: list, d
     """Gradients of one window from those of its states."""
     width = d_out.shape[2]
     h, z, r, an, c = kept
-    # what the slope of a state is multiplied by, for candidate and update gate; the candidate's for the reset gate
-    rest = 1 - z
-    to_z = (h - c) * z
-    to_z *= rest
-    rest *= 1 - c * c
-    to_r = (1 - r) * r
-    to_r *= an
     dz, dr, da, dc = (np.empty(z.shape, np.float32) for _ in range(4))
     turned = [np.ascontiguousarray(part.T) for part in np.split(weights["state"], 3, axis=1)]
     begins = fresh.any(axis=1).tolist()
     carried = np.zeros_like(d_out[0])
     for t in range(len(before) - 1, -1, -1):
+        zt, rt, ct = z[t], r[t], c[t]
         carried += d_out[t]
-        np.multiply(carried, rest[t], out=dc[t])
-        np.multiply(carried, to_z[t], out=dz[t])
-        np.multiply(dc[t], to_r[t], out=dr[t])
-        np.multiply(dc[t], r[t], out=da[t])
-        carried *= z[t]
+        rest = (1 - zt) * carried
+        np.multiply(h[t] - ct, zt, out=dz[t])
+        dz[t] *= rest
+        rest -= ct * ct * rest
+        dc[t] = rest
+        np.multiply(rest, rt, out=da[t])
+        np.multiply(da[t], 1 - rt, out=dr[t])
+        dr[t] *= an[t]
+        carried *= zt
         for slope, part in zip((dz[t], dr[t], da[t]), turned):
             carried += slope @ part
         if begins[t]:
             carried[fresh[t]] = 0
     dz, dr, da, dc = (x.reshape(-1, width) for x in (dz, dr, da, dc))
     used = before.ravel()
-    states, inputs = np.ascontiguousarray(h.reshape(-1, width).T), np.take(weights["embed"].T, used, axis=1)
+    states, inputs = h.reshape(-1, width), np.take(weights["embed"], used, axis=0)
     ones = np.ones(len(used), np.float32)
     d_input = np.zeros_like(dz)
     for k, (of_state, of_input) in enumerate(((dz, dz), (dr, dr), (da, dc))):
         columns = slice(k * width, (k + 1) * width)
-        back["state"][:, columns] += states @ of_state
-        back["input"][:, columns] += inputs @ of_input
+        back["state"][:, columns] += states.T @ of_state
+        back["input"][:, columns] += inputs.T @ of_input
         back["bias"][columns] += ones @ of_input
         d_input += of_input @ weights["input"][:, columns].T
     place = used[:, None] * width + np.arange(width)
