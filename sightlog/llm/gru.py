@@ -12,6 +12,10 @@ import numpy as np
 
 #: Order in which weights are laid out in one vector.
 NAMES = ("embed", "input", "state", "bias", "class_weight", "class_bias", "word_weight", "word_bias")
+#: Tokens whose classes are scored at a time: small products are the fastest.
+BLOCK = 512
+#: Rows of a key from which they are added up by a product of their own.
+OFTEN = 16
 
 
 def start(class_of: np.ndarray, counts: np.ndarray, width: int, seed: int = 0) -> dict[str, np.ndarray]:
@@ -67,11 +71,13 @@ def windows(tokens: np.ndarray, lengths: np.ndarray, most: int, steps: int, ahea
     if not dealt:
         return
     order = np.concatenate(dealt)
-    starts, ends = np.cumsum(lengths) - lengths, np.cumsum(lengths[order])
-    text_of = np.repeat(order, lengths[order])
-    flat_token = tokens[np.repeat(starts[order] - (ends - lengths[order]), lengths[order]) + np.arange(len(text_of))]
+    upto, ends = np.cumsum(lengths), np.cumsum(lengths[order])
+    text_of = np.repeat(order.astype(np.int32), lengths[order])
+    flat_token = np.concatenate([tokens[a:b] for a, b in zip((upto - lengths)[order].tolist(), upto[order].tolist())])
     begins = np.zeros(len(text_of), bool)
     begins[ends - lengths[order]] = True
+    flat_before = np.roll(flat_token, 1)
+    flat_before[ends - lengths[order]] = ahead[order]
     n = np.array([lengths[d].sum() for d in dealt], np.int64)
     first = np.cumsum(n) - n
     for at in range(0, int(n[0]), steps):
@@ -79,14 +85,12 @@ def windows(tokens: np.ndarray, lengths: np.ndarray, most: int, steps: int, ahea
         step = at + np.arange(min(steps, int(n[0]) - at))[:, None]
         inside = step < n[:live]
         place = first[:live] + np.minimum(step, n[:live] - 1)
-        fresh = begins[place]
-        before = np.where(fresh, ahead[text_of[place]], flat_token[np.maximum(place - 1, 0)])
-        yield before, flat_token[place], np.where(inside, text_of[place], -1), fresh
+        yield flat_before[place], flat_token[place], np.where(inside, text_of[place], -1), begins[place]
 
 
-def _thirds(x: np.ndarray) -> list[np.ndarray]:
-    """Columns of the update gate, the reset gate and the candidate, each an array of its own."""
-    return [np.ascontiguousarray(part) for part in np.split(x, 3, axis=1)]
+def _thirds(x: np.ndarray) -> np.ndarray:
+    """Columns of the update gate, the reset gate and the candidate, one after another."""
+    return np.ascontiguousarray(x.reshape(len(x), 3, -1).transpose(1, 0, 2))
 
 
 def _sigmoid_of_half(x: np.ndarray) -> None:
@@ -96,38 +100,45 @@ def _sigmoid_of_half(x: np.ndarray) -> None:
     x += 0.5
 
 
-def forward(weights: dict, gates: np.ndarray, before: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: bool):
-    """States after each step; ``gates`` are the input's part of the gates for each word.
+def halved(weights: dict, gates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the state, and the input's part of the gates for each word, as ``forward`` uses them."""
+    half = np.repeat(np.array([0.5, 0.5, 1], gates.dtype), gates.shape[1] // 3)
+    return _thirds(weights["state"] * half), _thirds(gates * half)
 
-    With ``keep`` also what going back needs: states before each step, update gate, reset gate, the
-    state's part of the candidate, and the candidate.
+
+def forward(weights: dict, gates: np.ndarray, before: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: bool, ready: tuple | None = None):
+    """States after each step; ``gates`` are the input's part of the gates for each word, ``ready`` what
+    ``halved`` makes of them.
+
+    With ``keep`` also what going back needs: states before each step; update gate, reset gate and
+    candidate; and the state's part of the candidate.
     """
-    width = state.shape[1]
-    half = np.repeat(np.array([0.5, 0.5, 1], gates.dtype), width)
-    recurrent = _thirds(weights["state"] * half)
-    z, r, c = (np.take(part, before, axis=0) for part in _thirds(gates * half))
-    out = np.empty((*before.shape, width), np.float32)
-    kept = [np.empty(z.shape, z.dtype), z, r, np.empty(z.shape, z.dtype), c] if keep else None
+    shape, width = before.shape, state.shape[1]
+    recurrent, of_word = ready or halved(weights, gates)
+    out = np.empty((*shape, width), gates.dtype)
+    held = shape[0] if keep else 1
+    x, a = np.empty((held, 3, shape[1], width), gates.dtype), np.empty((2, shape[1], width), gates.dtype)
+    start, an = np.empty_like(out) if keep else None, np.empty((held, shape[1], width), gates.dtype)
     begins = fresh.any(axis=1).tolist()
     for t in range(len(before)):
         h = state
         if begins[t]:
             h = state.copy()
             h[fresh[t]] = 0
-        zt, rt, ct, an = z[t], r[t], c[t], h @ recurrent[2]
-        zt += h @ recurrent[0]
-        _sigmoid_of_half(zt)
-        rt += h @ recurrent[1]
-        _sigmoid_of_half(rt)
-        ct += rt * an
+        xt, at = x[t % held], an[t % held]
+        np.take(of_word, before[t], axis=1, out=xt, mode="clip")
+        np.matmul(h, recurrent[2], out=at)
+        zr, (zt, rt, ct) = xt[:2], xt
+        zr += np.matmul(h, recurrent[:2], out=a)
+        _sigmoid_of_half(zr)
+        ct += np.multiply(rt, at, out=a[0])
         np.tanh(ct, out=ct)
-        state = h - ct
+        state = np.subtract(h, ct, out=out[t])
         state *= zt
         state += ct
-        out[t] = state
         if keep:
-            kept[0][t], kept[3][t] = h, an
-    return out, state, kept
+            start[t] = h
+    return out, state, (start, x, an)
 
 
 def _bounded(weight: np.ndarray, bias: np.ndarray) -> bool:
@@ -136,14 +147,17 @@ def _bounded(weight: np.ndarray, bias: np.ndarray) -> bool:
     return bool(most.max() < 80)
 
 
-def _exponentials(x: np.ndarray, plain: bool, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray | float]:
-    """Sums of the exponentials that ``x`` becomes, and what was taken off the scores before."""
-    most = 0.0
-    if not plain:
-        most = x.max(axis=1)
-        x -= most[:, None]
-    np.exp(x, out=x)
-    return x @ ones[: x.shape[1]], most
+def _lifts(weight: np.ndarray, bias: np.ndarray) -> tuple[bool, np.ndarray, np.ndarray]:
+    """Whether scores need no shift, and what is left out of them, with its exponentials: the biases then, else nothing."""
+    plain = _bounded(weight, bias)
+    lift = bias if plain else np.zeros_like(bias)
+    return plain, lift, np.exp(lift)
+
+
+def _shift(x: np.ndarray, bias: np.ndarray) -> None:
+    """In place: scores with their biases, less the greatest of a row."""
+    x += bias
+    x -= x.max(axis=1)[:, None]
 
 
 def _in_order(numbers: np.ndarray, most: int) -> np.ndarray:
@@ -154,97 +168,155 @@ def outputs(weights: dict, class_of: np.ndarray, bounds: np.ndarray, states: np.
     """Natural log probability of each token after its state; with ``back`` also the gradients of the
     negative log probability, each token's times ``share``, and that of the states.
 
-    Tokens are put in order, so that those of a class lie side by side.
+    Tokens are put in order, so that those of a class lie side by side.  Classes are scored for ``BLOCK``
+    tokens at a time, and the words of all classes in one array.  Biases are not added to scores, but weigh
+    their exponentials, where these are within the range of a float.
     """
     n, width = states.shape
-    found, d_states = np.zeros(n, np.float64), None if back is None else np.zeros_like(states)
+    found, d = np.zeros(n, np.float64), None if back is None else np.empty_like(states)
     if not n:
-        return found, d_states
+        return found, d
     order = _in_order(token, len(class_of))
     word = token[order]
     wanted = class_of[word]
     rows, sizes = np.arange(n), np.diff(bounds)
-    ones = np.ones(max(int(sizes.max()), int(class_of[-1]) + 1), states.dtype)
-    # a last column of ones brings in the biases, and their gradients
-    h = np.ones((n, width + 1), states.dtype)
-    h[:, :width] = np.take(states, order, axis=0)
-    x = h @ np.vstack([weights["class_weight"], weights["class_bias"]])
-    logs = x[rows, wanted]
-    total, most = _exponentials(x, _bounded(weights["class_weight"].T, weights["class_bias"]), ones)
-    logs -= np.log(total) + most
-    d = None
-    if back is not None:
-        x *= (share / total)[:, None]
-        x[rows, wanted] -= share
-        slope = np.ascontiguousarray(h.T) @ x
-        back["class_weight"] += slope[:width]
-        back["class_bias"] += slope[width]
-        d = x @ weights["class_weight"].T
-
-    of_word = np.hstack([weights["word_weight"], weights["word_bias"][:, None]])
-    plain = _bounded(weights["word_weight"], weights["word_bias"])
-    cuts = np.searchsorted(wanted, np.arange(len(bounds)))
-    place = (rows - cuts[wanted]) * sizes[wanted] + word - bounds[wanted]
-    chosen, total = np.zeros(n, h.dtype), np.ones(n, h.dtype)
-    cuts, edges = cuts.tolist(), bounds.tolist()
-    for c in np.flatnonzero((np.diff(cuts) > 0) & (sizes > 1)).tolist():  # one word is no choice
-        mine, words = slice(cuts[c], cuts[c + 1]), slice(edges[c], edges[c + 1])
-        at, hc = place[mine], h[mine]
-        x = hc @ of_word[words].T
-        each = x.reshape(-1)
-        picked = each[at]
-        sums, most = _exponentials(x, plain, ones)
-        chosen[mine], total[mine] = picked - most, sums
+    classes = len(sizes)
+    h, ones = np.take(states, order, axis=0), np.ones(n, states.dtype)
+
+    of_class, bias = weights["class_weight"], weights["class_bias"]
+    plain, lift, up = _lifts(of_class.T, bias)
+    turned, down = np.ascontiguousarray((of_class * up).T), share / up[wanted]
+    logs, total = np.empty(n, h.dtype), np.empty(n, h.dtype)
+    slope, slope_bias = np.zeros_like(of_class), np.zeros_like(bias)
+    for at in range(0, n, BLOCK):
+        mine = slice(at, at + BLOCK)
+        hb = h[mine]
+        x = hb @ of_class
+        if not plain:
+            _shift(x, bias)
+        each, place = x.reshape(-1), rows[: len(hb)] * classes + wanted[mine]
+        logs[mine] = each[place]
+        np.exp(x, out=x)
+        np.matmul(x, up, out=total[mine])
         if back is not None:
-            x *= (share / sums)[:, None]
-            each[at] -= share
-            slope = x.T @ hc
-            back["word_weight"][words] += slope[:, :width]
-            back["word_bias"][words] += slope[:, width]
-            d[mine] += x @ weights["word_weight"][words]
-    found[order] = logs.astype(np.float64) + (chosen - np.log(total))
+            x *= (share / total[mine])[:, None]
+            each[place] -= down[mine]
+            slope += hb.T @ x
+            slope_bias += ones[: len(hb)] @ x
+            np.matmul(x, turned, out=d[mine])
+    logs += lift[wanted]
+    logs -= np.log(total)
     if back is not None:
-        d_states[order] = d
-    return found, d_states
+        back["class_weight"] += slope * up
+        back["class_bias"] += slope_bias * up
 
-
-def backward(weights: dict, before: np.ndarray, fresh: np.ndarray, kept: list, d_out: np.ndarray, back: dict) -> None:
+    of_word, bias = weights["word_weight"], weights["word_bias"]
+    plain, lift, up = _lifts(of_word, bias)
+    cuts = np.searchsorted(wanted, np.arange(len(bounds)))
+    choice = np.flatnonzero((np.diff(cuts) > 0) & (sizes > 1))  # one word is no choice
+    # scores of the words of these classes: where each class begins, and where each token's own word is
+    held = np.diff(cuts)[choice] * sizes[choice]
+    begin = np.zeros(classes, np.int64)
+    begin[choice] = np.cumsum(held) - held
+    real = np.flatnonzero((sizes > 1)[wanted])
+    c, own = wanted[real], word[real]
+    place = begin[c] + (real - cuts[c]) * sizes[c] + own - bounds[c]
+    scores, total = np.empty(int(held.sum()), h.dtype), np.ones(n, h.dtype)
+    parts, ends = [], (begin + np.diff(cuts) * sizes).tolist()
+    begin, cuts, edges, sizes = begin.tolist(), cuts.tolist(), bounds.tolist(), sizes.tolist()
+    for i in choice.tolist():
+        mine, words = slice(cuts[i], cuts[i + 1]), slice(edges[i], edges[i + 1])
+        x = scores[begin[i] : ends[i]].reshape(-1, sizes[i])
+        np.matmul(h[mine], of_word[words].T, out=x)
+        if not plain:
+            _shift(x, bias[words])
+        parts.append((mine, words, x))
+    logs[real] += scores[place] + lift[own]
+    np.exp(scores, out=scores)
+    for mine, words, x in parts:
+        np.matmul(x, up[words], out=total[mine])
+    logs -= np.log(total)
+    found[order] = logs
+    if back is not None:
+        scores[place] -= total[real] / up[own]
+        factor, turned = (share / total)[:, None], up[:, None] * of_word
+        slope, slope_bias = np.zeros_like(of_word), np.zeros_like(bias)
+        for mine, words, x in parts:
+            x *= factor[mine]
+            np.matmul(x.T, h[mine], out=slope[words])
+            np.matmul(ones[mine], x, out=slope_bias[words])
+            d[mine] += x @ turned[words]
+        slope *= up[:, None]
+        back["word_weight"] += slope
+        back["word_bias"] += slope_bias * up
+        place = np.empty_like(order)
+        place[order] = rows
+        d = np.take(d, place, axis=0)
+    return found, d
+
+
+def sums_by(rows: np.ndarray, key: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys that occur, all below ``most``, and for each of several arrays the sum of a key's rows."""
+    order = _in_order(key, most)
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    n = np.diff(np.append(first, len(key)))
+    often = np.argsort(-n, kind="stable")
+    first, n = first[often], n[often]
+    rows, ones = np.take(rows, order, axis=1), np.ones(len(key), rows.dtype)
+    sums = np.empty((len(rows), len(n), rows.shape[2]), rows.dtype)
+    # frequent keys one by one, the others by the first row of each, the second, and so on
+    many = int((n > OFTEN).sum())
+    for i, (at, m) in enumerate(zip(first[:many].tolist(), n[:many].tolist())):
+        np.matmul(ones[:m], rows[:, at : at + m], out=sums[:, i])
+    rest = np.take(rows, first[many:], axis=1)
+    for j in range(1, int(n[many]) if many < len(n) else 0):
+        live = int((n[many:] > j).sum())
+        rest[:, :live] += np.take(rows, first[many : many + live] + j, axis=1)
+    sums[:, many:] = rest
+    return key[first], sums
+
+
+def backward(weights: dict, before: np.ndarray, fresh: np.ndarray, kept: tuple, d_out: np.ndarray, back: dict) -> None:
     """Gradients of one window from those of its states."""
-    width = d_out.shape[2]
-    h, z, r, an, c = kept
-    dz, dr, da, dc = (np.empty(z.shape, np.float32) for _ in range(4))
-    turned = [np.ascontiguousarray(part.T) for part in np.split(weights["state"], 3, axis=1)]
+    steps, n, width = d_out.shape
+    h, x, an = kept
+    # slopes of the state's part of the candidate, the update gate, the reset gate and the candidate
+    d = np.empty((4, steps, n, width), np.float32)
+    turned = np.ascontiguousarray(_thirds(weights["state"])[[2, 0, 1]].transpose(0, 2, 1))
     begins = fresh.any(axis=1).tolist()
-    carried = np.zeros_like(d_out[0])
-    for t in range(len(before) - 1, -1, -1):
-        zt, rt, ct = z[t], r[t], c[t]
+    carried, rest, of_state = np.zeros_like(d_out[0]), np.empty_like(d_out[0]), np.zeros_like(turned)
+    for t in range(steps - 1, -1, -1):
+        zt, rt, ct = x[t]
+        da, dz, dr, dc = d[:, t]
         carried += d_out[t]
-        rest = (1 - zt) * carried
-        np.multiply(h[t] - ct, zt, out=dz[t])
-        dz[t] *= rest
-        rest -= ct * ct * rest
-        dc[t] = rest
-        np.multiply(rest, rt, out=da[t])
-        np.multiply(da[t], 1 - rt, out=dr[t])
-        dr[t] *= an[t]
+        np.subtract(1, zt, out=rest)
+        rest *= carried
+        np.subtract(h[t], ct, out=dz)
+        dz *= zt
+        dz *= rest
+        np.multiply(ct, ct, out=dc)
+        dc *= rest
+        np.subtract(rest, dc, out=dc)
+        np.multiply(dc, rt, out=da)
+        np.subtract(1, rt, out=dr)
+        dr *= da
+        dr *= an[t]
         carried *= zt
-        for slope, part in zip((dz[t], dr[t], da[t]), turned):
-            carried += slope @ part
+        of_state += np.matmul(h[t].T, d[:3, t])
+        for slope in np.matmul(d[:3, t], turned):
+            carried += slope
         if begins[t]:
             carried[fresh[t]] = 0
-    dz, dr, da, dc = (x.reshape(-1, width) for x in (dz, dr, da, dc))
-    used = before.ravel()
-    states, inputs = h.reshape(-1, width), np.take(weights["embed"], used, axis=0)
-    ones = np.ones(len(used), np.float32)
-    d_input = np.zeros_like(dz)
-    for k, (of_state, of_input) in enumerate(((dz, dz), (dr, dr), (da, dc))):
-        columns = slice(k * width, (k + 1) * width)
-        back["state"][:, columns] += states.T @ of_state
-        back["input"][:, columns] += inputs.T @ of_input
-        back["bias"][columns] += ones @ of_input
-        d_input += of_input @ weights["input"][:, columns].T
-    place = used[:, None] * width + np.arange(width)
-    back["embed"] += np.bincount(place.ravel(), d_input.ravel(), weights["embed"].size).reshape(-1, width)
+
+    def beside(parts: np.ndarray) -> np.ndarray:
+        return parts.transpose(1, 0, 2).reshape(width, 3 * width)
+
+    back["state"] += beside(of_state[[1, 2, 0]])
+    word, sums = sums_by(d[1:].reshape(3, -1, width), before.ravel(), len(weights["embed"]))
+    back["input"] += beside(np.matmul(weights["embed"][word].T, sums))
+    back["bias"] += sums.sum(axis=1).ravel()
+    back["embed"][word] += np.matmul(sums, _thirds(weights["input"]).transpose(0, 2, 1)).sum(axis=0)
 
 
 class Adam:
@@ -325,6 +397,7 @@ class Scorer:
         self.weights, self.class_of, self.end = weights, class_of, end
         self.bounds = np.searchsorted(class_of, np.arange(class_of[-1] + 2))
         self.gates = weights["embed"] @ weights["input"] + weights["bias"]
+        self.ready = halved(weights, self.gates)
         self.lanes, self.steps = lanes, steps
 
     def score(self, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -334,8 +407,11 @@ class Scorer:
         state = np.zeros((min(self.lanes, len(lengths)), width), np.float32)
         ahead = np.full(len(lengths), self.end)
         for before, token, text, fresh in windows(tokens, lengths, self.lanes, self.steps, ahead):
-            out, state, _ = forward(self.weights, self.gates, before, fresh, state[: before.shape[1]], False)
+            out, state, _ = forward(self.weights, self.gates, before, fresh, state[: before.shape[1]], False, self.ready)
             live = (text >= 0).ravel()
-            found, _ = outputs(self.weights, self.class_of, self.bounds, out.reshape(-1, width)[live], token.ravel()[live])
-            total += np.bincount(text.ravel()[live], found, len(lengths))
+            states, token, text = out.reshape(-1, width), token.ravel(), text.ravel()
+            if not live.all():
+                states, token, text = states[live], token[live], text[live]
+            found, _ = outputs(self.weights, self.class_of, self.bounds, states, token)
+            total += np.bincount(text, found, len(lengths))
         return total

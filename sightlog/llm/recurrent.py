@@ -244,6 +244,18 @@ def scored(texts: DataFrame, weights: dict, vocabulary: dict) -> DataFrame:
     return texts.select("row", "ids").mapInArrow(run, "row bigint, logp double")
 
 
+def with_counts(each: DataFrame, counts: DataFrame) -> DataFrame:
+    """Rows of ``each`` with the ``n`` of their word, null if ``counts``, a row a word, has none.
+
+    They meet by a hash of the word, as numbers are sorted without comparing words; words that only share
+    it are told apart, in a form that is no further key to sort by.
+    """
+    each = each.withColumn("hash", F.xxhash64("word"))
+    counts = counts.select(F.xxhash64("word").alias("of_hash"), F.col("word").alias("of_word"), "n")
+    same = (F.col("word") >= F.col("of_word")) & (F.col("word") <= F.col("of_word"))
+    return each.join(counts, (F.col("hash") == F.col("of_hash")) & same, "left").drop("hash", "of_hash", "of_word")
+
+
 def score(
     docs: DataFrame, head: int = HEAD, classes: int = CLASSES, width: int = WIDTH, known: int = KNOWN, rounds: int = ROUNDS,
 ) -> DataFrame:
@@ -263,8 +275,7 @@ def score(
     logs = scored(texts, weights, words)
 
     c = F.coalesce(F.col("n"), F.lit(0))
-    each = texts.select("row", F.explode("others").alias("word", "times")).join(counts.select("word", "n"), "word", "left")
-    others = each.groupBy("row").agg(
+    others = with_counts(texts.select("row", F.explode("others").alias("word", "times")), counts).groupBy("row").agg(
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("o_known"),
         F.sum(F.col("times") * F.log10((c + _DELTA) / F.lit(words["base_unit"]))).alias("o_base"),
         F.sum(F.col("times") * F.log10((c + _DELTA) / F.lit(words["rare_unit"]))).alias("o_rest"),

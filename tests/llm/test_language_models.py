@@ -250,3 +250,46 @@ def test_wide_scores_do_not_overflow():
     found, slopes = gru.outputs(weights, class_of, bounds, states, token, back)
     assert found == pytest.approx(expected, rel=1e-4, abs=1e-4)
     assert np.isfinite(slopes).all() and all(np.isfinite(g).all() for g in back.values())
+
+
+def test_sums_by_key():
+    rng = np.random.default_rng(8)
+    for n in (1, 5, 700):  # keys with one row, with some, and with many
+        rows, key = rng.normal(0, 1, (3, n, 4)).astype(np.float32), (rng.random(n) ** 3 * 60).astype(np.int64)
+        keys, sums = gru.sums_by(rows, key, 60)
+        assert sorted(keys.tolist()) == np.unique(key).tolist()
+        assert sums == pytest.approx(np.stack([rows[:, key == k].sum(axis=1) for k in keys], axis=1), abs=1e-4)
+
+
+def test_tokens_in_blocks_against_all_at_once():
+    weights, class_of = toy_model(4)
+    bounds = np.searchsorted(class_of, np.arange(class_of[-1] + 2))
+    rng = np.random.default_rng(9)
+    n = 2 * gru.BLOCK + 5
+    states, token = np.tanh(rng.normal(0, 1, (n, 5))).astype(np.float32), rng.integers(0, 7, n)
+    one, all_back = {}, {k: np.zeros_like(v) for k, v in weights.items()}
+    found, slopes = gru.outputs(weights, class_of, bounds, states, token, all_back, 0.5)
+    back = {k: np.zeros_like(v) for k, v in weights.items()}
+    for i in range(n):
+        one[i] = gru.outputs(weights, class_of, bounds, states[i : i + 1], token[i : i + 1], back, 0.5)
+    assert found == pytest.approx(np.concatenate([one[i][0] for i in range(n)]), abs=1e-5)
+    assert slopes == pytest.approx(np.concatenate([one[i][1] for i in range(n)]), abs=1e-5)
+    for k in gru.NAMES:
+        assert all_back[k] == pytest.approx(back[k], abs=1e-2)
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_words_that_share_a_hash_keep_their_counts(spark, monkeypatch, threshold):
+    words = [b"a", b"b", b"ab", b"ba", b"", b"\xff", b"abc"]
+    counts = spark.createDataFrame([(w, 10 * i) for i, w in enumerate(words[:5])], "word binary, n bigint")
+    rows = [(r, w, 1 + r % 3) for r in range(20) for w in words[r % 4 :]]
+    each = spark.createDataFrame(rows, "row bigint, word binary, times int")
+    monkeypatch.setattr(recurrent.F, "xxhash64", lambda c: recurrent.F.octet_length(c).cast("bigint"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found = recurrent.with_counts(each, counts).select("row", "word", "times", "n").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    n = {w: 10 * i for i, w in enumerate(words[:5])}
+    assert sorted((r.row, bytes(r.word), r.times, r.n is None, r.n or 0) for r in found) == sorted((r, w, t, w not in n, n.get(w, 0)) for r, w, t in rows)
